@@ -105,8 +105,7 @@ class PieceModel:
         self.pairs = {k: (r, m) for k, r, m in zip(keys, ranks, merged)}
         self.slots = np.full(1 << max(10, len(keys).bit_length() + 2), -1)  # open addressing
         self.slot_rank, self.slot_makes = np.full(len(self.slots), NO_RANK, np.int32), np.full(len(self.slots), -1, np.int32)
-        for k, (r, m) in self.pairs.items():
-            at = int(self._slot(np.array([k]))[0])
+        for at, (k, (r, m)) in zip(self._slot(np.array([*self.pairs])).tolist(), self.pairs.items()):
             while self.slots[at] >= 0:
                 at = (at + 1) % len(self.slots)
             self.slots[at], self.slot_rank[at], self.slot_makes[at] = k, r, m
