@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from thylakoid.llm.decontamination import contaminated, decontaminate
+from thylakoid.llm.line_dedup import drop_repeated_lines
 from thylakoid.llm.pieces import encode_decode
+from thylakoid.llm.sharding import shard_documents
 from thylakoid.llm.token_counts import token_counts
+from thylakoid.llm.url_filter import judge_urls, rule_table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -30,3 +35,86 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@registered
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), offsets=False)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
+#: Words and windows as lists; a window's words are joined by spaces, which words never hold.
+SQL["op2_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+), win AS (
+  SELECT DISTINCT item, least(13, len(w)) AS size, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS words
+  FROM b, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT size FROM win),
+placed AS (
+  SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS words
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)
+), hits AS (SELECT doc_id, i, placed.size, item FROM placed JOIN win ON placed.words = win.words AND placed.size = win.size),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+owners AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN owners USING (doc_id)
+"""
+
+
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+@registered
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES), default="allow")
+
+
+SQL["op4_url_filter"] = r"""
+WITH r(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT row_number() OVER () AS id, page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*(/[^?#]*)?', 1) AS path FROM u),
+f AS (
+  SELECT p.id, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY p.id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS n
+  FROM p JOIN r ON (p.host = r.host OR p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN (SELECT * FROM f WHERE n = 1) USING (id)
+"""
+
+
+@registered
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op1_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, i, line, translate(trim(line, e' \t\n\x0B\x0C\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), e'\n')) AS line, generate_subscripts(string_split(coalesce(text, ''), e'\n'), 1) AS i FROM documents)
+), r AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT l.*, r.k IS NOT NULL AND doc_id < last AS gone FROM l LEFT JOIN r ON l.k = r.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, e'\n' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
