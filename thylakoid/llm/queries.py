@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thylakoid.llm.decontamination import contaminated, decontaminate
+from thylakoid.llm.language_id import fit, held_out, identify
 from thylakoid.llm.line_dedup import drop_repeated_lines
 from thylakoid.llm.pieces import encode_decode
 from thylakoid.llm.sharding import shard_documents
@@ -118,3 +119,10 @@ j AS (SELECT l.*, r.k IS NOT NULL AND doc_id < last AS gone FROM l LEFT JOIN r O
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, e'\n' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
 """
+
+
+@registered
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, fit(docs.filter(~held_out(F.col("doc_id")))))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
