@@ -11,6 +11,7 @@ from thylakoid.llm.language_id import fit, held_out, identify
 from thylakoid.llm.line_dedup import drop_repeated_lines
 from thylakoid.llm.pieces import encode_decode
 from thylakoid.llm.sharding import shard_documents
+from thylakoid.llm.simhash import near_duplicates
 from thylakoid.llm.token_counts import token_counts
 from thylakoid.llm.url_filter import judge_urls, rule_table
 
@@ -126,3 +127,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, fit(docs.filter(~held_out(F.col("doc_id")))))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@registered
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
