@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thylakoid.llm.decontamination import contaminated, decontaminate
+from thylakoid.llm.embedding_dedup import near_vectors
 from thylakoid.llm.language_id import fit, held_out, identify
 from thylakoid.llm.line_dedup import drop_repeated_lines
 from thylakoid.llm.pieces import encode_decode
@@ -132,3 +133,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
