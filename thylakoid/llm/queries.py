@@ -13,6 +13,7 @@ from thylakoid.llm.line_dedup import drop_repeated_lines
 from thylakoid.llm.pieces import encode_decode
 from thylakoid.llm.sharding import shard_documents
 from thylakoid.llm.simhash import near_duplicates
+from thylakoid.llm.suffix_dedup import cut_repeated_strings
 from thylakoid.llm.token_counts import token_counts
 from thylakoid.llm.url_filter import judge_urls, rule_table
 
@@ -138,3 +139,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeated_strings(table(spark, sf_dir, "documents"), bodies=False).drop("spans", "kept")
