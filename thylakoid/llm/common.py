@@ -67,9 +67,15 @@ def chunks(batch: pa.RecordBatch, text: int, limit: int = CHUNK_BYTES) -> Iterat
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, fn: Callable, schema: str, text: int = 1, limit: int = CHUNK_BYTES) -> DataFrame:
-    """``mapInArrow`` over byte-bounded chunks; ``fn`` takes a record batch and returns columns by name."""
-    names = [part.split()[0] for part in schema.split(",")]
+def carried(df: DataFrame, carry: bool) -> list:
+    """The whole row as a struct, if it is to come along: so none of its names can clash with others."""
+    return [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
+
+
+def map_texts(df: DataFrame, fn: Callable, schema: dict[str, str], text: int = 1, limit: int = CHUNK_BYTES) -> DataFrame:
+    """``mapInArrow`` over byte-bounded chunks; ``fn`` takes a record batch and returns columns by name,
+    of which those in ``schema`` (names and types) stay."""
+    names = [*schema]
 
     def run(batches):
         for batch in batches:
@@ -77,7 +83,7 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, text: int = 1, limit: in
                 out = fn(chunk)
                 yield pa.RecordBatch.from_arrays([_array(out[n]) for n in names], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, ", ".join(f"`{n}` {kind}" for n, kind in schema.items()))
 
 
 def _array(values):

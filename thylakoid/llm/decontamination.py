@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bytes_of, chunks, partitions_for
+from thylakoid.llm.common import bytes_of, carried, chunks, partitions_for
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -76,7 +76,7 @@ def _automaton(key: str, shard, window: int) -> Windows:
     return _built[key]
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES, offsets: bool = True) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shard_bytes: int = SHARD_BYTES, offsets: bool = True, carry: bool = False) -> DataFrame:
     """Words of each document that lie in a word window of a benchmark item.
 
     Words are runs of digits, ASCII letters (lower-cased) and characters from U+0080. A window is
@@ -86,8 +86,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     of a window), ``items`` (sorted ids, as strings, of items with occurring windows), ``spans`` (runs
     of hit words, by word), ``text_spans`` (the same runs as character offsets into the original text,
     end exclusive; null unless ``offsets``). Null and empty texts have no words. Items with a null id
-    or text, or without words, have no windows; equal items all count. Other columns aren't read, and
-    repeated rows and null ids stay.
+    or text, or without words, have no windows; equal items all count. With ``carry``, the whole input
+    row comes along as the struct ``row``; else other columns aren't read. Repeated rows and null ids stay.
 
     The benchmark goes to the executors in shards of about ``shard_bytes`` of text, so what is
     broadcast is bounded whatever the benchmark's size; with more than one, the documents pass
@@ -96,19 +96,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).dropna()
     n = partitions_for(bytes_of(items, "text"), shard_bytes)
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast(_WORD_SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    kind = dict(found.dtypes)["id"]
+    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(None).cast(_WORD_SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"), *carried(docs, carry))
     for k in range(n):
         rows = items if n == 1 else items.filter(F.pmod(F.xxhash64("item"), F.lit(n)) == k)
         shard = spark.sparkContext.broadcast([(r.item, r.text) for r in rows.toLocalIterator()])
-        found = _scan(found, kind, shard, window, k == n - 1, offsets)
+        found = _scan(found, shard, window, k == n - 1, offsets)
     return found.withColumnRenamed("id", id_col)
 
 
 _WORD_SPANS, _TEXT_SPANS = "array<struct<first: int, last: int>>", "array<struct<start: int, end: int>>"
 
 
-def _scan(found: DataFrame, kind: str, shard, window: int, last: bool, offsets: bool) -> DataFrame:
+def _scan(found: DataFrame, shard, window: int, last: bool, offsets: bool) -> DataFrame:
     """Add one shard's hits; the last scan counts words and maps spans to offsets."""
     key = uuid.uuid4().hex
 
@@ -128,14 +127,15 @@ def _scan(found: DataFrame, kind: str, shard, window: int, last: bool, offsets:
                         out["n_words"].append(len(words))
                         out["n_hit"].append(sum(s["last"] - s["first"] + 1 for s in spans))
                         out["text_spans"].append([{"start": at[s["first"]][0], "end": at[s["last"]][1]} for s in spans] if offsets else None)
-                arrays = {"id": batch.column(0), "text": batch.column(1)} | {n: pa.array(v, _ARROW[n]) for n, v in out.items() if last or n in ("spans", "items")}
-                if last:
-                    del arrays["text"]
-                yield pa.RecordBatch.from_pydict(arrays)
+                arrays = {n: pa.array(v, _ARROW[n]) for n, v in out.items() if n in schema} | {n: batch.column(n) for n in kept}
+                yield pa.RecordBatch.from_pydict({n: arrays[n] for n in schema})
 
+    kinds = dict(found.dtypes)
+    kept = [n for n in ("id", "text", "row") if n in kinds and not (last and n == "text")]
+    schema = {n: kinds[n] for n in kept} | {"spans": _WORD_SPANS, "items": "array<string>"}
     if last:
-        return found.mapInArrow(run, f"id {kind}, n_words long, n_hit long, spans {_WORD_SPANS}, items array<string>, text_spans {_TEXT_SPANS}")
-    return found.mapInArrow(run, f"id {kind}, text string, spans {_WORD_SPANS}, items array<string>")
+        schema |= {"n_words": "long", "n_hit": "long", "text_spans": _TEXT_SPANS}
+    return found.mapInArrow(run, ", ".join(f"{n} {kind}" for n, kind in schema.items()))
 
 
 _ARROW = {

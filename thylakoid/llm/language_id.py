@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import map_texts
+from thylakoid.llm.common import carried, map_texts
 
 ORDER = 5
 #: The models learn from about so many documents of a language, of at most so many bytes each; one in
@@ -208,7 +208,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         return {"lang": pa.array([k[0] for k in counts], pa.string()), "word": pa.array([k[1] for k in counts], pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
 
     def learn(part: DataFrame) -> CharModels | None:
-        words = map_texts(part.select("id", "text", "lang"), tally, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
+        words = map_texts(part.select("id", "text", "lang"), tally, {"lang": "string", "word": "string", "n": "long"}).groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
         if not len(words):
             return None
         number = {lang: i for i, lang in enumerate(langs)}
@@ -223,7 +223,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
         return {"lang": batch.column(2), "entropy": pa.array(list(entropy), pa.list_(pa.float64())), "size": pa.array(size, pa.float64())}
 
-    held = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, "lang string, entropy array<double>, size double").filter("size > 0").toPandas()
+    held = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, {"lang": "string", "entropy": "array<double>", "size": "double"}).filter("size > 0").toPandas()
     if len(held):
         entropy = np.array(held["entropy"].tolist())
         truth = np.array([langs.index(x) for x in held["lang"]])
@@ -237,33 +237,37 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return models
 
 
-def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """The language of every whole text.
 
     Returns one row per input row: the id column, ``lang_pred`` (that of the lowest cross-entropy per
     symbol; of equal ones the first by name; ``und`` if the text is null or has no letter, or nothing
     was learned), ``score`` (calibrated, 0 to 1; 0 with ``und``), ``entropy`` (nats a symbol, null with
     ``und``) and ``rejected`` (``und``, or a cross-entropy that no text of the calibration sample comes
-    near). Other columns aren't read; repeated rows and null ids stay.
+    near). With ``carry``, the whole input row comes along as the struct ``row``; else other columns
+    aren't read. Repeated rows and null ids stay.
     """
     spark = docs.sparkSession
-    kind = dict(docs.dtypes)[id_col]
+    rows = docs.select(F.col(id_col), F.col(text_col), *carried(docs, carry))
+    kinds = dict(rows.dtypes)
     key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(models)
 
     def run(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
         if shared.value is None:
-            return {id_col: batch.column(0), "lang_pred": [UNDETERMINED] * n, "score": np.zeros(n), "entropy": pa.nulls(n, pa.float64()), "rejected": [True] * n}
+            return {id_col: batch.column(0), "row": batch.column(2 if carry else 0), "lang_pred": [UNDETERMINED] * n, "score": np.zeros(n), "entropy": pa.nulls(n, pa.float64()), "rejected": [True] * n}
         entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
         best, known = entropy.argmin(axis=1), size > 0
         least = entropy[np.arange(n), best]
         score = shared.value.posterior(entropy)[np.arange(n), best]
         return {
             id_col: batch.column(0),
+            "row": batch.column(2 if carry else 0),
             "lang_pred": pa.array([shared.value.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
             "score": pa.array(np.where(known, score, 0.0)),
             "entropy": pa.array(least, mask=~known),
             "rejected": pa.array(~known | (least > shared.value.most_entropy)),
         }
 
-    return map_texts(docs.select(id_col, text_col), run, f"{id_col} {kind}, lang_pred string, score double, entropy double, rejected boolean")
+    out = {id_col: kinds[id_col], "lang_pred": "string", "score": "double", "entropy": "double", "rejected": "boolean"}
+    return map_texts(rows, run, out | ({"row": kinds["row"]} if carry else {}))

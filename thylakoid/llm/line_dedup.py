@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import ASCII_SPACE, ascii_lower, materialize, scratch_folder
+from thylakoid.llm.common import ASCII_SPACE, ascii_lower, carried, materialize, scratch_folder
 
 #: Lines with shorter keys (in code points) stay; keys in fewer documents stay.
 LEAST_CHARS, LEAST_DOCS = 40, 5
@@ -82,7 +82,7 @@ def _merged(runs: list[DataFrame]) -> DataFrame:
     return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"), F.max("fresh").alias("fresh"))
 
 
-def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """Drop lines that many documents share from all of them but the one with the largest id.
 
     A line's key is ``line_key``. A key of at least ``least_chars`` code points found in at least
@@ -91,7 +91,8 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_d
     Returns one row per document row: the id column, ``n_lines`` (before), ``n_dropped``, ``kept``
     (the lines that stay, joined by line feeds; empty when none stays). Null and empty texts are one
     empty line. Rows that repeat an id count as one document and are cut alike; rows with a null id are
-    in no count and keep all lines. Other columns aren't read.
+    in no count and keep all lines. With ``carry``, the whole input row comes along as the struct ``row``;
+    else other columns aren't read.
 
     Only hashes are shuffled to find repeated lines: 128 bits and the id for each distinct long line of
     a document. Counting is combined before the shuffle, and a line that a third of all documents hold
@@ -111,7 +112,7 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_d
     repeated = materialize(runs.counts().filter(F.col("n_docs") >= least_docs).select("h1", "h2", "last_doc"), folder)
     doomed = keys.join(repeated, ["h1", "h2"]).filter(F.col("doc") < F.col("last_doc"))
     doomed = doomed.groupBy("doc").agg(F.collect_set(F.concat_ws("/", "h1", "h2")).alias("gone"))
-    rows = docs.select(F.col(id_col).alias("doc"), text.alias("body")).join(doomed, "doc", "left")
+    rows = docs.select(F.col(id_col).alias("doc"), text.alias("body"), *carried(docs, carry)).join(doomed, "doc", "left")
     lines = lines_of(F.col("body"))
     stays = F.filter(lines, lambda x: (F.length(line_key(x)) < least_chars) | ~F.array_contains(F.col("gone"), _hash_text(line_key(x))))
     kept = F.when(F.col("gone").isNull(), lines).otherwise(stays)
@@ -120,4 +121,5 @@ def drop_repeated_lines(docs: DataFrame, least_chars: int = LEAST_CHARS, least_d
         F.size(lines).cast("long").alias("n_lines"),
         (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
         F.array_join(kept, "\n").alias("kept"),
+        *(["row"] if carry else []),
     )

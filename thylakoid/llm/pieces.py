@@ -327,5 +327,5 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
             "decoded": pa.array(decoded if keep_ids else [None] * len(ids), pa.string()),
         }
 
-    schema = f"{id_col} {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary, decoded string"
+    schema = {id_col: kind, "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "binary", "decoded": "string"}
     return map_texts(docs.select(id_col, text_col), run, schema)

@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", t
         found = np.array([fingerprint(t, size) for t in batch.column(1).to_pylist()], np.uint64)
         return {"doc": batch.column(0), "fp": pa.array(found.view(np.int64))}
 
-    return map_texts(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), run, f"doc {kind}, fp long")
+    return map_texts(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), run, {"doc": kind, "fp": "long"})
 
 
 def block_masks(n: int, most_bits: int = MOST_BITS) -> list[int]:

@@ -103,4 +103,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
             "over_limit": pa.array([n > limit for n in tokens], pa.bool_()),
         }
 
-    return map_texts(docs.select(id_col, text_col), run, f"{id_col} {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return map_texts(docs.select(id_col, text_col), run, {id_col: kind, "n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"})
