@@ -15,6 +15,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
