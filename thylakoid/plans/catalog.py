@@ -1,6 +1,482 @@
-"""Registered queries over the given tables, with their SQL."""
+"""Registered queries: each runs an operator over whole given tables, with the same result in SQL.
+
+Text tables stand in for genomic ones: a document's nucleotide letters are its sequence, a source's
+documents are one alignment, events are observations at positions, conversations are mates.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from thylakoid.functions import sequence as fx
+from thylakoid.operators import alignment, kmers, msa, pairing, pileup, selection
+from thylakoid.plans import pipelines
+from thylakoid.session import read_table
+from thylakoid.sources import files as sources
+
 QUERIES: dict = {}
 SQL: dict = {}
+
+#: A document's nucleotide letters, as SQL.
+_SEQ = "regexp_replace(upper(text), '[^ACGTN]', '', 'g')"
+_DOCS = f"docs AS (SELECT doc_id, source, {_SEQ} AS seq FROM documents)"
+_COMPLEMENT = "reverse(translate({}, 'ACGTacgtnN', 'TGCAtgcanN'))"
+
+
+def query(sql: str | None = None):
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "source", fx.pseudo_sequence(F.col("text")).alias("seq"))
+
+
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with the next one by id."""
+    docs = _sequences(spark, sf_dir)
+    return docs.select("doc_id", F.col("seq").alias("a")).join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("seq").alias("b")), "doc_id")
+
+
+# --- mates and reads -------------------------------------------------------------------------
+
+
+@query("""
+SELECT 'c' || conv_id AS sample, 'c' || conv_id || '_1.fastq.gz' AS r1_path, 'c' || conv_id || '_2.fastq.gz' AS r2_path
+FROM conversations GROUP BY conv_id HAVING bool_or(role = 'user') AND bool_or(role = 'assistant')
+""")
+def pair_files(spark, sf_dir):
+    mate = F.when(F.col("role") == "user", "1").when(F.col("role") == "assistant", "2")
+    rows = read_table(spark, sf_dir, "conversations").select(F.concat(F.lit("c"), "conv_id", F.lit("_"), mate, F.lit(".fastq.gz")).alias("path")).dropna()
+    return pairing.pair_files(rows)
+
+
+@query("SELECT conv_id, role, min(turn) AS turn FROM conversations GROUP BY conv_id, role")
+def pair_dedup(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "role", "turn")
+    return pairing.first_of_each_pair(rows.unionByName(rows), ["conv_id", "role"], "turn")
+
+
+@query("""
+WITH r AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS read_idx FROM conversations)
+SELECT a.conv_id, a.read_idx, length(a.text) AS len1, length(b.text) AS len2
+FROM r a JOIN r b ON a.conv_id = b.conv_id AND a.read_idx = b.read_idx WHERE a.role = 'user' AND b.role = 'assistant'
+""")
+def read_pairs(spark, sf_dir):
+    rows = pairing.numbered(read_table(spark, sf_dir, "conversations"), ["conv_id", "role"], ["turn"], "read_idx")
+    rows = rows.select("conv_id", F.col("read_idx").cast("long").alias("read_idx"), "role", F.length("text").cast("long").alias("len"))
+    one, two = (rows.filter(F.col("role") == r).drop("role") for r in ("user", "assistant"))
+    return pairing.pair_reads(one, two, ["conv_id", "read_idx"])
+
+
+@query("SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
+def exact_dedup(spark, sf_dir):
+    return pairing.collapse_reads(read_table(spark, sf_dir, "documents"), ["text"], "doc_id").select("doc_id", "copies")
+
+
+@query("SELECT doc_id, regexp_replace(regexp_replace(text, '^[^A-Za-z]+', ''), '[^A-Za-z]+$', '') AS seq FROM documents")
+def trim_ends(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").withColumnRenamed("text", "seq")
+    docs = docs.withColumn("qual", F.regexp_replace(F.regexp_replace("seq", "[A-Za-z]", "I"), "[^I]", "!"))
+    return pairing.trim_ends(docs, "seq", "qual").select("doc_id", "seq")
+
+
+@query(f"""
+WITH {_DOCS}, cut AS (SELECT doc_id, seq, CASE WHEN instr(seq, 'ATTACAT') > 0 THEN instr(seq, 'ATTACAT') - 1 WHEN ends_with(seq, 'ATTACA') THEN length(seq) - 6
+  WHEN ends_with(seq, 'ATTAC') THEN length(seq) - 5 WHEN ends_with(seq, 'ATTA') THEN length(seq) - 4 ELSE length(seq) END AS n FROM docs)
+SELECT doc_id, substr(seq, 1, n) AS seq FROM cut
+""")
+def clip_adapter(spark, sf_dir):
+    docs = _sequences(spark, sf_dir).withColumn("qual", F.col("seq"))
+    return pairing.clip_adapter(docs, "seq", "qual", "ATTACAT", 4).select("doc_id", "seq")
+
+
+@query("""
+WITH p AS (SELECT conv_id, max(text) FILTER (role = 'user') AS one, max(text) FILTER (role = 'system') AS two FROM conversations GROUP BY conv_id)
+SELECT conv_id, CASE WHEN coalesce(one, '') <> '' AND coalesce(two, '') <> '' THEN 'paired' WHEN coalesce(one, '') <> '' THEN 'unpaired_1' WHEN coalesce(two, '') <> '' THEN 'unpaired_2' ELSE 'dropped' END AS route FROM p
+""")
+def trim_pair_route(spark, sf_dir):
+    role = lambda r: F.max(F.when(F.col("role") == r, F.col("text")))
+    pairs = read_table(spark, sf_dir, "conversations").groupBy("conv_id").agg(role("user").alias("one"), role("system").alias("two"))
+    return pairing.route_pairs(pairs, "one", "two").select("conv_id", "route")
+
+
+# --- selection -------------------------------------------------------------------------------
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE abs(l_extendedprice / l_quantity - p_retailprice) <= 0.1 * abs(p_retailprice)
+""")
+def within_tolerance(spark, sf_dir):
+    lines = read_table(spark, sf_dir, "lineitem").join(read_table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    near = fx.within(F.col("l_extendedprice") / F.col("l_quantity"), F.col("p_retailprice"))
+    return lines.filter(near).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+_METRICS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query("""
+WITH m AS (SELECT l_partkey, avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d, avg(l_tax) AS t FROM lineitem GROUP BY l_partkey),
+ok AS (SELECT l.* FROM lineitem l JOIN m USING (l_partkey) WHERE (abs(l_quantity - q) <= 0.1 * abs(q))::INT + (abs(l_extendedprice - e) <= 0.1 * abs(e))::INT + (abs(l_discount - d) <= 0.1 * abs(d))::INT + (abs(l_tax - t) <= 0.1 * abs(t))::INT >= 3)
+SELECT l_partkey, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS n FROM ok) WHERE n = 1
+""")
+def k_of_n_select(spark, sf_dir):
+    lines = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", *_METRICS)
+    means = lines.groupBy("l_partkey").agg(*[F.avg(c).alias(f"mean_{c}") for c in _METRICS])
+    good = selection.passes(lines.join(means, "l_partkey"), None, [(c, f"mean_{c}") for c in _METRICS])
+    return selection.first_per_group(good.select("l_partkey", "l_orderkey", "l_linenumber"), ["l_partkey"], ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)")
+def failed_groups(spark, sf_dir):
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey")
+    large = read_table(spark, sf_dir, "orders").filter("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey"))
+    return selection.split_by_success(customers, large, "c_custkey")[1]
+
+
+@query("""
+SELECT o_custkey, o_orderdate, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1
+""")
+def latest_per_sample(spark, sf_dir):
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    return selection.latest_per_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+def _page_files(spark, sf_dir):
+    url = F.col("url")
+    return read_table(spark, sf_dir, "pages").select(F.regexp_extract(url, "://([^/]+)", 1).alias("folder"), F.regexp_extract(url, "://[^/]+/([^?#]*)", 1).alias("name"))
+
+
+@query("""
+WITH f AS (SELECT regexp_extract(url, '://([^/]+)', 1) AS folder, regexp_extract(url, '://[^/]+/([^?#]*)', 1) AS name FROM pages),
+i AS (SELECT DISTINCT folder, split_part(name, '.', 1) AS stem FROM f)
+SELECT folder, stem, coalesce(max(name) FILTER (name = stem || '.html'), min(name)) AS file FROM i JOIN f USING (folder) WHERE starts_with(name, stem) GROUP BY folder, stem
+""")
+def prefix_match_fallback(spark, sf_dir):
+    files = _page_files(spark, sf_dir)
+    inputs = files.select("folder", F.substring_index("name", ".", 1).alias("stem")).distinct()
+    return selection.match_files(inputs, files, "folder", "stem", "name", ".html")
+
+
+@query("""
+WITH m AS (SELECT 'p' || l_partkey AS folder, 'line' || l_orderkey AS input, l_orderkey * 10 + l_linenumber AS row_ord, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem),
+a AS (SELECT folder, avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d, avg(l_tax) AS t FROM m GROUP BY folder),
+ok AS (SELECT m.* FROM m JOIN a USING (folder) WHERE (abs(l_quantity - q) <= 0.1 * abs(q)) AND (abs(l_quantity - q) <= 0.1 * abs(q))::INT + (abs(l_extendedprice - e) <= 0.1 * abs(e))::INT + (abs(l_discount - d) <= 0.1 * abs(d))::INT + (abs(l_tax - t) <= 0.1 * abs(t))::INT >= 3),
+one AS (SELECT folder, min(row_ord) AS row_ord FROM ok GROUP BY folder)
+SELECT folder, input, row_ord, input || '.fasta' AS file FROM one JOIN m USING (folder, row_ord)
+""")
+def select_assemblies(spark, sf_dir):
+    lines = read_table(spark, sf_dir, "lineitem")
+    means = lines.groupBy("l_partkey").agg(*[F.avg(c).alias(f"mean_{c}") for c in _METRICS])
+    named = dict(zip(("LSC", "IRa", "SSC", "IRb"), _METRICS))
+    rows = lines.join(means, "l_partkey").select(
+        F.concat(F.lit("p"), "l_partkey").alias("folder"), F.concat(F.lit("line"), "l_orderkey").alias("Input"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_ord"),
+        F.col("l_quantity").alias("Length"), F.col("mean_l_quantity").alias("Ref_length"),
+        *[F.col(c).alias(n) for n, c in named.items()], *[F.col(f"mean_{c}").alias(f"r_{n}") for n, c in named.items()],
+    )
+    files = rows.select("folder", F.concat("Input", F.lit(".fasta")).alias("name"))
+    return selection.select_assemblies(rows, files)[0].select("folder", F.col("Input").alias("input"), "row_ord", "file")
+
+
+# --- names and records -----------------------------------------------------------------------
+
+
+@query(r"""
+WITH n AS (SELECT page_id, 'Option_' || page_id || '_' || regexp_extract(url, '://[^/]+/([^?#]*)', 1) || '.fastq.gz_' || page_id || '_pileup.tsv' AS name FROM pages)
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(name, 'Option_\d+_', '', 'g'), '_Novowrap.*', '', 'g'), '_pileup', '', 'g'), '\.fastq(?:\.gz)?_?', '_', 'g'), '(?i)\.(fasta|fa|fna|tsv|txt|fai)$', '') AS name FROM n
+""")
+def normalize_name(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "pages")
+    name = F.concat(F.lit("Option_"), "page_id", F.lit("_"), F.regexp_extract("url", "://[^/]+/([^?#]*)", 1), F.lit(".fastq.gz_"), "page_id", F.lit("_pileup.tsv"))
+    return rows.select("page_id", fx.normalized_name(name).alias("name"))
+
+
+@query(r"SELECT doc_id, '>' || source || e'\n' || regexp_replace(text, '\s', '', 'g') AS record FROM documents".replace(r"e'\n'", "chr(10)"))
+def fasta_oneline(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", fx.one_line_record(F.col("source"), F.col("text")).alias("record"))
+
+
+@query("SELECT doc_id, '>' || source || ', Hordeum vulgare, ' || length(text) AS header FROM documents")
+def header_rename(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", fx.record_header(F.col("source"), F.lit("Hordeum vulgare"), F.length("text")).alias("header"))
+
+
+@query("SELECT coalesce(max(try_cast(regexp_extract('Set_' || o_orderkey || '.FASTA', '(?i)^Set_(\\d+)\\.fasta$', 1) AS INT)), 0) + 1 AS version FROM orders")
+def next_version(spark, sf_dir):
+    names = read_table(spark, sf_dir, "orders").select(F.concat(F.lit("Set_"), "o_orderkey", F.lit(".FASTA")).alias("name"))
+    return sources.next_version(names, "Set")
+
+
+# --- sequences -------------------------------------------------------------------------------
+
+
+@query(f"""
+WITH {_DOCS} SELECT doc_id, length(seq) - length(replace(seq, 'A', '')) AS a, length(seq) - length(replace(seq, 'C', '')) AS c, length(seq) - length(replace(seq, 'G', '')) AS g,
+  length(seq) - length(replace(seq, 'T', '')) AS t, length(seq) - length(replace(seq, 'N', '')) AS n, length(text) - length(seq) AS other, length(text) AS len FROM docs JOIN documents USING (doc_id)
+""")
+def base_composition(spark, sf_dir):
+    seq = fx.pseudo_sequence(F.col("text"))
+    counts = fx.composition(seq)
+    counts["other"] = (F.length("text") - F.length(seq)).cast("long")
+    counts["len"] = F.length("text").cast("long")
+    return read_table(spark, sf_dir, "documents").select("doc_id", *[c.alias(n) for n, c in counts.items()])
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, {_COMPLEMENT.format('seq')} AS seq FROM docs")
+def revcomp(spark, sf_dir):
+    return _sequences(spark, sf_dir).select("doc_id", fx.revcomp(F.col("seq")).alias("seq"))
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, substr(seq, length(seq) // 3 + 1) || substr(seq, 1, length(seq) // 3) AS seq FROM docs")
+def rotate(spark, sf_dir):
+    return _sequences(spark, sf_dir).select("doc_id", fx.rotate(F.col("seq"), F.expr("int(length(seq) div 3)")).alias("seq"))
+
+
+@query(f"""
+WITH {_DOCS}, c AS (SELECT *, length(seq) // 4 + 1 AS a, length(seq) // 2 AS b FROM docs)
+SELECT doc_id, substr(seq, 1, a - 1) || {_COMPLEMENT.format("substr(seq, a, b - a + 1)")} || substr(seq, b + 1) AS seq FROM c WHERE length(seq) >= 4
+""")
+def flip_segment(spark, sf_dir):
+    first, last = F.expr("int(length(seq) div 4) + 1"), F.expr("int(length(seq) div 2)")
+    return _sequences(spark, sf_dir).filter("length(seq) >= 4").select("doc_id", fx.flip_segment(F.col("seq"), first, last).alias("seq"))
+
+
+@query(f"""
+WITH {_DOCS}, p AS (SELECT a.doc_id, a.seq AS a, b.seq AS b FROM docs a JOIN docs b ON b.doc_id = a.doc_id + 1)
+SELECT doc_id, CAST(coalesce(list_sum(list_transform(range(1, least(length(a), length(b)) + 1), lambda i: CASE WHEN a[i] = b[i] OR a[i] = 'N' OR b[i] = 'N' THEN 0 ELSE 1 END)), 0) AS INT) AS mismatches FROM p
+""")
+def hamming_anchor(spark, sf_dir):
+    return _neighbours(spark, sf_dir).select("doc_id", fx.hamming(F.col("a"), F.col("b")).alias("mismatches"))
+
+
+@query(f"""
+WITH {_DOCS}, p AS (SELECT doc_id, seq, substr(seq, greatest(length(seq) - 11, 1)) AS pat FROM docs)
+SELECT doc_id, CAST(coalesce(list_filter(range(0, length(seq) - length(pat) + 1), lambda i: coalesce(list_sum(list_transform(range(1, length(pat) + 1), lambda j: CASE WHEN seq[i + j] = pat[j] OR seq[i + j] = 'N' OR pat[j] = 'N' THEN 0 ELSE 1 END)), 0) <= 2)[1], -1) AS INT) AS place FROM p
+""")
+def approx_find(spark, sf_dir):
+    docs = _sequences(spark, sf_dir).withColumn("pat", F.substr("seq", F.greatest(F.length("seq") - 11, F.lit(1))))
+    return docs.select("doc_id", alignment.first_approximate("seq", "pat", F.lit(2)).alias("place"))
+
+
+# --- pileups ---------------------------------------------------------------------------------
+
+#: The bucket that each type of event stands for.
+EVENT_BUCKETS = {"view": ".", "click": ",", "error": "A", "purchase": "C", "signup": "G"}
+_PILEUP = """
+o AS (SELECT user_id AS pos, CASE event_type WHEN 'view' THEN '.' WHEN 'click' THEN ',' WHEN 'error' THEN 'A' WHEN 'purchase' THEN 'C' WHEN 'signup' THEN 'G' END AS b FROM events WHERE value >= 13),
+n AS (SELECT pos, CASE pos % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' WHEN 3 THEN 'T' ELSE 'R' END AS ref, count(*) FILTER (b = '.') AS ref_fwd, count(*) FILTER (b = ',') AS ref_rev, count(*) FILTER (b = 'A') AS a, count(*) FILTER (b = 'C') AS c, count(*) FILTER (b = 'G') AS g, count(*) FILTER (b = 'T') AS t FROM o GROUP BY pos)
+"""
+
+
+def _pileup(spark, sf_dir):
+    bucket = F.create_map(*[F.lit(x) for kv in EVENT_BUCKETS.items() for x in kv])
+    rows = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("pos"), bucket[F.col("event_type")].alias("bucket"), "value")
+    counts = pileup.count_observations(rows, ["pos"], "bucket", "value")
+    ref = F.element_at(F.array(*map(F.lit, "ACGTR")), (F.col("pos") % 5 + 1).cast("int"))
+    return counts.withColumn("ref", ref).select("pos", "ref", "ref_fwd", "ref_rev", "a", "c", "g", "t")
+
+
+@query(f"WITH {_PILEUP} SELECT * FROM n")
+def pileup_counts(spark, sf_dir):
+    return _pileup(spark, sf_dir)
+
+
+@query(f"WITH {_PILEUP} SELECT * FROM n WHERE a + c + g + t > 0 AND (ref NOT IN ('A', 'C', 'G', 'T') OR (greatest(a, c, g, t) >= 3 AND greatest(a, c, g, t) / (a + c + g + t) >= 0.4))")
+def variant_filter(spark, sf_dir):
+    return pileup.variants(_pileup(spark, sf_dir), "ref", 3, 0.4)
+
+
+@query(f"""
+WITH {_PILEUP} SELECT pos, CASE WHEN a >= greatest(c, g, t) THEN 'A' WHEN c >= greatest(g, t) THEN 'C' WHEN g >= t THEN 'G' ELSE 'T' END AS base
+FROM n WHERE ref_fwd + ref_rev + a + c + g + t > 0 AND (ref_fwd + ref_rev = 0 OR (ref_fwd + ref_rev) / (ref_fwd + ref_rev + a + c + g + t) < 0.4) AND greatest(a, c, g, t) > 0
+""")
+def majority_base(spark, sf_dir):
+    return pileup.mutations(_pileup(spark, sf_dir), 0.4).select("pos", "base")
+
+
+@query()
+def pileup_parse(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "pages").select("page_id", pileup.parse_pileup(F.col("url")).alias("n"))
+    return rows.select("page_id", "n.*")
+
+
+@query(f"""
+WITH {_DOCS} SELECT doc_id, array_to_string(list_transform(range(1, length(seq) + 1), lambda i: CASE WHEN i % 14 = 0 THEN 'T' WHEN i % 7 = 0 THEN 'G' ELSE seq[i] END), '') AS seq FROM docs
+""")
+def apply_mutations(spark, sf_dir):
+    docs = _sequences(spark, sf_dir).drop("source")
+    places = F.explode(F.filter(F.sequence(F.lit(0), F.length("seq") + 7, F.lit(7)), lambda i: i > 0))
+    changes = docs.select("doc_id", places.alias("pos")).withColumn("base", F.when(F.col("pos") % 14 == 0, "T").otherwise("G"))
+    return pileup.apply_mutations(docs, changes, "doc_id")
+
+
+# --- alignments ------------------------------------------------------------------------------
+
+_CELLS = f"{_DOCS}, cells AS (SELECT doc_id, source, unnest(range(length(seq))) AS col, unnest(string_split(seq, '')) AS ch FROM docs WHERE length(seq) > 0)"
+_CONSENSUS = f"""{_CELLS}, counts AS (SELECT source, col, count(*) FILTER (ch = 'A') AS a, count(*) FILTER (ch = 'C') AS c, count(*) FILTER (ch = 'G') AS g, count(*) FILTER (ch = 'T') AS t FROM cells GROUP BY source, col),
+cons AS (SELECT *, CASE WHEN greatest(a, c, g, t) = 0 THEN 'N' WHEN a >= greatest(c, g, t) THEN 'A' WHEN c >= greatest(g, t) THEN 'C' WHEN g >= t THEN 'G' ELSE 'T' END AS base FROM counts)"""
+_FLAGS = f"""{_CONSENSUS}, flags AS (SELECT doc_id, col, (base <> 'N' AND ch <> 'N')::INT AS comp, (base <> 'N' AND ch <> 'N' AND base <> ch)::INT AS mis FROM cells JOIN cons USING (source, col))"""
+_WINDOWS = f"""{_FLAGS}, w AS (SELECT doc_id, col, sum(comp) OVER f AS comp, sum(mis) OVER f AS mis, count(*) OVER f AS n, sum(mis) OVER r / sum(comp) OVER r AS overall FROM flags
+  WINDOW f AS (PARTITION BY doc_id ORDER BY col ROWS BETWEEN CURRENT ROW AND 399 FOLLOWING), r AS (PARTITION BY doc_id)),
+bad AS (SELECT doc_id, col AS s, col + 399 AS e FROM w WHERE n = 400 AND col % 100 = 0 AND comp >= 200 AND mis / comp >= greatest(0.35, least(0.6, overall + 0.02)))"""
+
+
+def _cells(spark, sf_dir):
+    return msa.columns_of(_sequences(spark, sf_dir), ["doc_id", "source"], "seq")
+
+
+def _flags(spark, sf_dir):
+    cells = _cells(spark, sf_dir)
+    return msa.compared(cells, msa.consensus(cells, ["source"]), ["doc_id"], ["source"])
+
+
+@query(f"WITH {_CONSENSUS} SELECT source, CAST(col AS INT) AS col, a, c, g, t, base FROM cons")
+def consensus(spark, sf_dir):
+    return msa.consensus(_cells(spark, sf_dir), ["source"])
+
+
+@query(f"""
+WITH {_CONSENSUS} SELECT doc_id, count(*) FILTER (base <> 'N' AND ch <> 'N') AS compared, count(*) FILTER (base <> 'N' AND ch <> 'N' AND base = ch) AS equal,
+  CASE WHEN count(*) FILTER (base <> 'N' AND ch <> 'N') > 0 AND count(*) FILTER (base <> 'N' AND ch <> 'N' AND base = ch) / count(*) FILTER (base <> 'N' AND ch <> 'N') >= 0.4 THEN 'accepted' ELSE 'rejected' END AS status
+FROM cells JOIN cons USING (source, col) GROUP BY doc_id
+""")
+def identity_gate(spark, sf_dir):
+    cells = _cells(spark, sf_dir)
+    scores = msa.identity(cells, msa.consensus(cells, ["source"]), ["doc_id"], ["source"])
+    return msa.route_by_identity(scores, 0.4).drop("identity")
+
+
+@query("""
+WITH c AS (SELECT doc_id, unnest(range(length(text))) AS col, upper(unnest(string_split(translate(text, ' ', '-'), ''))) AS ch FROM documents WHERE length(text) > 0),
+p AS (SELECT doc_id, col, ch IN ('A', 'C', 'G', 'T', 'N') AS nt, sum((ch IN ('A', 'C', 'G', 'T', 'N'))::INT) OVER (PARTITION BY doc_id ORDER BY col) AS k FROM c)
+SELECT doc_id, CAST(max(k) AS INT) AS letters, CAST(sum(CASE WHEN nt THEN k * col ELSE 0 END) AS BIGINT) AS weight, min(col) FILTER (nt) AS first_col FROM p GROUP BY doc_id
+""")
+def col_to_pos(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(F.translate("text", " ", "-"))).alias("seq"))
+    cells = rows.filter(F.length("seq") > 0).select("doc_id", F.posexplode(F.split("seq", "")).alias("col", "ch")).filter("ch <> ''").withColumn("ch", F.upper("ch"))
+    placed = msa.positions(cells, ["doc_id"])
+    real = F.col("pos") > 0
+    return placed.groupBy("doc_id").agg(
+        F.greatest(F.max("pos"), F.lit(0)).alias("letters"), F.sum(F.when(real, F.col("pos").cast("long") * F.col("col")).otherwise(0)).alias("weight"), F.min(F.when(real, F.col("col").cast("long"))).alias("first_col")
+    )
+
+
+@query(f"WITH {_WINDOWS} SELECT doc_id, s, e FROM bad")
+def mismatch_windows(spark, sf_dir):
+    return msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+
+
+@query(f"""
+WITH {_WINDOWS}, m AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100 OR row_number() OVER (PARTITION BY doc_id ORDER BY s, e) = 1 THEN 1 ELSE 0 END AS new FROM bad),
+i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM m)
+SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k
+""")
+def merge_windows(spark, sf_dir):
+    bad = msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02)
+    return msa.merge_intervals(bad, ["doc_id"], 100).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+
+
+@query("""
+WITH s AS (SELECT user_id, event_id AS o, CASE WHEN event_type IN ('error', 'purchase') THEN 1 WHEN event_type = 'view' THEN 0 ELSE -1 END AS v FROM events),
+p AS (SELECT user_id, o, row_number() OVER w AS i, sum(v) OVER w AS p FROM s WINDOW w AS (PARTITION BY user_id ORDER BY o)),
+z AS (SELECT user_id, o, i, p FROM p UNION ALL SELECT DISTINCT user_id, NULL, 0, 0 FROM p),
+g AS (SELECT b.user_id, b.o AS e, b.i, a.i AS j, b.p - a.p AS gain, row_number() OVER (PARTITION BY b.user_id ORDER BY b.p - a.p DESC, b.i, a.i DESC) AS n FROM z b JOIN z a ON a.user_id = b.user_id AND a.i < b.i)
+SELECT g.user_id, p.o AS s, g.e, CAST(g.gain AS BIGINT) AS total FROM g JOIN p ON p.user_id = g.user_id AND p.i = g.j + 1 WHERE n = 1 AND gain > 0
+""")
+def max_excess_block(spark, sf_dir):
+    score = F.when(F.col("event_type").isin("error", "purchase"), 1).when(F.col("event_type") == "view", 0).otherwise(-1)
+    return msa.max_excess_block(read_table(spark, sf_dir, "events").select("user_id", "event_id", score.alias("score")), ["user_id"], "event_id")
+
+
+@query()
+def inversion_block(spark, sf_dir):
+    return msa.inversion_block(_flags(spark, sf_dir), ["doc_id"], 400, 300, 300)
+
+
+# --- k-mers and anchors ----------------------------------------------------------------------
+
+_KMERS = f"{_DOCS}, k AS (SELECT DISTINCT doc_id, substr(seq, i, 9) AS kmer FROM docs, unnest(range(1, length(seq) - 7)) AS u(i) WHERE length(seq) >= 9), kk AS (SELECT * FROM k WHERE kmer NOT LIKE '%N%')"
+_SEEDS = f"""{_DOCS}, ki AS (SELECT doc_id, i - 1 AS i, substr(seq, i, 9) AS kmer FROM docs, unnest(range(1, length(seq) - 7)) AS u(i) WHERE length(seq) >= 9),
+seeds AS (SELECT a.doc_id, a.i, b.i AS j FROM ki a JOIN ki b ON b.doc_id = a.doc_id + 1 AND a.kmer = b.kmer WHERE a.kmer NOT LIKE '%N%')"""
+
+
+@query(f"""
+WITH {_KMERS}, p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM docs a JOIN docs b ON b.doc_id = a.doc_id + 1), n AS (SELECT doc_id, count(*) AS n FROM kk GROUP BY doc_id),
+s AS (SELECT x.doc_id AS a, count(*) AS shared FROM kk x JOIN kk y ON y.doc_id = x.doc_id + 1 AND x.kmer = y.kmer GROUP BY x.doc_id)
+SELECT p.a, p.b, coalesce(shared, 0) AS shared, coalesce(na.n, 0) + coalesce(nb.n, 0) - coalesce(shared, 0) AS total FROM p LEFT JOIN s USING (a) LEFT JOIN n na ON na.doc_id = p.a LEFT JOIN n nb ON nb.doc_id = p.b
+""")
+def kmer_jaccard(spark, sf_dir):
+    docs = _sequences(spark, sf_dir)
+    pairs = docs.select(F.col("doc_id").alias("a")).join(docs.select(F.col("doc_id").alias("b")), F.col("b") == F.col("a") + 1)
+    return kmers.kmer_jaccard(docs, pairs, "doc_id", "seq", 9).drop("jaccard")
+
+
+@query(f"""
+WITH {_SEEDS}, d AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, i - j ORDER BY i) AS k FROM seeds),
+m AS (SELECT doc_id, min(i) AS a0, min(j) AS b0, count(*) + 8 AS size FROM d GROUP BY doc_id, i - j, k)
+SELECT doc_id, a0, b0, size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, b0 + size DESC, a0) AS n FROM m) WHERE n = 1
+""")
+def mem_anchors(spark, sf_dir):
+    found = kmers.exact_matches(_neighbours(spark, sf_dir), ["doc_id"], "a", "b", 9)
+    best = kmers.best_border_match(found, ["doc_id"], "left")
+    return best.select("doc_id", F.col("a0").cast("long").alias("a0"), F.col("b0").cast("long").alias("b0"), "size")
+
+
+@query(f"WITH {_SEEDS}, p AS (SELECT a.doc_id FROM docs a JOIN docs b ON b.doc_id = a.doc_id + 1) SELECT p.doc_id, max(j) AS \"left\", min(j) AS \"right\" FROM p LEFT JOIN seeds USING (doc_id) GROUP BY p.doc_id")
+def nearest_anchor(spark, sf_dir):
+    found = kmers.nearest_anchors(_neighbours(spark, sf_dir), ["doc_id"], "a", "b", 9)
+    return found.select("doc_id", F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"))
+
+
+@query("""
+WITH c AS (SELECT l_orderkey, l_linenumber, l_quantity AS score, l_returnflag = 'R' AS flipped FROM lineitem)
+SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, flipped DESC, l_linenumber) = 1 AS chosen FROM c
+""")
+def choose_variant(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_quantity", (F.col("l_returnflag") == "R").alias("f"), (-F.col("l_linenumber")).alias("n")).alias("score"), (F.col("l_returnflag") == "R").alias("flipped"))
+    return msa.choose_orientation(rows, ["l_orderkey"], "score", "flipped").select("l_orderkey", "l_linenumber", "chosen")
+
+
+@query()
+def smith_waterman(spark, sf_dir):
+    found = read_table(spark, sf_dir, "part").select("p_partkey", alignment.smith_waterman("p_name", "p_type").alias("x"))
+    return found.select("p_partkey", "x.*")
+
+
+@query()
+def circular_rotation(spark, sf_dir):
+    return alignment.rotate_to_anchor(_neighbours(spark, sf_dir), ["doc_id"], "a", "b", anchor=16, most=3, k=9)
+
+
+def _reads(spark, sf_dir):
+    """Benchmark items as reads; some documents hold passages of them."""
+    rows = read_table(spark, sf_dir, "benchmark").select("item_id", fx.pseudo_sequence(F.col("text")).alias("seq"))
+    return rows.withColumn("qual", F.repeat(F.lit("I"), F.length("seq")))
+
+
+def _contigs(spark, sf_dir):
+    return _sequences(spark, sf_dir).select(F.col("doc_id").cast("string").alias("chrom"), "seq")
+
+
+@query()
+def read_mapping(spark, sf_dir):
+    return kmers.map_reads(_reads(spark, sf_dir).drop("qual"), _contigs(spark, sf_dir), ["item_id"])
+
+
+@query()
+def variant_table(spark, sf_dir):
+    return pipelines.variant_table(_reads(spark, sf_dir), _contigs(spark, sf_dir), ["item_id"])
+
+
+@query()
+def correct_sequences(spark, sf_dir):
+    contigs = _contigs(spark, sf_dir)
+    return pipelines.correct_sequences(contigs, pipelines.variant_table(_reads(spark, sf_dir), contigs, ["item_id"]))
