@@ -122,9 +122,11 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
     flip = found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last")))
     kinds = [("cons", "cons"), ("before", "new"), ("after", "turned")]
     sets = flip.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).alias("seq")) for n, c in kinds])).alias("x")).select(F.concat_ws("|", F.col(key).cast("string"), "x.n").alias("id"), "x.seq")
-    ask = flip.select(F.col(key).cast("string").alias("k")).select(F.explode(F.array(*[F.struct(F.concat_ws("|", "k", F.lit("cons")).alias("a"), F.concat_ws("|", "k", F.lit(n)).alias("b"), F.col("k"), F.lit(n).alias("n")) for n in ("before", "after")])).alias("x")).select("x.*")
-    score = kmer_jaccard(sets, ask.select("a", "b"), "id", "seq", s.k).join(ask, ["a", "b"]).groupBy("k").agg(F.max(F.when(F.col("n") == "before", F.col("jaccard"))).alias("before"), F.max(F.when(F.col("n") == "after", F.col("jaccard"))).alias("after"))
-    judged = flip.join(score, F.col(key).cast("string") == F.col("k")).select(key, "turned", "first", "last", "by", "before", "after")
+    cons_id, ids = F.concat_ws("|", "_key", F.lit("cons")), {n: F.concat_ws("|", "_key", F.lit(n)) for n in ("before", "after")}
+    ask = flip.select(F.col(key).cast("string").alias("_key")).select(F.explode(F.array(*[F.struct(cons_id.alias("a"), i.alias("b"), F.col("_key"), F.lit(n).alias("n")) for n, i in ids.items()])).alias("x")).select("x.*")
+    scores = kmer_jaccard(sets, ask.select("a", "b"), "id", "seq", s.k).join(ask, ["a", "b"])
+    score = scores.groupBy("_key").agg(*[F.max(F.when(F.col("n") == n, F.col("jaccard"))).alias(n) for n in ids])
+    judged = flip.join(score, F.col(key).cast("string") == F.col("_key")).select(key, "turned", "first", "last", "by", "before", "after")
     better = F.col("after") >= F.col("before")
     return bare.join(judged, key, "left").select(key, F.when(better, F.col("turned")).otherwise(F.col("new")).alias("seq"), "first", "last", "by", F.coalesce(better, F.lit(False)).alias("flipped"), "before", "after")
 
