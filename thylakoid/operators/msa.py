@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import BASES, majority_base
+from thylakoid.session import cut_lineage
 
 
 def columns_of(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
@@ -112,7 +113,7 @@ def excess_score(comp: Column, mis: Column) -> Column:
 def inversion_block(flags: DataFrame, row: list[str], window: int = 400, least: int = 2000, least_excess: int = 8000) -> DataFrame:
     """A row's stretch that looks inverted: the largest block of mismatch windows, else the stretch with
     the largest excess of mismatches if that is long enough."""
-    step = max(100, window // 4)
+    flags, step = cut_lineage(flags), max(100, window // 4)
     blocks = largest_block(merge_intervals(mismatch_windows(flags, row, window), row, step), flags, row, least)
     excess = max_excess_block(flags.select(*row, "col", excess_score(F.col("comp"), F.col("mis")).alias("score")), row)
     spans = excess.join(blocks, row, "left_anti").select(*row, "s", "e")

@@ -12,6 +12,7 @@ from thylakoid.operators import msa
 from thylakoid.operators.alignment import align_pair, rotate_to_anchor, smith_waterman
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, kmer_jaccard, map_reads, nearest_anchors
 from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
+from thylakoid.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -69,9 +70,9 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
         sides = [F.struct(F.lit(name).alias("side"), cut(cons, *at["c"]).alias("c"), cut(new, *at["q"]).alias("q"), (F.greatest(at["q"][0], F.lit(1)) - 1).alias("base")) for name, at in (("left", left), ("right", right))]
         return rows.select(key, F.explode(F.array(*sides)).alias("x")).select(key, "x.*").filter((F.length("c") > 0) & (F.length("q") > 0))
 
-    near = flanks(s.seed_flank)
+    near = cut_lineage(flanks(s.seed_flank))
     inside = F.when(F.col("side") == "left", F.col("b0") + F.col("size") > F.length("q") - s.seed_span).otherwise(F.col("b0") <= s.seed_span)
-    matches = exact_matches(near, [key, "side"], "c", "q", min(s.seed_sizes)).join(near.select(key, "side", "q", "base"), [key, "side"]).filter(inside)
+    matches = cut_lineage(exact_matches(near, [key, "side"], "c", "q", min(s.seed_sizes)).join(near.select(key, "side", "q", "base"), [key, "side"]).filter(inside))
     # the largest seed size that a match of the flank holds, then the longest of those, which is the longest of all
     ends = None
     for side in ("left", "right"):
@@ -82,7 +83,7 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
     plain = flanks(s.anchor_flank)
     simple = nearest_anchors(plain, [key, "side"], "c", "q", s.anchor_k).join(plain.select(key, "side", "base"), [key, "side"])
     simple = simple.groupBy(key).agg(F.max(F.when(F.col("side") == "left", F.col("base") + F.col("left") + s.anchor_k + 1)).alias("a_left"), F.max(F.when(F.col("side") == "right", F.col("base") + F.col("right"))).alias("a_right"))
-    out = rows.join(ends, key, "left").join(simple, key, "left")
+    out = cut_lineage(rows.join(ends, key, "left").join(simple, key, "left"))
 
     def valid(a, b, least):
         return (a >= 1) & (a < b) & (b <= F.length(new)) & (b - a + 1 >= least)
@@ -109,17 +110,17 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
     ``aligned`` has ``key, cons, new`` of equal length with gaps. Returns one row each: ``seq`` without
     gaps, the block's ends, ``flipped`` and both similarities. Rows without a block are unchanged.
     """
-    rows = aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new"))
+    rows = cut_lineage(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")))
     agreed = msa.columns_of(rows, [key], "cons").withColumnRenamed("ch", "base")
     cells = msa.columns_of(rows, [key], "new")
     flags = msa.compared(cells, agreed, [key], [key])
-    blocks = msa.inversion_block(flags, [key], s.window, s.least_block, s.least_excess)
+    blocks = cut_lineage(msa.inversion_block(flags, [key], s.window, s.least_block, s.least_excess))
     query = msa.span_in_query(msa.positions(cells, [key]), blocks, [key])
     target = msa.span_in_query(msa.positions(agreed.withColumnRenamed("base", "ch"), [key]), blocks, [key]).select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
     bare = rows.select(key, ungap(F.col("cons")).alias("cons"), ungap(F.col("new")).alias("new"))
-    found = bare.join(query, key).join(target, key)
+    found = cut_lineage(bare.join(query, key).join(target, key))
     cuts = refine_cuts(found, key, "cons", "new", s)
-    flip = found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last")))
+    flip = cut_lineage(found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last"))))
     kinds = [("cons", "cons"), ("before", "new"), ("after", "turned")]
     sets = flip.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).alias("seq")) for n, c in kinds])).alias("x")).select(F.concat_ws("|", F.col(key).cast("string"), "x.n").alias("id"), "x.seq")
     cons_id, ids = F.concat_ws("|", "_key", F.lit("cons")), {n: F.concat_ws("|", "_key", F.lit(n)) for n in ("before", "after")}
@@ -143,21 +144,21 @@ def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, s
     stored = spark.read.parquet(versions) if _exists(spark, versions) else None
     current = stored.agg(F.max("version")).first()[0] if stored else 0
     rows = stored.filter(F.col("version") == current) if stored else reference.select(F.lit(0).alias("version"), F.lit(0).alias("row_ord"), "header", F.upper("seq").alias("seq_aln"))
-    cells = msa.columns_of(rows, ["version", "row_ord"])
-    agreed = msa.consensus(cells.withColumn("k", F.lit(1)), ["k"])
+    cells = cut_lineage(msa.columns_of(rows, ["version", "row_ord"]))
+    agreed = cut_lineage(msa.consensus(cells.withColumn("k", F.lit(1)), ["k"]))
     cons = msa.reassemble(agreed.withColumnRenamed("base", "ch"), ["k"]).select("k", F.col("seq").alias("cons"))
     first = rows.filter("row_ord = 0").select(F.lit(1).alias("k"), ungap(F.col("seq_aln")).alias("ref"))
     both = sample.select(F.lit(1).alias("k"), "header", "seq").join(first, "k")
-    turned = rotate_to_anchor(both, ["k"], "ref", "seq", s.anchor, s.most_mismatches, s.k).select("k", "seq")
+    turned = cut_lineage(rotate_to_anchor(both, ["k"], "ref", "seq", s.anchor, s.most_mismatches, s.k).select("k", "seq"))
 
     def aligned(seqs: DataFrame) -> DataFrame:
         pair = seqs.join(cons, "k").select("k", align_pair("cons", "seq").alias("p"))
-        return pair.select("k", F.col("p.a").alias("cons"), F.col("p.b").alias("new"))
+        return cut_lineage(pair.select("k", F.col("p.a").alias("cons"), F.col("p.b").alias("new")))
 
     fixed = repair_inversions(aligned(turned), "k", s).select("k", "seq")
     final = aligned(fixed)
     place = msa.columns_of(final, ["k"], "cons").filter("ch <> '-'").withColumn("n", F.expr("row_number() over (partition by k order by col) - 1"))
-    kept = msa.columns_of(final, ["k"], "new").join(place.select("k", "col", "n"), ["k", "col"]).select("k", F.col("n").alias("col"), "ch")
+    kept = cut_lineage(msa.columns_of(final, ["k"], "new").join(place.select("k", "col", "n"), ["k", "col"]).select("k", F.col("n").alias("col"), "ch"))
     scores = msa.route_by_identity(msa.identity(kept, agreed, ["k"], ["k"]), s.least_identity)
     decision = sample.select(F.lit(1).alias("k"), "header").join(scores, "k", "left").drop("k").first()
     if decision and decision["status"] == "accepted":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,6 +24,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
     return builder.getOrCreate()
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame, computed once and kept in the cluster's checkpoint folder (a temporary one if none is
+    set, in local mode only): for results that several later steps read."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-thylakoid-"))
+    return df.checkpoint()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
