@@ -56,7 +56,7 @@ def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Paths, names, folders and times of files, at any depth; contents aren't read."""
+    """Paths, names, folders and times of files that hold something, at any depth; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     return files.select("path", F.regexp_extract("path", r"([^/]*)$", 1).alias("name"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"), "modificationTime", "length")
 
