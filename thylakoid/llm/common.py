@@ -72,9 +72,10 @@ def carried(df: DataFrame, carry: bool) -> list:
     return [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if carry else []
 
 
-def map_texts(df: DataFrame, fn: Callable, schema: dict[str, str], text: int = 1, limit: int = CHUNK_BYTES) -> DataFrame:
+def map_texts(df: DataFrame, fn: Callable, schema: dict[str, str], text: int = 1, limit: int = CHUNK_BYTES, after: Callable | None = None) -> DataFrame:
     """``mapInArrow`` over byte-bounded chunks; ``fn`` takes a record batch and returns columns by name,
-    of which those in ``schema`` (names and types) stay."""
+    of which those in ``schema`` (names and types) stay. ``after`` is called at a partition's end: idle
+    workers of a long application should hold no caches."""
     names = [*schema]
 
     def run(batches):
@@ -82,6 +83,8 @@ def map_texts(df: DataFrame, fn: Callable, schema: dict[str, str], text: int = 1
             for chunk in chunks(batch, text, limit):
                 out = fn(chunk)
                 yield pa.RecordBatch.from_arrays([_array(out[n]) for n in names], names=names)
+        if after:
+            after()
 
     return df.mapInArrow(run, ", ".join(f"`{n}` {kind}" for n, kind in schema.items()))
 

@@ -18,7 +18,7 @@ ORDER = 5
 #: CALIBRATE of these is kept for calibration. Languages are bounded too: each adds a column to the tables.
 SAMPLE_DOCS, SAMPLE_BYTES, CALIBRATE, MOST_LANGS = 1500, 200_000, 5, 500
 #: Words whose scores a worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 UNDETERMINED = "und"
 
 _RUN = re.compile(r"[^\W\d_]+")
@@ -178,6 +178,10 @@ def _scorer(key: str, models) -> _Scorer:
     return _scorers[key]
 
 
+def _forget() -> None:
+    _scorers.clear()
+
+
 def held_out(doc_id: Column) -> Column:
     """crc32 of the id as text leaves 1 when divided by 3; never learned from. False for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -223,7 +227,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
         return {"lang": batch.column(2), "entropy": pa.array(list(entropy), pa.list_(pa.float64())), "size": pa.array(size, pa.float64())}
 
-    held = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, {"lang": "string", "entropy": "array<double>", "size": "double"}).filter("size > 0").toPandas()
+    held = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, {"lang": "string", "entropy": "array<double>", "size": "double"}, after=_forget).filter("size > 0").toPandas()
     if len(held):
         entropy = np.array(held["entropy"].tolist())
         truth = np.array([langs.index(x) for x in held["lang"]])
@@ -270,4 +274,4 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
         }
 
     out = {id_col: kinds[id_col], "lang_pred": "string", "score": "double", "entropy": "double", "rejected": "boolean"}
-    return map_texts(rows, run, out | ({"row": kinds["row"]} if carry else {}))
+    return map_texts(rows, run, out | ({"row": kinds["row"]} if carry else {}), after=_forget)

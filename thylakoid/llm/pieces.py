@@ -23,7 +23,7 @@ NO_RANK = np.iinfo(np.int32).max
 #: Words of more symbols are merged through a queue, in the same order: rounds would be as many as symbols.
 LONG_WORD = 512
 #: Distinct words whose ids a worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 #: Words whose symbols are merged together: their arrays stay in the processor's cache.
 GROUP_WORDS = 30_000
 _spaced = re.compile(f"\n[^{SPACE}\n]*|{SPACE}+[^{SPACE}\n]*")
@@ -328,4 +328,4 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
         }
 
     schema = {id_col: kind, "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string", "ids": "binary", "decoded": "string"}
-    return map_texts(docs.select(id_col, text_col), run, schema)
+    return map_texts(docs.select(id_col, text_col), run, schema, after=lambda: model(model_path).cache.clear())

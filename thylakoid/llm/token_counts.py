@@ -12,7 +12,7 @@ from thylakoid.llm.common import map_texts
 from thylakoid.llm.pieces import SPACE, remember, split_words
 
 #: Distinct words whose lengths a worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 #: Bytes of text that go to the library in one call.
 BATCH_BYTES = 1 << 20
 
@@ -65,6 +65,7 @@ class JsonCounter:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.cache: dict = {}
         self.library.no_truncation()
         self.library.no_padding()
 
@@ -103,4 +104,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
             "over_limit": pa.array([n > limit for n in tokens], pa.bool_()),
         }
 
-    return map_texts(docs.select(id_col, text_col), run, {id_col: kind, "n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"})
+    return map_texts(docs.select(id_col, text_col), run, {id_col: kind, "n_bytes": "long", "n_tokens": "long", "over_limit": "boolean"}, after=lambda: counter(model_path).cache.clear())
