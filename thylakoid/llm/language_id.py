@@ -46,8 +46,8 @@ class _Grams:
         inner[start] = inner[start + size - 1] = False
         code[inner] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         code[start], code[start + size - 1] = _BEGIN, _END
-        self.word = np.repeat(np.arange(len(words)), size)
-        self.place = np.arange(len(code)) - np.repeat(start, size)
+        self.word = np.repeat(np.arange(len(words), dtype=np.int32), size)
+        self.place = (np.arange(len(code)) - np.repeat(start, size)).astype(np.int32)
         x = code.astype(np.uint64) * _MIX
         self.one = x ^ (x >> np.uint64(29))
         self.keys = {0: np.zeros(len(code), np.uint64), 1: self.one}
@@ -216,7 +216,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         if not len(words):
             return None
         number = {lang: i for i, lang in enumerate(langs)}
-        return CharModels(langs, words["word"].to_pylist(), np.array([number[x] for x in words["lang"].to_pylist()]), words["n"].to_numpy())
+        return CharModels(langs, words["word"].to_pylist(), np.array([number[x] for x in words["lang"].to_pylist()], np.int16), words["n"].to_numpy())
 
     models = learn(sample.filter("part > 0")) or learn(sample)
     if models is None:
