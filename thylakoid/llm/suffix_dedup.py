@@ -35,18 +35,21 @@ LENGTH = 50
 #: Bytes whose hash makes an anchor.
 GRAM = 16
 #: Bytes of text for one part of an exchange, for the anchors sorted at a time, and hashed at a time.
-PART_BYTES, CHUNK_BYTES, PIECE_BYTES = 8 << 20, 8 << 20, 1 << 20
+PART_BYTES, CHUNK_BYTES, PIECE_BYTES = 12 << 20, 8 << 20, 1 << 20
+
+#: Values of the tag that tells rows of one id apart by their text: it travels with every entry.
+TAGS = 1 << 24
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 _ROW = "kind int, part int, data binary"
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
+def _pack(*arrays: np.ndarray, level: int = 3) -> bytes:
     """Arrays as bytes, by byte planes, compressed."""
     import zstandard
 
     planes = [(a.dtype.str, len(a), np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()) for a in arrays]
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(planes, 5))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(planes, 5))
 
 
 def _unpack(data: bytes) -> list[np.ndarray]:
@@ -68,6 +71,11 @@ def _mix(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """Anchors' hashes are the lowest of many; these are even again."""
+    return _mix(h, h >> np.uint64(7))
+
+
 def stretches(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """The stretches of strings with one anchor in texts that lie end to end.
 
@@ -98,7 +106,7 @@ def stretches(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.nda
     count = np.diff(np.r_[first, len(start)])
     start, anchor = start[first], anchor[first]
     text = np.searchsorted(bounds, start, "right") - 1
-    return text, start - bounds[text], count, anchor - start, _mix(h[anchor], h[anchor] >> np.uint64(7))
+    return text, start - bounds[text], count, anchor - start, _spread(h[anchor])
 
 
 def _pieces(bounds: np.ndarray, length: int):
@@ -223,7 +231,7 @@ def _pack_documents(batches):
             for h in np.unique(home):
                 mine = np.flatnonzero(home == h)
                 body = np.concatenate([data[bounds[i] : bounds[i + 1]] for i in mine])
-                rows.append((2, int(h), _pack(ids[mine], known[mine], tag[mine], np.diff(bounds)[mine], body)))
+                rows.append((2, int(h), _pack(ids[mine], known[mine], tag[mine], np.diff(bounds)[mine], body, level=6)))
             yield _rows(rows)
 
 
@@ -282,14 +290,14 @@ def _sorted_runs(length: int, parts: int):
             over = owner > least
             rows = [(1, home, _pack(owner[over], tags[over], start[over], count[over]))] if over.any() else []
             grams = table[:, :GRAM].copy().view("<u8")
-            part = (_mix(grams[:, 0], grams[:, 1]) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+            part = (_spread(_mix(grams[:, 0], grams[:, 1])) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
             keep = np.flatnonzero(~over)
             keep = keep[np.argsort(part[keep], kind="stable")]
             cut = np.flatnonzero(np.r_[True, part[keep][1:] != part[keep][:-1]])
             for a, b in zip(cut, [*cut[1:], len(keep)]):
                 mine = keep[a:b]
                 front, rest_bytes = front_code(table[mine], size[mine])
-                rows.append((0, int(part[mine[0]]), _pack(front, size[mine].astype(np.uint8), before[mine], owner[mine], tags[mine], start[mine], np.full(1, home, np.int32), rest_bytes)))
+                rows.append((0, int(part[mine[0]]), _pack(front, size[mine].astype(np.uint8), before[mine], owner[mine], tags[mine], start[mine], np.full(1, home, np.int32), rest_bytes, level=6)))
             yield _rows(rows)
 
     return run
@@ -427,19 +435,25 @@ def _resolve(packed: list[list[np.ndarray]], length: int) -> list[tuple[int, int
         flat = np.frombuffer(b"".join([s[t:] + s[:t] for s, t in zip(strings, tails)]) + bytes(8), np.uint8)
         count = size[edge[chosen]] - length + 1
         base = np.cumsum(size[edge[chosen]]) - size[edge[chosen]]
-        owner = np.repeat(np.arange(len(chosen)), count)
-        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        h1, h2 = _string_hashes(flat, base[owner] + nth, length)
-        held = least[chosen][owner]
-        order = np.lexsort((held, h2, h1, group[chosen][owner]))
-        g, a, b = group[chosen][owner][order], h1[order], h2[order]
-        first = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        smallest = np.empty(len(order), np.int64)
-        smallest[order] = np.repeat(held[order][first], np.diff(np.r_[first, len(order)]))
-        gone = smallest < held
+        anchor, held, name = before[edge[chosen]], least[chosen], group[chosen]
+        owners, places = [], []
+        for ahead in range(length - GRAM + 1):  # equal strings have the anchor at the same distance
+            at = anchor - ahead
+            mine = np.flatnonzero((at >= 0) & (at < count))
+            h1, h2 = _string_hashes(flat, base[mine] + at[mine], length)
+            by = np.lexsort((held[mine], h2, h1, name[mine]))
+            mine, h1, h2 = mine[by], h1[by], h2[by]
+            new = np.r_[True, (name[mine][1:] != name[mine][:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
+            first = np.flatnonzero(new)[np.cumsum(new) - 1] if len(mine) else mine
+            gone = held[mine[first]] < held[mine] if len(mine) else new[:0]
+            owners.append(mine[gone])
+            places.append(at[mine[gone]])
+        owner, at = np.concatenate(owners), np.concatenate(places)
+        by = np.lexsort((at, owner))
+        owner, at = owner[by], at[by]
         # runs of such strings within each suffix, for every entry of its smallest document
-        begin = np.flatnonzero(gone & np.r_[True, ~gone[:-1] | (owner[1:] != owner[:-1])])
-        end = np.flatnonzero(gone & np.r_[~gone[1:] | (owner[1:] != owner[:-1]), True]) + 1
+        begin = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1)]) if len(owner) else owner
+        long = np.diff(np.r_[begin, len(owner)])
         runs_of = np.bincount(owner[begin], minlength=len(chosen))
         number = np.full(len(edge), -1)
         number[chosen] = np.arange(len(chosen))
@@ -452,8 +466,8 @@ def _resolve(packed: list[list[np.ndarray]], length: int) -> list[tuple[int, int
         out_doc.append(doc[entry])
         out_tag.append(tag[entry])
         out_home.append(home[entry])
-        out_start.append(start[entry] + nth[begin][which])
-        out_count.append((end - begin)[which])
+        out_start.append(start[entry] + at[begin][which])
+        out_count.append(long[which])
     doc, tag, home, start, count = (np.concatenate(x) for x in (out_doc, out_tag, out_home, out_start, out_count))
     return _by_part(1, home, doc, tag, start.astype(np.uint32), count.astype(np.uint8))
 
@@ -519,7 +533,8 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "d
     Returns one row per document row: the id column, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
     removed runs), ``kept_sha256``, ``spans`` (their start and end, exclusive) and ``kept`` (the remaining
     bytes; both null unless ``bodies``). Null texts count as empty. Ids must be whole numbers; rows that
-    repeat an id are not smaller than each other, and each is judged by its own text. Rows with a null id
+    repeat an id are not smaller than each other, and each is judged by its own text (told apart by a
+    24-bit hash of it). Rows with a null id
     are neither cut nor a reason to cut. Other columns aren't read.
 
     No task holds more than a part: about ``part_bytes`` of text, the anchors of one slice of hashes, or
@@ -533,7 +548,7 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "d
     total = bytes_of(docs, text_col)
     parts = partitions_for(total, part_bytes)
     bits = min(64, math.ceil(math.log2(max(total, 2))) + 12)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.pmod(F.xxhash64(text), F.lit(TAGS)).cast("int").alias("tag"), text.alias("text"))
     rows = rows.select("doc", "tag", F.pmod(F.xxhash64("doc", "tag"), F.lit(parts)).cast("int").alias("home"), "text")
     packed = rows.mapInArrow(_pack_documents, _ROW)
 
