@@ -4,6 +4,7 @@ import math
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__
@@ -21,7 +22,7 @@ def tables():
 
 
 def rows(frame):
-    blank = lambda v: None if v is None or v != v else v
+    blank = lambda v: None if pd.isna(v) else v
     number = lambda v: int(v) if isinstance(v, float) and math.isfinite(v) and v == int(v) else v
     columns = sorted(frame.columns)
     return sorted(str([number(blank(v)) for v in r]) for r in frame[columns].astype(object).itertuples(index=False, name=None))
