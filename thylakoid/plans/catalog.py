@@ -123,14 +123,19 @@ def within_tolerance(spark, sf_dir):
 _METRICS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
+def _mean(column: str):
+    """The mean of hundredths, whose sum doesn't depend on the order of rows."""
+    return F.sum(F.round(F.col(column) * 100).cast("long")) / (F.count("*") * 100)
+
+
 @query("""
-WITH m AS (SELECT l_partkey, avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d, avg(l_tax) AS t FROM lineitem GROUP BY l_partkey),
+WITH m AS (SELECT l_partkey, sum(CAST(round(l_quantity * 100) AS BIGINT)) / (count(*) * 100) AS q, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / (count(*) * 100) AS e, sum(CAST(round(l_discount * 100) AS BIGINT)) / (count(*) * 100) AS d, sum(CAST(round(l_tax * 100) AS BIGINT)) / (count(*) * 100) AS t FROM lineitem GROUP BY l_partkey),
 ok AS (SELECT l.* FROM lineitem l JOIN m USING (l_partkey) WHERE (abs(l_quantity - q) <= 0.1 * abs(q))::INT + (abs(l_extendedprice - e) <= 0.1 * abs(e))::INT + (abs(l_discount - d) <= 0.1 * abs(d))::INT + (abs(l_tax - t) <= 0.1 * abs(t))::INT >= 3)
 SELECT l_partkey, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) AS n FROM ok) WHERE n = 1
 """)
 def k_of_n_select(spark, sf_dir):
     lines = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", *_METRICS)
-    means = lines.groupBy("l_partkey").agg(*[F.avg(c).alias(f"mean_{c}") for c in _METRICS])
+    means = lines.groupBy("l_partkey").agg(*[_mean(c).alias(f"mean_{c}") for c in _METRICS])
     good = selection.passes(lines.join(means, "l_partkey"), None, [(c, f"mean_{c}") for c in _METRICS])
     return selection.first_per_group(good.select("l_partkey", "l_orderkey", "l_linenumber"), ["l_partkey"], ["l_orderkey", "l_linenumber"])
 
@@ -168,14 +173,14 @@ def prefix_match_fallback(spark, sf_dir):
 
 @query("""
 WITH m AS (SELECT 'p' || l_partkey AS folder, 'line' || l_orderkey AS input, l_orderkey * 10 + l_linenumber AS row_ord, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem),
-a AS (SELECT folder, avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d, avg(l_tax) AS t FROM m GROUP BY folder),
+a AS (SELECT folder, sum(CAST(round(l_quantity * 100) AS BIGINT)) / (count(*) * 100) AS q, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) / (count(*) * 100) AS e, sum(CAST(round(l_discount * 100) AS BIGINT)) / (count(*) * 100) AS d, sum(CAST(round(l_tax * 100) AS BIGINT)) / (count(*) * 100) AS t FROM m GROUP BY folder),
 ok AS (SELECT m.* FROM m JOIN a USING (folder) WHERE (abs(l_quantity - q) <= 0.1 * abs(q)) AND (abs(l_quantity - q) <= 0.1 * abs(q))::INT + (abs(l_extendedprice - e) <= 0.1 * abs(e))::INT + (abs(l_discount - d) <= 0.1 * abs(d))::INT + (abs(l_tax - t) <= 0.1 * abs(t))::INT >= 3),
 one AS (SELECT folder, min(row_ord) AS row_ord FROM ok GROUP BY folder)
-SELECT folder, input, row_ord, input || '.fasta' AS file FROM one JOIN m USING (folder, row_ord)
+SELECT DISTINCT folder, input, row_ord, input || '.fasta' AS file FROM one JOIN m USING (folder, row_ord)
 """)
 def select_assemblies(spark, sf_dir):
     lines = read_table(spark, sf_dir, "lineitem")
-    means = lines.groupBy("l_partkey").agg(*[F.avg(c).alias(f"mean_{c}") for c in _METRICS])
+    means = lines.groupBy("l_partkey").agg(*[_mean(c).alias(f"mean_{c}") for c in _METRICS])
     named = dict(zip(("LSC", "IRa", "SSC", "IRb"), _METRICS))
     rows = lines.join(means, "l_partkey").select(
         F.concat(F.lit("p"), "l_partkey").alias("folder"), F.concat(F.lit("line"), "l_orderkey").alias("Input"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_ord"),
