@@ -237,6 +237,34 @@ def test_reads_map_and_vote(spark, genome):
     assert fixed.seq == sample and fixed.header == ">c, Hordeum vulgare, 3000"
 
 
+def test_reads_of_common_passages_map_like_brute_force(spark):
+    rng = random.Random(18)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    passage = part(60)
+    contigs = [(f"c{i:03}", part(40 + i % 7) + passage + part(30)) for i in range(200)]
+    own = contigs[150][1]
+    changed = "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i % 17 == 16 else c for i, c in enumerate(contigs[3][1][:100]))
+    reads = [(0, passage), (1, comp(passage)), (2, own[20:90]), (3, contigs[7][1][3:19]), (4, contigs[8][1][2:17]), (5, passage[:14]), (6, changed), (None, passage[5:50])]
+    got = pipelines.map_reads(spark.createDataFrame(reads, "id int, seq string"), spark.createDataFrame(contigs, "chrom string, seq string"), ["id"]).collect()
+
+    def by_hand(read, stride, least):
+        votes = {}
+        for strand, s in (("+", read), ("-", comp(read))):
+            for i in range(0, len(s) - 14, stride):
+                for name, text in contigs:
+                    at = text.find(s[i : i + 15])
+                    while at >= 0:
+                        votes[name, at - i + 1, strand] = votes.get((name, at - i + 1, strand), 0) + 1
+                        at = text.find(s[i : i + 15], at + 1)
+        best = sorted(votes.items(), key=lambda x: (-x[1], x[0]))[:2]
+        return (*best[0][0], best[0][1]) if best and best[0][1] >= min(least, len(read) - 14) else None
+
+    want = {i: x for i, s in reads if (x := by_hand(s, 1, 2))}
+    assert len(got) == len(want) == 7
+    assert {r.id: (r.chrom, r.pos, r.strand, r.seeds) for r in got} == want
+    assert want[0] == ("c000", 41, "+", 46) and want[2][0] == "c150" and want[6][:2] == ("c003", 1)
+
+
 def test_alignment_grows_version_by_version(spark, genome, tmp_path):
     long, repeat, short = (x[: len(x) // 3] for x in genome)
     ref = long + repeat + short + comp(repeat)

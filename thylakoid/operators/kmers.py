@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import kmers, revcomp
+from thylakoid.session import cut_lineage
+
+#: Parts in which the places of a k-mer at very many places are joined.
+SALTS = 16
 
 
 def kmer_positions(rows: DataFrame, keys: list[str], seq: str, k: int) -> DataFrame:
@@ -64,22 +68,59 @@ def nearest_anchors(rows: DataFrame, keys: list[str], a: str, b: str, k: int = 2
 def map_reads(reads: DataFrame, contigs: DataFrame, read_key: list[str], seq: str = "seq", contig: str = "chrom", k: int = 15, stride: int = 5, least_seeds: int = 2, most_places: int = 50) -> DataFrame:
     """Places of reads on contigs by seed votes: ``chrom, pos`` (from 1), ``strand``, ``seeds``, ``mapq``.
 
-    Every ``stride``-th k-mer of a read and of its reverse complement joins the contigs' k-mers; seeds
-    vote for (contig, strand, diagonal), and the diagonal of most seeds is the place: an ungapped
-    mapping. k-mers at more than ``most_places`` places are too common to place a read and are left out
-    of the index, as aligners do; a read made of such alone stays unmapped. ``mapq`` falls from 60 to 0
-    as the second-best place nears the best.
+    k-mers of a read and of its reverse complement join the contigs' k-mers; such seeds vote for (contig,
+    strand, diagonal), and the diagonal of most seeds is the place: an ungapped mapping. In a first pass
+    every ``stride``-th k-mer is a seed. It settles reads that it places and none of whose seeds lies at
+    more than ``most_places`` places, so that no vote is missing. All other reads go through a second
+    pass, where every k-mer is a seed at all of its places. A place needs ``least_seeds`` seeds, or all
+    k-mers of a read that has fewer; so a read needs ``k`` equal bases in a row, and ``k + 1`` at the
+    default unless it is no longer. ``mapq`` falls from 60 to 0 as the second-best place nears the best.
     """
-    index = kmer_positions(contigs, [contig], seq, k).withColumnRenamed("i", "at")
-    common = index.groupBy("kmer").count().filter(F.col("count") > most_places)
-    index = index.join(common, "kmer", "left_anti")
     both = reads.select(*read_key, F.col(seq).alias("s"), F.lit("+").alias("strand")).unionByName(reads.select(*read_key, revcomp(F.col(seq)).alias("s"), F.lit("-").alias("strand")))
-    seeds = kmer_positions(both, [*read_key, "strand"], "s", k).filter(F.col("i") % stride == 0)
-    votes = seeds.join(index, "kmer").groupBy(*read_key, contig, "strand", (F.col("at") - F.col("i") + 1).alias("pos")).agg(F.count("*").alias("seeds"))
+    offsets = kmer_positions(both, [*read_key, "strand"], "s", k)
+    index = kmer_positions(contigs, [contig], seq, k).withColumnRenamed("i", "at")
+    index = cut_lineage(index.join(offsets.select("kmer").distinct(), "kmer", "left_semi"))
+    common = index.groupBy("kmer").count().filter(F.col("count") > most_places).select("kmer", F.lit(True).alias("hot"))
+    offsets = cut_lineage(offsets.join(common, "kmer", "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+    strided = offsets.filter(F.col("i") % stride == 0)
+    missing = strided.filter("hot").select(*read_key).distinct()
+    whole = _without(strided, missing, read_key)
+    settled = cut_lineage(_best_places(whole, index, read_key, contig, F.lit(least_seeds)))
+    rest = _without(offsets, settled.select(*read_key), read_key)
+    kmers_of = rest.groupBy(*read_key, "strand").agg(F.count("*").alias("n")).groupBy(*read_key).agg(F.max("n").alias("n"))
+    fewest = F.least(F.lit(least_seeds), F.col("n"))
+    again = _best_places(_salted(rest), _salted(index.join(common, "kmer", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), F.pmod(F.xxhash64(contig, "at"), F.lit(SALTS)).cast("int")), read_key, contig, fewest, kmers_of)
+    return settled.unionByName(again)
+
+
+def _without(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys, null or not, aren't among the other's."""
+    other = other.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return rows.join(other, same, "left_anti")
+
+
+def _salted(rows: DataFrame, salt: Column | None = None) -> DataFrame:
+    """A part for each row of a hot k-mer: the given one, or all of them; 0 for other k-mers."""
+    if salt is not None:
+        return rows.withColumn("salt", F.when(F.col("hot"), salt).otherwise(0)).drop("hot")
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("salt", F.explode(every)).drop("hot")
+
+
+def _best_places(seeds: DataFrame, index: DataFrame, read_key: list[str], contig: str, fewest: Column, sizes: DataFrame | None = None) -> DataFrame:
+    """The place of most votes of each read, if it has ``fewest`` votes (an expression over ``sizes``)."""
+    on = [c for c in ("kmer", "salt") if c in index.columns]
+    votes = seeds.join(index, on).groupBy(*read_key, contig, "strand", (F.col("at") - F.col("i") + 1).alias("pos")).agg(F.count("*").alias("seeds"))
     order = Window.partitionBy(*read_key).orderBy(F.desc("seeds"), contig, "pos", "strand")
-    ranked = votes.withColumn("n", F.row_number().over(order)).withColumn("second", F.lead("seeds", 1, 0).over(order))
-    best = ranked.filter((F.col("n") == 1) & (F.col("seeds") >= least_seeds))
-    return best.select(*read_key, contig, "pos", "strand", "seeds", (60 * (1 - F.col("second") / F.col("seeds"))).cast("int").alias("mapq"))
+    two = votes.withColumn("n", F.row_number().over(order)).filter("n <= 2")
+    first = F.min(F.when(F.col("n") == 1, F.struct(contig, "pos", "strand", "seeds"))).alias("x")
+    best = two.groupBy(*read_key).agg(first, F.coalesce(F.max(F.when(F.col("n") == 2, F.col("seeds"))), F.lit(0)).alias("second"))
+    if sizes is not None:
+        sizes = sizes.select(*[F.col(c).alias(f"_{c}") for c in read_key], "n")
+        best = best.join(sizes, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in read_key])
+    best = best.filter(F.col("x.seeds") >= fewest)
+    return best.select(*read_key, "x.*", (60 * (1 - F.col("second") / F.col("x.seeds"))).cast("int").alias("mapq"))
 
 
 def bases_on_reference(mapped: DataFrame, reads: DataFrame, contigs: DataFrame, read_key: list[str], contig: str = "chrom") -> DataFrame:
