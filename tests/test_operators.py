@@ -179,6 +179,15 @@ def test_banded_alignment():
     assert alignment.banded_pair("", "AC") == ("--", "AC") and alignment.banded_pair("AC", "") == ("AC", "--")
 
 
+def test_adapters_with_errors_are_clipped(spark):
+    adapter, other = "AGATCGGAAGAGCACACGTC", "CTGTCTCTTATACACATCTC"
+    wrong = "AGATCTGAAGAGCACAGGTC"
+    reads = [(0, "TTGCAATGCC" + wrong + "AAAA"), (1, "TTGCAATGCC" + adapter[:9].replace("C", "T")), (2, "TTGCAATGCC" + other[:12]), (3, "TTGCAATGCC" + adapter[:7]), (4, "TTGCAATGCC" + wrong.replace("AAG", "TTG")), (5, None), (6, ""), (7, adapter[:8] + "GG" + other)]
+    df = spark.createDataFrame(reads, "i int, s string").withColumn("q", F.col("s"))
+    got = {r.i: r.s for r in pairing.clip_adapter(df, "s", "q", [adapter, other]).collect()}
+    assert got == {0: "TTGCAATGCC", 1: "TTGCAATGCC", 2: "TTGCAATGCC", 3: reads[3][1], 4: reads[4][1], 5: None, 6: "", 7: adapter[:8] + "GG"}
+
+
 @pytest.fixture(scope="module")
 def genome():
     """A circular genome with two inverted copies of a repeat around a short single-copy region."""

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from thylakoid.functions.sequence import sample_base
 
@@ -49,13 +52,40 @@ def trim_ends(reads: DataFrame, seq: str, qual: str, least: int = 3, offset: int
     return reads.withColumns({seq: F.substr(seq, lead + 1, size), qual: F.substr(qual, lead + 1, size)})
 
 
-def clip_adapter(reads: DataFrame, seq: str, qual: str, adapter: str, least: int = 8) -> DataFrame:
-    """Reads cut where the adapter, or a prefix of it of ``least`` bases at the read's end, begins."""
-    at = F.instr(F.col(seq), adapter)
-    cut = F.when(at > 0, at - 1)
-    for n in range(len(adapter) - 1, least - 1, -1):
-        cut = F.coalesce(cut, F.when(F.endswith(F.col(seq), F.lit(adapter[:n])), F.length(seq) - n))
-    keep = F.coalesce(cut, F.length(seq))
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def adapter_start(read: str, adapters: list[np.ndarray], least: int, most: int) -> int:
+    """The first place where an adapter, or what of it fits before the read's end, lies with few enough
+    mismatches: ``most`` in 16 bases and in longer stretches, less in proportion in shorter ones. The
+    read's length if there is none."""
+    text, size = _codes(read), len(read)
+    first = size
+    for adapter in adapters:
+        places = np.arange(max(0, min(first, size - min(least, len(adapter)) + 1)))
+        if not len(places) or not len(adapter):
+            continue
+        padded = np.r_[text, np.zeros(len(adapter), np.uint32)]
+        wrong = np.zeros(len(places), np.int32)
+        for i, base in enumerate(adapter):
+            wrong += (padded[i : i + len(places)] != base) & (places + i < size)
+        fits = np.flatnonzero(wrong <= np.minimum(most, np.minimum(len(adapter), size - places) * most // 16))
+        first = int(fits[0]) if len(fits) else first
+    return first
+
+
+def clip_adapter(reads: DataFrame, seq: str, qual: str, adapter: str | list[str], least: int = 8, most: int = 2) -> DataFrame:
+    """Reads cut at the first place where an adapter, or a prefix of one of ``least`` bases at the read's
+    end, begins. ``most`` bases may differ in 16 or more, in proportion fewer in shorter stretches (none
+    under 8 bases at the default); every other letter, N too, is a difference."""
+    wanted = [_codes(a) for a in ([adapter] if isinstance(adapter, str) else adapter)]
+
+    @F.pandas_udf(T.IntegerType())
+    def place(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else adapter_start(t, wanted, least, most) for t in texts], dtype="Int32")
+
+    keep = place(F.col(seq))
     return reads.withColumns({seq: F.substr(F.col(seq), F.lit(1), keep), qual: F.substr(F.col(qual), F.lit(1), keep)})
 
 
