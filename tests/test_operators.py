@@ -179,6 +179,30 @@ def test_banded_alignment():
     assert alignment.banded_pair("", "AC") == ("--", "AC") and alignment.banded_pair("AC", "") == ("AC", "--")
 
 
+@pytest.mark.parametrize("cells", [1 << 27, 200_000, 60_000])
+def test_indels_that_cancel_are_aligned(monkeypatch, cells):
+    monkeypatch.setattr(alignment, "MOST_CELLS", cells, raising=False)
+    rng = random.Random(16)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    a = part(3000)
+    b = a[:600] + part(300) + a[600:2200] + a[2500:]
+    x, y = alignment.banded_pair(a, b)
+    assert x.replace("-", "") == a and y.replace("-", "") == b and len(x) == len(y)
+    assert sum(p == q for p, q in zip(x, y)) == 2700 and x.count("-") == y.count("-") == 300
+    # unlike sequences: the best score, whether cells are few or many
+    a, b = part(300), part(280)
+    score = lambda x, y: sum(-2 if "-" in p else 1 if p[0] == p[1] else -1 for p in zip(x, y))
+    x, y = alignment.banded_pair(a, b)
+    assert x.replace("-", "") == a and y.replace("-", "") == b
+    row = [-2 * j for j in range(281)]
+    for i, p in enumerate(a):
+        new = [-2 * (i + 1)]
+        for j, q in enumerate(b):
+            new.append(max(row[j] + (1 if p == q else -1), row[j + 1] - 2, new[-1] - 2))
+        row = new
+    assert score(x, y) == row[-1]
+
+
 def test_adapters_with_errors_are_clipped(spark):
     adapter, other = "AGATCGGAAGAGCACACGTC", "CTGTCTCTTATACACATCTC"
     wrong = "AGATCTGAAGAGCACAGGTC"

@@ -6,6 +6,8 @@ functions over rows that Spark has already brought together and bounded in lengt
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -129,10 +131,84 @@ def rotate_to_anchor(rows: DataFrame, keys: list[str], ref: str, query: str, anc
     return out.select(*keys, F.coalesce("x.seq", "_q").alias("seq"), F.coalesce("x.orientation", F.lit("fwd")).alias("orientation"), F.col("x.rule").alias("rule"), F.coalesce("x.cut", F.lit(0)).alias("cut"))
 
 
+#: Cells of one alignment's way back that are held at a time, and the size of its anchors.
+MOST_CELLS, ANCHOR = 1 << 27, 25
+
+
+def anchor_chain(a: str, b: str, k: int = ANCHOR) -> list[tuple[int, int]]:
+    """Places of k-mers that occur once in both, in the longest chain that rises in both."""
+    once = []
+    for text in (a, b):
+        seen: dict[str, int] = {}
+        for i in range(len(text) - k + 1):
+            word = text[i : i + k]
+            seen[word] = -1 if word in seen else i
+        once.append(seen)
+    pairs = sorted((i, j) for word, i in once[0].items() if i >= 0 and (j := once[1].get(word, -1)) >= 0)
+    ends, last, before = [], [], [-1] * len(pairs)
+    for n, (_, j) in enumerate(pairs):
+        at = bisect_left(ends, j)
+        before[n] = last[at - 1] if at else -1
+        ends[at : at + 1], last[at : at + 1] = [j], [n]
+    chain, n = [], last[-1] if last else -1
+    while n >= 0:
+        chain.append(pairs[n])
+        n = before[n]
+    return chain[::-1]
+
+
 def banded_pair(a: str, b: str, band: int = 64, match: int = 1, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
-    """Global alignment of two similar sequences inside a band around the diagonal; one row at a time."""
+    """Global alignment of two similar sequences.
+
+    The band around the diagonal is widened until no path outside it can score more: such a path has so
+    many gaps that its best possible score is known. Where that takes too many cells, the alignment goes
+    through a chain of exact matches and only what lies between them is aligned so; without a chain,
+    the sequences are cut where the best path crosses the middle of the first.
+    """
+    n, m = len(a), len(b)
+    half, widest = max(band, abs(n - m) + band // 2), max(n, m)
+    while n <= 1 or (n + 1) * (2 * min(half, widest) + 1) <= MOST_CELLS:
+        half = min(half, widest)
+        x, y, score = _in_band(a, b, half, match, mismatch, gap)
+        gaps = 2 * (half + 1) - abs(n - m)
+        if half == widest or score >= match * (n + m - gaps) // 2 + gap * gaps:
+            return x, y
+        half *= 2
+    chain, parts, i, j = anchor_chain(a, b), [], 0, 0
+    for at, to in chain:
+        if at < i or to < j:
+            if at - i == to - j and at + ANCHOR > i:  # goes on with the match before it
+                parts.append((a[i : at + ANCHOR], b[j : to + ANCHOR]))
+                i, j = at + ANCHOR, to + ANCHOR
+            continue
+        parts += [banded_pair(a[i:at], b[j:to], band, match, mismatch, gap), (a[at : at + ANCHOR], b[to : to + ANCHOR])]
+        i, j = at + ANCHOR, to + ANCHOR
+    if chain:
+        parts.append(banded_pair(a[i:], b[j:], band, match, mismatch, gap))
+    else:
+        middle = n // 2
+        down = _last_row(a[:middle], b, match, mismatch, gap)
+        up = _last_row(a[middle:][::-1], b[::-1], match, mismatch, gap)[::-1]
+        cut = int((down + up).argmax())
+        parts = [banded_pair(a[:middle], b[:cut], band, match, mismatch, gap), banded_pair(a[middle:], b[cut:], band, match, mismatch, gap)]
+    return "".join(x for x, _ in parts), "".join(y for _, y in parts)
+
+
+def _last_row(a: str, b: str, match: int, mismatch: int, gap: int) -> np.ndarray:
+    """Best scores of all of ``a`` against every prefix of ``b``."""
+    x, y = np.frombuffer(a.encode("latin-1", "replace"), np.uint8), np.frombuffer(b.encode("latin-1", "replace"), np.uint8)
+    slope = np.arange(len(b) + 1, dtype=np.int64) * gap
+    row = slope.copy()
+    for i in range(len(a)):
+        best = row + gap
+        best[1:] = np.maximum(best[1:], row[:-1] + np.where(y == x[i], match, mismatch))
+        row = np.maximum.accumulate(best - slope) + slope
+    return row
+
+
+def _in_band(a: str, b: str, half: int, match: int, mismatch: int, gap: int) -> tuple[str, str, int]:
+    """The best alignment within ``half`` of the diagonal, one row at a time, and its score."""
     n, m = len(a), len(b)
-    half = max(band, abs(n - m) + band // 2)
     low = -(1 << 28)
     x, y = np.frombuffer(a.encode("latin-1", "replace"), np.uint8), np.frombuffer(b.encode("latin-1", "replace"), np.uint8)
     width = 2 * half + 1
@@ -172,7 +248,7 @@ def banded_pair(a: str, b: str, band: int = 64, match: int = 1, mismatch: int =
             j -= 1
             out_a.append("-")
             out_b.append(b[j])
-    return "".join(reversed(out_a)), "".join(reversed(out_b))
+    return "".join(reversed(out_a)), "".join(reversed(out_b)), int(row[m - n + half])
 
 
 @F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in "ab"]))
