@@ -153,6 +153,25 @@ def test_languages(spark):
     assert {r.lang_pred for r in identify(docs, None).collect()} == {"und"}
 
 
+def test_junk_in_the_sample_sets_no_limit(spark):
+    rng = random.Random(15)
+    sounds = {"aa": ["ba", "lo", "mi", "re", "tu"], "bb": ["ström", "gä", "ck", "ei", "ut"]}
+    make = lambda lang, n: " ".join("".join(rng.choices(sounds[lang], k=rng.randint(1, 4))) for _ in range(n))
+    junk = lambda n: " ".join("".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    rows = [(i, junk(40) if i % 25 == 0 else make(lang, 60), lang) for i in range(900) for lang in [rng.choice("ab") * 2]]
+    models = fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    asked = [(i, make(rng.choice("ab") * 2, n)) for i, n in enumerate([1, 2, 3, 5, 10, 30, 100, 1000] * 40)]
+    asked += [(10_000 + i, junk(n)) for i, n in enumerate([20, 60, 500] * 5)]
+    got = {r.doc_id: r.rejected for r in identify(frame(spark, asked), models).collect()}
+    assert sum(x for i, x in got.items() if i < 10_000) <= 1
+    assert all(x for i, x in got.items() if i >= 10_000)
+
+
+def test_texts_with_letters_stay_if_nothing_was_learned(spark):
+    docs = frame(spark, [(1, "some text"), (2, "12 !"), (3, None), (4, "²³ Ⅷ")])
+    assert {r.doc_id: r.rejected for r in identify(docs, None).collect()} == {1: False, 2: True, 3: True, 4: True}
+
+
 # --- SimHash ---------------------------------------------------------------------------------
 
 

@@ -20,6 +20,10 @@ SAMPLE_DOCS, SAMPLE_BYTES, CALIBRATE, MOST_LANGS = 1500, 200_000, 5, 500
 #: Words whose scores a worker remembers.
 CACHE_WORDS = 300_000
 UNDETERMINED = "und"
+#: The share of a language's texts that may be rejected, the calibration texts that a length band needs
+#: for a limit of its own, the bands (each twice as long as the one before) and the first words that
+#: stand for short texts.
+FALSE_REJECTION, LEAST_BAND, BANDS, FIRST_WORDS = 0.001, 30, 20, (1, 2, 4, 8, 16, 32, 64, 128)
 
 _RUN = re.compile(r"[^\W\d_]+")
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -105,7 +109,7 @@ class CharModels:
             self.tables[n] = (ids, np.log(p).astype(np.float32))
             self.leaves[n] = (ctx, np.log(left).astype(np.float32))
         self.unknown = (np.log(uniform) + self.leaves[1][1][0]).astype(np.float32)
-        self.temperature, self.most_entropy = 1.0, np.inf
+        self.temperature, self.limits = 1.0, np.full((k, BANDS), np.inf)
 
     def score(self, words: list[str]) -> np.ndarray:
         """For each word the log-probability in every language, and the number of symbols, as columns."""
@@ -145,6 +149,32 @@ class CharModels:
         return x / x.sum(axis=1, keepdims=True)
 
 
+def band_of(size: np.ndarray) -> np.ndarray:
+    """The length band of texts of so many symbols."""
+    return np.log2(np.clip(size, 1, 2.0 ** (BANDS - 1))).astype(np.int64)
+
+
+def entropy_limits(lang: np.ndarray, size: np.ndarray, entropy: np.ndarray, langs: int) -> np.ndarray:
+    """For each language and length band the cross-entropy above which a text is rejected.
+
+    Median and upper quartile tell where ``FALSE_REJECTION`` of the texts lie above, if their tail thins
+    as an exponential one or faster; the quartile counts as a twentieth above the median at least. So
+    junk has no say unless it is a quarter of a band. A band of few texts takes the limit of the next
+    shorter one, and the shortest ones have none.
+    """
+    halvings, band = np.log2(0.5 / FALSE_REJECTION), band_of(size)
+    limits = np.full((langs, BANDS), np.inf)
+    for i in range(langs):
+        for b in range(BANDS):
+            mine = entropy[(lang == i) & (band == b)]
+            if len(mine) >= LEAST_BAND:
+                middle, quartile = np.quantile(mine, [0.5, 0.75])
+                limits[i, b] = middle + halvings * max(quartile - middle, middle / 20)
+            elif b:
+                limits[i, b] = limits[i, b - 1]
+    return limits
+
+
 class _Scorer:
     """Scores of texts from remembered scores of words."""
 
@@ -190,7 +220,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> CharModels | None:
     """Models from a bounded sample of labelled rows: about ``sample_docs`` documents a language, chosen
     by a hash of the id among those of at most ``sample_bytes``. One in ``CALIBRATE`` of them isn't
-    learned from: it sets the scores' temperature and the cross-entropy above which texts are rejected.
+    learned from: it sets the scores' temperature and, with its texts' first words as short texts, the
+    cross-entropies above which texts are rejected.
     None if there is nothing to learn from."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
@@ -224,10 +255,21 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(models)
 
     def measure(batch: pa.RecordBatch) -> dict:
-        entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
-        return {"lang": batch.column(2), "entropy": pa.array(list(entropy), pa.list_(pa.float64())), "size": pa.array(size, pa.float64())}
-
-    held = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, {"lang": "string", "entropy": "array<double>", "size": "double"}, after=_forget).filter("size > 0").toPandas()
+        texts, lang, whole = [], [], []
+        for text, name in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            words = words_of(text)
+            short = [" ".join(words[:n]) for n in FIRST_WORDS if n < len(words)]
+            texts += [text, *short]
+            lang += [name] * (1 + len(short))
+            whole += [True] + [False] * len(short)
+        entropy, size = _scorer(key, shared).entropies(texts)
+        every = pa.array([e if w else None for e, w in zip(entropy, whole)], pa.list_(pa.float64()))
+        return {"lang": pa.array(lang, pa.string()), "entropy": every, "size": pa.array(size, pa.float64()), "best": pa.array(entropy.argmin(axis=1), pa.int32()), "least": pa.array(entropy.min(axis=1))}
+
+    kinds = {"lang": "string", "entropy": "array<double>", "size": "double", "best": "int", "least": "double"}
+    tried = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, kinds, after=_forget).filter("size > 0").toPandas()
+    models.limits = entropy_limits(tried["best"].to_numpy(), tried["size"].to_numpy(), tried["least"].to_numpy(), len(langs))
+    held = tried[tried["entropy"].notna()]
     if len(held):
         entropy = np.array(held["entropy"].tolist())
         truth = np.array([langs.index(x) for x in held["lang"]])
@@ -235,9 +277,6 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for models.temperature in np.geomspace(0.005, 2, 25):
             losses[models.temperature] = -np.log(np.maximum(models.posterior(entropy)[np.arange(len(truth)), truth], 1e-9)).mean()
         models.temperature = min(losses, key=losses.get)
-        # the least familiar text of the sample, and as far again as it lies from the median
-        best = entropy.min(axis=1)
-        models.most_entropy = float(best.max() + (best.max() - np.median(best)))
     return models
 
 
@@ -247,8 +286,8 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
     Returns one row per input row: the id column, ``lang_pred`` (that of the lowest cross-entropy per
     symbol; of equal ones the first by name; ``und`` if the text is null or has no letter, or nothing
     was learned), ``score`` (calibrated, 0 to 1; 0 with ``und``), ``entropy`` (nats a symbol, null with
-    ``und``) and ``rejected`` (``und``, or a cross-entropy that no text of the calibration sample comes
-    near). With ``carry``, the whole input row comes along as the struct ``row``; else other columns
+    ``und``) and ``rejected`` (no letter, or a cross-entropy above what all but ``FALSE_REJECTION`` of the
+    language's texts of that length have; only the former if nothing was learned). With ``carry``, the whole input row comes along as the struct ``row``; else other columns
     aren't read. Repeated rows and null ids stay.
     """
     spark = docs.sparkSession
@@ -259,7 +298,7 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
     def run(batch: pa.RecordBatch) -> dict:
         n = batch.num_rows
         if shared.value is None:
-            return {id_col: batch.column(0), "row": batch.column(2 if carry else 0), "lang_pred": [UNDETERMINED] * n, "score": np.zeros(n), "entropy": pa.nulls(n, pa.float64()), "rejected": [True] * n}
+            return {id_col: batch.column(0), "row": batch.column(2 if carry else 0), "lang_pred": [UNDETERMINED] * n, "score": np.zeros(n), "entropy": pa.nulls(n, pa.float64()), "rejected": [not any(map(_letters, words_of(t))) for t in batch.column(1).to_pylist()]}
         entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
         best, known = entropy.argmin(axis=1), size > 0
         least = entropy[np.arange(n), best]
@@ -270,7 +309,7 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
             "lang_pred": pa.array([shared.value.langs[b] if k else UNDETERMINED for b, k in zip(best, known)], pa.string()),
             "score": pa.array(np.where(known, score, 0.0)),
             "entropy": pa.array(least, mask=~known),
-            "rejected": pa.array(~known | (least > shared.value.most_entropy)),
+            "rejected": pa.array(~known | (least > shared.value.limits[best, band_of(size)])),
         }
 
     out = {id_col: kinds[id_col], "lang_pred": "string", "score": "double", "entropy": "double", "rejected": "boolean"}
