@@ -305,6 +305,15 @@ def test_suffixes(spark, monkeypatch, part_bytes):
     assert cut_repeated_strings(docs.limit(0)).count() == 0
 
 
+def test_tasks_that_hold_no_long_text(spark):
+    rows = [(1, "short"), (2, None), (3, ""), (None, None), (4, "x" * 49), (4, "x" * 49)]
+    for parts in (1, 6):
+        out = cut_repeated_strings(frame(spark, rows).repartition(parts)).collect()
+        assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out), key=str) == cut_by_hand(rows)
+    mixed = frame(spark, rows).repartition(1).unionByName(frame(spark, [(8, "y" * 60), (9, "y" * 60)]).repartition(1))
+    assert {r.doc_id: r.n_removed for r in cut_repeated_strings(mixed).collect() if r.n_removed} == {9: 60}
+
+
 def test_stretches_of_a_text_longer_than_a_piece(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 500)
     data = np.frombuffer(random.Random(1).randbytes(2600), np.uint8)

@@ -170,7 +170,7 @@ def _gather_anchors(length: int, bits: int, parts: int):
                 mark[edge] = many[edge]
                 send = np.flatnonzero(lone | mark)
                 part = ((h[send] >> np.uint64(max(0, bits - 32))) * np.uint64(parts) >> np.uint64(min(bits, 32))).astype(np.int64)
-                cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+                cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else part
                 for a, b in zip(cut, [*cut[1:], len(part)]):
                     mine = send[a:b]
                     used, at = np.unique(text[mine], return_inverse=True)
