@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from thylakoid.llm import suffix_dedup
 from thylakoid.llm.decontamination import contaminated, decontaminate
-from thylakoid.llm.language_id import CharModels, fit, held_out, identify
+from thylakoid.llm.language_id import char_models, fit, held_out, identify
 from thylakoid.llm.line_dedup import LineRuns, drop_repeated_lines
 from thylakoid.llm.simhash import _links, block_masks, fingerprint, near_duplicates
 from thylakoid.llm.suffix_dedup import cut_repeated_strings, front_code, front_decode, merge_runs
@@ -120,15 +120,112 @@ def test_windows(spark, shard_bytes):
 # --- language --------------------------------------------------------------------------------
 
 
-def test_probabilities_sum_to_one():
-    words = ["abc", "abd", "bc", "cab", "ab", "abc"]
-    models = CharModels(["x", "y"], words, np.array([0, 0, 0, 1, 1, 1]), np.array([3, 1, 2, 1, 1, 4]))
-    # over all continuations of a context: every known symbol, and the share of unknown ones
-    for n in (2, 3):
+def kneser_ney_by_hand(words, symbols, order=5):
+    """P(symbol | what comes before in its word), from a language's words and their counts."""
+    seen = [{} for _ in range(order + 1)]
+    for word, count in words:
+        marked = "^" + word + "$"
+        for n in range(1, order + 1):
+            for end in range(max(n, 2), len(marked) + 1):
+                g = marked[end - n : end]
+                seen[n][g] = seen[n].get(g, 0) + count
+    adjusted = [{} for _ in range(order + 1)]
+    for n in range(1, order + 1):
+        for g, c in seen[n].items():
+            adjusted[n][g] = c if n == order or g[0] == "^" else sum(h[1:] == g for h in seen[n + 1])
+
+    def p(symbol, before):
+        before = before[len(before) - min(len(before), order - 1) :]
+        lower = 1 / (symbols + 1) if not before else p(symbol, before[1:])
+        counts = adjusted[len(before) + 1]
+        once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+        d = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+        here = [c for g, c in counts.items() if g[:-1] == before]
+        if not here:
+            return lower
+        return max(counts.get(before + symbol, 0) - d, 0) / sum(here) + d * len(here) / sum(here) * lower
+
+    return p
+
+
+def test_models_against_brute_force(spark):
+    rng = random.Random(31)
+    words = {lang: [("".join(rng.choices(alphabet, k=rng.randint(1, 9))), rng.randint(1, 4)) for _ in range(60)] for lang, alphabet in (("x", "abcde"), ("y", "cdeé"))}
+    rows = [(lang, w, n) for lang, ws in words.items() for w, n in dict(ws).items()]
+    models = char_models(spark.createDataFrame(rows, "lang string, word string, n long"))
+    asked = ["abcde", "cdeécdeé", "a", "éa", "zzz", "edcbaedcba", *(w for _, w, _ in rows[:20])]
+    got = models.score(asked)
+    assert models.langs == ["x", "y"] and got[:, 2].tolist() == [len(w) + 1 for w in asked]
+    symbols = len({c for _, w, _ in rows for c in w} | {"$"})
+    for k, lang in enumerate(models.langs):
+        p = kneser_ney_by_hand([(w, n) for x, w, n in rows if x == lang], symbols)
+        for w, total in zip(asked, got[:, k].tolist()):
+            marked = "^" + w + "$"
+            want = sum(np.log(p(marked[i], marked[:i])) for i in range(1, len(marked)))
+            assert abs(total - want) < 1e-3 * len(marked), (lang, w)
+        for before in ("^", "^ab", "^cdec", "^dd"):  # all known symbols and the share of unknown ones
+            assert abs(sum(p(c, before) for c in "abcdeé$") + p("?", before) - 1) < 1e-9
+
+
+def next_probabilities(models, before, symbols):
+    """P(symbol | a word's first letters) of every language; ``$`` ends the word."""
+    upto = lambda w: next_score(models, w)
+    return {c: np.exp(upto(before + c) - upto(before)) for c in symbols}
+
+
+def next_score(models, marked):
+    """Log-probability of a word's first symbols: what its whole score has beyond that of its end."""
+    from thylakoid.llm.language_id import ORDER
+
+    total = np.zeros(len(models.langs))
+    for i in range(1, len(marked)):
+        total += one_symbol(models, marked[max(0, i - ORDER + 1) : i + 1])
+    return total
+
+
+def one_symbol(models, gram):
+    from thylakoid.llm.language_id import _Grams
+
+    inner = [c for c in gram if c not in "^$"]
+    grams = _Grams(["".join(inner)])
+    at = 1 + len(inner) if gram[-1] == "$" else len(inner)
+    n, out = len(gram), 0
+    while n:
         ids, logp = models.tables[n]
-        assert (logp <= 1e-6).all() and np.isfinite(logp).all()
-    one = np.exp(models.tables[1][1]).sum(axis=0) + np.exp(models.unknown)
-    assert np.allclose(one, 1, atol=1e-5)
+        key = grams.keys[n][at]
+        row = np.searchsorted(ids, key)
+        if row < len(ids) and ids[row] == key:
+            return out + logp[row].astype(float)
+        ctx, left = models.leaves[n]
+        if n == 1:
+            return out + models.unknown
+        key = grams.keys[n - 1][at - 1]
+        row = np.searchsorted(ctx, key)
+        if row < len(ctx) and ctx[row] == key:
+            out = out + left[row].astype(float)
+        n -= 1
+
+
+def test_small_models_still_add_up_to_one(spark):
+    rng = random.Random(32)
+    words = {(x, "".join(rng.choices("abcdef", k=rng.randint(2, 9)))) for x in ("x", "y") for _ in range(200)}
+    words = spark.createDataFrame([(x, w, 1) for x, w in words], "lang string, word string, n long")
+    whole, small = char_models(words), char_models(words, model_bytes=144 * 150)
+    assert sum(len(t[0]) for t in small.tables.values()) <= 150 < sum(len(t[0]) for t in whole.tables.values())
+    for models in (whole, small):
+        for before in ("^", "^a", "^ab", "^fffa", "^abcdef"):
+            total = sum(next_probabilities(models, before, "abcdef$?").values())
+            assert np.allclose(total, 1, atol=1e-4), before
+
+
+def test_a_language_without_learned_documents_is_learned_from_the_rest(spark):
+    rng = random.Random(33)
+    make = lambda letters, n: " ".join("".join(rng.choices(letters, k=4)) for _ in range(n))
+    rows = [(i, make("abc", 30), "x") for i in range(60)] + [(1000 + i, make("дежз", 30), "y") for i in range(1)]
+    for shift in range(8):  # wherever that one document falls
+        models = fit(spark.createDataFrame([(i + shift * (i >= 1000), t, lang) for i, t, lang in rows], "doc_id long, text string, lang string"))
+        got = identify(frame(spark, [(1, make("дежз", 20)), (2, make("abc", 20))]), models).collect()
+        assert {r.doc_id: r.lang_pred for r in got} == {1: "y", 2: "x"}
 
 
 def test_languages(spark):

@@ -8,15 +8,20 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import carried, map_texts
+from thylakoid.llm.common import carried, map_texts, materialize, scratch_folder
 
 ORDER = 5
 #: The models learn from about so many documents of a language, of at most so many bytes each; one in
 #: CALIBRATE of these is kept for calibration. Languages are bounded too: each adds a column to the tables.
 SAMPLE_DOCS, SAMPLE_BYTES, CALIBRATE, MOST_LANGS = 1500, 200_000, 5, 500
+#: Bytes that the models and what they are made of take on the driver.
+MODEL_BYTES = 64 << 20
+#: Longer runs of letters count as several words, so what a word takes is bounded.
+MOST_LETTERS = 64
 #: Words whose scores a worker remembers.
 CACHE_WORDS = 300_000
 UNDETERMINED = "und"
@@ -25,7 +30,7 @@ UNDETERMINED = "und"
 #: stand for short texts.
 FALSE_REJECTION, LEAST_BAND, BANDS, FIRST_WORDS = 0.001, 30, 20, (1, 2, 4, 8, 16, 32, 64, 128)
 
-_RUN = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]{1,%d}" % MOST_LETTERS)
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _BEGIN, _END = 2, 3
 
@@ -68,48 +73,27 @@ class CharModels:
     next lower order. So one lookup serves all languages.
     """
 
-    def __init__(self, langs: list[str], words: list[str], lang: np.ndarray, count: np.ndarray):
+    def __init__(self, langs: list[str], grams: dict[int, tuple[np.ndarray, ...]]):
+        """``grams``: for each order its n-grams' sorted hashes, their contexts' and their lower orders' hashes, and
+        their discounted shares of the context, a column for each language. An n-gram's lower order is there too."""
         self.langs = langs
-        grams, k = _Grams(words), len(langs)
-        lang, count = lang[grams.word], count[grams.word].astype(np.float64)
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.leaves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        higher = None  # for each distinct (n+1)-gram of a language: where it stands
-        adjusted = {}
-        for n in range(ORDER, 0, -1):
-            at = np.flatnonzero((grams.place >= max(n - 1, 1)))
-            key = grams.keys[n][at]
-            ids, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            place = at[first]
-            seen = np.zeros((len(ids), k))
-            np.add.at(seen, (inverse, lang[at]), count[at])
-            if higher is not None:  # continuation counts, but raw ones for what begins a word
-                inner = grams.place[place] >= n
-                wider = np.zeros_like(seen)
-                np.add.at(wider, (np.searchsorted(ids, grams.keys[n][higher[0]]), higher[1]), 1)
-                seen = np.where(inner[:, None], wider, seen)
-            row, col = np.nonzero(seen)
-            higher = (place[row], col)
-            adjusted[n] = (ids, place, seen)
-        uniform = 1.0 / (len(adjusted[1][0]) + 1)
-        below = None
+        lower = uniform = 1.0 / (len(grams[1][0]) + 1)
         for n in range(1, ORDER + 1):
-            ids, place, seen = adjusted[n]
-            context = grams.keys[n - 1][place - 1] if n > 1 else np.zeros(len(ids), np.uint64)
+            ids, context, low, share = grams[n]
             ctx, which = np.unique(context, return_inverse=True)
-            total, kinds = np.zeros((len(ctx), k)), np.zeros((len(ctx), k))
-            np.add.at(total, which, seen)
-            np.add.at(kinds, which, seen > 0)
-            once, twice = (seen == 1).sum(axis=0), (seen == 2).sum(axis=0)
-            discount = np.clip(np.where(once > 0, once / np.maximum(once + 2 * twice, 1), 0.5), 0.1, 0.95)
-            left = np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0)
-            lower = uniform if below is None else below[1][np.searchsorted(below[0], grams.keys[n - 1][place])]
-            p = np.maximum(seen - discount, 0) / np.maximum(total[which], 1) + left[which] * lower
+            left = np.ones((len(ctx), len(langs)))
+            np.subtract.at(left, which, share)
+            left = np.clip(left, 1e-9, 1)
+            if n > 1:
+                lower = below[1][np.searchsorted(below[0], low)]
+            p = share + left[which] * lower
             below = (ids, p)
             self.tables[n] = (ids, np.log(p).astype(np.float32))
             self.leaves[n] = (ctx, np.log(left).astype(np.float32))
-        self.unknown = (np.log(uniform) + self.leaves[1][1][0]).astype(np.float32)
-        self.temperature, self.limits = 1.0, np.full((k, BANDS), np.inf)
+        self.unknown = np.float32(np.log(uniform)) + (self.leaves[1][1][0] if len(self.leaves[1][1]) else 0)
+        self.temperature, self.limits = 1.0, np.full((len(langs), BANDS), np.inf)
 
     def score(self, words: list[str]) -> np.ndarray:
         """For each word the log-probability in every language, and the number of symbols, as columns."""
@@ -143,10 +127,12 @@ class CharModels:
         size[size == 1] = 0  # no letter in it
         return np.c_[np.add.reduceat(out, first, axis=0), size] * (size > 0)[:, None]
 
-    def posterior(self, entropy: np.ndarray) -> np.ndarray:
-        x = -entropy / self.temperature
-        x = np.exp(x - x.max(axis=1, keepdims=True))
-        return x / x.sum(axis=1, keepdims=True)
+
+def posterior(entropy: np.ndarray, temperature: float) -> np.ndarray:
+    """Probabilities of the languages, from cross-entropies."""
+    x = -entropy / temperature
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
 
 
 def band_of(size: np.ndarray) -> np.ndarray:
@@ -154,21 +140,21 @@ def band_of(size: np.ndarray) -> np.ndarray:
     return np.log2(np.clip(size, 1, 2.0 ** (BANDS - 1))).astype(np.int64)
 
 
-def entropy_limits(lang: np.ndarray, size: np.ndarray, entropy: np.ndarray, langs: int) -> np.ndarray:
+def entropy_limits(bands: list, langs: int) -> np.ndarray:
     """For each language and length band the cross-entropy above which a text is rejected.
 
-    Median and upper quartile tell where ``FALSE_REJECTION`` of the texts lie above, if their tail thins
-    as an exponential one or faster; the quartile counts as a twentieth above the median at least. So
-    junk has no say unless it is a quarter of a band. A band of few texts takes the limit of the next
-    shorter one, and the shortest ones have none.
+    ``bands`` holds the language's number, the band, its texts and their median and upper quartile. These
+    tell where ``FALSE_REJECTION`` of the texts lie above, if their tail thins as an exponential one or
+    faster; the quartile counts as a twentieth above the median at least. So junk has no say unless it is
+    a quarter of a band. A band of few texts takes the limit of the next shorter one, and the shortest
+    ones have none.
     """
-    halvings, band = np.log2(0.5 / FALSE_REJECTION), band_of(size)
-    limits = np.full((langs, BANDS), np.inf)
+    halvings, limits = np.log2(0.5 / FALSE_REJECTION), np.full((langs, BANDS), np.inf)
+    known = {(lang, band): (middle, quartile) for lang, band, n, (middle, quartile) in bands if n >= LEAST_BAND}
     for i in range(langs):
         for b in range(BANDS):
-            mine = entropy[(lang == i) & (band == b)]
-            if len(mine) >= LEAST_BAND:
-                middle, quartile = np.quantile(mine, [0.5, 0.75])
+            if (i, b) in known:
+                middle, quartile = known[i, b]
                 limits[i, b] = middle + halvings * max(quartile - middle, middle / 20)
             elif b:
                 limits[i, b] = limits[i, b - 1]
@@ -217,66 +203,135 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES) -> CharModels | None:
+def _count_grams(batches):
+    """(language number, word, count) -> the n-grams of all orders, added up batch by batch."""
+    for batch in batches:
+        lang, count = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+        grams = _Grams(batch.column(1).to_pylist())
+        for n in range(1, ORDER + 1):
+            at = np.flatnonzero(grams.place >= max(n - 1, 1))
+            key, mine = grams.keys[n][at], lang[grams.word[at]]
+            order = np.lexsort((mine, key))
+            key, mine = key[order], mine[order]
+            edge = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (mine[1:] != mine[:-1])]) if len(key) else at
+            first = at[order[edge]]
+            lower = grams.keys[n - 1]
+            columns = {
+                "lang": mine[edge],
+                "n": np.full(len(edge), n, np.int32),
+                "gram": key[edge].view(np.int64),
+                "context": lower[first - 1].view(np.int64),
+                "low": lower[first].view(np.int64),
+                "begins": grams.place[first] < n,
+                "count": np.add.reduceat(count[grams.word[at[order]]], edge) if len(edge) else edge,
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+
+def char_models(words: DataFrame, model_bytes: int = MODEL_BYTES, folder: str | None = None) -> CharModels | None:
+    """Models of the languages of ``words`` (``lang, word, n``); None if there are no words.
+
+    Spark counts the n-grams of each language: as often as they occur if they are of the highest order or
+    begin a word, else in how many different (n+1)-grams they end. It takes the discount of each language
+    and order from the n-grams that count once and twice, and divides by the context's total. Only the
+    finished shares come to the driver, in about ``model_bytes`` at most: where more n-grams are known, those
+    rarest over all languages are left out, and their shares fall to their contexts' lower orders, so
+    probabilities still add up to one.
+    """
+    spark = words.sparkSession
+    folder = folder or scratch_folder(spark)
+    langs = sorted(r.lang for r in words.select("lang").distinct().toLocalIterator())
+    if not langs:
+        return None
+    number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
+    cut = words.select(number[F.col("lang")].alias("lang"), "word", "n")
+    found = cut.mapInArrow(_count_grams, "lang int, n int, gram long, context long, low long, begins boolean, count long")
+    found = materialize(found.groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("low").alias("low"), F.first("begins").alias("begins"), F.sum("count").alias("seen")), folder)
+    own = found.select("lang", "n", "gram", "context", "low", "seen", F.when((F.col("n") == ORDER) | F.col("begins"), F.col("seen")).otherwise(0).alias("count"))
+    ends = found.filter("n > 1").select("lang", (F.col("n") - 1).alias("n"), F.col("low").alias("gram"), F.lit(1).cast("long").alias("count"))
+    counts = own.unionByName(ends, allowMissingColumns=True).groupBy("lang", "n", "gram").agg(F.max("context").alias("context"), F.max("low").alias("low"), F.sum("seen").alias("seen"), F.sum("count").alias("count"))
+    counts = materialize(counts, folder)
+    once, twice = F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)
+    discounts = counts.groupBy("lang", "n").agg(F.when(once > 0, F.greatest(F.least(once / (once + 2 * twice), F.lit(0.95)), F.lit(0.1))).otherwise(0.5).alias("discount"))
+    total, every = F.sum("count").over(Window.partitionBy("lang", "n", "context")), Window.partitionBy("n", "gram")
+    share = F.greatest(F.col("count") - F.col("discount"), F.lit(0.0)) / F.col("total")
+    shares = counts.withColumn("total", total).join(F.broadcast(discounts), ["lang", "n"])  # a row for each language and order
+    shares = shares.select("lang", "n", "gram", "context", "low", share.alias("share"), F.floor(8 * F.log2(F.sum("seen").over(every))).alias("level"), (F.min("lang").over(every) == F.col("lang")).alias("first"))
+    shares = materialize(shares, folder)
+    most, least, held = model_bytes // (24 + 60 * len(langs)), 0, 0
+    for level, n in sorted(((r.level, r.n) for r in shares.groupBy("level").agg(F.count_if("first").alias("n")).toLocalIterator()), reverse=True):
+        held += n
+        if held > most:
+            least = level + 1
+            break
+    rows, grams = shares.filter(F.col("level") >= least).drop("level", "first").toArrow(), {}
+    for n in range(1, ORDER + 1):
+        table = rows.filter(pc.equal(rows["n"], n))
+        gram, context, low = (table[c].to_numpy().view(np.uint64) for c in ("gram", "context", "low"))
+        ids, at, row = np.unique(gram, return_index=True, return_inverse=True)
+        share = np.zeros((len(ids), len(langs)))
+        share[row, table["lang"].to_numpy()] = table["share"].to_numpy()
+        grams[n] = (ids, context[at], low[at], share)
+    return CharModels(langs, grams)
+
+
+def _word_counts(batch: pa.RecordBatch) -> dict:
+    counts = Counter()
+    for lang, text in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
+        counts.update((lang, w) for w in map(_letters, words_of(text)) if w)
+    return {"lang": pa.array([k[0] for k in counts], pa.string()), "word": pa.array([k[1] for k in counts], pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
+
+
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, model_bytes: int = MODEL_BYTES) -> CharModels | None:
     """Models from a bounded sample of labelled rows: about ``sample_docs`` documents a language, chosen
-    by a hash of the id among those of at most ``sample_bytes``. One in ``CALIBRATE`` of them isn't
-    learned from: it sets the scores' temperature and, with its texts' first words as short texts, the
-    cross-entropies above which texts are rejected.
+    by a hash of the id among those of at most ``sample_bytes``; of more than ``MOST_LANGS`` languages, the
+    most frequent ones. One in ``CALIBRATE`` documents isn't learned from, unless its language has no
+    others: it sets the scores' temperature and, with its texts' first words as short texts, the
+    cross-entropies above which texts are rejected. Rows with a null id, text or language aren't used.
     None if there is nothing to learn from."""
     spark = labelled.sparkSession
+    folder = scratch_folder(spark)
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
     rows = rows.filter((F.octet_length("text") <= sample_bytes) & F.col("text").rlike(r"\p{L}"))
-    sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGS + 1).toLocalIterator()}
-    if len(sizes) > MOST_LANGS:
-        raise ValueError(f"more than {MOST_LANGS} languages")
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).toLocalIterator()}
     if not sizes:
         return None
-    langs = sorted(sizes)
-    share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_docs / sizes[lang]))])
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n))])
     draw = (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("lang")]
-    sample = rows.filter(draw).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(CALIBRATE)))
-
-    def tally(batch: pa.RecordBatch) -> dict:
-        counts = Counter()
-        for lang, text in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
-            counts.update((lang, w) for w in map(_letters, words_of(text)) if w)
-        return {"lang": pa.array([k[0] for k in counts], pa.string()), "word": pa.array([k[1] for k in counts], pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
-
-    def learn(part: DataFrame) -> CharModels | None:
-        words = map_texts(part.select("id", "text", "lang"), tally, {"lang": "string", "word": "string", "n": "long"}).groupBy("lang", "word").agg(F.sum("n").alias("n")).toArrow()
-        if not len(words):
-            return None
-        number = {lang: i for i, lang in enumerate(langs)}
-        return CharModels(langs, words["word"].to_pylist(), np.array([number[x] for x in words["lang"].to_pylist()], np.int16), words["n"].to_numpy())
-
-    models = learn(sample.filter("part > 0")) or learn(sample)
+    sample = materialize(rows.filter(draw).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(CALIBRATE))), folder)
+    known = [r.lang for r in sample.filter("part > 0").select("lang").distinct().toLocalIterator()]
+    learned = sample.filter((F.col("part") > 0) | ~F.col("lang").isin(known)) if known else sample
+    words = map_texts(learned.select("id", "text", "lang"), _word_counts, {"lang": "string", "word": "string", "n": "long"})
+    models = char_models(materialize(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), folder), model_bytes, folder)
     if models is None:
         return None
-    key, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(models)
+    key, shared, heats = uuid.uuid4().hex, spark.sparkContext.broadcast(models), np.geomspace(0.005, 2, 25)
+    number = {lang: i for i, lang in enumerate(models.langs)}
 
     def measure(batch: pa.RecordBatch) -> dict:
-        texts, lang, whole = [], [], []
+        texts, truth = [], []
         for text, name in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             words = words_of(text)
             short = [" ".join(words[:n]) for n in FIRST_WORDS if n < len(words)]
             texts += [text, *short]
-            lang += [name] * (1 + len(short))
-            whole += [True] + [False] * len(short)
+            truth += [number.get(name), *[None] * len(short)]
         entropy, size = _scorer(key, shared).entropies(texts)
-        every = pa.array([e if w else None for e, w in zip(entropy, whole)], pa.list_(pa.float64()))
-        return {"lang": pa.array(lang, pa.string()), "entropy": every, "size": pa.array(size, pa.float64()), "best": pa.array(entropy.argmin(axis=1), pa.int32()), "least": pa.array(entropy.min(axis=1))}
-
-    kinds = {"lang": "string", "entropy": "array<double>", "size": "double", "best": "int", "least": "double"}
-    tried = map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, kinds, after=_forget).filter("size > 0").toPandas()
-    models.limits = entropy_limits(tried["best"].to_numpy(), tried["size"].to_numpy(), tried["least"].to_numpy(), len(langs))
-    held = tried[tried["entropy"].notna()]
-    if len(held):
-        entropy = np.array(held["entropy"].tolist())
-        truth = np.array([langs.index(x) for x in held["lang"]])
-        losses = {}
-        for models.temperature in np.geomspace(0.005, 2, 25):
-            losses[models.temperature] = -np.log(np.maximum(models.posterior(entropy)[np.arange(len(truth)), truth], 1e-9)).mean()
-        models.temperature = min(losses, key=losses.get)
+        whole = np.array([i for i, t in enumerate(truth) if t is not None], np.int64)
+        right = np.array([truth[i] for i in whole], np.int64)
+        loss = np.array([-np.log(np.maximum(posterior(entropy[whole], heat)[np.arange(len(whole)), right], 1e-9)) for heat in heats]).T
+        losses: list = [None] * len(texts)
+        for i, x in zip(whole.tolist(), loss.tolist()):
+            losses[i] = x
+        return {"best": pa.array(entropy.argmin(axis=1), pa.int32()), "band": pa.array(band_of(size), pa.int32()), "size": pa.array(size, pa.float64()), "least": pa.array(entropy.min(axis=1)), "losses": pa.array(losses, pa.list_(pa.float64()))}
+
+    kinds = {"best": "int", "band": "int", "size": "double", "least": "double", "losses": "array<double>"}
+    tried = materialize(map_texts(sample.filter("part = 0").select("id", "text", "lang"), measure, kinds, after=_forget).filter("size > 0"), folder)
+    shared.destroy()
+    bands = tried.groupBy("best", "band").agg(F.count("*").alias("n"), F.percentile("least", F.array(F.lit(0.5), F.lit(0.75))).alias("at"))
+    models.limits = entropy_limits([tuple(r) for r in bands.toLocalIterator()], len(models.langs))
+    mean = {r.pos: r.loss for r in tried.select(F.posexplode("losses").alias("pos", "loss")).groupBy("pos").agg(F.avg("loss").alias("loss")).toLocalIterator()}
+    if mean:
+        models.temperature = float(heats[min(sorted(mean), key=mean.get)])
     return models
 
 
@@ -287,8 +342,9 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
     symbol; of equal ones the first by name; ``und`` if the text is null or has no letter, or nothing
     was learned), ``score`` (calibrated, 0 to 1; 0 with ``und``), ``entropy`` (nats a symbol, null with
     ``und``) and ``rejected`` (no letter, or a cross-entropy above what all but ``FALSE_REJECTION`` of the
-    language's texts of that length have; only the former if nothing was learned). With ``carry``, the whole input row comes along as the struct ``row``; else other columns
-    aren't read. Repeated rows and null ids stay.
+    language's texts of that length have; only the former if nothing was learned). With ``carry``, the
+    whole input row comes along as the struct ``row``; else other columns aren't read. Repeated rows and
+    null ids stay.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col), F.col(text_col), *carried(docs, carry))
@@ -302,7 +358,7 @@ def identify(docs: DataFrame, models: CharModels | None, id_col: str = "doc_id",
         entropy, size = _scorer(key, shared).entropies(batch.column(1).to_pylist())
         best, known = entropy.argmin(axis=1), size > 0
         least = entropy[np.arange(n), best]
-        score = shared.value.posterior(entropy)[np.arange(n), best]
+        score = posterior(entropy, shared.value.temperature)[np.arange(n), best]
         return {
             id_col: batch.column(0),
             "row": batch.column(2 if carry else 0),
