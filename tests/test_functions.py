@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as fx
+from thylakoid.operators.kmers import kmer_codes
 
 
 def one(spark, column, **values):
@@ -23,9 +24,13 @@ def test_rotate_and_flip(spark):
     assert one(spark, fx.flip_segment(fx.flip_segment(F.col("s"), F.lit(1), F.lit(4)), F.lit(1), F.lit(4)), s="AACG") == "AACG"
 
 
-def test_kmers(spark):
-    assert one(spark, fx.kmers(F.col("s"), 3), s="acgNta") == ["ACG", None, None, None]
-    assert one(spark, fx.kmers(F.col("s"), 3), s="ac") == []
+def test_kmer_codes():
+    at, code = kmer_codes("acgNtaca", 3)
+    assert at.tolist() == [0, 4, 5] and code.tolist() == [0b000110, 0b110001, 0b000100]
+    assert [len(x) for x in kmer_codes("ac", 3)] == [0, 0] == [len(x) for x in kmer_codes(None, 3)]
+    long = "ACGTTGCA" * 20_000
+    at, code = kmer_codes(long, 31)
+    assert len(at) == len(long) - 30 and len(set(code.tolist())) == 8
 
 
 @pytest.mark.parametrize("a, b, want", [("ACGT", "ACGA", 1), ("ANNN", "TCGA", 1), ("ACG", "AC", 0), ("", "ACG", 0), ("GGG", "AAANNN", 3)])

@@ -2,6 +2,7 @@
 
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from thylakoid.operators.pileup import BUCKETS
@@ -28,6 +29,28 @@ def test_fastq(spark, tmp_path):
     assert got == [("s", 1, 0, "s_1.0", "ACGT", "IIII"), ("s", 1, 1, "s_1.1", "GG", "II"), ("t", 1, 0, "t_1.0", "TTT", "III")]
 
 
+def test_plain_files_are_numbered_over_splits(spark, tmp_path):
+    (tmp_path / "big_1.fastq").write_text("".join(f"@r{i}\n{'ACGT' * (1 + i % 5)}\n+\n{'@' * (4 + 4 * (i % 5))}\n" for i in range(2000)))
+    (tmp_path / "big.fasta").write_text("; before\n" + "".join(f">s{i} > x\nAC\n{'GT' * (i % 7)}\n" for i in range(2000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        reads = files.read_fastq(spark, str(tmp_path / "big_1.fastq"), 1).collect()
+        records = files.read_fasta(spark, str(tmp_path / "big.fasta")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.read_idx, r.name, len(r.seq), len(r.qual)) for r in reads) == [(i, f"r{i}", 4 + 4 * (i % 5), 4 + 4 * (i % 5)) for i in range(2000)]
+    assert sorted((r.rec_ord, r.header, r.seq) for r in records) == [(i, f">s{i} > x", "AC" + "GT" * (i % 7)) for i in range(2000)]
+
+
+def test_first_records(spark, tmp_path):
+    (tmp_path / "a.fasta").write_text("x\n>one\nAC\n>two\nGG\n")
+    assert [(r.header, r.seq) for r in files.read_first_record(spark, str(tmp_path)).collect()] == [(">one", "AC")]
+    (tmp_path / "b.fasta").write_text("ACGT\n")
+    with pytest.raises(Exception, match="no sequence header in .*b.fasta"):
+        files.read_first_record(spark, str(tmp_path)).collect()
+
+
 def test_listings(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "s1_1.fastq.gz").write_text("x")
@@ -43,10 +66,18 @@ def test_metrics(spark, tmp_path):
     (tmp_path / "p" / "q").mkdir(parents=True)
     (tmp_path / "p" / "m.csv").write_text("Input,Length\nx,1\ny,\n")
     (tmp_path / "p" / "q" / "n.CSV").write_text("Input,Length\nz,a b\n")
-    rows = files.read_metrics(spark, str(tmp_path)).collect()
+    rows = files.read_metrics(spark, str(tmp_path), ["Input", "Length"]).collect()
     assert {(r.folder.rsplit("/", 1)[1], r.Input, r.Length) for r in rows} == {("p", "x", "1"), ("p", "y", None), ("q", "z", "a b")}
 
 
+def test_metrics_files_have_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Input,Length,Note\nx,1,"n, m"\n\ny,2,\n')
+    (tmp_path / "b.csv").write_text("LSC,Length,Input\n9,7,z\n")
+    rows = files.read_metrics(spark, str(tmp_path), ["Input", "Length", "LSC", "Note"]).collect()
+    assert sorted((r.Input, r.Length, r.LSC, r.Note, r.row_ord) for r in rows) == [("x", "1", None, "n, m", 1), ("y", "2", None, None, 3), ("z", "7", "9", None, 1)]
+    assert files.read_metrics(spark, str(tmp_path)).columns == [*files.METRICS, "folder", "row_ord"]
+
+
 def test_pileups(spark, tmp_path):
     (tmp_path / "raw").write_text("c\t1\tA\t3\t.,T\tIII\n\nc\t2\tN\t0\t*\t*\n")
     counts = files.read_mpileup(spark, str(tmp_path / "raw"))
@@ -77,6 +108,9 @@ ORIGIN
 
 def test_annotations(spark, tmp_path):
     (tmp_path / "r.gb").write_text(RECORD)
+    (tmp_path / "two.gb").write_text(RECORD + RECORD.replace("LOCUS       X", "LOCUS       Y"))
+    both, _ = files.read_genbank(spark, str(tmp_path / "two.gb"))
+    assert {(r.record, r.feature_id) for r in both.collect()} == {(x, i) for x in "XY" for i in range(3)}
     features, seqs = files.read_genbank(spark, str(tmp_path / "r.gb"))
     got = {r.feature_id: (r.key, r.strand, [tuple(p) for p in r.parts], r.quals) for r in features.collect()}
     assert got[0] == ("source", 1, [(1, 20, 1)], {"organism": ["Some plant"]})

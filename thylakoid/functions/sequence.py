@@ -44,13 +44,6 @@ def flip_segment(seq: Column, first: Column, last: Column) -> Column:
     )
 
 
-def kmers(seq: Column, k: int) -> Column:
-    """All k-mers of the upper-cased sequence in order, null where one has another letter than ACGT."""
-    upper = F.upper(seq)
-    starts = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.when(~F.substr(upper, i, F.lit(k)).rlike("[^ACGT]"), F.substr(upper, i, F.lit(k))))
-
-
 def hamming(a: Column, b: Column) -> Column:
     """Differing places of two sequences, over the shorter one's length; N matches anything."""
     pairs = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(x.isNull() | y.isNull() | (x == y) | (x == "N") | (y == "N"), 0).otherwise(1))
@@ -69,15 +62,19 @@ def majority_base(a: Column, c: Column, g: Column, t: Column) -> Column:
     return F.when(most <= 0, None).when(a == most, "A").when(c == most, "C").when(g == most, "G").when(t == most, "T")
 
 
+#: Marks in file names and what stands for them, in the order in which they are replaced.
+NAME_MARKS = (
+    (r"Option_\d+_", ""),
+    (r"_Novowrap.*", ""),
+    (r"_pileup", ""),
+    (r"\.fastq(?:\.gz)?_?", "_"),
+    (r"(?i)\.(fasta|fa|fna|tsv|txt|fai)$", ""),
+)
+
+
 def normalized_name(name: Column) -> Column:
     """A sample's name without the marks that earlier steps add to file names, in the order given."""
-    for pattern, new in (
-        (r"Option_\d+_", ""),
-        (r"_Novowrap.*", ""),
-        (r"_pileup", ""),
-        (r"\.fastq(?:\.gz)?_?", "_"),
-        (r"(?i)\.(fasta|fa|fna|tsv|txt|fai)$", ""),
-    ):
+    for pattern, new in NAME_MARKS:
         name = F.regexp_replace(name, pattern, new)
     return name
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thylakoid.functions.sequence import hamming, revcomp, rotate
-from thylakoid.operators.kmers import kmer_positions
+from thylakoid.operators.kmers import shared_kmers
 
 _N = ord("N")
 
@@ -121,10 +121,7 @@ def rotate_to_anchor(rows: DataFrame, keys: list[str], ref: str, query: str, anc
         head = (F.col("rule") == "head").cast("int")
         order = F.struct(F.col("mm"), (F.col("orientation") == "rev").cast("int").alias("o"), (-head).alias("h"))
     else:
-        mine = kmer_positions(turned, [*keys, "orientation"], "seq", k).select(*keys, "orientation", "kmer").distinct()
-        theirs = kmer_positions(rows, keys, ref, k).select(*keys, "kmer").distinct()
-        shared = mine.join(theirs, [*keys, "kmer"]).groupBy(*keys, "orientation").agg(F.count("*").alias("shared"))
-        turned = turned.join(shared, [*keys, "orientation"], "left").fillna(0, "shared")
+        turned = turned.withColumn("shared", shared_kmers(k)(F.upper(F.col(ref)), F.col("seq"))["shared"])
         order = F.struct((-F.col("shared")).alias("s"), (F.col("orientation") == "rev").cast("int").alias("o"))
     winner = turned.groupBy(*keys).agg(F.min(F.struct(order.alias("by"), "seq", "orientation", "rule", "cut")).alias("x"))
     out = rows.select(*keys, q.alias("_q")).join(winner, keys, "left")

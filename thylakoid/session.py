@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,15 +25,27 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """The frame, computed once and kept in the cluster's checkpoint folder (a temporary one if none is
-    set, in local mode only): for results that several later steps read."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local["):
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the cluster's checkpoint folder (a temporary one if none is set, in local mode
+    only), deleted when the driver's JVM ends."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-thylakoid-"))
-    return df.checkpoint()
+        base = tempfile.mkdtemp(prefix="spark-thylakoid-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    folder = f"{base.rstrip('/')}/thylakoid-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame, computed once and written to the shared scratch folder: for results that several later
+    steps read, and that survive lost executors."""
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -15,21 +15,50 @@ from thylakoid.operators.pileup import BUCKETS, parse_pileup
 PILEUP_HEADER = ["CHROM", "POS", ".", ",", "A", "C", "G", "T", "N", "+", "-", "^", "$", "other"]
 
 
+def _numbered(rows: DataFrame, *firsts) -> DataFrame:
+    """Text rows (``file, block, id, value``) with ``nth``, their number (from 0) in the file.
+
+    Files are read in splits (``block`` is where one begins); rows of one split follow each other, so a
+    split's first row and the counts of the splits before it number them. Only counts, one row a split,
+    are gathered by file; rows stay where they are read. ``firsts`` are further aggregations of a file's first split.
+    """
+    splits = rows.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"), *firsts)
+    order = Window.partitionBy("file").orderBy("block")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    more = [F.first(c).over(order).alias(c) for c in splits.columns[4:]]
+    offsets = splits.select("file", "block", (before - F.col("first")).alias("shift"), *more)
+    return rows.join(offsets, ["file", "block"]).withColumn("nth", F.col("id") + F.col("shift")).drop("shift")
+
+
+def _text_rows(spark: SparkSession, path: str, sep: str | None = None, **options: str) -> DataFrame:
+    reader = spark.read.options(**options)
+    rows = (reader.option("lineSep", sep) if sep else reader).text(path)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), "value")
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """Records of sequence files: ``file, rec_ord, header`` (with ``>``), ``seq``, ``len``.
 
-    The text reader splits at ``>`` after a line end, so large files are read in parallel and a ``>``
+    The text reader splits at ``>`` after a line end, so large files are read and numbered in parallel and a ``>``
     inside a header does no harm. Text before the first header is dropped; lines are stripped and joined.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"), "value")
-    first = F.row_number().over(Window.partitionBy("file").orderBy("id")) == 1
-    marked = raw.withColumn("first", first).filter(~F.col("first") | F.startswith("value", F.lit(">")))
-    body = F.when(F.startswith("value", F.lit(">")) & F.col("first"), F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    headless = F.min_by(~F.startswith("value", F.lit(">")), "id").alias("headless")
+    raw = _numbered(_text_rows(spark, path, "\n>"), headless)
+    first = F.col("nth") == 0
+    marked = raw.filter(~first | ~F.col("headless"))
+    body = F.when(first, F.substr("value", F.lit(2))).otherwise(F.col("value"))
     lines = F.split(body, "\n")
     seq = F.array_join(F.transform(F.slice(lines, 2, 1 << 30), lambda x: F.trim(F.translate(x, "\r\t", ""))), "")
-    rows = marked.select("file", "id", F.concat(F.lit(">"), F.rtrim(F.translate(lines[0], "\r", ""))).alias("header"), seq.alias("seq"))
-    order = F.row_number().over(Window.partitionBy("file").orderBy("id")) - 1
-    return rows.select("file", order.cast("int").alias("rec_ord"), "header", "seq", F.length("seq").alias("len"))
+    order = (F.col("nth") - F.col("headless").cast("long")).cast("int")
+    return marked.select("file", order.alias("rec_ord"), F.concat(F.lit(">"), F.rtrim(F.translate(lines[0], "\r", ""))).alias("header"), seq.alias("seq")).withColumn("len", F.length("seq"))
+
+
+def read_first_record(spark: SparkSession, path: str) -> DataFrame:
+    """The first record of each file; reading fails on a file that holds text but no header."""
+    texts = _text_rows(spark, path).filter(F.trim("value") != "").select("file").distinct()
+    found = texts.join(first_records(read_fasta(spark, path)), "file", "left")
+    missing = F.raise_error(F.concat(F.lit("no sequence header in "), F.col("file")))
+    return found.withColumn("header", F.when(F.col("header").isNull(), missing.cast("string")).otherwise(F.col("header")))
 
 
 def first_records(records: DataFrame) -> DataFrame:
@@ -44,17 +73,20 @@ def write_fasta(records: DataFrame, path: str) -> None:
 
 def read_fastq(spark: SparkSession, path: str, mate: int) -> DataFrame:
     """Reads: ``sample, mate, read_idx, name, seq, qual``. Compressed files are one task each; repartition after."""
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("id"), "value")
-    # a task may read several small files: lines are numbered from each file's first id
-    start = rows.groupBy("file").agg(F.min("id").alias("start"))
-    n = F.col("id") - F.col("start")
-    lines = rows.join(start, "file").select("file", F.expr("(id - start) div 4").alias("read_idx"), (n % 4).alias("field"), "value")
+    lines = _numbered(_text_rows(spark, path))
+    lines = lines.select("file", F.expr("nth div 4").alias("read_idx"), (F.col("nth") % 4).alias("field"), "value")
     part = {i: F.max(F.when(F.col("field") == i, F.col("value"))) for i in (0, 1, 3)}
-    reads = lines.groupBy("file", "read_idx").agg(part[0].alias("name"), part[1].alias("seq"), part[3].alias("qual"))
+    reads = lines.groupBy("file", "read_idx").agg(part[0].alias("name"), part[1].alias("seq"), part[3].alias("qual")).filter(F.startswith("name", F.lit("@")))
     sample = F.regexp_extract("file", r"([^/]*?)(_[12])?\.(?:fastq|fq)(?:\.gz)?$", 1)
     return reads.select(sample.alias("sample"), F.lit(mate).alias("mate"), "read_idx", F.substr("name", F.lit(2)).alias("name"), "seq", "qual")
 
 
+def write_fastq(reads: DataFrame, path: str) -> None:
+    """Reads (``name, seq, qual``) as compressed files of four lines a read."""
+    lines = F.concat(F.lit("@"), "name", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")
+    reads.select(lines.alias("value")).write.option("compression", "gzip").text(path)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Paths, names, folders and times of files that hold something, at any depth; contents aren't read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
@@ -76,10 +108,26 @@ def write_pair_list(pairs: DataFrame, path: str) -> None:
     pairs.select(F.concat_ws(",", "r1_path", "r2_path").alias("value")).write.text(path)
 
 
-def read_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """All metrics files under a folder (``.csv`` in any case), every column as text, with folder and row order."""
-    rows = spark.read.option("header", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[cC][sS][vV]").csv(folder)
-    return rows.select("*", F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder"), F.monotonically_increasing_id().alias("row_ord"))
+#: The columns of a metrics file that the selection reads.
+METRICS = ["Input", "Length", "Ref_length", "LSC", "IRa", "SSC", "IRb", "r_LSC", "r_IRa", "r_SSC", "r_IRb"]
+
+
+def read_metrics(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame:
+    """The named columns of all metrics files under a folder (``.csv`` in any case), as text, with ``folder``
+    and ``row_ord``.
+
+    Every file is read by its own header line, whatever the order of its columns; a column that it lacks is
+    null, as are blank fields. Blank lines are skipped. A quoted field may hold commas but no line end.
+    """
+    columns = METRICS if columns is None else columns
+    rows = _numbered(_text_rows(spark, folder, recursiveFileLookup="true", pathGlobFilter="*.[cC][sS][vV]")).filter(F.trim("value") != "")
+    width = (rows.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","))))).first()[0] or 0) + 1
+    fields = F.array(*[F.col(f"f.c{i}") for i in range(width)])
+    cut = rows.withColumn("f", F.from_csv("value", ", ".join(f"c{i} string" for i in range(width)))).select("file", "nth", fields.alias("f"))
+    heads = cut.filter("nth = 0").select("file", F.col("f").alias("head"))
+    body = cut.filter("nth > 0").join(heads, "file")
+    named = [F.when(F.array_position("head", c) > 0, F.try_element_at("f", F.array_position("head", c).cast("int"))).alias(c) for c in columns]
+    return body.select(*named, F.regexp_extract("file", r"^(.*)/[^/]*$", 1).alias("folder"), F.col("nth").alias("row_ord"))
 
 
 def read_mpileup(spark: SparkSession, path: str) -> DataFrame:
@@ -146,6 +194,9 @@ def _features(files):
     """One annotated record a row -> its features and sequence."""
     for batch in files:
         for path, body in zip(batch["file"], batch["value"]):
+            if "\nFEATURES" not in body:
+                continue
+            record = (body.partition("LOCUS")[2].split() or [""])[0]
             table, _, origin = body.partition("\nORIGIN")
             rows, key, where, quals = [], None, "", []
             for line in table.partition("\nFEATURES")[2].split("\n")[1:] + ["     end             0"]:
@@ -156,7 +207,7 @@ def _features(files):
                         for q in quals:
                             name, _, value = q.partition("=")
                             held.setdefault(name, []).append(value.strip('"'))
-                        rows.append((path, len(rows), key, strand, [{"s": a, "e": b, "strand": d} for a, b, d in parts], held))
+                        rows.append((path, record, len(rows), key, strand, [{"s": a, "e": b, "strand": d} for a, b, d in parts], held))
                     key, where, quals = head[1], head[2].strip(), []
                 elif line[:21].strip() == "" and key:
                     text = line.strip()
@@ -166,13 +217,15 @@ def _features(files):
                         quals[-1] += ("" if quals[-1].startswith("translation") else " ") + text
                     else:
                         where += text
-            rows.append((path, -1, "sequence", 0, [], {"seq": [re.sub(r"[^a-zA-Z]", "", origin.partition("//")[0])]}))
-            yield pd.DataFrame(rows, columns=["file", "feature_id", "key", "strand", "parts", "quals"])
+            rows.append((path, record, -1, "sequence", 0, [], {"seq": [re.sub(r"[^a-zA-Z]", "", origin)]}))
+            yield pd.DataFrame(rows, columns=["file", "record", "feature_id", "key", "strand", "parts", "quals"])
 
 
 def read_genbank(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Features (``file, feature_id, key, strand`` (0: mixed), ``parts, quals``) and sequences (``file, seq, len``)."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    rows = whole.mapInPandas(_features, "file string, feature_id int, key string, strand int, parts array<struct<s: int, e: int, strand: int>>, quals map<string, array<string>>")
+    """Features (``file, record, feature_id, key, strand`` (0: mixed), ``parts, quals``) and sequences
+    (``file, record, seq, len``) of annotated records, of which a file may hold many: files are split at
+    records' ends."""
+    whole = _text_rows(spark, path, "\n//").select("file", "value")
+    rows = whole.mapInPandas(_features, "file string, record string, feature_id int, key string, strand int, parts array<struct<s: int, e: int, strand: int>>, quals map<string, array<string>>")
     seq = F.upper(rows["quals"]["seq"][0])
-    return rows.filter("feature_id >= 0"), rows.filter("feature_id < 0").select("file", seq.alias("seq"), F.length(seq).alias("len"))
+    return rows.filter("feature_id >= 0"), rows.filter("feature_id < 0").select("file", "record", seq.alias("seq"), F.length(seq).alias("len"))
