@@ -40,12 +40,17 @@ def split_by_success(samples: DataFrame, successes: DataFrame, key: str) -> tupl
 
 def match_files(inputs: DataFrame, files: DataFrame, folder: str, stem: str, name: str, suffix: str = ".fasta") -> DataFrame:
     """For each input the file called exactly ``<stem><suffix>`` in its folder, else the first by name
-    that begins with the stem; null if there is none. Both sides meet by folder, so no nested loop."""
+    that begins with the stem; null if there is none.
+
+    Only equal keys meet: names, and names cut to the lengths that stems of the folder have, of which the
+    first is kept before they meet the inputs.
+    """
     f = files.select(F.col(folder), F.col(name).alias("_name"))
-    joined = inputs.join(f, folder, "left").filter(F.col("_name").isNull() | F.startswith(F.col("_name"), F.col(stem)))
-    exact = F.max(F.when(F.col("_name") == F.concat(F.col(stem), F.lit(suffix)), F.col("_name")))
-    found = joined.groupBy(*inputs.columns).agg(F.coalesce(exact, F.min("_name")).alias("file"))
-    return inputs.join(found, inputs.columns, "left")
+    lengths = inputs.select(folder, F.length(stem).alias("_n")).distinct()
+    cut = f.join(lengths, folder).select(folder, F.substr("_name", F.lit(1), F.col("_n")).alias(stem), "_name")
+    exact = F.col("_name") == F.concat(F.col(stem), F.lit(suffix))
+    found = cut.groupBy(folder, stem).agg(F.coalesce(F.min(F.when(exact, F.col("_name"))), F.min("_name")).alias("file"))
+    return inputs.join(found, [folder, stem], "left").select(*inputs.columns, "file")
 
 
 def select_assemblies(metrics: DataFrame, files: DataFrame, folder: str = "folder", order: str = "row_ord") -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from thylakoid.functions import sequence as fx
 from thylakoid.operators import alignment, kmers, msa, pairing, pileup, selection
 from thylakoid.plans import pipelines
-from thylakoid.session import read_table
+from thylakoid.session import read_table, scratch_folder
 from thylakoid.sources import files as sources
 
 QUERIES: dict = {}
@@ -220,6 +220,89 @@ def next_version(spark, sf_dir):
     return sources.next_version(names, "Set")
 
 
+# --- files: written from the tables to the shared scratch folder, and read again --------------
+
+
+@query(f"WITH {_DOCS} SELECT '>d' || doc_id AS header, seq, CAST(length(seq) AS INT) AS len FROM docs")
+def fasta_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    sources.write_fasta(_sequences(spark, sf_dir).select(F.concat(F.lit("d"), "doc_id").alias("header"), "seq"), folder)
+    return sources.read_fasta(spark, folder).select("header", "seq", "len")
+
+
+@query(f"""
+WITH {_DOCS} SELECT source, '>d' || doc_id AS header, seq FROM docs WHERE source IS NOT NULL QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) = 1
+""")
+def first_records(spark, sf_dir):
+    folder = scratch_folder(spark)
+    rows = _sequences(spark, sf_dir).filter("source is not null").withColumn("place", F.col("source"))
+    lines = rows.repartition("source").sortWithinPartitions("source", "doc_id")
+    lines.select("place", fx.one_line_record(F.concat(F.lit("d"), "doc_id"), F.col("seq")).alias("value")).write.partitionBy("place").text(folder)
+    found = sources.read_first_record(spark, f"{folder}/*/*.txt")
+    return found.select(F.url_decode(F.regexp_extract("file", "place=([^/]*)/", 1)).alias("source"), "header", "seq")
+
+
+@query("SELECT 'r' || conv_id || '.' || turn AS name, regexp_replace(text, '\\s', '', 'g') AS seq, repeat('I', length(regexp_replace(text, '\\s', '', 'g'))) AS qual FROM conversations")
+def fastq_files(spark, sf_dir):
+    folder = f"{scratch_folder(spark)}/reads_1.fastq"
+    rows = read_table(spark, sf_dir, "conversations").select(F.concat(F.lit("r"), "conv_id", F.lit("."), "turn").alias("name"), F.regexp_replace("text", r"\s", "").alias("seq"))
+    sources.write_fastq(rows.withColumn("qual", F.repeat(F.lit("I"), F.length("seq"))), folder)
+    return sources.read_fastq(spark, folder, 1).select("name", "seq", "qual")
+
+
+@query("""
+SELECT 'line' || l_orderkey || '.' || l_linenumber AS "Input", CAST(CAST(l_quantity AS INT) AS VARCHAR) AS "Length", CAST(l_partkey AS VARCHAR) AS "LSC",
+  CASE WHEN l_orderkey % 2 = 0 THEN CAST(l_suppkey AS VARCHAR) END AS "SSC" FROM lineitem
+""")
+def metrics_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    lines = read_table(spark, sf_dir, "lineitem")
+    rows = lines.select("l_orderkey", F.concat(F.lit("line"), "l_orderkey", F.lit("."), "l_linenumber").alias("Input"), F.col("l_quantity").cast("int").alias("Length"), F.col("l_partkey").alias("LSC"), F.col("l_suppkey").alias("SSC"))
+    rows.filter("l_orderkey % 2 = 0").select("SSC", "Input", "Length", "LSC").write.option("header", True).csv(f"{folder}/even")
+    rows.filter("l_orderkey % 2 <> 0").select("LSC", "Length", "Input").write.option("header", True).csv(f"{folder}/odd")
+    return sources.read_metrics(spark, folder, ["Input", "Length", "LSC", "SSC"]).drop("folder", "row_ord")
+
+
+@query("""
+SELECT 'f/c' || conv_id || '_1.fastq.gz' AS r1_path, 'f/c' || conv_id || '_2.fastq.gz' AS r2_path FROM conversations GROUP BY conv_id
+""")
+def pair_list_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    base = F.concat(F.lit("f/c"), F.col("conv_id"))
+    pairs = read_table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    sources.write_pair_list(pairs.select(F.concat(base, F.lit("_1.fastq.gz")).alias("r1_path"), F.concat(base, F.lit("_2.fastq.gz")).alias("r2_path")), folder)
+    return sources.read_pair_list(spark, folder)
+
+
+@query("""
+WITH f AS (SELECT page_id, regexp_extract(url, '([^/]*)$', 1) || CASE WHEN page_id % 3 = 0 THEN '.txt' ELSE '.fasta' END AS name FROM pages)
+SELECT page_id, name FROM f WHERE contains(name, '1') AND ends_with(name, '.fasta')
+""")
+def files_named(spark, sf_dir):
+    name = F.concat(F.regexp_extract("url", "([^/]*)$", 1), F.when(F.col("page_id") % 3 == 0, ".txt").otherwise(".fasta"))
+    return sources.files_named(read_table(spark, sf_dir, "pages").select("page_id", name.alias("name")), "1")
+
+
+@query(f"""
+WITH {_DOCS}, r AS (SELECT 'd' || doc_id AS record, length(seq) AS n FROM docs WHERE length(seq) >= 12)
+SELECT record, 0 AS feature_id, 'source' AS key, 1 AS strand, 1 AS parts, CAST(n AS BIGINT) AS covered, CAST(NULL AS VARCHAR) AS gene, CAST(n AS INT) AS len FROM r
+UNION ALL SELECT record, 1, 'gene', -1, 2, 3 + n // 2 - 5, 'g ' || record || ' of many', n FROM r UNION ALL SELECT record, 2, 'CDS', 0, 2, 5, NULL, n FROM r
+""")
+def annotation_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    docs = _sequences(spark, sf_dir).filter("length(seq) >= 12").select(F.concat(F.lit("d"), "doc_id").alias("record"), F.length("seq").alias("n"), F.lower("seq").alias("seq"))
+    half = F.expr("cast(n div 2 as string)")
+    record = F.concat(
+        F.lit("LOCUS       "), "record", F.lit(" bp\nFEATURES             Location/Qualifiers\n     source          1.."), F.col("n").cast("string"),
+        F.lit("\n     gene            complement(join(1..3,\n                     6.."), half, F.lit('))\n                     /gene="g '), "record", F.lit(' of\n                     many"\n     CDS             join(complement(1..2),4..6)\nORIGIN\n        1 '), "seq", F.lit("\n//"),
+    )
+    docs.select(record.alias("value")).write.text(folder)
+    features, seqs = sources.read_genbank(spark, folder)
+    covered = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["e"] - p["s"] + 1)
+    rows = features.select("record", "feature_id", "key", "strand", F.size("parts").alias("parts"), covered.alias("covered"), F.try_element_at(F.col("quals")["gene"], F.lit(1)).alias("gene"))
+    return rows.join(seqs.select("record", "len"), "record")
+
+
 # --- sequences -------------------------------------------------------------------------------
 
 
@@ -271,6 +354,18 @@ def approx_find(spark, sf_dir):
     return docs.select("doc_id", alignment.first_approximate("seq", "pat", F.lit(2)).alias("place"))
 
 
+@query("SELECT doc_id, translate(text, '-.', '') AS seq FROM documents")
+def ungap(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", fx.ungap(F.col("text")).alias("seq"))
+
+
+@query(f"WITH {_DOCS}, c AS (SELECT doc_id, length(seq) AS n, doc_id % 50 AS st, length(seq) - doc_id % 7 + 3 AS en FROM docs) SELECT doc_id, st >= 1 AND st < en AND en <= n AND en - st + 1 >= 200 AS valid FROM c")
+def valid_cuts(spark, sf_dir):
+    n = F.length("seq")
+    valid = pipelines.valid_cut(F.col("doc_id") % 50, n - F.col("doc_id") % 7 + 3, n, 200)
+    return _sequences(spark, sf_dir).select("doc_id", valid.alias("valid"))
+
+
 # --- pileups ---------------------------------------------------------------------------------
 
 #: The bucket that each type of event stands for.
@@ -307,10 +402,69 @@ def majority_base(spark, sf_dir):
     return pileup.mutations(_pileup(spark, sf_dir), 0.4).select("pos", "base")
 
 
-@query()
+#: What letters of words stand for in pileups made of them.
+_LETTERS, _MARKS = "abcdefghijklmnopqrstuvwxyz", ".,ACGTNacgtn+-^$*RYKMBD12V"
+_HITS = {
+    "ref_fwd": "c = '.'", "ref_rev": "c = ','", "a": "instr('ARWMDHV', c) > 0", "c": "instr('CYSMBHV', c) > 0", "g": "instr('GRSKBDV', c) > 0", "t": "instr('TYWKBDH', c) > 0",
+    "n": "c = 'N'", "ins": "c = '+'", "del": "c = '-'", "start": "c = '^'", "end": "c = '$'", "other": "c = 'other' OR c NOT IN ('.', ',', '+', '-', '^', '$', '*') AND instr('ACGTNRYSWKMBDHV', c) = 0",
+}
+
+
+@query(f"""
+WITH RECURSIVE w AS (SELECT DISTINCT translate(unnest(string_split(lower(text), ' ')), '{_LETTERS}', '{_MARKS}') AS bases FROM documents),
+s(bases, i, skip, num, digits, dead, hit) AS (
+  SELECT bases, 0, 0::BIGINT, -1::BIGINT, false, false, NULL::VARCHAR FROM w
+  UNION ALL
+  SELECT bases, i + 1,
+    CASE WHEN num >= 0 AND digit THEN skip WHEN hidden > 0 THEN hidden - 1 WHEN c = '^' THEN 1 ELSE 0 END,
+    CASE WHEN num >= 0 AND digit THEN least(num, 100000000) * 10 + CAST(c AS INT) WHEN hidden = 0 AND c IN ('+', '-') THEN 0 ELSE -1 END,
+    num >= 0 AND digit, num >= 0 AND NOT digit AND NOT digits,
+    CASE WHEN num >= 0 AND digit THEN NULL WHEN num >= 0 AND NOT digits THEN 'other' WHEN hidden = 0 THEN upper(c) END
+  FROM (SELECT *, bases[i + 1] AS c, bases[i + 1] IN ('0', '1', '2', '3', '4', '5', '6', '7', '8', '9') AS digit, CASE WHEN num >= 0 THEN num ELSE skip END AS hidden FROM s WHERE NOT dead AND i < length(bases))
+),
+h AS (SELECT bases, hit AS c FROM s WHERE hit IS NOT NULL UNION ALL SELECT bases, 'other' FROM s WHERE i = length(bases) AND num >= 0 AND NOT digits AND NOT dead)
+SELECT bases, {", ".join(f'count(*) FILTER ({test}) AS "{name}"' for name, test in _HITS.items())} FROM w LEFT JOIN h USING (bases) GROUP BY bases
+""")
 def pileup_parse(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "pages").select("page_id", pileup.parse_pileup(F.col("url")).alias("n"))
-    return rows.select("page_id", "n.*")
+    words = read_table(spark, sf_dir, "documents").select(F.explode(F.split(F.lower("text"), " ", -1)).alias("word"))
+    lines = words.select(F.translate("word", _LETTERS, _MARKS).alias("bases")).distinct()
+    return lines.select("bases", pileup.parse_pileup(F.col("bases")).alias("n")).select("bases", "n.*")
+
+
+@query(f"""
+WITH {_PILEUP} SELECT 'c' AS chrom, CAST(pos AS INT) AS pos, ref_fwd, ref_rev, a, c, g, t FROM n
+""")
+def pileup_table_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    none = {n: F.lit(0).cast("long") for n in pileup.BUCKETS if n not in ("ref_fwd", "ref_rev", "a", "c", "g", "t")}
+    sources.write_pileup_table(_pileup(spark, sf_dir).withColumns({"chrom": F.lit("c"), **none}), folder)
+    return sources.read_pileup_table(spark, folder)
+
+
+@query(f"""
+WITH RECURSIVE d AS (SELECT user_id AS pos, string_agg(CASE event_type WHEN 'view' THEN '.' WHEN 'click' THEN ',' WHEN 'error' THEN 'a' WHEN 'purchase' THEN '^+C' WHEN 'signup' THEN '+2ggR' END, '' ORDER BY event_id) AS bases, count(*) AS depth FROM events GROUP BY user_id)
+SELECT 'c' AS chrom, CAST(pos AS INT) AS pos, 'N' AS ref, count(*) FILTER (event_type = 'view') AS ref_fwd, count(*) FILTER (event_type = 'click') AS ref_rev, count(*) FILTER (event_type IN ('error', 'signup')) AS a,
+  count(*) FILTER (event_type = 'purchase') AS c, count(*) FILTER (event_type = 'signup') AS g, count(*) FILTER (event_type = 'signup') AS ins, count(*) FILTER (event_type = 'purchase') AS start FROM events JOIN d ON user_id = pos GROUP BY pos
+""")
+def mpileup_files(spark, sf_dir):
+    folder = scratch_folder(spark)
+    kinds = {"view": ".", "click": ",", "error": "a", "purchase": "^+C", "signup": "+2ggR"}
+    said = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
+    lines = read_table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("pos")).agg(F.array_sort(F.collect_list(F.struct("event_id", said[F.col("event_type")].alias("b")))).alias("seen"))
+    bases = F.array_join(F.transform("seen", lambda x: x["b"]), "")
+    lines.select(F.concat_ws("\t", F.lit("c"), "pos", F.lit("N"), F.size("seen").cast("string"), bases, F.lit("II")).alias("value")).write.text(folder)
+    return sources.read_mpileup(spark, folder).select("chrom", "pos", "ref", "ref_fwd", "ref_rev", "a", "c", "g", "ins", "start")
+
+
+@query(f"""
+WITH {_PILEUP} SELECT c_custkey AS pos, coalesce(ref_fwd, 0) AS ref_fwd, coalesce(ref_rev, 0) AS ref_rev, coalesce(a, 0) AS a, coalesce(c, 0) AS c, coalesce(g, 0) AS g, coalesce(t, 0) AS t FROM customer LEFT JOIN n ON pos = c_custkey
+""")
+def pileup_all_positions(spark, sf_dir):
+    bucket = F.create_map(*[F.lit(x) for kv in EVENT_BUCKETS.items() for x in kv])
+    rows = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("pos"), bucket[F.col("event_type")].alias("bucket"), "value")
+    counts = pileup.count_observations(rows, ["pos"], "bucket", "value")
+    every = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("pos"))
+    return pileup.with_all_positions(counts, every, ["pos"]).select("pos", "ref_fwd", "ref_rev", "a", "c", "g", "t")
 
 
 @query(f"""
@@ -329,9 +483,15 @@ _CELLS = f"{_DOCS}, cells AS (SELECT doc_id, source, unnest(range(length(seq)))
 _CONSENSUS = f"""{_CELLS}, counts AS (SELECT source, col, count(*) FILTER (ch = 'A') AS a, count(*) FILTER (ch = 'C') AS c, count(*) FILTER (ch = 'G') AS g, count(*) FILTER (ch = 'T') AS t FROM cells GROUP BY source, col),
 cons AS (SELECT *, CASE WHEN greatest(a, c, g, t) = 0 THEN 'N' WHEN a >= greatest(c, g, t) THEN 'A' WHEN c >= greatest(g, t) THEN 'C' WHEN g >= t THEN 'G' ELSE 'T' END AS base FROM counts)"""
 _FLAGS = f"""{_CONSENSUS}, flags AS (SELECT doc_id, col, (base <> 'N' AND ch <> 'N')::INT AS comp, (base <> 'N' AND ch <> 'N' AND base <> ch)::INT AS mis FROM cells JOIN cons USING (source, col))"""
-_WINDOWS = f"""{_FLAGS}, w AS (SELECT doc_id, col, sum(comp) OVER f AS comp, sum(mis) OVER f AS mis, count(*) OVER f AS n, sum(mis) OVER r / sum(comp) OVER r AS overall FROM flags
+
+
+def _windows(slack: float) -> str:
+    return f"""{_FLAGS}, w AS (SELECT doc_id, col, sum(comp) OVER f AS comp, sum(mis) OVER f AS mis, count(*) OVER f AS n, sum(mis) OVER r / sum(comp) OVER r AS overall FROM flags
   WINDOW f AS (PARTITION BY doc_id ORDER BY col ROWS BETWEEN CURRENT ROW AND 399 FOLLOWING), r AS (PARTITION BY doc_id)),
-bad AS (SELECT doc_id, col AS s, col + 399 AS e FROM w WHERE n = 400 AND col % 100 = 0 AND comp >= 200 AND mis / comp >= greatest(0.35, least(0.6, overall + 0.02)))"""
+bad AS (SELECT doc_id, col AS s, col + 399 AS e FROM w WHERE n = 400 AND col % 100 = 0 AND comp >= 200 AND mis / comp >= greatest(0.35, least(0.6, overall + {slack}))),
+m AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100 OR row_number() OVER (PARTITION BY doc_id ORDER BY s, e) = 1 THEN 1 ELSE 0 END AS new FROM bad),
+i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM m),
+merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k)"""
 
 
 def _cells(spark, sf_dir):
@@ -374,16 +534,12 @@ def col_to_pos(spark, sf_dir):
     )
 
 
-@query(f"WITH {_WINDOWS} SELECT doc_id, s, e FROM bad")
+@query(f"WITH {_windows(0.02)} SELECT doc_id, s, e FROM bad")
 def mismatch_windows(spark, sf_dir):
     return msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
 
 
-@query(f"""
-WITH {_WINDOWS}, m AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100 OR row_number() OVER (PARTITION BY doc_id ORDER BY s, e) = 1 THEN 1 ELSE 0 END AS new FROM bad),
-i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM m)
-SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k
-""")
+@query(f"WITH {_windows(0.02)} SELECT * FROM merged")
 def merge_windows(spark, sf_dir):
     bad = msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02)
     return msa.merge_intervals(bad, ["doc_id"], 100).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
@@ -401,7 +557,17 @@ def max_excess_block(spark, sf_dir):
     return msa.max_excess_block(read_table(spark, sf_dir, "events").select("user_id", "event_id", score.alias("score")), ["user_id"], "event_id")
 
 
-@query()
+@query(f"""
+WITH {_windows(0.25)},
+sized AS (SELECT doc_id, s, e, sum(comp) AS comp FROM merged JOIN flags USING (doc_id) WHERE col BETWEEN s AND e GROUP BY ALL HAVING sum(comp) >= 300),
+blocks AS (SELECT *, 'windows' AS found_by FROM sized QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY comp DESC, s) = 1),
+p AS (SELECT doc_id, col, sum(CASE WHEN comp = 0 THEN 0 WHEN mis = 1 THEN 1 ELSE -1 END) OVER (PARTITION BY doc_id ORDER BY col) AS p FROM flags),
+low AS (SELECT doc_id, col, p, least(coalesce(min(p * 10000000 - (col + 1)) OVER (PARTITION BY doc_id ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS x FROM p),
+gains AS (SELECT doc_id, col AS e, p - CAST(ceil(x / 10000000) AS BIGINT) AS gain, CAST(ceil(x / 10000000) AS BIGINT) * 10000000 - x AS s FROM low),
+best AS (SELECT * FROM gains WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, e) = 1),
+excess AS (SELECT doc_id, s, e, sum(comp) AS comp FROM best JOIN flags USING (doc_id) WHERE col BETWEEN s AND e AND doc_id NOT IN (SELECT doc_id FROM blocks) GROUP BY ALL HAVING sum(comp) >= 300)
+SELECT doc_id, CAST(s AS INT) AS s, CAST(e AS INT) AS e, CAST(comp AS BIGINT) AS comp, found_by FROM blocks UNION ALL SELECT doc_id, CAST(s AS INT), CAST(e AS INT), CAST(comp AS BIGINT), 'excess' FROM excess
+""")
 def inversion_block(spark, sf_dir):
     return msa.inversion_block(_flags(spark, sf_dir), ["doc_id"], 400, 300, 300)
 
@@ -441,21 +607,73 @@ def nearest_anchor(spark, sf_dir):
     return found.select("doc_id", F.col("left").cast("long").alias("left"), F.col("right").cast("long").alias("right"))
 
 
-@query("""
-WITH c AS (SELECT l_orderkey, l_linenumber, l_quantity AS score, l_returnflag = 'R' AS flipped FROM lineitem)
-SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY score DESC, flipped DESC, l_linenumber) = 1 AS chosen FROM c
+_SET = "list_distinct(list_filter(list_transform(range(1, length({0}) - 7), lambda i: substr({0}, i, 9)), lambda x: NOT contains(x, 'N')))"
+
+
+@query(f"""
+WITH {_DOCS}, p AS (SELECT a.doc_id, a.seq AS a, b.seq AS b, length(b.seq) // 4 + 1 AS st, length(b.seq) // 2 AS en FROM docs a JOIN docs b ON b.doc_id = a.doc_id + 1 WHERE length(b.seq) >= 4),
+c AS (SELECT doc_id, a, false AS flipped, b AS seq FROM p UNION ALL SELECT doc_id, a, true, substr(b, 1, st - 1) || {_COMPLEMENT.format("substr(b, st, en - st + 1)")} || substr(b, en + 1) FROM p),
+k AS (SELECT doc_id, flipped, {_SET.format("a")} AS x, {_SET.format("seq")} AS y FROM c),
+n AS (SELECT doc_id, flipped, len(list_intersect(x, y)) AS shared, len(x) + len(y) AS n FROM k)
+SELECT doc_id, flipped, CAST(shared AS BIGINT) AS shared, CAST(n - shared AS BIGINT) AS total,
+  row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN n > shared THEN shared / (n - shared) ELSE 0 END DESC, flipped DESC) = 1 AS chosen FROM n
 """)
 def choose_variant(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.struct("l_quantity", (F.col("l_returnflag") == "R").alias("f"), (-F.col("l_linenumber")).alias("n")).alias("score"), (F.col("l_returnflag") == "R").alias("flipped"))
-    return msa.choose_orientation(rows, ["l_orderkey"], "score", "flipped").select("l_orderkey", "l_linenumber", "chosen")
+    pairs = _neighbours(spark, sf_dir).filter("length(b) >= 4")
+    turned = fx.flip_segment(F.col("b"), F.expr("int(length(b) div 4) + 1"), F.expr("int(length(b) div 2)"))
+    both = F.explode(F.array(F.struct(F.lit(False).alias("flipped"), F.col("b").alias("seq")), F.struct(F.lit(True).alias("flipped"), turned.alias("seq"))))
+    rows = pairs.select("doc_id", "a", both.alias("x")).select("doc_id", "x.flipped", kmers.shared_kmers(9)("a", "x.seq").alias("n"))
+    rows = rows.select("doc_id", "flipped", "n.*").withColumn("score", F.when(F.col("total") > 0, F.col("shared") / F.col("total")).otherwise(0.0))
+    return msa.choose_orientation(rows, ["doc_id"], "score", "flipped").drop("score")
 
 
-@query()
+@query(f"""
+WITH RECURSIVE p AS (SELECT p_partkey, upper(p_name) AS a, upper(p_type) AS b FROM part),
+t(p_partkey, a, b, i, h) AS (
+  SELECT p_partkey, a, b, 0, [list_transform(range(0, length(b) + 1), lambda j: 0)] FROM p
+  UNION ALL
+  SELECT p_partkey, a, b, i + 1, list_append(h, list_transform(range(1, len(r) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: r[k] - 2 * (j - k)))))
+  FROM (SELECT *, list_transform(range(0, length(b) + 1), lambda j: CASE WHEN j = 0 THEN 0 ELSE greatest(0, h[i + 1][j] + CASE WHEN a[i + 1] = b[j] THEN 2 ELSE -1 END, h[i + 1][j + 1] - 2) END) AS r FROM t WHERE i < length(a))
+),
+f AS (SELECT p_partkey, a, b, h, list_max(flatten(h)) AS score, list_position(flatten(h), list_max(flatten(h))) - 1 AS cell FROM t WHERE i = length(a)),
+w(p_partkey, a, b, h, score, ei, ej, i, j, si, sj) AS (
+  SELECT p_partkey, a, b, h, score, cell // (length(b) + 1), cell % (length(b) + 1), cell // (length(b) + 1), cell % (length(b) + 1), 0::BIGINT, 0::BIGINT FROM f WHERE score > 0
+  UNION ALL
+  SELECT p_partkey, a, b, h, score, ei, ej, CASE WHEN diagonal OR up THEN i - 1 ELSE i END, CASE WHEN diagonal OR NOT up THEN j - 1 ELSE j END, i, j
+  FROM (SELECT *, h[i + 1][j + 1] = h[i][j] + CASE WHEN a[i] = b[j] THEN 2 ELSE -1 END AS diagonal, h[i + 1][j + 1] = h[i][j + 1] - 2 AS up FROM w WHERE h[i + 1][j + 1] > 0)
+)
+SELECT p_partkey, CAST(si AS INT) AS a_st, CAST(ei AS INT) AS a_en, CAST(sj AS INT) AS b_st, CAST(ej AS INT) AS b_en, CAST(score AS INT) AS score FROM w WHERE h[i + 1][j + 1] = 0
+UNION ALL SELECT p_partkey, NULL, NULL, NULL, NULL, NULL FROM f WHERE score <= 0
+""")
 def smith_waterman(spark, sf_dir):
     found = read_table(spark, sf_dir, "part").select("p_partkey", alignment.smith_waterman("p_name", "p_type").alias("x"))
     return found.select("p_partkey", "x.*")
 
 
+@query("""
+WITH RECURSIVE p AS (SELECT p_partkey, p_name AS a, p_type AS b FROM part),
+t(p_partkey, a, b, i, h) AS (
+  SELECT p_partkey, a, b, 0, list_transform(range(0, length(b) + 1), lambda j: -2 * j) FROM p
+  UNION ALL
+  SELECT p_partkey, a, b, i + 1, list_transform(range(1, len(r) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: r[k] - 2 * (j - k))))
+  FROM (SELECT *, list_transform(range(0, length(b) + 1), lambda j: CASE WHEN j = 0 THEN -2 * (i + 1) ELSE greatest(h[j] + CASE WHEN a[i + 1] = b[j] THEN 1 ELSE -1 END, h[j + 1] - 2) END) AS r FROM t WHERE i < length(a))
+)
+SELECT p_partkey, a, b, CAST(h[length(b) + 1] AS INT) AS score FROM t WHERE i = length(a)
+""")
+def pair_alignment(spark, sf_dir):
+    found = read_table(spark, sf_dir, "part").select("p_partkey", alignment.align_pair("p_name", "p_type").alias("x"))
+    value = F.zip_with(F.split("x.a", ""), F.split("x.b", ""), lambda p, q: F.when((p == "-") | (q == "-"), -2).when(p == q, 1).otherwise(-1))
+    return found.select("p_partkey", F.replace("x.a", F.lit("-"), F.lit("")).alias("a"), F.replace("x.b", F.lit("-"), F.lit("")).alias("b"), F.aggregate(value, F.lit(0), lambda s, x: s + x).alias("score"))
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_suppkey, l_partkey, l_orderkey, l_linenumber) - 1 AS nth FROM lineitem
+""")
+def coordinate_sort(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_orderkey", "l_linenumber")
+    return kmers.coordinate_order(rows, ["l_suppkey", "l_partkey", "l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "nth")
+
+
 @query()
 def circular_rotation(spark, sf_dir):
     return alignment.rotate_to_anchor(_neighbours(spark, sf_dir), ["doc_id"], "a", "b", anchor=16, most=3, k=9)
@@ -464,33 +682,49 @@ def circular_rotation(spark, sf_dir):
 #: Items lie on few documents, so one read is enough evidence here.
 ONE_READ = pipelines.Settings(least_alt=1)
 
-
-def _bases():
-    """Without N, which no seed holds."""
-    return F.translate(fx.pseudo_sequence(F.col("text")), "N", "")
+_MAPPED = f"""{_DOCS}, r AS (SELECT item_id, {_SEQ} AS seq FROM benchmark),
+rs AS (SELECT item_id, '+' AS strand, seq AS s FROM r UNION ALL SELECT item_id, '-', {_COMPLEMENT.format("seq")} FROM r),
+rk AS (SELECT * FROM (SELECT item_id, strand, i - 1 AS i, substr(s, i, 15) AS kmer FROM rs, unnest(range(1, length(s) - 13)) AS u(i) WHERE length(s) >= 15) WHERE NOT contains(kmer, 'N')),
+ck AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, i - 1 AS place, substr(seq, i, 15) AS kmer FROM docs, unnest(range(1, length(seq) - 13)) AS u(i) WHERE length(seq) >= 15),
+votes AS (SELECT item_id, chrom, strand, place - i + 1 AS pos, count(*) AS seeds FROM rk JOIN ck USING (kmer) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY seeds DESC, chrom, pos, strand) AS n FROM votes),
+sizes AS (SELECT item_id, max(c) AS most FROM (SELECT item_id, strand, count(*) AS c FROM rk GROUP BY ALL) GROUP BY item_id),
+mapped AS (SELECT x.item_id, x.chrom, CAST(x.pos AS INT) AS pos, x.strand, x.seeds, CAST(floor(60 * (1 - coalesce(y.seeds, 0) / x.seeds)) AS INT) AS mapq
+  FROM (SELECT * FROM ranked WHERE n = 1) x LEFT JOIN (SELECT * FROM ranked WHERE n = 2) y USING (item_id) JOIN sizes USING (item_id) WHERE x.seeds >= least(2, most))"""
+_VARIANTS = f"""{_MAPPED}, bases AS (SELECT chrom, strand, pos + j AS pos, s[j + 1] AS b FROM mapped JOIN rs USING (item_id, strand), unnest(range(0, length(s))) AS u(j)),
+seen AS (SELECT chrom, strand, pos, b, substr(seq, pos, 1) AS ref FROM bases JOIN docs ON chrom = CAST(doc_id AS VARCHAR) WHERE pos BETWEEN 1 AND length(seq)),
+n AS (SELECT chrom, pos, ref, count(*) FILTER (b = ref AND strand = '+') AS ref_fwd, count(*) FILTER (b = ref AND strand = '-') AS ref_rev, count(*) FILTER (b <> ref AND b = 'A') AS a, count(*) FILTER (b <> ref AND b = 'C') AS c,
+  count(*) FILTER (b <> ref AND b = 'G') AS g, count(*) FILTER (b <> ref AND b = 'T') AS t, count(*) FILTER (b <> ref AND b = 'N') AS n, 0::BIGINT AS ins, 0::BIGINT AS "del", 0::BIGINT AS start, 0::BIGINT AS "end", 0::BIGINT AS other FROM seen GROUP BY ALL),
+found AS (SELECT * FROM n WHERE a + c + g + t > 0 AND (ref = 'N' OR greatest(a, c, g, t) / (a + c + g + t) >= 0.6))"""
 
 
 def _reads(spark, sf_dir):
     """Benchmark items as reads; some documents hold passages of them."""
-    rows = read_table(spark, sf_dir, "benchmark").select("item_id", _bases().alias("seq"))
+    rows = read_table(spark, sf_dir, "benchmark").select("item_id", fx.pseudo_sequence(F.col("text")).alias("seq"))
     return rows.withColumn("qual", F.repeat(F.lit("I"), F.length("seq")))
 
 
 def _contigs(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chrom"), _bases().alias("seq"))
+    return _sequences(spark, sf_dir).select(F.col("doc_id").cast("string").alias("chrom"), "seq")
 
 
-@query()
+@query(f"WITH {_MAPPED} SELECT * FROM mapped")
 def read_mapping(spark, sf_dir):
     return kmers.map_reads(_reads(spark, sf_dir).drop("qual"), _contigs(spark, sf_dir), ["item_id"])
 
 
-@query()
+@query(f"WITH {_VARIANTS} SELECT * REPLACE (CAST(pos AS INT) AS pos) FROM found")
 def variant_table(spark, sf_dir):
     return pipelines.variant_table(_reads(spark, sf_dir), _contigs(spark, sf_dir), ["item_id"], ONE_READ)
 
 
-@query()
+@query(f"""
+WITH {_VARIANTS}, changes AS (SELECT chrom, pos, CASE WHEN a >= greatest(c, g, t) THEN 'A' WHEN c >= greatest(g, t) THEN 'C' WHEN g >= t THEN 'G' ELSE 'T' END AS base
+  FROM found WHERE ref_fwd + ref_rev = 0 OR (ref_fwd + ref_rev) / (ref_fwd + ref_rev + a + c + g + t) < 0.5),
+letters AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, unnest(range(1, length(seq) + 1)) AS pos, unnest(string_split(seq, '')) AS ch FROM docs WHERE length(seq) > 0),
+fixed AS (SELECT chrom, string_agg(coalesce(base, ch), '' ORDER BY pos) AS seq FROM letters LEFT JOIN changes USING (chrom, pos) GROUP BY chrom)
+SELECT CAST(doc_id AS VARCHAR) AS chrom, coalesce(fixed.seq, '') AS seq, '>' || doc_id || ', Hordeum vulgare, ' || length(coalesce(fixed.seq, '')) AS header FROM docs LEFT JOIN fixed ON chrom = CAST(doc_id AS VARCHAR)
+""")
 def correct_sequences(spark, sf_dir):
     contigs = _contigs(spark, sf_dir)
     return pipelines.correct_sequences(contigs, pipelines.variant_table(_reads(spark, sf_dir), contigs, ["item_id"], ONE_READ))

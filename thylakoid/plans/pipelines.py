@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import flip_segment, record_header, ungap
@@ -54,6 +54,11 @@ def correct_sequences(contigs: DataFrame, found: DataFrame, key: str = "chrom",
     return fixed.withColumn("header", record_header(F.col(key), F.lit(s.species), F.length("seq")))
 
 
+def valid_cut(first: Column, last: Column, length: Column, least: int) -> Column:
+    """Ends (from 1) that lie in a sequence of that length, in order and far enough apart."""
+    return (first >= 1) & (first < last) & (last <= length) & (last - first + 1 >= least)
+
+
 def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Settings()) -> DataFrame:
     """Better ends for a block (``q_st, q_en`` in the new sequence, ``c_st, c_en`` in the consensus).
 
@@ -86,7 +91,7 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
     out = cut_lineage(rows.join(ends, key, "left").join(simple, key, "left"))
 
     def valid(a, b, least):
-        return (a >= 1) & (a < b) & (b <= F.length(new)) & (b - a + 1 >= least)
+        return valid_cut(a, b, F.length(new), least)
 
     tries = []
     for left, right, name, least in (("m_left", "m_right", "matches", max(500, min(s.seed_sizes) * 5)), ("a_left", "a_right", "anchors", max(500, s.anchor_k * 5))):
