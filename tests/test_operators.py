@@ -88,15 +88,11 @@ def test_selection(spark):
     assert [r.folder for r in failed.collect()] == ["b"]
 
 
-def kadane(scores):
-    best, cur, start, out = 0, 0, 0, None
-    for i, v in enumerate(scores):
-        cur += v
-        if cur <= 0:
-            cur, start = 0, i + 1
-        elif cur > best:
-            best, out = cur, (start, i, cur)
-    return out
+def largest_stretch(scores):
+    """Of all stretches the one of the largest positive sum; the first end, then the last start."""
+    every = [(sum(scores[i : j + 1]), -j, i) for i in range(len(scores)) for j in range(i, len(scores))]
+    total, end, start = max(every, default=(0, 0, 0))
+    return (start, -end, total) if total > 0 else None
 
 
 def test_max_excess(spark):
@@ -104,7 +100,7 @@ def test_max_excess(spark):
     rows = {k: [rng.choice([-1, 0, 1]) for _ in range(rng.randint(1, 40))] for k in range(60)} | {99: [-1, -1, 0]}
     df = spark.createDataFrame([(k, i, v) for k, s in rows.items() for i, v in enumerate(s)], "k int, col int, score int")
     got = {r.k: (r.s, r.e, r.total) for r in msa.max_excess_block(df, ["k"]).collect()}
-    assert got == {k: kadane(s) for k, s in rows.items() if kadane(s)}
+    assert got == {k: largest_stretch(s) for k, s in rows.items() if largest_stretch(s)}
 
 
 def test_windows_and_merging(spark):
@@ -114,7 +110,8 @@ def test_windows_and_merging(spark):
         p = 0.8 if 1000 <= i < 1900 else 0.02
         c = int(rng.random() < 0.95)
         flags.append((1, i, c, int(c and rng.random() < p)))
-    df = spark.createDataFrame(flags, "k int, col int, comp int, mis int")
+    seq = "".join("-" if not f[2] else "C" if f[3] else "a" for f in flags)
+    df = spark.createDataFrame([(1, seq, "A" * n)], "k int, seq_aln string, cons string")
     overall = sum(f[3] for f in flags) / sum(f[2] for f in flags)
     limit, want = max(0.35, min(0.6, overall + 0.25)), []
     for s in range(0, n - 399, 100):
@@ -133,12 +130,22 @@ def test_windows_and_merging(spark):
 
 def test_consensus_identity_and_positions(spark):
     rows = spark.createDataFrame([(0, "AC-GN"), (1, "AT-GN"), (2, "TTcRN")], "row int, seq_aln string").withColumn("k", F.lit(1))
-    cells = msa.columns_of(rows, ["k", "row"])
-    agreed = msa.consensus(cells, ["k"])
+    agreed = msa.consensus(rows, ["k"])
     assert "".join(r.base for r in agreed.orderBy("col").collect()) == "ATCGN"
-    scores = {r.row: (r.compared, r.equal) for r in msa.identity(cells, agreed, ["row"], ["k"]).collect()}
+    scores = {r.row: (r.compared, r.equal) for r in msa.identity(msa.with_consensus(rows, agreed, ["k"]), ["row"]).collect()}
     assert scores == {0: (3, 2), 1: (3, 3), 2: (4, 2)}
-    assert [r.pos for r in msa.positions(cells, ["row"]).filter("row = 0").orderBy("col").collect()] == [1, 2, -1, 3, 4]
+    assert rows.filter("row = 0").select(msa.positions("seq_aln").alias("x")).first().x == [1, 2, -1, 3, 4]
+
+
+def test_excess_stretches(spark):
+    rng = random.Random(12)
+    rows = {k: [rng.choice([-1, 0, 1]) for _ in range(rng.randint(0, 40))] for k in range(200)}
+    text = lambda scores: "".join({-1: "A", 0: "-", 1: "G"}[v] for v in scores)
+    df = spark.createDataFrame([(k, text(v), "A" * len(v)) for k, v in rows.items()], "k int, a string, b string")
+    got = {r.k: tuple(r.x) for r in df.select("k", msa.excess_stretch("a", "b").alias("x")).collect()}
+    for k, scores in rows.items():
+        best = largest_stretch(scores)
+        assert got[k] == (best[:2] if best else (None, None))
 
 
 def test_exact_matches(spark):

@@ -1,32 +1,102 @@
-"""Columns of multiple alignments: consensus, identity, positions, mismatch windows and blocks."""
+"""Columns of multiple alignments: consensus, identity, positions, mismatch windows and blocks.
+
+Rows of an alignment stay whole strings: Arrow functions compare them column by column, and only what
+differs between columns' groups (counts, windows, blocks) becomes rows that Spark groups and joins.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from thylakoid.functions.sequence import BASES, majority_base
 from thylakoid.session import cut_lineage
 
+#: Counts that a task holds before it passes them on.
+MOST_COUNTS = 1 << 21
+_GAPS = [ord(c) for c in "-."]
+_N = ord("N")
+
+
+def _struct(kind: T.DataType, *names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, kind) for n in names])
+
+
+def letters(text: str | None) -> np.ndarray:
+    """A text's characters as numbers, a-z as A-Z."""
+    x = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.where((x >= 97) & (x <= 122), x - 32, x)
 
-def columns_of(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
-    """One row per alignment column: the keys, ``col`` (from 0) and ``ch`` (upper-cased)."""
-    cells = rows.filter(F.length(seq) > 0).select(*keys, F.posexplode(F.split(F.upper(F.col(seq)), "")).alias("col", "ch"))
-    return cells.filter("ch <> ''")
 
+def _is_base(x: np.ndarray) -> np.ndarray:
+    return (x == 65) | (x == 67) | (x == 71) | (x == 84)
 
-def consensus(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Each column's most frequent base (A, C, G, T on ties), N where no row has one."""
-    counts = cells.groupBy(*keys, "col").agg(*[F.count_if(F.col("ch") == b).alias(b.lower()) for b in BASES])
+
+def consensus(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Each column's (``col``, from 0) counts of bases and most frequent one (``base``; A, C, G, T on ties, N where no row has one).
+
+    Tasks count their rows in arrays, so what is shuffled is one row a column, group and task.
+    """
+
+    def emit(held: dict) -> Iterator[pa.RecordBatch]:
+        for key, counts in held.items():
+            n = len(counts)
+            fixed = [pa.array([v] * n, kind) for v, kind in zip(key, kinds)]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n, dtype=np.int32)), *(pa.array(np.ascontiguousarray(counts[:, i])) for i in range(4))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            kinds[:] = [batch.schema.field(i).type for i in range(len(keys))]
+            for *key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                x, counts = letters(text), held.get(tuple(key), np.zeros((0, 4), np.int64))
+                if len(x) > len(counts):
+                    counts = np.concatenate([counts, np.zeros((len(x) - len(counts), 4), np.int64)])
+                    held[tuple(key)] = counts
+                for i, base in enumerate(BASES):
+                    counts[: len(x), i] += x == ord(base)
+            if sum(map(len, held.values())) > MOST_COUNTS:
+                yield from emit(held)
+                held = {}
+        yield from emit(held)
+
+    kinds: list = []
+    names = [*keys, "col", *(b.lower() for b in BASES)]
+    cut = rows.select(*keys, seq)
+    types = dict(cut.dtypes)
+    parts = cut.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keys), "col int", *(f"{b.lower()} long" for b in BASES)]))
+    counts = parts.groupBy(*keys, "col").agg(*[F.sum(b.lower()).alias(b.lower()) for b in BASES])
     return counts.select(*keys, "col", "a", "c", "g", "t", F.coalesce(majority_base(*map(F.col, "acgt")), F.lit("N")).alias("base"))
 
 
-def identity(cells: DataFrame, agreed: DataFrame, row: list[str], keys: list[str]) -> DataFrame:
+def with_consensus(rows: DataFrame, agreed: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their group's consensus as the string ``cons``; rows of groups without one go."""
+    whole = reassemble(agreed.select(*keys, "col", "base"), keys, "col", "base").withColumnRenamed("seq", "cons")
+    return rows.join(whole, keys)
+
+
+@F.pandas_udf(_struct(T.LongType(), "compared", "equal"))
+def _identity(seq: pd.Series, cons: pd.Series) -> pd.DataFrame:
+    out = []
+    for a, b in zip(seq, cons):
+        x, y = letters(a), letters(b)
+        n = min(len(x), len(y))
+        x, y = x[:n], y[:n]
+        counted = (y != _N) & (x != _N) & ~np.isin(x, _GAPS)
+        out.append((int(counted.sum()), int((counted & (x == y)).sum())))
+    return pd.DataFrame(out, columns=["compared", "equal"])
+
+
+def identity(rows: DataFrame, row: list[str], seq: str = "seq_aln", cons: str = "cons") -> DataFrame:
     """Share of a row's letters that equal the consensus, over columns where that is defined and the row
     has neither gap nor N. Letters that aren't bases count as different."""
-    both = cells.join(agreed.select(*keys, "col", "base"), [*keys, "col"])
-    counted = (F.col("base") != "N") & ~F.col("ch").isin("-", ".", "N")
-    sums = both.groupBy(*row).agg(F.count_if(counted).alias("compared"), F.count_if(counted & (F.col("ch") == F.col("base"))).alias("equal"))
+    sums = rows.select(*row, _identity(seq, cons).alias("x")).select(*row, "x.*")
     return sums.withColumn("identity", F.when(F.col("compared") > 0, F.col("equal") / F.col("compared")).otherwise(0.0))
 
 
@@ -34,39 +104,46 @@ def route_by_identity(scores: DataFrame, least: float = 0.95) -> DataFrame:
     return scores.withColumn("status", F.when(F.col("identity") >= least, "accepted").otherwise("rejected"))
 
 
-def positions(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """``pos``: the place (from 1) in the ungapped sequence of each column, -1 where it has none."""
-    letter = F.col("ch").isin(*BASES, "N")
-    running = F.sum(letter.cast("int")).over(Window.partitionBy(*keys).orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
-    return cells.withColumn("pos", F.when(letter, running).otherwise(-1).cast("int"))
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def positions(seq: pd.Series) -> pd.Series:
+    """For each column of a row the place (from 1) in the ungapped sequence, -1 where it has none."""
+    out = []
+    for text in seq:
+        x = letters(text)
+        letter = _is_base(x) | (x == _N)
+        out.append(np.where(letter, np.cumsum(letter), -1).astype(np.int32))
+    return pd.Series(out)
 
 
-def compared(cells: DataFrame, agreed: DataFrame, row: list[str], keys: list[str]) -> DataFrame:
-    """Per column: ``comp`` (both sides have a base) and ``mis`` (and differ)."""
-    both = cells.join(agreed.select(*keys, "col", "base"), [*keys, "col"])
-    comp = F.col("base").isin(*BASES) & F.col("ch").isin(*BASES)
-    return both.select(*row, "col", comp.cast("int").alias("comp"), (comp & (F.col("base") != F.col("ch"))).cast("int").alias("mis"))
+def _compared(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:
+    """Per column: both sides have a base; and they differ."""
+    x, y = letters(a), letters(b)
+    n = min(len(x), len(y))
+    x, y = x[:n], y[:n]
+    comp = _is_base(x) & _is_base(y)
+    return comp, comp & (x != y)
 
 
-def mismatch_windows(flags: DataFrame, row: list[str], window: int = 400, highest: float = 0.6, lowest: float = 0.35, slack: float = 0.25) -> DataFrame:
-    """Complete windows, one every quarter (100 at least), of which half the columns are comparable and
-    whose mismatch ratio reaches the row's threshold: its overall ratio plus ``slack``, within bounds."""
+def mismatch_windows(rows: DataFrame, row: list[str], seq: str = "seq_aln", cons: str = "cons", window: int = 400, highest: float = 0.6, lowest: float = 0.35, slack: float = 0.25) -> DataFrame:
+    """Complete windows (``s, e``, columns from 0), one every quarter (100 at least), of which half the
+    columns are comparable and whose mismatch ratio reaches the row's threshold: its overall ratio plus
+    ``slack``, within bounds."""
     step = max(100, window // 4)
-    frame = Window.partitionBy(*row).orderBy("col").rowsBetween(0, window - 1)
-    whole = Window.partitionBy(*row)
-    every = flags.select(
-        *row,
-        "col",
-        F.sum("comp").over(frame).alias("comp"),
-        F.sum("mis").over(frame).alias("mis"),
-        F.count("*").over(frame).alias("n"),
-        F.sum("comp").over(whole).alias("all_comp"),
-        F.sum("mis").over(whole).alias("all_mis"),
-    )
-    overall = F.when(F.col("all_comp") > 0, F.col("all_mis") / F.col("all_comp")).otherwise(0.0)
-    limit = F.greatest(F.lit(lowest), F.least(F.lit(highest), overall + slack))
-    bad = (F.col("n") == window) & (F.col("col") % step == 0) & (F.col("comp") >= window * 0.5) & (F.col("mis") / F.greatest("comp", F.lit(1)) >= limit)
-    return every.filter(bad).select(*row, F.col("col").alias("s"), (F.col("col") + (window - 1)).alias("e"))
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def starts(seqs: pd.Series, agreed: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(seqs, agreed):
+            comp, mis = _compared(a, b)
+            at = np.arange(0, len(comp) - window + 1, step)
+            c, m = (np.concatenate([[0], np.cumsum(x)]) for x in (comp, mis))
+            overall = m[-1] / c[-1] if c[-1] else 0.0
+            limit = max(lowest, min(highest, overall + slack))
+            n, wrong = c[at + window] - c[at], m[at + window] - m[at]
+            out.append(at[(n >= window * 0.5) & (wrong / np.maximum(n, 1) >= limit)].astype(np.int32))
+        return pd.Series(out)
+
+    return rows.select(*row, F.explode(starts(seq, cons)).alias("s")).withColumn("e", F.col("s") + (window - 1))
 
 
 def merge_intervals(intervals: DataFrame, row: list[str], gap: int) -> DataFrame:
@@ -78,10 +155,14 @@ def merge_intervals(intervals: DataFrame, row: list[str], gap: int) -> DataFrame
     return island.groupBy(*row, "_island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("_island")
 
 
-def largest_block(blocks: DataFrame, flags: DataFrame, row: list[str], least: int = 2000) -> DataFrame:
+@F.pandas_udf(T.LongType())
+def _comparable(seq: pd.Series, cons: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
+    return pd.Series([int(_compared(a, b)[0][s : e + 1].sum()) for a, b, s, e in zip(seq, cons, first, last)])
+
+
+def largest_block(blocks: DataFrame, rows: DataFrame, row: list[str], least: int = 2000, seq: str = "seq_aln", cons: str = "cons") -> DataFrame:
     """Of each row's blocks the one with the most comparable columns (``least`` at least), the first of equals."""
-    inside = blocks.join(flags, row).filter(F.col("col").between(F.col("s"), F.col("e")))
-    sized = inside.groupBy(*row, "s", "e").agg(F.sum("comp").alias("comp")).filter(F.col("comp") >= least)
+    sized = blocks.join(rows.select(*row, seq, cons), row).select(*row, "s", "e", _comparable(seq, cons, "s", "e").alias("comp")).filter(F.col("comp") >= least)
     best = sized.groupBy(*row).agg(F.max(F.struct("comp", (-F.col("s")).alias("first"), "e")).alias("x"))
     return best.select(*row, (-F.col("x.first")).alias("s"), F.col("x.e").alias("e"), F.col("x.comp").alias("comp"))
 
@@ -105,26 +186,49 @@ def max_excess_block(scores: DataFrame, row: list[str], order: str = "col", scor
     return starts.join(sums.select(*row, "i", F.col("o").alias("s")), [*row, "i"]).select(*row, "s", "e", "total")
 
 
-def excess_score(comp: Column, mis: Column) -> Column:
-    """+1 for a mismatch, -1 for a match, 0 where nothing can be compared."""
-    return F.when(comp == 0, 0).when(mis == 1, 1).otherwise(-1)
-
-
-def inversion_block(flags: DataFrame, row: list[str], window: int = 400, least: int = 2000, least_excess: int = 8000) -> DataFrame:
+@F.pandas_udf(_struct(T.IntegerType(), "s", "e"))
+def excess_stretch(seq: pd.Series, cons: pd.Series) -> pd.DataFrame:
+    """The stretch of columns of a row with the largest excess of mismatches over matches; null without any."""
+    out = []
+    for a, b in zip(seq, cons):
+        comp, mis = _compared(a, b)
+        sums = np.concatenate([[0], np.cumsum(2 * mis.astype(np.int64) - comp)])
+        least = np.minimum.accumulate(sums)[:-1]
+        gain = sums[1:] - least
+        end = int(gain.argmax()) if len(gain) else 0
+        if not len(gain) or gain[end] <= 0:
+            out.append((None, None))
+        else:  # from right after the last place that had the smallest sum
+            out.append((int(np.flatnonzero(sums[: end + 1] == least[end])[-1]), end))
+    return pd.DataFrame(out, columns=["s", "e"]).astype("Int32")
+
+
+def inversion_block(rows: DataFrame, row: list[str], window: int = 400, least: int = 2000, least_excess: int = 8000, seq: str = "seq_aln", cons: str = "cons") -> DataFrame:
     """A row's stretch that looks inverted: the largest block of mismatch windows, else the stretch with
     the largest excess of mismatches if that is long enough."""
-    flags, step = cut_lineage(flags), max(100, window // 4)
-    blocks = largest_block(merge_intervals(mismatch_windows(flags, row, window), row, step), flags, row, least)
-    excess = max_excess_block(flags.select(*row, "col", excess_score(F.col("comp"), F.col("mis")).alias("score")), row)
-    spans = excess.join(blocks, row, "left_anti").select(*row, "s", "e")
-    sized = largest_block(spans, flags, row, max(least, least_excess))
+    rows, step = cut_lineage(rows.select(*row, seq, cons)), max(100, window // 4)
+    blocks = cut_lineage(largest_block(merge_intervals(mismatch_windows(rows, row, seq, cons, window), row, step), rows, row, least, seq, cons))
+    rest = rows.join(blocks, row, "left_anti")
+    spans = rest.select(*row, excess_stretch(seq, cons).alias("x")).select(*row, "x.*").filter("s is not null")
+    sized = largest_block(spans, rest, row, max(least, least_excess), seq, cons)
     return blocks.withColumn("found_by", F.lit("windows")).unionByName(sized.withColumn("found_by", F.lit("excess")))
 
 
-def span_in_query(cells_with_pos: DataFrame, blocks: DataFrame, row: list[str]) -> DataFrame:
-    """First and last place (from 1) of the row's own letters inside its block."""
-    inside = cells_with_pos.join(blocks.select(*row, "s", "e"), row).filter(F.col("col").between(F.col("s"), F.col("e")) & (F.col("pos") > 0))
-    return inside.groupBy(*row).agg(F.min("pos").alias("q_st"), F.max("pos").alias("q_en"))
+@F.pandas_udf(_struct(T.IntegerType(), "q_st", "q_en"))
+def _span(seq: pd.Series, first: pd.Series, last: pd.Series) -> pd.DataFrame:
+    out = []
+    for text, s, e in zip(seq, first, last):
+        x = letters(text)
+        letter = _is_base(x) | (x == _N)
+        before, upto = int(letter[:s].sum()), int(letter[: e + 1].sum())
+        out.append((before + 1, upto) if upto > before else (None, None))
+    return pd.DataFrame(out, columns=["q_st", "q_en"]).astype("Int32")
+
+
+def span_in_query(rows: DataFrame, blocks: DataFrame, row: list[str], seq: str = "seq_aln") -> DataFrame:
+    """First and last place (from 1) of the row's own letters inside its block; rows without any go."""
+    found = rows.select(*row, seq).join(blocks.select(*row, "s", "e"), row).select(*row, _span(seq, "s", "e").alias("x"))
+    return found.select(*row, "x.*").filter("q_st is not null")
 
 
 def reassemble(cells: DataFrame, keys: list[str], order: str = "col", ch: str = "ch") -> DataFrame:

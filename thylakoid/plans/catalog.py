@@ -494,18 +494,14 @@ i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s, e) AS k FROM m),
 merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k)"""
 
 
-def _cells(spark, sf_dir):
-    return msa.columns_of(_sequences(spark, sf_dir), ["doc_id", "source"], "seq")
-
-
-def _flags(spark, sf_dir):
-    cells = _cells(spark, sf_dir)
-    return msa.compared(cells, msa.consensus(cells, ["source"]), ["doc_id"], ["source"])
+def _rows_and_consensus(spark, sf_dir):
+    docs = _sequences(spark, sf_dir)
+    return msa.with_consensus(docs, msa.consensus(docs, ["source"], "seq"), ["source"])
 
 
 @query(f"WITH {_CONSENSUS} SELECT source, CAST(col AS INT) AS col, a, c, g, t, base FROM cons")
 def consensus(spark, sf_dir):
-    return msa.consensus(_cells(spark, sf_dir), ["source"])
+    return msa.consensus(_sequences(spark, sf_dir), ["source"], "seq")
 
 
 @query(f"""
@@ -514,8 +510,7 @@ WITH {_CONSENSUS} SELECT doc_id, count(*) FILTER (base <> 'N' AND ch <> 'N') AS
 FROM cells JOIN cons USING (source, col) GROUP BY doc_id
 """)
 def identity_gate(spark, sf_dir):
-    cells = _cells(spark, sf_dir)
-    scores = msa.identity(cells, msa.consensus(cells, ["source"]), ["doc_id"], ["source"])
+    scores = msa.identity(_rows_and_consensus(spark, sf_dir).filter("seq <> ''"), ["doc_id"], "seq")
     return msa.route_by_identity(scores, 0.4).drop("identity")
 
 
@@ -525,9 +520,8 @@ p AS (SELECT doc_id, col, ch IN ('A', 'C', 'G', 'T', 'N') AS nt, sum((ch IN ('A'
 SELECT doc_id, CAST(max(k) AS INT) AS letters, CAST(sum(CASE WHEN nt THEN k * col ELSE 0 END) AS BIGINT) AS weight, min(col) FILTER (nt) AS first_col FROM p GROUP BY doc_id
 """)
 def col_to_pos(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array(F.translate("text", " ", "-"))).alias("seq"))
-    cells = rows.filter(F.length("seq") > 0).select("doc_id", F.posexplode(F.split("seq", "")).alias("col", "ch")).filter("ch <> ''").withColumn("ch", F.upper("ch"))
-    placed = msa.positions(cells, ["doc_id"])
+    rows = read_table(spark, sf_dir, "documents").filter(F.length("text") > 0).select("doc_id", F.translate("text", " ", "-").alias("seq"))
+    placed = rows.select("doc_id", F.posexplode(msa.positions("seq")).alias("col", "pos"))
     real = F.col("pos") > 0
     return placed.groupBy("doc_id").agg(
         F.greatest(F.max("pos"), F.lit(0)).alias("letters"), F.sum(F.when(real, F.col("pos").cast("long") * F.col("col")).otherwise(0)).alias("weight"), F.min(F.when(real, F.col("col").cast("long"))).alias("first_col")
@@ -536,12 +530,12 @@ def col_to_pos(spark, sf_dir):
 
 @query(f"WITH {_windows(0.02)} SELECT doc_id, s, e FROM bad")
 def mismatch_windows(spark, sf_dir):
-    return msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+    return msa.mismatch_windows(_rows_and_consensus(spark, sf_dir), ["doc_id"], "seq", slack=0.02).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
 
 
 @query(f"WITH {_windows(0.02)} SELECT * FROM merged")
 def merge_windows(spark, sf_dir):
-    bad = msa.mismatch_windows(_flags(spark, sf_dir), ["doc_id"], slack=0.02)
+    bad = msa.mismatch_windows(_rows_and_consensus(spark, sf_dir), ["doc_id"], "seq", slack=0.02)
     return msa.merge_intervals(bad, ["doc_id"], 100).select("doc_id", F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
 
 
@@ -569,7 +563,7 @@ excess AS (SELECT doc_id, s, e, sum(comp) AS comp FROM best JOIN flags USING (do
 SELECT doc_id, CAST(s AS INT) AS s, CAST(e AS INT) AS e, CAST(comp AS BIGINT) AS comp, found_by FROM blocks UNION ALL SELECT doc_id, CAST(s AS INT), CAST(e AS INT), CAST(comp AS BIGINT), 'excess' FROM excess
 """)
 def inversion_block(spark, sf_dir):
-    return msa.inversion_block(_flags(spark, sf_dir), ["doc_id"], 400, 300, 300)
+    return msa.inversion_block(_rows_and_consensus(spark, sf_dir), ["doc_id"], 400, 300, 300, "seq")
 
 
 # --- k-mers and anchors ----------------------------------------------------------------------
@@ -682,7 +676,10 @@ def circular_rotation(spark, sf_dir):
 #: Items lie on few documents, so one read is enough evidence here.
 ONE_READ = pipelines.Settings(least_alt=1)
 
-_MAPPED = f"""{_DOCS}, r AS (SELECT item_id, {_SEQ} AS seq FROM benchmark),
+#: Every letter stands for a base in the sequences that reads are mapped to.
+_ALPHABET, _AS_BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 2 * "ACGTACGTACGTACGTACGTACGTAC"
+_BASES = f"regexp_replace(translate(text, '{_ALPHABET}', '{_AS_BASES}'), '[^ACGT]', '', 'g')"
+_MAPPED = f"""docs AS (SELECT doc_id, {_BASES} AS seq FROM documents), r AS (SELECT item_id, {_BASES} AS seq FROM benchmark),
 rs AS (SELECT item_id, '+' AS strand, seq AS s FROM r UNION ALL SELECT item_id, '-', {_COMPLEMENT.format("seq")} FROM r),
 rk AS (SELECT * FROM (SELECT item_id, strand, i - 1 AS i, substr(s, i, 15) AS kmer FROM rs, unnest(range(1, length(s) - 13)) AS u(i) WHERE length(s) >= 15) WHERE NOT contains(kmer, 'N')),
 ck AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, i - 1 AS place, substr(seq, i, 15) AS kmer FROM docs, unnest(range(1, length(seq) - 13)) AS u(i) WHERE length(seq) >= 15),
@@ -698,14 +695,18 @@ n AS (SELECT chrom, pos, ref, count(*) FILTER (b = ref AND strand = '+') AS ref_
 found AS (SELECT * FROM n WHERE a + c + g + t > 0 AND (ref = 'N' OR greatest(a, c, g, t) / (a + c + g + t) >= 0.6))"""
 
 
+def _as_bases():
+    return F.regexp_replace(F.translate("text", _ALPHABET, _AS_BASES), "[^ACGT]", "")
+
+
 def _reads(spark, sf_dir):
     """Benchmark items as reads; some documents hold passages of them."""
-    rows = read_table(spark, sf_dir, "benchmark").select("item_id", fx.pseudo_sequence(F.col("text")).alias("seq"))
+    rows = read_table(spark, sf_dir, "benchmark").select("item_id", _as_bases().alias("seq"))
     return rows.withColumn("qual", F.repeat(F.lit("I"), F.length("seq")))
 
 
 def _contigs(spark, sf_dir):
-    return _sequences(spark, sf_dir).select(F.col("doc_id").cast("string").alias("chrom"), "seq")
+    return read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("chrom"), _as_bases().alias("seq"))
 
 
 @query(f"WITH {_MAPPED} SELECT * FROM mapped")

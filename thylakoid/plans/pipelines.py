@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import flip_segment, record_header, ungap
 from thylakoid.operators import msa
-from thylakoid.operators.alignment import align_pair, rotate_to_anchor, smith_waterman
-from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, kmer_jaccard, map_reads, nearest_anchors
+from thylakoid.operators.alignment import align_pair, columns_of_first, rotate_to_anchor, smith_waterman
+from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
 from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
 
@@ -116,23 +116,16 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
     gaps, the block's ends, ``flipped`` and both similarities. Rows without a block are unchanged.
     """
     rows = cut_lineage(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")))
-    agreed = msa.columns_of(rows, [key], "cons").withColumnRenamed("ch", "base")
-    cells = msa.columns_of(rows, [key], "new")
-    flags = msa.compared(cells, agreed, [key], [key])
-    blocks = cut_lineage(msa.inversion_block(flags, [key], s.window, s.least_block, s.least_excess))
-    query = msa.span_in_query(msa.positions(cells, [key]), blocks, [key])
-    target = msa.span_in_query(msa.positions(agreed.withColumnRenamed("base", "ch"), [key]), blocks, [key]).select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
+    blocks = cut_lineage(msa.inversion_block(rows, [key], s.window, s.least_block, s.least_excess, "new", "cons"))
+    query = msa.span_in_query(rows, blocks, [key], "new")
+    target = msa.span_in_query(rows, blocks, [key], "cons").select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
     bare = rows.select(key, ungap(F.col("cons")).alias("cons"), ungap(F.col("new")).alias("new"))
     found = cut_lineage(bare.join(query, key).join(target, key))
     cuts = refine_cuts(found, key, "cons", "new", s)
     flip = cut_lineage(found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last"))))
-    kinds = [("cons", "cons"), ("before", "new"), ("after", "turned")]
-    sets = flip.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.col(c).alias("seq")) for n, c in kinds])).alias("x")).select(F.concat_ws("|", F.col(key).cast("string"), "x.n").alias("id"), "x.seq")
-    cons_id, ids = F.concat_ws("|", "_key", F.lit("cons")), {n: F.concat_ws("|", "_key", F.lit(n)) for n in ("before", "after")}
-    ask = flip.select(F.col(key).cast("string").alias("_key")).select(F.explode(F.array(*[F.struct(cons_id.alias("a"), i.alias("b"), F.col("_key"), F.lit(n).alias("n")) for n, i in ids.items()])).alias("x")).select("x.*")
-    scores = kmer_jaccard(sets, ask.select("a", "b"), "id", "seq", s.k).join(ask, ["a", "b"])
-    score = scores.groupBy("_key").agg(*[F.max(F.when(F.col("n") == n, F.col("jaccard"))).alias(n) for n in ids])
-    judged = flip.join(score, F.col(key).cast("string") == F.col("_key")).select(key, "turned", "first", "last", "by", "before", "after")
+    alike = {n: shared_kmers(s.k)("cons", c) for n, c in (("before", "new"), ("after", "turned"))}
+    score = {n: F.when(F.col(f"_{n}.total") > 0, F.col(f"_{n}.shared") / F.col(f"_{n}.total")).otherwise(0.0).alias(n) for n in alike}
+    judged = flip.select(key, "turned", "first", "last", "by", *[x.alias(f"_{n}") for n, x in alike.items()]).select(key, "turned", "first", "last", "by", *score.values())
     better = F.col("after") >= F.col("before")
     return bare.join(judged, key, "left").select(key, F.when(better, F.col("turned")).otherwise(F.col("new")).alias("seq"), "first", "last", "by", F.coalesce(better, F.lit(False)).alias("flipped"), "before", "after")
 
@@ -149,9 +142,7 @@ def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, s
     stored = spark.read.parquet(versions) if _exists(spark, versions) else None
     current = stored.agg(F.max("version")).first()[0] if stored else 0
     rows = stored.filter(F.col("version") == current) if stored else reference.select(F.lit(0).alias("version"), F.lit(0).alias("row_ord"), "header", F.upper("seq").alias("seq_aln"))
-    cells = cut_lineage(msa.columns_of(rows, ["version", "row_ord"]))
-    agreed = cut_lineage(msa.consensus(cells.withColumn("k", F.lit(1)), ["k"]))
-    cons = msa.reassemble(agreed.withColumnRenamed("base", "ch"), ["k"]).select("k", F.col("seq").alias("cons"))
+    cons = cut_lineage(msa.reassemble(msa.consensus(rows.withColumn("k", F.lit(1)), ["k"]), ["k"], "col", "base").select("k", F.col("seq").alias("cons")))
     first = rows.filter("row_ord = 0").select(F.lit(1).alias("k"), ungap(F.col("seq_aln")).alias("ref"))
     both = sample.select(F.lit(1).alias("k"), "header", "seq").join(first, "k")
     turned = cut_lineage(rotate_to_anchor(both, ["k"], "ref", "seq", s.anchor, s.most_mismatches, s.k).select("k", "seq"))
@@ -162,12 +153,11 @@ def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, s
 
     fixed = repair_inversions(aligned(turned), "k", s).select("k", "seq")
     final = aligned(fixed)
-    place = msa.columns_of(final, ["k"], "cons").filter("ch <> '-'").withColumn("n", F.expr("row_number() over (partition by k order by col) - 1"))
-    kept = cut_lineage(msa.columns_of(final, ["k"], "new").join(place.select("k", "col", "n"), ["k", "col"]).select("k", F.col("n").alias("col"), "ch"))
-    scores = msa.route_by_identity(msa.identity(kept, agreed, ["k"], ["k"]), s.least_identity)
+    kept = cut_lineage(final.select("k", columns_of_first("cons", "new").alias("seq_aln")).join(cons, "k"))
+    scores = msa.route_by_identity(msa.identity(kept, ["k"]), s.least_identity)
     decision = sample.select(F.lit(1).alias("k"), "header").join(scores, "k", "left").drop("k").first()
     if decision and decision["status"] == "accepted":
-        new = msa.reassemble(kept, ["k"]).select(F.lit(current + 1).alias("version"), F.lit(rows.count()).alias("row_ord"), F.lit(decision["header"]).alias("header"), F.col("seq").alias("seq_aln"))
+        new = kept.select(F.lit(current + 1).alias("version"), F.lit(rows.count()).alias("row_ord"), F.lit(decision["header"]).alias("header"), "seq_aln")
         older = rows.select(F.lit(current + 1).alias("version"), F.col("row_ord").cast("long"), "header", "seq_aln")
         older.unionByName(new.withColumn("row_ord", F.col("row_ord").cast("long"))).write.mode("append").partitionBy("version").parquet(versions)
     return spark.createDataFrame([decision]) if decision else scores
