@@ -1,6 +1,8 @@
 """URL rules, shards, embeddings, components, the pipeline and the registered queries."""
 
 import random
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from thylakoid.llm.embedding_dedup import near_vectors, tables_for
 from thylakoid.llm.sharding import assign_groups, difference, shard_documents
 from thylakoid.llm.url_filter import BlockedBloom, judge_urls, rule_table
 
+sys.path.insert(0, str(Path(__file__).parent))
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -158,22 +161,119 @@ def test_every_operator_has_its_query():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "SimHash near-dedup", "benchmark decontamination", "SentencePiece"]
 
 
-def test_stages_keep_columns_and_take_effect(spark):
+ODD = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def odd_docs(spark):
+    """The smallest table with nulls, repeated rows and ids, long texts and columns of clashing names."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    extra = spark.createDataFrame([(10_001, "12 !", "en", "s", 4), (10_002, None, "en", "s", 0), (10_003, docs.first().text, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.unionByName(extra).withColumn("row", F.lit("extra")).withColumn("kept", F.lit(1)).cache()
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        out = stage(spark, docs, SMALL)
-        assert out.columns == docs.columns, name
-        ids = {r.doc_id for r in out.select("doc_id").collect()}
-        if name == "language ID":
-            assert 10_001 not in ids and 10_002 not in ids and len(ids) >= docs.count() - 3
-        if name == "SimHash near-dedup":
-            assert 10_003 not in ids
-        assert stage(spark, docs.limit(0), SMALL).count() == 0
+    some = docs.orderBy("doc_id").limit(3).collect()
+    extra = [(10_001, "12 !", "en", "s", 4), (10_002, None, None, None, None), (None, some[0].text, None, "s", 1), (10_003, some[1].text, "en", "s", 1), (10_003, some[1].text, "en", "s", 1), (10_003, some[2].text + " " + "different words here " * 3000, "en", "s", 1), (10_004, "", "en", "s", 0)]
+    extra.append((10_003, " ".join(f"{w}{i}" for i, w in enumerate(["einer", "wort", "satz"] * 90)), "de", "s", 1))
+    return docs.unionByName(spark.createDataFrame(extra, ODD)).withColumn("row", F.lit("extra")).withColumn("kept", F.lit(1)).withColumn("tag", F.lit("t")).cache()
+
+
+def as_rows(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=str)
+
+
+def test_language_stage(spark, odd_docs):
+    out = corpus_pipeline.language_id(spark, odd_docs, SMALL)
+    assert out.columns == odd_docs.columns
+    kept, every = as_rows(out), as_rows(odd_docs)
+    gone = list(every)
+    for r in kept:
+        gone.remove(r)
+    assert all(not any(c.isalpha() for c in r[1] or "") for r in gone if r[0] in (10_001, 10_002, 10_004)) and {10_001, 10_002, 10_004} <= {r[0] for r in gone}
+    assert len(gone) <= 3 + 0.02 * len(every) and sum(r[0] is None for r in kept) == 1
+
+
+def test_line_stage(spark, odd_docs):
+    from test_text_operators import lines_by_hand
+
+    out = corpus_pipeline.line_dedup(spark, odd_docs, SMALL)
+    assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+    want = lines_by_hand([(r.doc_id, r.text) for r in odd_docs.collect()], 5)
+    got = sorted(((r.doc_id, r.text or "") for r in out.collect()), key=str)
+    assert got == sorted(((d, kept) for d, _, _, kept in want), key=str)
+    assert any(n for _, _, n, _ in want)
+    changed = {r.doc_id: r for r in out.collect()}
+    assert all(changed[d].n_chars == len(kept) for d, _, n, kept in want if n and d is not None)
+
+
+def test_simhash_stage(spark, odd_docs):
+    out = corpus_pipeline.simhash_dedup(spark, odd_docs, SMALL)
+    assert out.columns == odd_docs.columns
+    shingles = {}
+    for r in odd_docs.collect():
+        w = (r.text or "").encode().lower().split()
+        shingles[(r.doc_id, r.text)] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else None
+    kept = as_rows(out)
+    left = {(r[0], r[1]) for r in kept}
+    order = lambda k: (k[0] is None, k[0] or 0)
+    alike = lambda x, y: len(x & y) / len(x | y)
+    for key, mine in shingles.items():
+        others = [k for k, x in shingles.items() if k != key and x and mine and alike(mine, x) >= 0.5]
+        if mine is None or not others:  # clean and blank rows stay
+            assert key in left, key
+        if any(order(k) < order(key) and alike(mine, shingles[k]) >= 0.9 for k in others):
+            assert key not in left, key
+    assert len(kept) - len(left) <= 2 and sum(r[0] == 10_003 for r in kept) == 1
+
+
+def test_decontamination_stage(spark, odd_docs):
+    from test_text_operators import hits_by_hand
+
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    out = corpus_pipeline.decontamination(spark, odd_docs, SMALL)
+    assert out.columns == odd_docs.columns
+    rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    judged = hits_by_hand(rows, [(r.item_id, r.text) for r in bench.collect()])
+    assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((x[0] for x in judged if not x[4]), key=str)
+    assert any(x[4] for x in judged)
+
+
+def test_sentencepiece_stage(spark, odd_docs):
+    import hashlib
+
+    import public_tokenizers
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    out = corpus_pipeline.sentencepiece(spark, odd_docs, SMALL)
+    want = []
+    for r in odd_docs.collect():
+        ids = library.encode(r.text or "", add_bos=True, add_eos=True)
+        want.append((r.doc_id, len(ids), np.array(ids, "<u4").tobytes(), hashlib.sha256(library.decode(ids).encode()).hexdigest()))
+    assert sorted(((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded_sha256) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert all(hashlib.sha256(bytes(r.ids)).hexdigest() == r.ids_sha256 for r in out.collect())
+
+
+def test_stages_take_empty_tables(spark, odd_docs):
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd_docs.limit(0), SMALL).count() == 0
 
 
 def test_the_whole_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL)
-    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-    assert 0 < out.count() <= spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    assert out.columns == ["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:  # as the stages give it one by one
+        docs = stage(spark, docs, SMALL)
+    assert as_rows(out.drop("ids")) == as_rows(docs.drop("ids"))
+    assert 0.5 * 200 < out.count() <= 200
+
+
+def test_vectors_at_the_registered_parameters(spark):
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in queries.op9_embedding_dedup(spark, SMALL).collect())
+    want = vectors_by_hand([(r.vec_id, r.embedding, r.label) for r in table.collect()], 0.93)
+    found, there = sum(x[1] for x in got), sum(x[1] for x in want)
+    assert [x[0] for x in got] == [x[0] for x in want] and there * 0.999 <= found <= there and there > 0
+
+
+def test_a_hub_is_joined_in_parts(spark):
+    links = spark.range(1, 5000).selectExpr("0L as a", "id as b").unionByName(spark.range(1, 3000).selectExpr("10000L as a", "id as b"))
+    got = connected_components(links).groupBy("root").count().collect()
+    assert [(r.root, r["count"]) for r in got] == [(0, 5000)]

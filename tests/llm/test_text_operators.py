@@ -8,11 +8,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from thylakoid.llm import suffix_dedup
+from thylakoid.llm import simhash, suffix_dedup
 from thylakoid.llm.decontamination import contaminated, decontaminate
 from thylakoid.llm.language_id import char_models, fit, held_out, identify
 from thylakoid.llm.line_dedup import LineRuns, drop_repeated_lines
-from thylakoid.llm.simhash import _links, block_masks, fingerprint, near_duplicates
+from thylakoid.llm.simhash import _links, block_masks, drop_alike, fingerprint, near_duplicates, sampled_masks, wide_fingerprint
 from thylakoid.llm.suffix_dedup import cut_repeated_strings, front_code, front_decode, merge_runs
 
 DOCS = "doc_id long, text string"
@@ -62,15 +62,46 @@ def test_lines(spark):
 
 def test_runs_are_compacted_and_count_like_one_table(spark):
     runs, rng, seen = LineRuns(spark, fan_in=2), random.Random(1), {}
-    for batch in range(5):
-        rows = [(batch * 100 + rng.randrange(20), h, h + 1) for h in rng.choices(range(30), k=40)]
+    for batch in range(5):  # in descending order of ids
+        rows = [(1000 - batch * 100 + rng.randrange(20), h, h + 1) for h in rng.choices(range(30), k=40)]
+        before = set(seen)
         for d, h, _ in rows:
             seen.setdefault(h, set()).add(d)
-        run = runs.add(spark.createDataFrame(rows, "doc long, h1 long, h2 long"))
-        assert run.filter("fresh").count() <= 30
+        run = runs.add(spark.createDataFrame(rows, "doc long, h1 long, h2 long")).collect()
+        assert {r.h1 for r in run} == {h for _, h, _ in rows}
+        assert {r.h1 for r in run if r.last_doc is not None} == {h for _, h, _ in rows} - before
     assert len(runs.runs()) == 2  # 5 runs in levels of two: 4 + 1
     counts = {r.h1: (r.n_docs, r.last_doc) for r in runs.counts().collect()}
     assert counts == {h: (len(d), max(d)) for h, d in seen.items()}
+    # a batch meets the runs where they lie: only the batch's own rows are exchanged
+    asked = runs.looked_up(spark.createDataFrame([(1, 2, 3)], "doc long, h1 long, h2 long"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = asked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    scans = [i for i, line in enumerate(lines) if "Bucketed: true" in line]
+    assert len(scans) == 2
+    for i in scans:
+        level, above = depth(lines[i]), []
+        for line in reversed(lines[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                above.append(line)
+                if "Join" in line:
+                    break
+        assert above and not any("Exchange" in line for line in above)
+    runs.drop()
+
+
+def test_many_dropped_lines_in_a_long_text(spark):
+    common = [f"line number {i} that all five documents of this test hold" for i in range(3000)]
+    rows = [(i, "\n".join(["own"] + common + [f"{i}"])) for i in range(5)] + [(9, "x\n" + common[7] + "\n" + common[7]), (None, common[1])]
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in drop_repeated_lines(frame(spark, rows), batches=3).collect()), key=str)
+    assert got == lines_by_hand(rows, 5)
 
 
 # --- decontamination -------------------------------------------------------------------------
@@ -313,13 +344,17 @@ def roots(n, pairs):
 def test_links_in_a_bucket_connect_all_that_is_close():
     rng = random.Random(8)
     fp = np.array(sorted({sum(1 << b for b in rng.sample(range(14), 7)) for _ in range(200)}), np.uint64)
-    a, b = _links(fp, np.arange(len(fp)), 2)
+    a, b = _links(fp[:, None], np.arange(len(fp)), 2)
     near = [(i, j) for i in range(len(fp)) for j in range(i) if bin(int(fp[i] ^ fp[j])).count("1") <= 2]
     links = list(zip(np.concatenate(a).tolist(), np.concatenate(b).tolist()))
     assert roots(len(fp), links) == roots(len(fp), near) and len(links) < len(fp)
 
 
-def test_near_duplicates(spark):
+@pytest.mark.parametrize("block_rows", [4096, 3])
+def test_near_duplicates(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(simhash, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(simhash, "TOLD_BY", 64 if block_rows > 3 else 1)
+    monkeypatch.setattr(simhash.bucket_links, "__defaults__", (block_rows,))
     rng = random.Random(7)
     base = [[f"{rng.randrange(9999)}" for _ in range(400)] for _ in range(12)]
     rows, i = [], 100
@@ -345,6 +380,68 @@ def test_near_duplicates(spark):
     assert near_duplicates(frame(spark, rows).limit(0)).count() == 0
 
 
+def edited(rng, words, similarity, size=5):
+    """A copy of which single words are replaced until so much of the shingles is shared."""
+    shingles = lambda w: {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+    out, own, n = list(words), shingles(words), 0
+    while len(own & shingles(out)) / len(own | shingles(out)) > similarity:
+        before, n = list(out), n + 1
+        out[rng.randrange(len(out))] = f"new{n}"
+    return before
+
+
+def test_alike_texts_are_dropped(spark):
+    rng = random.Random(41)
+    text = lambda: [f"{rng.randrange(5000)}" for _ in range(rng.randint(150, 600))]
+    rows, near = [], {}
+    for i in range(100):
+        words = text()
+        rows.append((i, " ".join(words)))
+        for k, similarity in enumerate((0.8, 0.85, 0.9, 0.95)):
+            near[1000 + 4 * i + k] = similarity
+            rows.append((1000 + 4 * i + k, " ".join(edited(rng, words, similarity))))
+    clean = [(5000 + i, " ".join(text())) for i in range(300)]
+    got = {r.doc_id for r in drop_alike(frame(spark, rows + clean)).collect()}
+    assert got >= set(range(100)) | {d for d, _ in clean}
+    missed = {s: sum(d in got for d, x in near.items() if x == s) for s in (0.8, 0.85, 0.9, 0.95)}
+    assert missed[0.8] <= 20 and missed[0.85] <= 6 and missed[0.9] <= 1 and missed[0.95] == 0, missed
+
+
+def test_rows_decide_which_alike_texts_go(spark):
+    rng = random.Random(42)
+    a, b, c = (" ".join(str(rng.randrange(9999)) for _ in range(80)) for _ in range(3))
+    rows = [(5, a), (5, a), (7, a + " x"), (7, b), (None, a), (None, c), (None, c), (8, None), (8, None), (9, ""), (9, " \n"), (10, "one"), (11, "ONE"), (2, b.upper()), (12, "w " * 50_000)]
+    docs = frame(spark, rows, row="clash", f1=1, text2="x")
+    got = drop_alike(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(5, a), (None, c), (8, None), (8, None), (9, ""), (9, " \n"), (10, "one"), (2, b.upper()), (12, "w " * 50_000)], key=str)
+    assert drop_alike(docs.limit(0)).count() == 0
+
+
+def test_wide_fingerprints():
+    from xxhash import xxh3_128_intdigest
+
+    rng = random.Random(43)
+    for t in [None, "", " \n", "a", "A b c d e", *(" ".join(rng.choices(["ab", "Cd", "é"], k=k)) for k in (6, 400))]:
+        w = re.findall(r"[^\x20\x09-\x0d]+", lower(t or ""))
+        h = {int.from_bytes(xxh3_128_intdigest(" ".join(w[i : i + 5]).encode()).to_bytes(16, "big"), "little") for i in range(max(1, len(w) - 4))} if w else set()
+        want = sum(1 << b for b in range(128) if h and 2 * sum(x >> b & 1 for x in h) > len(h))
+        got = wide_fingerprint(t)
+        assert int(got[0]) | int(got[1]) << 64 == want, t
+
+
+@pytest.mark.parametrize("n", [10, 10**6, 10**9])
+def test_sampled_masks_keep_the_stated_miss(n):
+    masks = sampled_masks(n)
+    bits = bin(masks[0][0]).count("1") + bin(masks[0][1]).count("1")
+    assert 2.0**bits * 8 >= n or bits == 48
+    rng, missed = random.Random(n), 0
+    for _ in range(400):
+        diff = sum(1 << b for b in rng.sample(range(128), round(128 * np.arccos(1.6 / 1.8) / np.pi)))
+        missed += not any(diff & (a | b << 64) == 0 for a, b in masks)
+    assert missed <= 400 * 0.05
+
+
 # --- suffixes --------------------------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ BUCKET_ROWS = 32
 def tables_for(n: int, threshold: float, miss: float) -> tuple[int, int]:
     """Bits of a hash and number of tables, for ``n`` vectors of one label: a pair at the threshold
     shares no bucket with probability ``miss`` at most, and one further above it less often."""
-    bits = max(4, min(16, math.ceil(math.log2(max(n, 1) / BUCKET_ROWS))) if n > BUCKET_ROWS else 4)
+    bits = max(4, min(24, math.ceil(math.log2(max(n, 1) / BUCKET_ROWS))) if n > BUCKET_ROWS else 4)
     agree = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, math.ceil(math.log(miss) / math.log(1 - agree))
 

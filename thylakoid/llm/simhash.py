@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations, repeat
 
 import numpy as np
@@ -9,36 +10,71 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import map_texts, materialize, scratch_folder
+from thylakoid.llm.common import carried, map_texts, materialize, scratch_folder
 from thylakoid.llm.components import connected_components
 
 SHINGLE, MOST_BITS, SEED = 4, 4, 42
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
+#: Rows of a bucket that a task compares at a time; larger buckets are cut into blocks and dealt in pairs
+#: of them. Which buckets are, is told by one in so many fingerprints.
+BLOCK_ROWS, TOLD_BY = 4096, 64
+#: For texts that are alike: words a shingle, fingerprint bits that may differ, the similarity and the
+#: probability (at most) with which an average pair of that similarity meets in no bucket, unrelated ones in a bucket.
+ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 24, 0.8, 0.02, 8
 #: One byte's bits, each in a byte of its own.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
 
 
-def fingerprint(text: str | None, size: int = SHINGLE) -> int:
-    """64-bit SimHash of a whole text's word shingles: a bit is set if it is in over half their XXH64."""
-    from xxhash import xxh64_intdigest
-
+def _shingles(text: str | None, size: int):
+    """Slices of a text's words, lower-cased and joined by spaces, that are its shingles."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not words:
-        return 0
+        return b"", [], []
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     n = max(1, len(words) - size + 1)
-    starts, ends = starts[:n], ends[min(size, len(words)) - 1 :]
-    counts = np.zeros(64, np.int64)
-    for i in range(0, n, BLOCK):
-        cut = map(slice, starts[i : i + BLOCK].tolist(), ends[i : i + BLOCK].tolist())
-        hashes = np.fromiter(map(xxh64_intdigest, map(joined.__getitem__, cut), repeat(SEED)), np.uint64)
-        spread = _SPREAD[hashes.astype("<u8").view(np.uint8).reshape(-1, 8)]
-        sums = np.add.reduceat(spread, np.arange(0, len(spread), 255), axis=0)  # a byte counts to 255
-        counts += sums.view(np.uint8).reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return joined, starts[:n], ends[min(size, len(words)) - 1 :]
+
+
+def _majority(hashes: list[np.ndarray]) -> np.ndarray:
+    """The bits that are set in over half of all hashes (rows of bytes, in blocks), as numbers of 64 bits."""
+    counts = np.zeros(8 * hashes[0].shape[1], np.int64)
+    for block in hashes:
+        sums = np.add.reduceat(_SPREAD[block], np.arange(0, len(block), 255), axis=0)  # a byte counts to 255
+        counts += sums.view(np.uint8).reshape(-1, len(counts)).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > sum(map(len, hashes)), bitorder="little").view("<u8")
+
+
+def _cuts(pieces):
+    """A text's shingles as byte strings, some at a time."""
+    joined, starts, ends = pieces
+    for i in range(0, len(starts), BLOCK):
+        yield map(joined.__getitem__, map(slice, starts[i : i + BLOCK].tolist(), ends[i : i + BLOCK].tolist()))
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> int:
+    """64-bit SimHash of a whole text's word shingles: a bit is set if it is in over half their XXH64."""
+    from xxhash import xxh64_intdigest
+
+    pieces = _shingles(text, size)
+    if not len(pieces[1]):
+        return 0
+    counted = [np.fromiter(map(xxh64_intdigest, cut, repeat(SEED)), np.uint64).astype("<u8").view(np.uint8).reshape(-1, 8) for cut in _cuts(pieces)]
+    return int(_majority(counted)[0])
+
+
+def wide_fingerprint(text: str | None, size: int = ALIKE_SHINGLE) -> np.ndarray:
+    """128-bit SimHash of a whole text's different word shingles, by XXH3, as two numbers; zero without words."""
+    from xxhash import xxh3_128_digest
+
+    pieces = _shingles(text, size)
+    if not len(pieces[1]):
+        return np.zeros(2, np.uint64)
+    hashes = np.frombuffer(b"".join(b"".join(map(xxh3_128_digest, cut)) for cut in _cuts(pieces)), "<u8").reshape(-1, 2)
+    once = hashes[np.unique(hashes[:, 0], return_index=True)[1]].view(np.uint8)
+    return _majority([once[i : i + BLOCK] for i in range(0, len(once), BLOCK)])
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -68,8 +104,23 @@ def block_masks(n: int, most_bits: int = MOST_BITS) -> list[int]:
     return [sum(x) for x in combinations(block, r)]
 
 
+def sampled_masks(n: int, similarity: float = SIMILARITY, miss: float = MISS, seed: int = SEED) -> list[tuple[int, int]]:
+    """Masks of random bits of 128 such that a pair that differs in as many bits as texts of that similarity
+    do on average agrees under none with probability ``miss`` at most, and an unrelated pair under one as
+    seldom as ``n`` fingerprints need."""
+    bits = max(8, min(48, math.ceil(math.log2(max(n, 1) / BUCKET_ROWS)) if n > BUCKET_ROWS else 8))
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    tables = math.ceil(math.log(miss) / math.log(1 - (1 - differ) ** bits))
+    rng = np.random.default_rng(seed)
+    masks = []
+    for _ in range(tables):
+        chosen = sum(1 << int(b) for b in rng.choice(128, bits, replace=False))
+        masks.append((chosen & (1 << 64) - 1, chosen >> 64))
+    return masks
+
+
 def _links(fp: np.ndarray, rep: np.ndarray, most_bits: int) -> tuple[list, list]:
-    """Links that connect what lies within ``most_bits`` in one bucket of distinct fingerprints.
+    """Links that connect what lies within ``most_bits`` in one bucket of distinct fingerprints (rows of words).
 
     Each is compared only with those that no link has reached yet: a bucket full of close copies is
     used up after a few comparisons with all, and links are fewer than its members.
@@ -80,7 +131,7 @@ def _links(fp: np.ndarray, rep: np.ndarray, most_bits: int) -> tuple[list, list]
         front, open_ = [open_[0]], open_[1:]
         while front and len(open_):
             seed = front.pop()
-            near = np.bitwise_count(fp[open_] ^ fp[seed]) <= most_bits
+            near = np.bitwise_count(fp[open_] ^ fp[seed]).sum(axis=1) <= most_bits
             found = open_[near]
             if len(found):
                 a.append(np.full(len(found), rep[seed]))
@@ -90,29 +141,29 @@ def _links(fp: np.ndarray, rep: np.ndarray, most_bits: int) -> tuple[list, list]
     return a, b
 
 
-def _bucket_links(most_bits: int):
-    """Over rows (key, fp, rep) that come sorted by key; a key's rows may span batches."""
+def _bucket_links(most_bits: int, words: int):
+    """Over rows (key, left, right, rep, fingerprint's words) that come sorted by the first three; a
+    bucket's rows may span batches."""
 
     def run(batches):
         held = None
         for batch in batches:
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4 + words)]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
-            edge = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
+            edge = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in rows[:3]])) + 1
             last = int(edge[-1]) if len(edge) else 0
             held = [x[last:] for x in rows]
-            yield from emit([x[:last] for x in rows], np.r_[0, edge[:-1]] if last else None)
+            if last:
+                yield from emit([x[:last] for x in rows], np.r_[0, edge[:-1]])
         if held is not None and len(held[0]):
             yield from emit(held, np.array([0]))
 
     def emit(rows, first):
-        if first is None or not len(rows[0]):
-            return
-        fp, rep = rows[2].view(np.uint64), rows[3]
+        rep, fp = rows[3], np.stack(rows[4:], axis=1).view(np.uint64)
         size = np.diff(np.r_[first, len(fp)])
         two = first[size == 2]
-        near = two[np.bitwise_count(fp[two] ^ fp[two + 1]) <= most_bits]
+        near = two[np.bitwise_count(fp[two] ^ fp[two + 1]).sum(axis=1) <= most_bits]
         a, b = [rep[near]], [rep[near + 1]]
         for start, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
             more = _links(fp[start : start + n], rep[start : start + n], most_bits)
@@ -122,6 +173,23 @@ def _bucket_links(most_bits: int):
     return run
 
 
+def bucket_links(keyed: DataFrame, most_bits: int, fp: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Links ``a, b`` that connect rows (``key, rep`` and fingerprint words ``fp``) of one key within ``most_bits``.
+
+    Buckets of about more than ``block_rows`` are cut into blocks by a hash of ``rep``, and each pair of
+    blocks is a group of its own, so no task holds more than two blocks. Their size is estimated from
+    one in ``TOLD_BY`` vertices; a wrong estimate makes a group larger, never a link less.
+    """
+    told = keyed.filter(F.pmod(F.xxhash64(F.lit("told"), "rep"), F.lit(TOLD_BY)) == 0).groupBy("key").count()
+    large = told.filter(F.col("count") * TOLD_BY > block_rows).select("key", F.ceil(F.col("count") * TOLD_BY / block_rows).cast("int").alias("blocks"))
+    blocks = F.coalesce("blocks", F.lit(1))
+    dealt = keyed.join(large, "key", "left").select("key", "rep", *fp, blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "rep", *fp)
+    group = ["key", "left", "right"]
+    return dealt.repartition(*group).sortWithinPartitions(*group, *fp).mapInArrow(_bucket_links(most_bits, len(fp)), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups of documents whose SimHash fingerprints are linked at ``most_bits`` differing bits or fewer.
 
@@ -135,19 +203,61 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_
     their fingerprint, else null; they link nothing. Other columns aren't read.
 
     Equal fingerprints are one vertex, so exact copies cost one row after a combined aggregation. Every
-    close pair shares a block key; a key's distinct fingerprints are compared where they lie sorted.
+    close pair shares a block key; a key's distinct fingerprints are compared where they lie sorted, large
+    buckets in pairs of blocks.
     """
     spark = docs.sparkSession
     folder = scratch_folder(spark)
     rows = materialize(fingerprints(docs, size, id_col, text_col), folder)
     distinct = materialize(rows.filter("doc is not null").groupBy("fp").agg(F.min("doc").cast("long").alias("rep")), folder)
     masks = block_masks(distinct.count(), most_bits)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keyed = distinct.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in signed])).alias("block", "key"), "fp", "rep")
-    keyed = keyed.select("block", "key", "fp", "rep").repartition("block", "key").sortWithinPartitions("block", "key", "fp")
-    links = keyed.mapInArrow(_bucket_links(most_bits), "a long, b long")
+    keyed = distinct.select(F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("block", "bits"), "fp", "rep")
+    links = bucket_links(keyed.select(F.xxhash64("block", "bits").alias("key"), "rep", "fp"), most_bits, ["fp"])
     roots = connected_components(links, folder)
     known = distinct.join(roots, distinct["rep"] == roots["v"], "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     return rows.join(known, "fp", "left").select(
         F.col("doc").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = SIMILARITY, most_bits: int = ALIKE_BITS, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows without those that are near copies of another: of each group one row stays, that of the
+    smallest id, of equal ids one of the smallest fingerprint; null ids come last.
+
+    Texts are taken for near copies when their 128-bit fingerprints, of their different shingles of ``size`` words,
+    differ in ``most_bits`` bits or fewer: at a similarity (Jaccard) of 0.8 of the shingles, 19 of 128
+    differ on average, at 0.65 27. So the cut is soft: some pairs between these go too. So many bits leave no blocks that every close pair must share; rows meet under
+    masks of random bits instead, and a pair that differs in that many bits under none with probability ``miss``.
+
+    All columns stay as they are. It is decided row by row: of rows that repeat an id with different
+    texts each is judged by its own, of repeated rows one stays. Rows without a word (null, empty or
+    blank texts) are near copies of nothing and all stay. Ids must be whole numbers.
+    """
+    spark = docs.sparkSession
+    folder = scratch_folder(spark)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        found = [wide_fingerprint(t, size) for t in batch.column(1).to_pylist()]
+        both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+        return {"doc": batch.column(0), "f1": pa.array(np.ascontiguousarray(both[:, 0])), "f2": pa.array(np.ascontiguousarray(both[:, 1])), "row": batch.column(2)}
+
+    whole = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *carried(docs, True))
+    rows = materialize(map_texts(whole, run, {"doc": "long", "f1": "long", "f2": "long", "row": dict(whole.dtypes)["row"]}), folder)
+    first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc")).alias("first")
+    distinct = rows.filter("f1 <> 0 or f2 <> 0").groupBy("f1", "f2").agg(first, F.xxhash64("f1", "f2").alias("rep"))
+    distinct = materialize(distinct, folder)
+    masks = sampled_masks(distinct.count(), similarity, miss)
+    keys = [F.xxhash64(F.lit(i), F.col("f1").bitwiseAND(F.lit(_signed(a))), F.col("f2").bitwiseAND(F.lit(_signed(b)))) for i, (a, b) in enumerate(masks)]
+    links = bucket_links(distinct.select(F.explode(F.array(*keys)).alias("key"), "rep", "f1", "f2"), most_bits, ["f1", "f2"])
+    roots = connected_components(links, folder)
+    grouped = distinct.join(roots, F.col("rep") == F.col("v"), "left").withColumn("root", F.coalesce("root", "rep"))
+    kept = grouped.groupBy("root").agg(F.min(F.struct("first", "f1", "f2")).alias("x")).select("x.f1", "x.f2", "x.first.doc")
+    # of the rows of a kept fingerprint and id the first that a task meets stays
+    chosen = rows.join(kept.withColumnRenamed("doc", "id"), ["f1", "f2"]).filter(F.col("doc").eqNullSafe(F.col("id")))
+    one = chosen.groupBy("f1", "f2").agg(F.first("row").alias("row"))
+    blank = rows.filter("f1 = 0 and f2 = 0").select("row")
+    return one.select("row").unionByName(blank).select("row.*")
