@@ -25,8 +25,9 @@ def connected_components(links: DataFrame, folder: str | None = None) -> DataFra
     )
     before = _state(edges)
     while before[0]:
-        hot = max(LEAST_HOT, 2 * before[0] // MOST_HOT)
         both = edges.unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
+        hot = max(LEAST_HOT, 2 * before[0] // MOST_HOT)
+        hot = hot if both.groupBy("v").count().agg(F.max("count")).first()[0] > hot else None
         # large star: the neighbours above a centre go to its smallest neighbour
         large = _with_least(both, hot, F.least("v", "m")).filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u"))
         # small star: a centre and its neighbours below go to the smallest of these
@@ -40,13 +41,15 @@ def connected_components(links: DataFrame, folder: str | None = None) -> DataFra
     return edges.select("v", F.col("u").alias("root"))
 
 
-def _with_least(pairs: DataFrame, hot: int, value) -> DataFrame:
+def _with_least(pairs: DataFrame, hot: int | None, value) -> DataFrame:
     """Pairs ``v, u`` with ``m``, an expression over the smallest ``u`` of their ``v`` (as ``m``) and ``v``.
 
     A vertex of more than ``hot`` pairs is joined in parts of about that many, dealt by ``u``. Those
-    vertices are at most ``MOST_HOT`` by the choice of ``hot``, so their list can be broadcast.
+    vertices are at most ``MOST_HOT`` by the choice of ``hot``, so their list can be broadcast. None: there is no such vertex.
     """
     least = pairs.groupBy("v").agg(F.min("u").alias("m"), F.count("*").alias("n")).withColumn("m", value)
+    if hot is None:
+        return pairs.join(least.drop("n"), "v").select("v", "u", "m")
     parts = F.ceil(F.col("n") / hot).cast("int")
     crowded = F.broadcast(least.filter(F.col("n") > hot).select("v", parts.alias("parts")))
     dealt = pairs.join(crowded, "v", "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("u"), F.col("parts")), F.lit(0)).cast("int"))

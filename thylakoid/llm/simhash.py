@@ -22,6 +22,7 @@ BLOCK_ROWS, TOLD_BY = 4096, 64
 #: For texts that are alike: words a shingle, fingerprint bits that may differ, the similarity and the
 #: probability (at most) with which an average pair of that similarity meets in no bucket, unrelated ones in a bucket.
 ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 24, 0.8, 0.02, 8
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 #: One byte's bits, each in a byte of its own.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
 
@@ -224,6 +225,22 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _under_masks(masks: list[tuple[int, int]]):
+    """Rows (rep, f1, f2) once for each mask, with a hash of the mask's number and the bits that it leaves."""
+
+    def run(batches):
+        for batch in batches:
+            rep, f1, f2 = (batch.column(i) for i in range(3))
+            x, y = (f.to_numpy(zero_copy_only=False).view(np.uint64) for f in (f1, f2))
+            for i, (a, b) in enumerate(masks):
+                key = (x & np.uint64(a)) * _MIX ^ (y & np.uint64(b)) + np.uint64(i)
+                for _ in range(2):
+                    key = (key ^ (key >> np.uint64(31))) * _MIX
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), rep, f1, f2], names=["key", "rep", "f1", "f2"])
+
+    return run
+
+
 def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = SIMILARITY, most_bits: int = ALIKE_BITS, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows without those that are near copies of another: of each group one row stays, that of the
     smallest id, of equal ids one of the smallest fingerprint; null ids come last.
@@ -251,8 +268,8 @@ def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = S
     distinct = rows.filter("f1 <> 0 or f2 <> 0").groupBy("f1", "f2").agg(first, F.xxhash64("f1", "f2").alias("rep"))
     distinct = materialize(distinct, folder)
     masks = sampled_masks(distinct.count(), similarity, miss)
-    keys = [F.xxhash64(F.lit(i), F.col("f1").bitwiseAND(F.lit(_signed(a))), F.col("f2").bitwiseAND(F.lit(_signed(b)))) for i, (a, b) in enumerate(masks)]
-    links = bucket_links(distinct.select(F.explode(F.array(*keys)).alias("key"), "rep", "f1", "f2"), most_bits, ["f1", "f2"])
+    keyed = distinct.select("rep", "f1", "f2").mapInArrow(_under_masks(masks), "key long, rep long, f1 long, f2 long")
+    links = bucket_links(keyed, most_bits, ["f1", "f2"])
     roots = connected_components(links, folder)
     grouped = distinct.join(roots, F.col("rep") == F.col("v"), "left").withColumn("root", F.coalesce("root", "rep"))
     kept = grouped.groupBy("root").agg(F.min(F.struct("first", "f1", "f2")).alias("x")).select("x.f1", "x.f2", "x.first.doc")
