@@ -21,7 +21,7 @@ BLOCK = 1 << 16
 BLOCK_ROWS, TOLD_BY = 4096, 64
 #: For texts that are alike: words a shingle, fingerprint bits that may differ, the similarity and the
 #: probability (at most) with which an average pair of that similarity meets in no bucket, unrelated ones in a bucket.
-ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 24, 0.8, 0.02, 8
+ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 24, 0.8, 0.03, 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: One byte's bits, each in a byte of its own.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
@@ -110,8 +110,9 @@ def sampled_masks(n: int, similarity: float = SIMILARITY, miss: float = MISS, se
     do on average agrees under none with probability ``miss`` at most, and an unrelated pair under one as
     seldom as ``n`` fingerprints need."""
     bits = max(8, min(48, math.ceil(math.log2(max(n, 1) / BUCKET_ROWS)) if n > BUCKET_ROWS else 8))
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    tables = math.ceil(math.log(miss) / math.log(1 - (1 - differ) ** bits))
+    differ = round(128 * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    agree = math.comb(128 - differ, bits) / math.comb(128, bits)
+    tables = math.ceil(math.log(miss) / math.log(1 - agree))
     rng = np.random.default_rng(seed)
     masks = []
     for _ in range(tables):
