@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from thylakoid.functions.sequence import AMBIGUITY
 from thylakoid.operators import alignment, kmers, msa, pairing, pileup, selection
 from thylakoid.plans import pipelines
+from thylakoid.sources.files import read_fasta
 
 
 def comp(s):
@@ -317,3 +318,57 @@ def test_alignment_grows_version_by_version(spark, genome, tmp_path):
     assert add(">two", "".join(random.Random(9).choice("ACGT") for _ in range(len(ref)))).status == "rejected"
     rows = spark.read.parquet(path).orderBy("version", "row_ord").collect()
     assert [(r.version, r.header, len(r.seq_aln)) for r in rows] == [(1, ">ref", len(ref)), (1, ">one", len(ref))]
+
+
+def test_inversion_of_a_real_size_is_undone(spark):
+    rng = random.Random(136)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    long, repeat, short = part(80_500), part(21_600), part(12_762)
+    ref = long + repeat + short + comp(repeat)
+    turned = long + repeat + comp(short) + comp(repeat)
+    assert len(ref) == 136_462
+    row = pipelines.repair_inversions(spark.createDataFrame([(1, ref, turned)], "k int, cons string, new string"), "k").first()
+    # the ends are sought up to 60 bases inside the block of windows, so the middle may be some bases off
+    assert row.flipped and row.before < 0.85 and row.after > 0.99
+    assert abs(row.first + row.last - (102_101 + 114_862)) <= 100 and len(row.seq) == len(ref)
+    assert row.seq[: row.first - 1] == ref[: row.first - 1] and row.seq[row.last :] == ref[row.last :]
+
+
+def test_reads_for_assembly(spark):
+    adapter = "AGATCGGAAGAGC"
+    a, b, c = "ACGTTGCAAC", "TTGACCATGA", "GGATTACAGG"
+    mates = [("s", 1, 0, a + adapter, "I" * 23), ("s", 2, 0, b, "#" + "I" * 9), ("s", 1, 1, a + adapter, "I" * 23), ("s", 2, 1, b, "I" * 10),
+             ("s", 1, 2, adapter, "I" * 13), ("s", 2, 2, c, "I" * 10), ("t", 1, 0, c, "I" * 10), ("t", 2, 0, c, "#" * 10), ("t", 1, 1, c, "I" * 10)]
+    df = spark.createDataFrame(mates, "sample string, mate int, read_idx int, seq string, qual string")
+    got = {(r.sample, r.read_idx): (r.seq1, r.seq2, r.copies, r.route) for r in pipelines.reads_for_assembly(df, adapter).collect()}
+    assert got == {("s", 0): (a, b[1:], 2, "paired"), ("s", 2): ("", c, 1, "unpaired_2"), ("t", 0): (c, "", 1, "unpaired_1")}
+
+
+def test_whole_run(spark, genome, tmp_path):
+    long, repeat, short = (x[: len(x) // 3] for x in genome)
+    ref = long + repeat + short + comp(repeat)
+    rng = random.Random(21)
+    swap = {"A": "C", "C": "A", "G": "T", "T": "G"}
+    true = ref[:900] + swap[ref[900]] + ref[901:]
+    turned = true[1000:] + true[:1000]
+    wrong = turned[:200] + swap[turned[200]] + turned[201:]  # an assembler's mistake, which the reads correct
+    other = "".join(rng.choice("ACGT") for _ in range(len(ref)))
+    mates = []
+    for sample, text in (("a", turned), ("b", other)):
+        for i, at in enumerate(range(0, len(text) - 240, 20)):
+            mates += [(sample, 1, i, text[at : at + 100], "I" * 100), (sample, 2, i, comp(text[at + 140 : at + 240]), "I" * 100)]
+    mates.append(("no contig", 1, 0, "ACGT" * 20, "I" * 80))
+    df = spark.createDataFrame(mates, "sample string, mate int, read_idx int, seq string, qual string")
+    contigs = spark.createDataFrame([("a", wrong), ("b", other), ("no reads", other)], "sample string, seq string")
+    reference = spark.createDataFrame([(">ref", ref)], "header string, seq string")
+    folder = {n: str(tmp_path / n) for n in ("versions", "rejected", "records")}
+    s = pipelines.Settings(least_block=600, least_excess=600)
+    out = pipelines.run_samples(spark, df, contigs, reference, folder["versions"], s, folder["rejected"], folder["records"]).collect()
+    assert [(r.sample, r.status) for r in out] == [("a", "accepted"), ("b", "rejected")]
+    rows = spark.read.parquet(folder["versions"]).orderBy("version", "row_ord").collect()
+    assert [(r.version, r.row_ord, r.header.split(",")[0]) for r in rows] == [(1, 0, ">ref"), (1, 1, ">a")]
+    assert rows[1].seq_aln == true
+    records = {r.header.split(",")[0]: r.seq for r in read_fasta(spark, folder["records"] + "/alignment_1.fasta").collect()}
+    assert records == {">ref": ref, ">a": true}
+    kept = spark.read.parquet(folder["rejected"]).orderBy("row_ord").collect()
+    assert [(r.version, r.header.split(",")[0], r.sample.split(",")[0]) for r in kept] == [(2, ">ref", ">b"), (2, ">a", ">b"), (2, ">b", ">b")]

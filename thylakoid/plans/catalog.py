@@ -729,3 +729,23 @@ SELECT CAST(doc_id AS VARCHAR) AS chrom, coalesce(fixed.seq, '') AS seq, '>' ||
 def correct_sequences(spark, sf_dir):
     contigs = _contigs(spark, sf_dir)
     return pipelines.correct_sequences(contigs, pipelines.variant_table(_reads(spark, sf_dir), contigs, ["item_id"], ONE_READ))
+
+
+@query()
+def genome_inversion(spark, sf_dir):
+    """Every document's bases, and the same with their second quarter turned round, which is found and turned back."""
+    rows = read_table(spark, sf_dir, "documents").select("doc_id", _as_bases().alias("cons"))
+    turned = fx.flip_segment(F.col("cons"), F.expr("int(length(cons) div 4) + 1"), F.expr("int(length(cons) div 2)"))
+    planted = rows.withColumn("new", F.when(F.length("cons") >= 4, turned).otherwise(F.col("cons")))
+    return pipelines.repair_inversions(planted, "doc_id", pipelines.Settings(window=100, least_block=300, least_excess=300))
+
+
+@query()
+def assembly_reads(spark, sf_dir):
+    """Turns of a conversation as mates: first and second halves of turns are a pair, both cut at an adapter and at low qualities."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    half = F.expr("int(length(text) div 2)")
+    sides = F.array(F.struct(F.lit(1).alias("mate"), F.substr("text", F.lit(1), half).alias("seq")), F.struct(F.lit(2).alias("mate"), F.substr("text", half + 1).alias("seq")))
+    mates = turns.select(F.col("conv_id").cast("string").alias("sample"), F.col("turn").alias("read_idx"), F.explode(sides).alias("x")).select("sample", "read_idx", "x.*")
+    mates = mates.withColumn("qual", F.regexp_replace(F.regexp_replace("seq", "[^ ]", "I"), " ", "#"))
+    return pipelines.reads_for_assembly(mates, "please")

@@ -11,8 +11,10 @@ from thylakoid.functions.sequence import flip_segment, record_header, ungap
 from thylakoid.operators import msa
 from thylakoid.operators.alignment import align_pair, columns_of_first, rotate_to_anchor, smith_waterman
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
+from thylakoid.operators.pairing import clip_adapter, collapse_reads, pair_reads, route_pairs, trim_ends
 from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
+from thylakoid.sources.files import write_fasta
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,21 @@ class Settings:
     species: str = "Hordeum vulgare"
 
 
-def variant_table(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings()) -> DataFrame:
+def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int = 3) -> DataFrame:
+    """What an assembler takes of all samples' reads (``sample, mate, read_idx, seq, qual``): pairs of equal
+    sequences once, cut at adapters and at low-quality ends, with the ``route`` that each pair takes."""
+    side = [mates.filter(F.col("mate") == m).select("sample", "read_idx", "seq", "qual") for m in (1, 2)]
+    pairs = pair_reads(*side, ["sample", "read_idx"])
+    pairs = pairs.select("sample", "seq1", "seq2", F.struct("read_idx", "qual1", "qual2").alias("first"))
+    once = collapse_reads(pairs, ["sample", "seq1", "seq2"], "first").select("sample", "seq1", "seq2", "first.*", "copies")
+    for m in "12":
+        once = trim_ends(clip_adapter(once, f"seq{m}", f"qual{m}", adapters), f"seq{m}", f"qual{m}", least)
+    return route_pairs(once, "seq1", "seq2")
+
+
+def variant_table(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings(), within: tuple[str, ...] = ()) -> DataFrame:
     """Reads -> places -> base counts per position -> variant positions, as one plan without files between."""
-    placed = map_reads(reads, contigs, read_key)
+    placed = map_reads(reads, contigs, read_key, within=within)
     seen = bases_on_reference(placed, reads, contigs, read_key)
     counts = count_observations(seen, ["chrom", "pos", "ref"], "bucket", "quality", s.least_quality)
     return variants(counts, "ref", s.least_alt, s.least_alt_share)
@@ -130,12 +144,14 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
     return bare.join(judged, key, "left").select(key, F.when(better, F.col("turned")).otherwise(F.col("new")).alias("seq"), "first", "last", "by", F.coalesce(better, F.lit(False)).alias("flipped"), "before", "after")
 
 
-def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, sample: DataFrame, s: Settings = Settings()) -> DataFrame:
+def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, sample: DataFrame, s: Settings = Settings(), rejected: str | None = None, records: str | None = None) -> DataFrame:
     """Add one sample (``header, seq``) to the alignment kept in ``versions`` (Parquet by version).
 
     The sample is turned to the first row's start, aligned to the consensus, repaired, aligned again and
     accepted if it is alike enough; then the rows with the new one are the next version. Columns that
     only the sample has are cut from its row, so the columns of earlier versions stay in place.
+    With ``records``, every version is also a folder ``alignment_<n>.fasta`` there; with ``rejected``, the rows
+    of a rejected alignment are kept in that table, by the sample's header and the version it was meant for.
     Returns the decision. Samples are added one by one, since each acceptance changes what the next is
     compared with; the work on one is distributed, and every version is a written table.
     """
@@ -156,13 +172,39 @@ def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, s
     kept = cut_lineage(final.select("k", columns_of_first("cons", "new").alias("seq_aln")).join(cons, "k"))
     scores = msa.route_by_identity(msa.identity(kept, ["k"]), s.least_identity)
     decision = sample.select(F.lit(1).alias("k"), "header").join(scores, "k", "left").drop("k").first()
-    if decision and decision["status"] == "accepted":
-        new = kept.select(F.lit(current + 1).alias("version"), F.lit(rows.count()).alias("row_ord"), F.lit(decision["header"]).alias("header"), "seq_aln")
-        older = rows.select(F.lit(current + 1).alias("version"), F.col("row_ord").cast("long"), "header", "seq_aln")
-        older.unionByName(new.withColumn("row_ord", F.col("row_ord").cast("long"))).write.mode("append").partitionBy("version").parquet(versions)
+    if decision:
+        # a version's rows come from the one before, which the append leaves as it is
+        added = kept.select(F.lit(current + 1).alias("version"), F.lit(rows.count()).cast("long").alias("row_ord"), F.lit(decision["header"]).alias("header"), "seq_aln")
+        grown = rows.select(F.lit(current + 1).alias("version"), F.col("row_ord").cast("long"), "header", "seq_aln").unionByName(added)
+        if decision["status"] == "accepted":
+            grown.write.mode("append").partitionBy("version").parquet(versions)
+            if records:
+                write_fasta(grown.orderBy("row_ord").select("header", F.col("seq_aln").alias("seq")), f"{records}/alignment_{current + 1}.fasta")
+        elif rejected:
+            grown.withColumn("sample", F.lit(decision["header"])).write.mode("append").parquet(rejected)
     return spark.createDataFrame([decision]) if decision else scores
 
 
+def run_samples(spark: SparkSession, mates: DataFrame, contigs: DataFrame, reference: DataFrame, versions: str, s: Settings = Settings(), rejected: str | None = None, records: str | None = None) -> DataFrame:
+    """From reads (``sample, mate, read_idx, seq, qual``) and one assembled contig a sample (``sample, seq``) to
+    the alignment of all samples; returns their decisions in the order of samples.
+
+    Reads of all samples are mapped to their own sample's contig and the contigs corrected at once; then
+    the corrected contigs are added one after the other, since each decision depends on those before. Reads are
+    mapped as they were read; ``reads_for_assembly`` makes the assembler's. Samples without a contig or without reads are passed over.
+    """
+    reads = mates.select("sample", "mate", "read_idx", "seq", "qual")
+    own = contigs.join(reads.select("sample").distinct(), "sample", "left_semi").select("sample", F.col("sample").alias("chrom"), "seq")
+    found = variant_table(reads, own, ["sample", "mate", "read_idx"], s, within=("sample",))
+    fixed = cut_lineage(correct_sequences(own.drop("sample"), found, s=s))
+    decisions = None
+    for row in fixed.select("chrom").distinct().orderBy("chrom").toLocalIterator():
+        one = fixed.filter(F.col("chrom") == row["chrom"]).select("header", "seq")
+        made = add_to_alignment(spark, versions, reference, one, s, rejected, records).select(F.lit(row["chrom"]).alias("sample"), "*")
+        decisions = made if decisions is None else decisions.unionByName(made)
+    return decisions if decisions is not None else fixed.select(F.col("chrom").alias("sample"), "header")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
