@@ -46,7 +46,8 @@ def first_approximate(text: pd.Series, pattern: pd.Series, most: pd.Series) -> p
 def local_ends(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2) -> tuple | None:
     """Smith-Waterman ends (from 1: a's first and last, b's first and last) and score; None without a match.
 
-    Diagonals of the matrix are computed at a time. Of equal scores the first cell by row wins; the way
+    Rows of the matrix are computed at a time: a run of gaps in ``a`` is a running maximum of scores freed of
+    their slope. Of equal scores the first cell by row wins; the way
     back prefers the diagonal, then up, then left.
     """
     n, m = len(a), len(b)
@@ -54,11 +55,11 @@ def local_ends(a: str, b: str, match: int = 2, mismatch: int = -1, gap: int = -2
         return None
     x, y = np.frombuffer(a.encode("latin-1", "replace"), np.uint8), np.frombuffer(b.encode("latin-1", "replace"), np.uint8)
     score = np.zeros((n + 1, m + 1), np.int32)
-    for d in range(2, n + m + 1):
-        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
-        j = d - i
-        pair = np.where(x[i - 1] == y[j - 1], match, mismatch)
-        score[i, j] = np.maximum.reduce([score[i - 1, j - 1] + pair, score[i - 1, j] + gap, score[i, j - 1] + gap, np.zeros(len(i), np.int32)])
+    slope = np.arange(m + 1, dtype=np.int32) * gap
+    for i in range(1, n + 1):
+        best = np.maximum(score[i - 1] + gap, 0)
+        best[1:] = np.maximum(best[1:], score[i - 1, :-1] + np.where(y == x[i - 1], match, mismatch))
+        score[i] = np.maximum.accumulate(best - slope) + slope
     i, j = divmod(int(score.argmax()), m + 1)
     best = int(score[i, j])
     if best <= 0:

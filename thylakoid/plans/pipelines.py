@@ -68,6 +68,11 @@ def correct_sequences(contigs: DataFrame, found: DataFrame, key: str = "chrom",
     return fixed.withColumn("header", record_header(F.col(key), F.lit(s.species), F.length("seq")))
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all shuffle partitions: aligning costs far more than the bytes by which small partitions are joined."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def valid_cut(first: Column, last: Column, length: Column, least: int) -> Column:
     """Ends (from 1) that lie in a sequence of that length, in order and far enough apart."""
     return (first >= 1) & (first < last) & (last <= length) & (last - first + 1 >= least)
@@ -102,7 +107,7 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
     plain = flanks(s.anchor_flank)
     simple = nearest_anchors(plain, [key, "side"], "c", "q", s.anchor_k).join(plain.select(key, "side", "base"), [key, "side"])
     simple = simple.groupBy(key).agg(F.max(F.when(F.col("side") == "left", F.col("base") + F.col("left") + s.anchor_k + 1)).alias("a_left"), F.max(F.when(F.col("side") == "right", F.col("base") + F.col("right"))).alias("a_right"))
-    out = cut_lineage(rows.join(ends, key, "left").join(simple, key, "left"))
+    out = cut_lineage(_spread(rows.join(ends, key, "left").join(simple, key, "left"), key))
 
     def valid(a, b, least):
         return valid_cut(a, b, F.length(new), least)
@@ -129,12 +134,12 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
     ``aligned`` has ``key, cons, new`` of equal length with gaps. Returns one row each: ``seq`` without
     gaps, the block's ends, ``flipped`` and both similarities. Rows without a block are unchanged.
     """
-    rows = cut_lineage(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")))
+    rows = cut_lineage(_spread(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")), key))
     blocks = cut_lineage(msa.inversion_block(rows, [key], s.window, s.least_block, s.least_excess, "new", "cons"))
     query = msa.span_in_query(rows, blocks, [key], "new")
     target = msa.span_in_query(rows, blocks, [key], "cons").select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
     bare = rows.select(key, ungap(F.col("cons")).alias("cons"), ungap(F.col("new")).alias("new"))
-    found = cut_lineage(bare.join(query, key).join(target, key))
+    found = cut_lineage(_spread(bare.join(query, key).join(target, key), key))
     cuts = refine_cuts(found, key, "cons", "new", s)
     flip = cut_lineage(found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last"))))
     alike = {n: shared_kmers(s.k)("cons", c) for n, c in (("before", "new"), ("after", "turned"))}
