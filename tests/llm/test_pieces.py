@@ -73,3 +73,20 @@ def test_counts_of_a_json_vocabulary():
     path = public_tokenizers.path("byte_bpe_50k.json")
     some = ["hello world", "", "<|endoftext|> x", "é" * 50]
     assert JsonCounter(path).count([*some, None]) == [len(Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids) for t in some] + [0]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_json_counts_of_long_texts_in_parts(name):
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path(name), random.Random(6)
+    whole = Tokenizer.from_file(path)
+    whole.no_truncation()
+    made = ["".join(rng.choice(["the", "ing", " ", "  ", " a", "\n", "\u00a0", "é", "1", "'s", "<|endoftext|>", "世", "-", "\t"]) for _ in range(300)) for _ in range(200)]
+    some = [*made, "word " * 40_000, "x" * 70_000, " " * 500]
+    want = [len(whole.encode(t, add_special_tokens=False).ids) for t in some]
+    for part in (1, 7, 1 << 16):
+        counter = JsonCounter(path, part)
+        assert counter.count(some) == want
+    cut = name.startswith("byte")
+    assert (len([*JsonCounter(path)._cut("word " * 40_000)]) > 1) == cut and (len([*JsonCounter(path, 1)._cut("a b c")]) == 3) == cut
