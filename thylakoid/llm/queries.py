@@ -1,4 +1,4 @@
-"""The ten registered queries of this subpackage, at their production parameters, and their SQL."""
+"""The registered queries of this subpackage, at their production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 
 from thylakoid.llm.decontamination import contaminated, decontaminate
 from thylakoid.llm.embedding_dedup import near_vectors
+from thylakoid.llm.fill_in_middle import fill_in_middle
+from thylakoid.llm.hard_negatives import hard_negatives
 from thylakoid.llm.language_id import fit, held_out, identify
 from thylakoid.llm.line_dedup import drop_repeated_lines
+from thylakoid.llm.personal_data import find_personal_data, joined
 from thylakoid.llm.pieces import encode_decode
 from thylakoid.llm.sharding import shard_documents
 from thylakoid.llm.simhash import near_duplicates
@@ -144,3 +147,49 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeated_strings(table(spark, sf_dir, "documents"), bodies=False).drop("spans", "kept")
+
+
+@registered
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"), redact=False)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@registered
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+#: Products of whole numbers below 2^53 are exact as doubles.
+SQL["op12_hard_negatives"] = r"""
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.id AS anchor, c.id, a.label = c.label AS same, CAST(list_dot_product(a.q, c.q) AS BIGINT) AS score FROM v a JOIN v c ON a.id <> c.id WHERE a.id % 50 = 0
+), p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT * FROM (
+  SELECT p.anchor AS anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM p JOIN s n ON p.anchor = n.anchor AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+) WHERE rank <= 3
+"""
+
+
+@registered
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents"), texts=False)
+
+
+SQL["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), r AS (SELECT *, [CAST('0x' || substr(h, i, 8) AS BIGINT) for i in [1, 9, 17, 25]] AS x FROM d),
+c AS (
+  SELECT *, least(x[1] % (len(u) + 1), x[2] % (len(u) + 1)) AS a, greatest(x[1] % (len(u) + 1), x[2] % (len(u) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 50 THEN 'plain' WHEN x[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM r
+), p AS (SELECT *, array_to_string(u[: a], '') AS pre, array_to_string(u[a + 1 : b], '') AS mid, array_to_string(u[b + 1 :], '') AS suf FROM c)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
