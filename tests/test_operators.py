@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import AMBIGUITY
-from thylakoid.operators import alignment, kmers, msa, pairing, pileup, selection
-from thylakoid.plans import pipelines
-from thylakoid.sources.files import read_fasta
+from thylakoid.operators import alignment, breakpoints, gapmap, kmers, msa, pairing, pileup, selection
+from thylakoid.plans import growing, pipelines
+from thylakoid.sources.files import read_fasta, write_fasta
 
 
 def comp(s):
@@ -306,18 +306,131 @@ def test_reads_of_common_passages_map_like_brute_force(spark):
     assert want[0] == ("c000", 41, "+", 46) and want[2][0] == "c150" and want[6][:2] == ("c003", 1)
 
 
+def opened_by_hand(text, gaps):
+    cells = [""] + list(text)
+    for at, size in gaps:
+        cells[at] += "-" * size
+    return "".join(cells)
+
+
+def test_gap_maps_compose(spark):
+    rng = random.Random(31)
+    for _ in range(200):
+        width = rng.randrange(0, 12)
+        first = sorted((at, rng.randrange(1, 4)) for at in rng.sample(range(width + 1), rng.randrange(0, width + 1)))
+        wide = width + sum(n for _, n in first)
+        then = sorted((at, rng.randrange(1, 4)) for at in rng.sample(range(wide + 1), rng.randrange(0, wide + 1)))
+        both = gapmap.compose(*([{"at": a, "size": n} for a, n in g] for g in (first, then)), width)
+        text = "ACGTACGTACGT"[:width]
+        assert opened_by_hand(text, [(g["at"], g["size"]) for g in both]) == opened_by_hand(opened_by_hand(text, first), then)
+
+
+def test_pairs_merge_into_columns(spark):
+    rng = random.Random(32)
+    rows = []
+    for group, center in (("x", "ACGTTGCA"), ("y", "GG"), ("z", "")):
+        for i in range(6):
+            a, b = "", ""
+            for at in range(len(center) + 1):
+                new = "".join(rng.choice("ACGT") for _ in range(rng.choice((0, 0, 0, 1, 3))))
+                a, b = a + "-" * len(new), b + new
+                if at < len(center):
+                    a, b = a + center[at], b + rng.choice((center[at], "-", "T"))
+            rows.append((group, i, a, b))
+    rows += [("y", 6, "GG", "GG"), ("w", 0, "AC", "-C")]
+    got = gapmap.merge_pairs(spark.createDataFrame(rows, "g string, i int, a string, b string"), ["g"]).collect()
+    assert len(got) == len(rows)
+    for group in "wxyz":
+        mine = [r for r in got if r.g == group]
+        assert len({r.common for r in mine}) == 1 and len({len(r.merged) for r in mine} | {len(mine[0].common)}) == 1
+        sizes = {}
+        for r in mine:  # by hand: the widest insertion before each letter
+            at = n = 0
+            for c in r.a + "$":
+                if c == "-":
+                    n += 1
+                else:
+                    sizes[at] = max(sizes.get(at, 0), n)
+                    at, n = at + 1, 0
+        assert mine[0].common == opened_by_hand(mine[0].a.replace("-", ""), sizes.items())
+        for r in mine:
+            assert r.merged.replace("-", "") == r.b.replace("-", "")
+            # where the pair has a letter of the common sequence, the row has the same beside it
+            beside = lambda x, y: [q for p, q in zip(x, y) if p != "-"]
+            assert beside(r.common, r.merged) == beside(r.a, r.b)
+
+
 def test_alignment_grows_version_by_version(spark, genome, tmp_path):
     long, repeat, short = (x[: len(x) // 3] for x in genome)
     ref = long + repeat + short + comp(repeat)
-    close = ref[:700] + "G" + ref[700:]
-    path = str(tmp_path / "versions")
-    reference = spark.createDataFrame([(">ref", ref)], "header string, seq string")
+    other = "".join(random.Random(9).choice("ACGT") for _ in range(len(ref)))
+    one = ref[:700] + "GATTACA" + ref[700:]
+    two = ref[:400] + "CC" + ref[400:2000] + ref[2010:]
+    three = ref[:3000] + "TT" + ref[3000:]
+    path, lost = str(tmp_path / "store"), str(tmp_path / "rejected")
+    growing.start_alignments(path, spark.createDataFrame([("f", ">ref", ref), ("g", ">other", other)], "family string, header string, seq string"))
     settings = pipelines.Settings(least_block=600, least_excess=600)
-    add = lambda name, seq: pipelines.add_to_alignment(spark, path, reference, spark.createDataFrame([(name, seq)], "header string, seq string"), settings).first()
-    assert add(">one", close[300:] + close[:300]).status == "accepted"
-    assert add(">two", "".join(random.Random(9).choice("ACGT") for _ in range(len(ref)))).status == "rejected"
-    rows = spark.read.parquet(path).orderBy("version", "row_ord").collect()
-    assert [(r.version, r.header, len(r.seq_aln)) for r in rows] == [(1, ">ref", len(ref)), (1, ">one", len(ref))]
+
+    def add(*rows):
+        new = spark.createDataFrame(rows, "family string, header string, seq string")
+        return {r.header: r.status for r in growing.add_samples(spark, path, new, settings, lost).collect()}
+
+    def at(version):
+        return {(r.family, r.row_ord): r.seq_aln for r in growing.rows_at(spark, path, version).collect()}
+
+    assert add(("f", ">one", one[300:] + one[:300]), ("g", ">o1", other[:50] + other[58:])) == {">one": "accepted", ">o1": "accepted"}
+    first = at(1)
+    assert add(("f", ">bad", other), ("g", ">o2", None), ("h", ">h", ref)) == {">bad": "rejected", ">o2": "empty", ">h": "no family"}
+    assert add(("f", ">two", two)) == {">two": "accepted"}
+    assert add(("f", ">three", comp(three))) == {">three": "accepted"}
+    final = at(None)
+    # no letter is lost, rows are equally wide, and letters of the reference stay in one column
+    assert [final["f", i].replace("-", "") for i in range(4)] == [ref, one, two, three]
+    assert {len(final["f", i]) for i in range(4)} == {len(ref) + 7 + 2 + 2} and len(final["g", 1]) == len(other)
+    for i in (1, 2, 3):
+        assert sum(a == b != "-" for a, b in zip(final["f", 0], final["f", i])) >= len(ref) - 10
+    assert at(1) == first and {len(v) for (f, _), v in first.items() if f == "f"} == {len(ref) + 7}
+    assert at(0) == {("f", 0): ref, ("g", 0): other}
+    # each version wrote its own row only
+    assert {r.version: r.n for r in spark.read.parquet(path).groupBy("version").agg(F.count("*").alias("n")).collect()} == {0: 2, 1: 2, 2: 1, 3: 1}
+    kept = spark.read.parquet(lost)
+    whole = growing.rows_at(spark, path, 1, kept).filter("family = 'f'").orderBy("row_ord").collect()
+    assert [r.header for r in whole] == [">ref", ">one", ">bad"] and len({len(r.seq_aln) for r in whole}) == 1
+    assert whole[2].seq_aln.replace("-", "") == kept.first().seq_aln.replace("-", "")
+
+
+def test_inversion_ends(spark):
+    rng = random.Random(41)
+    rows, planted = [], {}
+    for i in range(100):
+        text = "".join(rng.choice("ACGT") for _ in range(4000))
+        first, size = rng.randrange(50, 1500), rng.randrange(1200, 2300)
+        turned = text[: first - 1] + comp(text[first - 1 : first - 1 + size]) + text[first - 1 + size :]
+        if i % 2:  # with differences and a gap before the segment
+            turned = "".join(rng.choice("ACGT") if rng.random() < 0.02 else c for c in turned)
+            text, turned = text[:20] + "--" + text[20:], turned[:20] + "GA" + turned[20:]
+        rows.append((i, text, turned))
+        planted[i] = (first + 2 * (i % 2), first + 2 * (i % 2) + size - 1)
+    rows += [(100, "ACGT" * 10, "ACGT" * 10), (101, "", "")]
+    got = {r.i: r for r in breakpoints.inversion_ends(spark.createDataFrame(rows, "i int, cons string, new string"), ["i"]).collect()}
+    near = [i for i, (a, b) in planted.items() if abs(got[i].first_place - a) <= 5 and abs(got[i].last_place - b) <= 5]
+    assert len(near) >= 95
+    assert got[101].first_place is None and len(got) == 102
+    # by hand: the gain of every pair of ends
+    for _ in range(60):
+        a = "".join(rng.choice("ACGT-N") for _ in range(18))
+        b = "".join(rng.choice("ACGT-") for _ in range(18))
+        total = rng.randrange(2, 36)
+        bare, cons = b.replace("-", ""), a.replace("-", "")
+        places = [j for j, c in enumerate(b) if c != "-"]
+        gain = {}
+        for x in range(len(bare)):
+            for y in range(x, len(bare)):
+                won = sum(1 <= total - q - 1 <= len(cons) and comp(bare[q]) == cons[total - q - 2] for q in range(x, y + 1))
+                gain[x + 1, y + 1] = won - sum(a[places[q]] == bare[q] for q in range(x, y + 1))
+        best = max(gain.values(), default=0)
+        want = min(((y, -x) for (x, y), v in gain.items() if v == best), default=None)
+        assert breakpoints.best_ends(a, b, total) == ((-want[1], want[0], best) if best > 0 else None)
 
 
 def test_inversion_of_a_real_size_is_undone(spark):
@@ -328,10 +441,8 @@ def test_inversion_of_a_real_size_is_undone(spark):
     turned = long + repeat + comp(short) + comp(repeat)
     assert len(ref) == 136_462
     row = pipelines.repair_inversions(spark.createDataFrame([(1, ref, turned)], "k int, cons string, new string"), "k").first()
-    # the ends are sought up to 60 bases inside the block of windows, so the middle may be some bases off
-    assert row.flipped and row.before < 0.85 and row.after > 0.99
-    assert abs(row.first + row.last - (102_101 + 114_862)) <= 100 and len(row.seq) == len(ref)
-    assert row.seq[: row.first - 1] == ref[: row.first - 1] and row.seq[row.last :] == ref[row.last :]
+    assert row.flipped and row.before < 0.85 and row.after == 1.0 and row.by == "breakpoints"
+    assert abs(row.first - 102_101) <= 5 and abs(row.last - 114_862) <= 5 and row.seq == ref
 
 
 def test_reads_for_assembly(spark):
@@ -360,15 +471,23 @@ def test_whole_run(spark, genome, tmp_path):
     mates.append(("no contig", 1, 0, "ACGT" * 20, "I" * 80))
     df = spark.createDataFrame(mates, "sample string, mate int, read_idx int, seq string, qual string")
     contigs = spark.createDataFrame([("a", wrong), ("b", other), ("no reads", other)], "sample string, seq string")
-    reference = spark.createDataFrame([(">ref", ref)], "header string, seq string")
-    folder = {n: str(tmp_path / n) for n in ("versions", "rejected", "records")}
+    contigs = contigs.unionByName(spark.createDataFrame([("letters", "ACGT!"), ("twice", ref), ("twice", ref), ("empty", "")], "sample string, seq string")).withColumn("family", F.lit("f"))
+    contigs = contigs.unionByName(spark.createDataFrame([("stray", ref, "g")], "sample string, seq string, family string"))
+    df = df.unionByName(spark.createDataFrame([(x, 1, 0, "ACGT" * 20, "I" * 80) for x in ("letters", "twice", "empty", "stray")], df.schema))
+    reference = spark.createDataFrame([("f", ">ref", ref)], "family string, header string, seq string")
+    folder = {n: str(tmp_path / n) for n in ("store", "rejected", "records")}
     s = pipelines.Settings(least_block=600, least_excess=600)
-    out = pipelines.run_samples(spark, df, contigs, reference, folder["versions"], s, folder["rejected"], folder["records"]).collect()
-    assert [(r.sample, r.status) for r in out] == [("a", "accepted"), ("b", "rejected")]
-    rows = spark.read.parquet(folder["versions"]).orderBy("version", "row_ord").collect()
-    assert [(r.version, r.row_ord, r.header.split(",")[0]) for r in rows] == [(1, 0, ">ref"), (1, 1, ">a")]
+    out = growing.run_samples(spark, df, contigs, reference, folder["store"], s, folder["rejected"])
+    said = {(r.sample, r.stage): r.status for r in out.collect()}
+    passed = {(x, stage): "ok" for x in "ab" for stage in ("input", "mapping", "correction")}
+    wrong = {"no contig": "no contig", "no reads": "no reads", "letters": "bad letters", "twice": "several contigs", "empty": "empty contig", "stray": "no family"}
+    assert said == passed | {("a", "alignment"): "accepted", ("b", "alignment"): "rejected"} | {(x, "input"): why for x, why in wrong.items()}
+    assert out.filter("sample = 'a' and stage = 'correction'").first().amount == 1
+    rows = growing.rows_at(spark, folder["store"]).orderBy("row_ord").collect()
+    assert [(r.row_ord, r.header.split(",")[0]) for r in rows] == [(0, ">ref"), (1, ">a")]
     assert rows[1].seq_aln == true
-    records = {r.header.split(",")[0]: r.seq for r in read_fasta(spark, folder["records"] + "/alignment_1.fasta").collect()}
+    write_fasta(growing.rows_at(spark, folder["store"]).select("header", F.col("seq_aln").alias("seq")), folder["records"])
+    records = {r.header.split(",")[0]: r.seq for r in read_fasta(spark, folder["records"]).collect()}
     assert records == {">ref": ref, ">a": true}
-    kept = spark.read.parquet(folder["rejected"]).orderBy("row_ord").collect()
-    assert [(r.version, r.header.split(",")[0], r.sample.split(",")[0]) for r in kept] == [(2, ">ref", ">b"), (2, ">a", ">b"), (2, ">b", ">b")]
+    kept = growing.rows_at(spark, folder["store"], 1, spark.read.parquet(folder["rejected"])).orderBy("row_ord").collect()
+    assert [r.header.split(",")[0] for r in kept] == [">ref", ">a", ">b"] and kept[2].seq_aln.replace("-", "") == other

@@ -253,9 +253,3 @@ def _in_band(a: str, b: str, half: int, match: int, mismatch: int, gap: int) ->
 def align_pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Two similar sequences with gaps, of equal length."""
     return pd.DataFrame([banded_pair(x, y) if x is not None and y is not None else (None, None) for x, y in zip(a, b)], columns=["a", "b"])
-
-
-@F.pandas_udf(T.StringType())
-def columns_of_first(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Of two aligned sequences the second's letters in the columns where the first has no gap."""
-    return pd.Series(["".join(y for x, y in zip(p, q) if x != "-") if p is not None and q is not None else None for p, q in zip(a, b)])

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as fx
-from thylakoid.operators import alignment, kmers, msa, pairing, pileup, selection
-from thylakoid.plans import pipelines
+from thylakoid.operators import alignment, gapmap, kmers, msa, pairing, pileup, selection
+from thylakoid.plans import growing, pipelines
 from thylakoid.session import read_table, scratch_folder
 from thylakoid.sources import files as sources
 
@@ -731,7 +731,45 @@ def correct_sequences(spark, sf_dir):
     return pipelines.correct_sequences(contigs, pipelines.variant_table(_reads(spark, sf_dir), contigs, ["item_id"], ONE_READ))
 
 
-@query()
+def _jaccard(name: str, a: str, b: str, source: str, k: int) -> str:
+    """SQL of the share of different k-mers of two columns that both have, as ``{name}(doc_id, score)``."""
+    side = lambda c: f"SELECT DISTINCT doc_id, substr({c}, i, {k}) AS w FROM {source}, unnest(range(1, length({c}) - {k - 2})) AS u(i) WHERE length({c}) >= {k}"
+    return f"""{name} AS (SELECT doc_id, count(*) FILTER (n = 2) / count(*) AS score FROM (SELECT doc_id, w, count(*) AS n FROM ({side(a)} UNION ALL {side(b)}) GROUP BY ALL) GROUP BY doc_id)"""
+
+
+_TURNED = f"""docs AS (SELECT doc_id, {_BASES} AS c FROM documents),
+pairs AS (SELECT doc_id, c, CASE WHEN length(c) >= 4 THEN substr(c, 1, length(c) // 4) || {_COMPLEMENT.format("substr(c, length(c) // 4 + 1, length(c) // 2 - length(c) // 4)")} || substr(c, length(c) // 2 + 1) ELSE c END AS q FROM docs),
+flags AS (SELECT doc_id, unnest(range(length(c))) AS col, (unnest(string_split(c, '')) <> unnest(string_split(q, '')))::INT AS mis FROM pairs WHERE length(c) > 0),
+w AS (SELECT doc_id, col, sum(mis) OVER f AS mis, count(*) OVER f AS n, sum(mis) OVER r / count(*) OVER r AS overall FROM flags WINDOW f AS (PARTITION BY doc_id ORDER BY col ROWS BETWEEN CURRENT ROW AND 99 FOLLOWING), r AS (PARTITION BY doc_id)),
+bad AS (SELECT doc_id, col AS s, col + 99 AS e FROM w WHERE n = 100 AND col % 100 = 0 AND mis / 100 >= greatest(0.35, least(0.6, overall + 0.25))),
+m AS (SELECT *, coalesce((s > max(e) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 100)::INT, 1) AS new FROM bad),
+merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM m) GROUP BY doc_id, k),
+wide AS (SELECT * FROM merged WHERE e - s + 1 >= 300 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY e - s DESC, s) = 1),
+p AS (SELECT doc_id, col, sum(2 * mis - 1) OVER (PARTITION BY doc_id ORDER BY col) AS p FROM flags),
+low AS (SELECT doc_id, col, p, least(coalesce(min(p * 10000000 - (col + 1)) OVER (PARTITION BY doc_id ORDER BY col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS x FROM p),
+gains AS (SELECT doc_id, col AS e, p - CAST(ceil(x / 10000000) AS BIGINT) AS gain, CAST(ceil(x / 10000000) AS BIGINT) * 10000000 - x AS s FROM low),
+excess AS (SELECT doc_id, s, e FROM gains WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY gain DESC, e) = 1),
+blocks AS (SELECT * FROM wide UNION ALL SELECT * FROM excess WHERE e - s + 1 >= 300 AND doc_id NOT IN (SELECT doc_id FROM wide)),
+found AS (SELECT doc_id, c, q, s + 1 AS q_st, e + 1 AS q_en, CAST(greatest(1, s - 99) AS BIGINT) AS a, CAST(least(length(q), e + 101) AS BIGINT) AS z FROM blocks JOIN pairs USING (doc_id)),
+ck AS (SELECT doc_id, substr(c, i, 15) AS w, min(i) AS i FROM found, unnest(range(1, length(c) - 13)) AS u(i) GROUP BY ALL HAVING count(*) = 1),
+qk AS (SELECT doc_id, {_COMPLEMENT.format("substr(q, j, 15)")} AS w, min(j) AS j FROM found, unnest(range(a, z - 13)) AS u(j) GROUP BY ALL HAVING count(*) = 1),
+votes AS (SELECT doc_id, i + j + 14 AS total, count(*) AS n FROM ck JOIN qk USING (doc_id, w) GROUP BY ALL),
+totals AS (SELECT doc_id, total FROM votes QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, total) = 1),
+letters AS (SELECT doc_id, total, unnest(range(1, length(c) + 1)) AS i, unnest(string_split(c, '')) AS cc, unnest(string_split(q, '')) AS qc FROM found JOIN totals USING (doc_id)),
+steps AS (SELECT a.doc_id, a.i, coalesce(({_COMPLEMENT.format("a.qc")} = b.cc)::INT, 0) - (a.qc = a.cc)::INT AS v FROM letters a LEFT JOIN letters b ON b.doc_id = a.doc_id AND b.i = a.total - a.i),
+sums AS (SELECT doc_id, i, sum(v) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM steps),
+least_ AS (SELECT doc_id, i, p, least(coalesce(min(p * 10000000 - i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS x FROM sums),
+ends AS (SELECT doc_id, CAST(ceil(x / 10000000) AS BIGINT) * 10000000 - x + 1 AS first, i AS last FROM least_ WHERE p > CAST(ceil(x / 10000000) AS BIGINT) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY p - CAST(ceil(x / 10000000) AS BIGINT) DESC, i) = 1),
+cuts AS (SELECT doc_id, c, q, CAST(coalesce(first, q_st) AS INT) AS first, CAST(coalesce(last, q_en) AS INT) AS last, CASE WHEN first IS NULL THEN 'block' ELSE 'breakpoints' END AS "by" FROM found LEFT JOIN ends USING (doc_id)),
+turned AS (SELECT *, substr(q, 1, first - 1) || {_COMPLEMENT.format("substr(q, first, last - first + 1)")} || substr(q, last + 1) AS t FROM cuts),
+{_jaccard("was", "c", "q", "turned", 21)}, {_jaccard("is_", "c", "t", "turned", 21)}"""
+
+
+@query(f"""
+WITH {_TURNED}
+SELECT p.doc_id, CASE WHEN is_.score >= was.score THEN t ELSE p.q END AS seq, first, last, "by", coalesce(is_.score >= was.score, false) AS flipped, was.score AS before, is_.score AS after
+FROM pairs p LEFT JOIN turned USING (doc_id) LEFT JOIN was USING (doc_id) LEFT JOIN is_ USING (doc_id)
+""")
 def genome_inversion(spark, sf_dir):
     """Every document's bases, and the same with their second quarter turned round, which is found and turned back."""
     rows = read_table(spark, sf_dir, "documents").select("doc_id", _as_bases().alias("cons"))
@@ -749,3 +787,55 @@ def assembly_reads(spark, sf_dir):
     mates = turns.select(F.col("conv_id").cast("string").alias("sample"), F.col("turn").alias("read_idx"), F.explode(sides).alias("x")).select("sample", "read_idx", "x.*")
     mates = mates.withColumn("qual", F.regexp_replace(F.regexp_replace("seq", "[^ ]", "I"), " ", "#"))
     return pipelines.reads_for_assembly(mates, "please")
+
+
+# --- growing alignments ----------------------------------------------------------------------
+
+#: A pair for each document: its source's common sequence (of the first document of 500 to 1000 bases), in which the document puts up
+#: to four of its letters after one place and lacks another.
+_PAIRS = f"""{_DOCS}, centers AS (SELECT source, min_by(seq, doc_id) AS center FROM docs WHERE length(seq) BETWEEN 500 AND 1000 GROUP BY source),
+edits AS (SELECT doc_id, source, center, substr(seq, 1, CAST(doc_id % 5 AS INT)) AS put, CAST(doc_id * 7919 % (length(center) + 1) AS INT) AS spot, CAST(doc_id * 104729 % length(center) AS INT) AS lack FROM docs JOIN centers USING (source))"""
+
+
+@query(f"""
+WITH {_PAIRS}, widest AS (SELECT source, spot, max(length(put)) AS size FROM edits GROUP BY source, spot),
+cells AS (SELECT doc_id, e.source, i, center[i + 1] AS letter, CASE WHEN i = lack AND i < length(center) THEN '-' ELSE center[i + 1] END AS own, CASE WHEN i = e.spot THEN put ELSE '' END AS put, coalesce(size, 0) AS size
+  FROM edits e, unnest(range(0, length(center) + 1)) AS t(i) LEFT JOIN widest w ON w.source = e.source AND w.spot = i)
+SELECT doc_id, md5(string_agg(put || repeat('-', size - length(put)) || own, '' ORDER BY i)) AS merged, md5(string_agg(repeat('-', size) || letter, '' ORDER BY i)) AS common, CAST(sum(size) + max(i) AS INT) AS width FROM cells GROUP BY doc_id
+""")
+def merge_pairs(spark, sf_dir):
+    """Pairwise alignments with each source's common sequence as one alignment of the source."""
+    docs = _sequences(spark, sf_dir)
+    centers = docs.filter(F.length("seq").between(500, 1000)).groupBy("source").agg(F.min_by("seq", "doc_id").alias("center"))
+    at, lack = (F.pmod(F.col("doc_id") * n, F.length("center") + more).cast("int") for n, more in ((7919, 1), (104729, 0)))
+    edits = gapmap.join_by_parts(docs, centers, ["source"]).withColumns({"put": F.expr("substr(seq, 1, int(doc_id % 5))"), "at": at, "lack": lack})
+    holed = F.concat(F.substr("center", F.lit(1), F.col("lack")), F.lit("-"), F.substr("center", F.col("lack") + 2))
+    opened = lambda text, new: F.concat(F.substr(text, F.lit(1), F.col("at")), new, F.substr(text, F.col("at") + 1))
+    pairs = edits.select("doc_id", "source", opened(F.col("center"), F.repeat(F.lit("-"), F.length("put"))).alias("a"), opened(holed, F.col("put")).alias("b"))
+    merged = gapmap.merge_pairs(pairs, ["source"])
+    return merged.select("doc_id", F.md5("merged").alias("merged"), F.md5("common").alias("common"), F.length("merged").alias("width"))
+
+
+#: Two samples for each document of 400 bases or more, as its family: one with letters put in, one that lacks some.
+_SAMPLES = f"""{_DOCS}, rows AS (
+  SELECT doc_id, 0 AS row_ord, seq FROM docs WHERE length(seq) >= 400
+  UNION ALL SELECT doc_id, 1, substr(seq, 1, CAST(length(seq) // 2 AS INT)) || 'GATTACA' || substr(seq, CAST(length(seq) // 2 AS INT) + 1) FROM docs WHERE length(seq) >= 400
+  UNION ALL SELECT doc_id, 2, substr(seq, 1, CAST(length(seq) // 4 AS INT)) || substr(seq, CAST(length(seq) // 4 AS INT) + 6) FROM docs WHERE length(seq) >= 400)"""
+
+
+@query(f"""
+WITH {_SAMPLES} SELECT doc_id, CAST(row_ord AS BIGINT) AS row_ord, ['>reference', '>more', '>less'][row_ord + 1] AS header, md5(seq) AS letters, CAST(max(length(seq)) FILTER (row_ord = 1) OVER (PARTITION BY doc_id) AS INT) AS width FROM rows
+""")
+def growing_alignment(spark, sf_dir):
+    """Each document's bases as a family, to whose alignment two samples are added: every letter comes back."""
+    docs = _sequences(spark, sf_dir).filter(F.length("seq") >= 400).select(F.col("doc_id").alias("family"), "seq")
+    n = F.length("seq")
+    half, quarter = (F.floor(n / x).cast("int") for x in (2, 4))
+    more = F.concat(F.substr("seq", F.lit(1), half), F.lit("GATTACA"), F.substr("seq", half + 1))
+    less = F.concat(F.substr("seq", F.lit(1), quarter), F.substr("seq", quarter + 6))
+    store = scratch_folder(spark)
+    growing.start_alignments(store, docs.withColumn("header", F.lit(">reference")))
+    for header, seq in ((">more", more), (">less", less)):
+        growing.add_samples(spark, store, docs.select("family", F.lit(header).alias("header"), seq.alias("seq")), pipelines.Settings(circular=False))
+    rows = growing.rows_at(spark, store)
+    return rows.select(F.col("family").alias("doc_id"), "row_ord", "header", F.md5(F.replace("seq_aln", F.lit("-"), F.lit(""))).alias("letters"), F.length("seq_aln").alias("width"))

@@ -1,20 +1,20 @@
-"""Compound steps: variants from reads, corrected sequences, inversion repair, the growing alignment."""
+"""Compound steps: variants from reads, corrected sequences, inversion repair."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import flip_segment, record_header, ungap
 from thylakoid.operators import msa
-from thylakoid.operators.alignment import align_pair, columns_of_first, rotate_to_anchor, smith_waterman
+from thylakoid.operators.alignment import smith_waterman
+from thylakoid.operators.breakpoints import inversion_ends
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
 from thylakoid.operators.pairing import clip_adapter, collapse_reads, pair_reads, route_pairs, trim_ends
 from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
-from thylakoid.sources.files import write_fasta
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,9 @@ class Settings:
     most_mismatches: int = 10
     least_identity: float = 0.95
     species: str = "Hordeum vulgare"
+    circular: bool = True
+    ends: str = "breakpoints"
+    turned_k: int = 15
 
 
 def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int = 3) -> DataFrame:
@@ -54,21 +57,30 @@ def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int =
     return route_pairs(once, "seq1", "seq2")
 
 
-def variant_table(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings(), within: tuple[str, ...] = ()) -> DataFrame:
-    """Reads -> places -> base counts per position -> variant positions, as one plan without files between."""
-    placed = map_reads(reads, contigs, read_key, within=within)
+def place_reads(reads: DataFrame, contigs: DataFrame, read_key: list[str], within: tuple[str, ...] = ()) -> DataFrame:
+    """Reads' places on the contigs; see ``map_reads``."""
+    return map_reads(reads, contigs, read_key, within=within)
+
+
+def variants_of(placed: DataFrame, reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings()) -> DataFrame:
+    """Placed reads -> base counts per position -> variant positions."""
     seen = bases_on_reference(placed, reads, contigs, read_key)
     counts = count_observations(seen, ["chrom", "pos", "ref"], "bucket", "quality", s.least_quality)
     return variants(counts, "ref", s.least_alt, s.least_alt_share)
 
 
+def variant_table(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings(), within: tuple[str, ...] = ()) -> DataFrame:
+    """Reads -> places -> variant positions, as one plan without files between."""
+    return variants_of(place_reads(reads, contigs, read_key, within), reads, contigs, read_key, s)
+
+
 def correct_sequences(contigs: DataFrame, found: DataFrame, key: str = "chrom", s: Settings = Settings()) -> DataFrame:
     """Contigs with the majority bases of their variant positions, and their new headers."""
     fixed = apply_mutations(contigs, mutations(found, s.most_ref_share).select(key, "pos", "base"), key)
     return fixed.withColumn("header", record_header(F.col(key), F.lit(s.species), F.length("seq")))
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Rows over all shuffle partitions: aligning costs far more than the bytes by which small partitions are joined."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
@@ -107,7 +119,7 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
     plain = flanks(s.anchor_flank)
     simple = nearest_anchors(plain, [key, "side"], "c", "q", s.anchor_k).join(plain.select(key, "side", "base"), [key, "side"])
     simple = simple.groupBy(key).agg(F.max(F.when(F.col("side") == "left", F.col("base") + F.col("left") + s.anchor_k + 1)).alias("a_left"), F.max(F.when(F.col("side") == "right", F.col("base") + F.col("right"))).alias("a_right"))
-    out = cut_lineage(_spread(rows.join(ends, key, "left").join(simple, key, "left"), key))
+    out = cut_lineage(spread(rows.join(ends, key, "left").join(simple, key, "left"), key))
 
     def valid(a, b, least):
         return valid_cut(a, b, F.length(new), least)
@@ -131,85 +143,26 @@ def refine_cuts(rows: DataFrame, key: str, cons: str, new: str, s: Settings = Se
 def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) -> DataFrame:
     """Sequences with their inverted segment turned back, if that makes them no less like the consensus.
 
-    ``aligned`` has ``key, cons, new`` of equal length with gaps. Returns one row each: ``seq`` without
-    gaps, the block's ends, ``flipped`` and both similarities. Rows without a block are unchanged.
+    ``aligned`` has ``key, cons, new`` of equal length with gaps. A block that looks inverted tells that there is a segment and
+    where; its ends are those that gain most matches (``s.ends`` is ``breakpoints``) or come from anchors around
+    the block's borders (``anchors``, ``refine_cuts``). Where turned k-mers don't tell a segment, the block's ends hold. Returns one row
+    each: ``seq`` without gaps, the ends, ``flipped`` and both similarities. Rows without a block are unchanged.
     """
-    rows = cut_lineage(_spread(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")), key))
+    rows = cut_lineage(spread(aligned.select(key, F.upper("cons").alias("cons"), F.upper("new").alias("new")), key))
     blocks = cut_lineage(msa.inversion_block(rows, [key], s.window, s.least_block, s.least_excess, "new", "cons"))
     query = msa.span_in_query(rows, blocks, [key], "new")
-    target = msa.span_in_query(rows, blocks, [key], "cons").select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
     bare = rows.select(key, ungap(F.col("cons")).alias("cons"), ungap(F.col("new")).alias("new"))
-    found = cut_lineage(_spread(bare.join(query, key).join(target, key), key))
-    cuts = refine_cuts(found, key, "cons", "new", s)
-    flip = cut_lineage(found.join(cuts, key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last"))))
+    if s.ends == "anchors":
+        target = msa.span_in_query(rows, blocks, [key], "cons").select(key, F.col("q_st").alias("c_st"), F.col("q_en").alias("c_en"))
+        cuts = refine_cuts(cut_lineage(spread(bare.join(query, key).join(target, key), key)), key, "cons", "new", s)
+    else:
+        near = spread(rows.join(query, key), key).withColumns({"_st": F.greatest(F.col("q_st") - s.window, F.lit(1)), "_en": F.col("q_en") + s.window})
+        ends = inversion_ends(near, [key, "q_st", "q_en"], k=s.turned_k, first="_st", last="_en")
+        by = F.when(F.col("gain").isNull(), "block").otherwise("breakpoints").alias("by")
+        cuts = cut_lineage(ends.select(key, F.coalesce("first_place", "q_st").alias("first"), F.coalesce("last_place", "q_en").alias("last"), by))
+    flip = spread(bare.join(cuts, key), key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last")))
     alike = {n: shared_kmers(s.k)("cons", c) for n, c in (("before", "new"), ("after", "turned"))}
     score = {n: F.when(F.col(f"_{n}.total") > 0, F.col(f"_{n}.shared") / F.col(f"_{n}.total")).otherwise(0.0).alias(n) for n in alike}
     judged = flip.select(key, "turned", "first", "last", "by", *[x.alias(f"_{n}") for n, x in alike.items()]).select(key, "turned", "first", "last", "by", *score.values())
     better = F.col("after") >= F.col("before")
     return bare.join(judged, key, "left").select(key, F.when(better, F.col("turned")).otherwise(F.col("new")).alias("seq"), "first", "last", "by", F.coalesce(better, F.lit(False)).alias("flipped"), "before", "after")
-
-
-def add_to_alignment(spark: SparkSession, versions: str, reference: DataFrame, sample: DataFrame, s: Settings = Settings(), rejected: str | None = None, records: str | None = None) -> DataFrame:
-    """Add one sample (``header, seq``) to the alignment kept in ``versions`` (Parquet by version).
-
-    The sample is turned to the first row's start, aligned to the consensus, repaired, aligned again and
-    accepted if it is alike enough; then the rows with the new one are the next version. Columns that
-    only the sample has are cut from its row, so the columns of earlier versions stay in place.
-    With ``records``, every version is also a folder ``alignment_<n>.fasta`` there; with ``rejected``, the rows
-    of a rejected alignment are kept in that table, by the sample's header and the version it was meant for.
-    Returns the decision. Samples are added one by one, since each acceptance changes what the next is
-    compared with; the work on one is distributed, and every version is a written table.
-    """
-    stored = spark.read.parquet(versions) if _exists(spark, versions) else None
-    current = stored.agg(F.max("version")).first()[0] if stored else 0
-    rows = stored.filter(F.col("version") == current) if stored else reference.select(F.lit(0).alias("version"), F.lit(0).alias("row_ord"), "header", F.upper("seq").alias("seq_aln"))
-    cons = cut_lineage(msa.reassemble(msa.consensus(rows.withColumn("k", F.lit(1)), ["k"]), ["k"], "col", "base").select("k", F.col("seq").alias("cons")))
-    first = rows.filter("row_ord = 0").select(F.lit(1).alias("k"), ungap(F.col("seq_aln")).alias("ref"))
-    both = sample.select(F.lit(1).alias("k"), "header", "seq").join(first, "k")
-    turned = cut_lineage(rotate_to_anchor(both, ["k"], "ref", "seq", s.anchor, s.most_mismatches, s.k).select("k", "seq"))
-
-    def aligned(seqs: DataFrame) -> DataFrame:
-        pair = seqs.join(cons, "k").select("k", align_pair("cons", "seq").alias("p"))
-        return cut_lineage(pair.select("k", F.col("p.a").alias("cons"), F.col("p.b").alias("new")))
-
-    fixed = repair_inversions(aligned(turned), "k", s).select("k", "seq")
-    final = aligned(fixed)
-    kept = cut_lineage(final.select("k", columns_of_first("cons", "new").alias("seq_aln")).join(cons, "k"))
-    scores = msa.route_by_identity(msa.identity(kept, ["k"]), s.least_identity)
-    decision = sample.select(F.lit(1).alias("k"), "header").join(scores, "k", "left").drop("k").first()
-    if decision:
-        # a version's rows come from the one before, which the append leaves as it is
-        added = kept.select(F.lit(current + 1).alias("version"), F.lit(rows.count()).cast("long").alias("row_ord"), F.lit(decision["header"]).alias("header"), "seq_aln")
-        grown = rows.select(F.lit(current + 1).alias("version"), F.col("row_ord").cast("long"), "header", "seq_aln").unionByName(added)
-        if decision["status"] == "accepted":
-            grown.write.mode("append").partitionBy("version").parquet(versions)
-            if records:
-                write_fasta(grown.orderBy("row_ord").select("header", F.col("seq_aln").alias("seq")), f"{records}/alignment_{current + 1}.fasta")
-        elif rejected:
-            grown.withColumn("sample", F.lit(decision["header"])).write.mode("append").parquet(rejected)
-    return spark.createDataFrame([decision]) if decision else scores
-
-
-def run_samples(spark: SparkSession, mates: DataFrame, contigs: DataFrame, reference: DataFrame, versions: str, s: Settings = Settings(), rejected: str | None = None, records: str | None = None) -> DataFrame:
-    """From reads (``sample, mate, read_idx, seq, qual``) and one assembled contig a sample (``sample, seq``) to
-    the alignment of all samples; returns their decisions in the order of samples.
-
-    Reads of all samples are mapped to their own sample's contig and the contigs corrected at once; then
-    the corrected contigs are added one after the other, since each decision depends on those before. Reads are
-    mapped as they were read; ``reads_for_assembly`` makes the assembler's. Samples without a contig or without reads are passed over.
-    """
-    reads = mates.select("sample", "mate", "read_idx", "seq", "qual")
-    own = contigs.join(reads.select("sample").distinct(), "sample", "left_semi").select("sample", F.col("sample").alias("chrom"), "seq")
-    found = variant_table(reads, own, ["sample", "mate", "read_idx"], s, within=("sample",))
-    fixed = cut_lineage(correct_sequences(own.drop("sample"), found, s=s))
-    decisions = None
-    for row in fixed.select("chrom").distinct().orderBy("chrom").toLocalIterator():
-        one = fixed.filter(F.col("chrom") == row["chrom"]).select("header", "seq")
-        made = add_to_alignment(spark, versions, reference, one, s, rejected, records).select(F.lit(row["chrom"]).alias("sample"), "*")
-        decisions = made if decisions is None else decisions.unionByName(made)
-    return decisions if decisions is not None else fixed.select(F.col("chrom").alias("sample"), "header")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
