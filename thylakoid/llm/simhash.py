@@ -21,7 +21,9 @@ BLOCK = 1 << 16
 BLOCK_ROWS, TOLD_BY = 4096, 64
 #: For texts that are alike: words a shingle, fingerprint bits that may differ, the similarity and the
 #: probability (at most) with which an average pair of that similarity meets in no bucket, unrelated ones in a bucket.
-ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 24, 0.8, 0.03, 8
+ALIKE_SHINGLE, ALIKE_BITS, SIMILARITY, MISS, BUCKET_ROWS = 5, 28, 0.8, 0.03, 8
+#: Texts of one group whose shingles a task compares at a time.
+ALIKE_ROWS = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: One byte's bits, each in a byte of its own.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
@@ -66,16 +68,26 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(_majority(counted)[0])
 
 
-def wide_fingerprint(text: str | None, size: int = ALIKE_SHINGLE) -> np.ndarray:
-    """128-bit SimHash of a whole text's different word shingles, by XXH3, as two numbers; zero without words."""
+def shingle_set(text: str | None, size: int = ALIKE_SHINGLE) -> np.ndarray:
+    """XXH3 hashes (rows of two numbers) of a whole text's different word shingles, sorted by the first."""
     from xxhash import xxh3_128_digest
 
     pieces = _shingles(text, size)
     if not len(pieces[1]):
-        return np.zeros(2, np.uint64)
+        return np.zeros((0, 2), np.uint64)
     hashes = np.frombuffer(b"".join(b"".join(map(xxh3_128_digest, cut)) for cut in _cuts(pieces)), "<u8").reshape(-1, 2)
-    once = hashes[np.unique(hashes[:, 0], return_index=True)[1]].view(np.uint8)
-    return _majority([once[i : i + BLOCK] for i in range(0, len(once), BLOCK)])
+    return hashes[np.unique(hashes[:, 0], return_index=True)[1]]
+
+
+def wide_fingerprint(text: str | None, size: int = ALIKE_SHINGLE) -> np.ndarray:
+    """128-bit SimHash of a whole text's different word shingles, as two numbers; zero without words."""
+    return _wide(shingle_set(text, size))
+
+
+def _wide(hashes: np.ndarray) -> np.ndarray:
+    if not len(hashes):
+        return np.zeros(2, np.uint64)
+    return _majority([hashes[i : i + BLOCK].view(np.uint8) for i in range(0, len(hashes), BLOCK)])
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,40 +254,150 @@ def _under_masks(masks: list[tuple[int, int]]):
     return run
 
 
+def _similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted arrays of different numbers."""
+    if not len(a) or not len(b) or min(len(a), len(b)) < 0.01 * max(len(a), len(b)):
+        return 0.0
+    at = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    shared = int(np.count_nonzero(b[at] == a))
+    return shared / (len(a) + len(b) - shared)
+
+
+def _as_set(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<u8")
+
+
+def _like_centre(similarity: float):
+    """Whether each text is alike the centre of its group."""
+
+    def run(batches):
+        for batch in batches:
+            mine, other = (batch.column(n).to_pylist() for n in ("shingles", "centre"))
+            alike = [_similarity(_as_set(x), _as_set(y)) >= similarity for x, y in zip(mine, other)]
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("comp"), pa.array(alike, pa.bool_())], names=["rep", "comp", "alike"])
+
+    return run
+
+
+def _verified(similarity: float, most_bits: int):
+    """Over rows that come sorted by cell, those still open first: links of open texts with any text of their group that is
+    alike, as far as they join what nothing has joined yet."""
+
+    def run(batches):
+        cell, open_, prints, root = None, [], None, {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for batch in batches:
+            found = []
+            columns = [batch.column(n).to_pylist() for n in ("comp", "up", "along", "kind", "rep", "f1", "f2", "shingles", "group")]
+            for comp, up, along, kind, rep, f1, f2, shingles, group in zip(*columns):
+                if (comp, up, along) != cell:
+                    cell, open_, root = (comp, up, along), [], {}
+                mine = rep if group is None else group  # texts that are alike their centre are one
+                print_ = np.array([f1, f2], np.int64).view(np.uint64)
+                if kind == 0:
+                    open_.append((rep, print_, _as_set(shingles)))
+                    prints = None
+                    continue
+                if not open_:
+                    continue
+                prints = np.stack([o[1] for o in open_]) if prints is None else prints
+                near = np.flatnonzero(np.bitwise_count(prints ^ print_).sum(axis=1) <= most_bits)
+                here = _as_set(shingles) if len(near) else None
+                for i in near.tolist():
+                    other = open_[i]
+                    if find(other[0]) != find(mine) and _similarity(other[2], here) >= similarity:
+                        root[find(other[0])] = find(mine)
+                        found.append((other[0], rep))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def verified_links(texts: DataFrame, similarity: float, most_bits: int, folder: str, block_rows: int = ALIKE_ROWS) -> DataFrame:
+    """Links ``a, b`` between texts (``rep, comp, size, f1, f2, centre_rep, shingles``) of one group (``comp``, of ``size`` texts) whose
+    similarity reaches the bound; they connect all that is connected.
+
+    Every text is first compared with its group's centre, dealt in parts of large groups. Those that aren't alike it meet all
+    texts of the group, both cut into blocks; so a large group of copies costs one comparison each, and no task holds more than two blocks.
+    """
+    parts = F.ceil(F.col("size") / block_rows).cast("int")
+    centres = texts.filter("rep = centre_rep").select("comp", F.col("shingles").alias("centre"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    dealt = texts.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+    judged = materialize(dealt.join(centres, ["comp", "part"]).select("rep", "comp", "shingles", "centre").mapInArrow(_like_centre(similarity), "rep long, comp long, alike boolean"), folder)
+    star = texts.filter("rep <> centre_rep").select("rep", "centre_rep").join(judged.filter("alike"), "rep").select(F.col("rep").alias("a"), F.col("centre_rep").alias("b"))
+    left = judged.filter("not alike").groupBy("comp").agg(F.count("*").alias("open"))
+    rest = materialize(texts.join(judged.select("rep", "alike"), "rep").join(left, "comp"), folder)
+    tall, wide = F.ceil(F.col("open") / block_rows).cast("int"), parts
+    block = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), "rep"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    group = F.when(F.col("alike"), F.col("centre_rep")).alias("group")
+    common = ["comp", "rep", "f1", "f2", "shingles", group]
+    open_ = rest.filter("not alike").select(*common, F.lit(0).alias("kind"), block("up", tall).alias("up"), every(wide).alias("along"))
+    against = rest.select(*common, F.lit(1).alias("kind"), block("along", wide).alias("along"), every(tall).alias("up"))
+    cells = open_.unionByName(against)
+    order = ["comp", "up", "along", "kind"]
+    more = cells.repartition("comp", "up", "along").sortWithinPartitions(*order).mapInArrow(_verified(similarity, most_bits), "a long, b long")
+    return star.unionByName(more)
+
+
 def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = SIMILARITY, most_bits: int = ALIKE_BITS, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows without those that are near copies of another: of each group one row stays, that of the
     smallest id, of equal ids one of the smallest fingerprint; null ids come last.
 
-    Texts are taken for near copies when their 128-bit fingerprints, of their different shingles of ``size`` words,
-    differ in ``most_bits`` bits or fewer: at a similarity (Jaccard) of 0.8 of the shingles, 19 of 128
-    differ on average, at 0.65 27. So the cut is soft: some pairs between these go too. So many bits leave no blocks that every close pair must share; rows meet under
-    masks of random bits instead, and a pair that differs in that many bits under none with probability ``miss``.
+    Texts are near copies when the similarity (Jaccard) of their sets of ``size``-word shingles is ``similarity`` or more; groups are what such links
+    connect. Candidates come from 128-bit fingerprints of the sets: those that differ in ``most_bits`` bits or fewer (at
+    a similarity of 0.8, 19 differ on average). So many bits leave no blocks that every close pair must share; rows meet under masks of
+    random bits instead, and a pair that differs in 19 bits under none with probability ``miss``. Every link is then verified on the whole sets.
 
-    All columns stay as they are. It is decided row by row: of rows that repeat an id with different
-    texts each is judged by its own, of repeated rows one stays. Rows without a word (null, empty or
+    All columns stay as they are; they must be of kinds that Spark can order. It is decided row by row: of rows that repeat an id with different
+    texts each is judged by its own, of repeated rows, and of rows of one id with equal sets, the least stays. Rows without a word (null, empty or
     blank texts) are near copies of nothing and all stay. Ids must be whole numbers.
     """
     spark = docs.sparkSession
     folder = scratch_folder(spark)
+    prints = ["f1", "f2", "s1", "s2"]
 
     def run(batch: pa.RecordBatch) -> dict:
-        found = [wide_fingerprint(t, size) for t in batch.column(1).to_pylist()]
-        both = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-        return {"doc": batch.column(0), "f1": pa.array(np.ascontiguousarray(both[:, 0])), "f2": pa.array(np.ascontiguousarray(both[:, 1])), "row": batch.column(2)}
+        from xxhash import xxh3_128_digest
+
+        found = []
+        for text in batch.column(1).to_pylist():
+            hashes = shingle_set(text, size)
+            digest = np.frombuffer(xxh3_128_digest(hashes[:, 0].tobytes()), "<u8") if len(hashes) else np.zeros(2, np.uint64)
+            found.append(np.concatenate([_wide(hashes), digest]))
+        all_ = np.array(found, np.uint64).reshape(-1, 4).view(np.int64)
+        return {"doc": batch.column(0), "row": batch.column(2)} | {n: pa.array(np.ascontiguousarray(all_[:, i])) for i, n in enumerate(prints)}
+
+    def sets(batch: pa.RecordBatch) -> dict:
+        made = [np.ascontiguousarray(shingle_set(t, size)[:, 0]).tobytes() for t in batch.column(0).to_pylist()]
+        return {n: batch.column(n) for n in kept_columns} | {"shingles": pa.array(made, pa.binary())}
 
     whole = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"), *carried(docs, True))
-    rows = materialize(map_texts(whole, run, {"doc": "long", "f1": "long", "f2": "long", "row": dict(whole.dtypes)["row"]}), folder)
+    rows = materialize(map_texts(whole, run, {"doc": "long", **dict.fromkeys(prints, "long"), "row": dict(whole.dtypes)["row"]}), folder)
+    blank = (F.col("s1") == 0) & (F.col("s2") == 0)
     first = F.min(F.struct(F.col("doc").isNull().alias("none"), "doc")).alias("first")
-    distinct = rows.filter("f1 <> 0 or f2 <> 0").groupBy("f1", "f2").agg(first, F.xxhash64("f1", "f2").alias("rep"))
-    distinct = materialize(distinct, folder)
+    distinct = materialize(rows.filter(~blank).groupBy(*prints).agg(first).withColumn("rep", F.monotonically_increasing_id()), folder)
     masks = sampled_masks(distinct.count(), similarity, miss)
     keyed = distinct.select("rep", "f1", "f2").mapInArrow(_under_masks(masks), "key long, rep long, f1 long, f2 long")
-    links = bucket_links(keyed, most_bits, ["f1", "f2"])
-    roots = connected_components(links, folder)
-    grouped = distinct.join(roots, F.col("rep") == F.col("v"), "left").withColumn("root", F.coalesce("root", "rep"))
-    kept = grouped.groupBy("root").agg(F.min(F.struct("first", "f1", "f2")).alias("x")).select("x.f1", "x.f2", "x.first.doc")
-    # of the rows of a kept fingerprint and id the first that a task meets stays
-    chosen = rows.join(kept.withColumnRenamed("doc", "id"), ["f1", "f2"]).filter(F.col("doc").eqNullSafe(F.col("id")))
-    one = chosen.groupBy("f1", "f2").agg(F.first("row").alias("row"))
-    blank = rows.filter("f1 = 0 and f2 = 0").select("row")
-    return one.select("row").unionByName(blank).select("row.*")
+    roots = materialize(connected_components(bucket_links(keyed, most_bits, ["f1", "f2"]), folder), folder)
+
+    member = roots.select(F.col("v").alias("rep"), F.col("root").alias("comp")).unionByName(roots.select(F.col("root").alias("rep"), F.col("root").alias("comp")).distinct())
+    candidates = materialize(distinct.join(member, "rep"), folder)
+    groups = candidates.groupBy("comp").agg(F.count("*").alias("size"), F.min(F.struct("first", "f1", "f2", "rep")).alias("x")).select("comp", "size", F.col("x.rep").alias("centre_rep"))
+    kept_columns = ["rep", "comp", "size", "centre_rep", "f1", "f2"]
+    texts = rows.select("doc", *prints, F.col("row")[text_col].alias("text")).join(candidates, prints).filter(F.col("doc").eqNullSafe(F.col("first.doc")))
+    texts = texts.dropDuplicates(["rep"]).join(groups, "comp").select("text", *kept_columns)
+    kinds = dict(texts.dtypes)
+    texts = materialize(map_texts(texts, sets, {n: kinds[n] for n in kept_columns} | {"shingles": "binary"}, text=0), folder)
+    final = connected_components(verified_links(texts, similarity, most_bits, folder), folder)
+
+    grouped = distinct.join(final, F.col("rep") == F.col("v"), "left").withColumn("root", F.coalesce("root", "rep"))
+    kept = grouped.groupBy("root").agg(F.min(F.struct("first", *prints)).alias("x")).select("x.first", *[f"x.{p}" for p in prints])
+    chosen = rows.join(kept, prints).filter(F.col("doc").eqNullSafe(F.col("first.doc")))
+    one = chosen.groupBy(*prints).agg(F.min("row").alias("row"))
+    return one.select("row").unionByName(rows.filter(blank).select("row")).select("row.*")
