@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import AMBIGUITY
-from thylakoid.operators import alignment, breakpoints, gapmap, kmers, msa, pairing, pileup, selection
+from thylakoid.operators import alignment, breakpoints, gapmap, kmers, mapping, msa, pairing, pileup, selection
 from thylakoid.plans import growing, pipelines
 from thylakoid.sources.files import read_fasta, write_fasta
 
@@ -306,6 +306,97 @@ def test_reads_of_common_passages_map_like_brute_force(spark):
     assert want[0] == ("c000", 41, "+", 46) and want[2][0] == "c150" and want[6][:2] == ("c003", 1)
 
 
+def test_minimizers_agree_on_both_strands():
+    rng = random.Random(51)
+    for _ in range(50):
+        seq = "".join(rng.choice("ACGTN" if rng.random() < 0.02 else "ACGT") for _ in range(rng.randrange(0, 200)))
+        at, code, own = mapping.minimizers(seq, 7, 4)
+        back = {(len(seq) - 7 - i, c, 1 - o) for i, c, o in zip(*mapping.minimizers(comp(seq), 7, 4))}
+        same = set(zip(at.tolist(), code.tolist(), own.tolist()))
+        assert len(same ^ back) <= 0.2 * len(same) + 4  # equal hashes in a window are settled by place
+    assert len(mapping.minimizers("A" * 1000)[0]) <= 1000 / mapping.W + 1
+
+
+def local_score(a, b):
+    """The best local alignment's score, by hand."""
+    low, first, more = -(10**9), mapping.OPEN + mapping.EXTEND, mapping.EXTEND
+    best, row, put = 0, [0] * (len(b) + 1), [low] * (len(b) + 1)
+    for x in a:
+        new, lack = [0], low
+        for j, y in enumerate(b):
+            lack = max(lack + more, new[j] + first)
+            put[j + 1] = max(put[j + 1] + more, row[j + 1] + first)
+            new.append(max(0, row[j] + (mapping.MATCH if x == y else mapping.MISMATCH), put[j + 1], lack))
+        row, best = new, max(best, *new)
+    return best
+
+
+def walked(cigar, pos, read, contig):
+    """The score of a CIGAR, whose steps must fit the texts."""
+    i, j, score = 0, pos - 1, 0
+    for n, step in mapping.cigar_steps(cigar):
+        if step in "=X":
+            assert all((read[i + x] == contig[j + x]) == (step == "=") for x in range(n))
+            score += n * (mapping.MATCH if step == "=" else mapping.MISMATCH)
+        i, j = i + n * (step in "=XIS"), j + n * (step in "=XD")
+        score += (mapping.OPEN + n * mapping.EXTEND) * (step in "ID")
+    assert i == len(read)
+    return score
+
+
+def test_reads_with_gaps_map(spark):
+    rng = random.Random(52)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    contigs = {f"c{i}": part(rng.randrange(300, 5000)) for i in range(6)}
+    contigs["repeat"] = part(300) + contigs["c0"][100:400] + part(300)
+    reads, true = [], {}
+    for i in range(240):
+        name = f"c{rng.randrange(6)}"
+        at, size = rng.randrange(0, len(contigs[name]) - 200), rng.randrange(60, 180)
+        s = list(contigs[name][at : at + size])
+        for _ in range(rng.randrange(0, 3)):
+            s[rng.randrange(len(s))] = rng.choice("ACGT")
+        cut = rng.randrange(25, len(s) - 25)
+        s = s[:cut] + list(part(i % 4)) + s[cut + (i % 3) * 2 :]
+        s = "".join(s)
+        reads.append((i, comp(s) if i % 2 else s))
+        true[i] = (name, at + 1, "-" if i % 2 else "+", s)
+    reads += [(900, None), (901, ""), (902, "ACGT"), (903, part(100)), (904, contigs["c1"][:120].lower())]
+    df = spark.createDataFrame(reads, "id int, seq string")
+    table = spark.createDataFrame(list(contigs.items()) + [("none", None), ("short", "ACG")], "chrom string, seq string")
+    got = {r.id: r for r in mapping.map_gapped(df, table, ["id"]).collect()}
+    assert not {900, 901, 902, 903} & set(got) and (got[904].chrom, got[904].pos, got[904].cigar) == ("c1", 1, "120=")
+    right = exact = 0
+    for i, (name, at, strand, s) in true.items():
+        if i not in got:
+            continue
+        r = got[i]
+        text = contigs[r.chrom]
+        lies = s if r.strand == strand else comp(s)
+        assert walked(r.cigar, r.pos, lies, text) == r.score
+        right += r.chrom in (name, "repeat") and (r.chrom == "repeat" or abs(r.pos - at) <= 30)
+        exact += r.score == max(local_score(lies, text), 0)
+    assert right >= 0.98 * len(true) and exact >= 0.97 * len(true)
+    assert mapping.map_gapped(df.limit(0), table, ["id"]).count() == 0
+
+
+def test_runs_of_one_letter_stay_linear(spark):
+    rng = random.Random(53)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    contig = part(500) + "A" * 100_000 + part(500)
+    df = spark.createDataFrame([(0, "A" * 2000), (1, contig[480:700]), (2, "A" * 60 + contig[100_500:100_560])], "id int, seq string")
+    table = spark.createDataFrame([("c", contig)], "chrom string, seq string")
+    assert mapping._stretches(table, ["chrom"], "seq", 15, 5, 2000).filter("code = 0").count() <= 3
+    got = {r.id: r for r in mapping.map_gapped(df, table, ["id"]).collect()}
+    assert got[0].score == 4000 and (got[1].pos, got[1].cigar) == (481, "220=") and (got[2].pos, got[2].cigar) == (100_441, "120=")
+
+
+def test_pileup_of_a_cigar():
+    seen = list(mapping.observe(11, "+", "2S3=1I2=2D1X1=1S", "NNACGTACGTN", list(range(11))))
+    assert seen == [(13, "+", 4), (15, "-", 7), (11, "^", 2), (19, "$", 9), (11, ".", 2), (12, ".", 3), (13, ".", 4), (14, ".", 6), (15, ".", 7), (18, "G", 8), (19, ".", 9)]
+    assert list(mapping.observe(1, "-", "3S", "ACG", [1, 2, 3])) == []
+
+
 def opened_by_hand(text, gaps):
     cells = [""] + list(text)
     for at, size in gaps:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as fx
-from thylakoid.operators import alignment, gapmap, kmers, msa, pairing, pileup, selection
+from thylakoid.operators import alignment, gapmap, kmers, mapping, msa, pairing, pileup, selection
 from thylakoid.plans import growing, pipelines
 from thylakoid.session import read_table, scratch_folder
 from thylakoid.sources import files as sources
@@ -674,7 +674,7 @@ def circular_rotation(spark, sf_dir):
 
 
 #: Items lie on few documents, so one read is enough evidence here.
-ONE_READ = pipelines.Settings(least_alt=1)
+ONE_READ = pipelines.Settings(least_alt=1, mapper="votes")
 
 #: Every letter stands for a base in the sequences that reads are mapped to.
 _ALPHABET, _AS_BASES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 2 * "ACGTACGTACGTACGTACGTACGTAC"
@@ -789,6 +789,56 @@ def assembly_reads(spark, sf_dir):
     return pipelines.reads_for_assembly(mates, "please")
 
 
+# --- gapped mapping --------------------------------------------------------------------------
+
+#: A contig without repeats for each document, from hashes of its id and of numbers up to a 64th of its text's length, and reads from it: at every
+#: 400th base 120 bases as they are, without three of them, with three more, or turned round with one changed.
+_HEX, _HEX_BASES = "0123456789abcdef", "ACGTACGTACGTACGT"
+_PLANTED = f"""chroms AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, translate(string_agg(md5(doc_id || ':' || i), '' ORDER BY i), '{_HEX}', '{_HEX_BASES}') AS seq FROM documents, unnest(range(0, 16 + length(text) // 64)) AS t(i) GROUP BY doc_id),
+spots AS (SELECT chrom, seq, i AS spot, i // 400 % 4 AS form, substr(seq, i + 1, 120) AS s FROM chroms, unnest(range(0, length(seq) - 119, 400)) AS t(i)),
+planted AS (SELECT chrom, chrom || ':' || spot AS read, spot, form, CASE form WHEN 0 THEN s WHEN 1 THEN substr(s, 1, 60) || substr(s, 64) WHEN 2 THEN substr(s, 1, 60) || translate(substr(s, 59, 3), 'ACGT', 'CGTA') || substr(s, 61) ELSE substr(s, 1, 60) || translate(substr(s, 61, 1), 'ACGT', 'CGTA') || substr(s, 62) END AS s FROM spots)"""
+
+
+def _planted(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n"))
+    pieces = F.transform(F.sequence(F.lit(0), F.expr("15 + int(n div 64)")), lambda i: F.md5(F.concat_ws(":", "doc_id", i)))
+    chroms = docs.select(F.col("doc_id").cast("string").alias("chrom"), F.translate(F.array_join(pieces, ""), _HEX, _HEX_BASES).alias("seq"))
+    spots = chroms.select("chrom", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - 120, F.lit(400))).alias("spot"))
+    spots = spots.select(F.concat_ws(":", "chrom", "spot").alias("read"), (F.floor(F.col("spot") / 400) % 4).alias("form"), F.substr("seq", F.col("spot") + 1, F.lit(120)).alias("s"))
+    part = lambda a, n=120: F.substr("s", F.lit(a), F.lit(n))
+    other = lambda a, n: F.translate(part(a, n), "ACGT", "CGTA")
+    changed = fx.revcomp(F.concat(part(1, 60), other(61, 1), part(62)))
+    seq = F.when(F.col("form") == 0, F.col("s")).when(F.col("form") == 1, F.concat(part(1, 60), part(64))).when(F.col("form") == 2, F.concat(part(1, 60), other(59, 3), part(61))).otherwise(changed)
+    return spots.select("read", seq.alias("seq"), F.repeat(F.lit("I"), F.length(seq)).alias("qual")), chroms
+
+
+@query(f"""
+WITH {_PLANTED} SELECT read, chrom, CAST(spot + 1 AS INT) AS pos, CASE form WHEN 3 THEN '-' ELSE '+' END AS strand, CASE form WHEN 0 THEN 240 WHEN 1 THEN 224 WHEN 2 THEN 230 ELSE 234 END AS score,
+  CASE form WHEN 2 THEN 3 ELSE 0 END AS inserted, CASE form WHEN 1 THEN 3 ELSE 0 END AS deleted, CASE form WHEN 3 THEN 1 ELSE 0 END AS changed FROM planted
+""")
+def gapped_mapping(spark, sf_dir):
+    """Reads with planted insertions, deletions and changes come back to their places, with what was planted in their CIGARs."""
+    reads, chroms = _planted(spark, sf_dir)
+    mapped = mapping.map_gapped(reads, chroms, ["read"])
+    total = lambda step: F.aggregate(F.regexp_extract_all("cigar", F.lit(f"([0-9]+){step}"), F.lit(1)), F.lit(0), lambda n, x: n + x.cast("int"))
+    return mapped.select("read", "chrom", "pos", "strand", "score", total("I").alias("inserted"), total("D").alias("deleted"), total("X").alias("changed"))
+
+
+@query(f"""
+WITH {_PLANTED} SELECT chrom, sum(CASE form WHEN 1 THEN 117 WHEN 3 THEN 0 ELSE 120 END)::BIGINT AS ref_fwd, sum(CASE form WHEN 3 THEN 119 ELSE 0 END)::BIGINT AS ref_rev,
+  count(*) FILTER (form = 3 AND s[61] = 'A') AS a, count(*) FILTER (form = 3 AND s[61] = 'C') AS c, count(*) FILTER (form = 3 AND s[61] = 'G') AS g, count(*) FILTER (form = 3 AND s[61] = 'T') AS t,
+  count(*) FILTER (form = 2) AS ins, count(*) FILTER (form = 1) AS "del", count(*) AS start, count(*) AS "end", count(DISTINCT spot) FILTER (form = 3) AS found FROM planted GROUP BY chrom
+""")
+def indel_pileup(spark, sf_dir):
+    """Pileups of the reads by CIGAR, summed by contig, and the positions at which a base is found to differ."""
+    reads, chroms = _planted(spark, sf_dir)
+    counts = pipelines.pileup_of(mapping.map_gapped(reads, chroms, ["read"]), reads, chroms, ["read"])
+    names = ["ref_fwd", "ref_rev", "a", "c", "g", "t", "ins", "del", "start", "end"]
+    differs = pileup.variants(counts, least_count=1).groupBy("chrom").agg(F.count("*").alias("found"))
+    sums = counts.groupBy("chrom").agg(*[F.sum(n).alias(n) for n in names])
+    return sums.join(differs, "chrom", "left").fillna(0, ["found"])
+
+
 # --- growing alignments ----------------------------------------------------------------------
 
 #: A pair for each document: its source's common sequence (of the first document of 500 to 1000 bases), in which the document puts up

@@ -111,7 +111,7 @@ def run_samples(spark: SparkSession, mates: DataFrame, contigs: DataFrame, refer
     every = cut_lineage(every.withColumn("status", status.when(F.col("known").isNull(), "no family").otherwise("ok")))
     good = every.filter("status = 'ok'")
     own = good.select("sample", F.col("sample").alias("chrom"), "seq")
-    placed = cut_lineage(place_reads(reads.join(good.select("sample"), "sample", "left_semi"), own, ["sample", "mate", "read_idx"], within=("sample",)))
+    placed = cut_lineage(place_reads(reads.join(good.select("sample"), "sample", "left_semi"), own, ["sample", "mate", "read_idx"], s, within=("sample",)))
     found = cut_lineage(variants_of(placed, reads, own, ["sample", "mate", "read_idx"], s))
     fixed = cut_lineage(correct_sequences(own.drop("sample"), found, s=s).join(good.select(F.col("sample").alias("chrom"), "family"), "chrom"))
     changed = mutations(found, s.most_ref_share).groupBy(F.col("chrom").alias("sample")).agg(F.count_distinct("pos").alias("n"))

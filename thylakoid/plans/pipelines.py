@@ -12,8 +12,9 @@ from thylakoid.operators import msa
 from thylakoid.operators.alignment import smith_waterman
 from thylakoid.operators.breakpoints import inversion_ends
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
+from thylakoid.operators.mapping import map_gapped, observations, with_reference_base
 from thylakoid.operators.pairing import clip_adapter, collapse_reads, pair_reads, route_pairs, trim_ends
-from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
+from thylakoid.operators.pileup import BUCKETS, apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
 
 
@@ -43,6 +44,7 @@ class Settings:
     circular: bool = True
     ends: str = "breakpoints"
     turned_k: int = 15
+    mapper: str = "gapped"
 
 
 def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int = 3) -> DataFrame:
@@ -57,21 +59,28 @@ def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int =
     return route_pairs(once, "seq1", "seq2")
 
 
-def place_reads(reads: DataFrame, contigs: DataFrame, read_key: list[str], within: tuple[str, ...] = ()) -> DataFrame:
-    """Reads' places on the contigs; see ``map_reads``."""
-    return map_reads(reads, contigs, read_key, within=within)
+def place_reads(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings(), within: tuple[str, ...] = ()) -> DataFrame:
+    """Reads' places on the contigs: with gaps (``map_gapped``), or by votes alone (``s.mapper`` is ``votes``; ``map_reads``)."""
+    return (map_reads if s.mapper == "votes" else map_gapped)(reads, contigs, read_key, within=within)
+
+
+def pileup_of(placed: DataFrame, reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings()) -> DataFrame:
+    """Placed reads as counts of each position's buckets (``chrom, pos, ref``)."""
+    if "cigar" not in placed.columns:
+        seen = bases_on_reference(placed, reads, contigs, read_key)
+        return count_observations(seen, ["chrom", "pos", "ref"], "bucket", "quality", s.least_quality)
+    counts = count_observations(observations(placed, reads, read_key), ["chrom", "pos"], "bucket", "quality", s.least_quality)
+    return with_reference_base(counts, contigs).select("chrom", "pos", "ref", *BUCKETS)
 
 
 def variants_of(placed: DataFrame, reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings()) -> DataFrame:
     """Placed reads -> base counts per position -> variant positions."""
-    seen = bases_on_reference(placed, reads, contigs, read_key)
-    counts = count_observations(seen, ["chrom", "pos", "ref"], "bucket", "quality", s.least_quality)
-    return variants(counts, "ref", s.least_alt, s.least_alt_share)
+    return variants(pileup_of(placed, reads, contigs, read_key, s), "ref", s.least_alt, s.least_alt_share)
 
 
 def variant_table(reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings(), within: tuple[str, ...] = ()) -> DataFrame:
     """Reads -> places -> variant positions, as one plan without files between."""
-    return variants_of(place_reads(reads, contigs, read_key, within), reads, contigs, read_key, s)
+    return variants_of(place_reads(reads, contigs, read_key, s, within), reads, contigs, read_key, s)
 
 
 def correct_sequences(contigs: DataFrame, found: DataFrame, key: str = "chrom", s: Settings = Settings()) -> DataFrame:
