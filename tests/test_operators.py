@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from thylakoid.functions.sequence import AMBIGUITY
 from thylakoid.operators import alignment, breakpoints, gapmap, kmers, mapping, msa, pairing, pileup, selection
 from thylakoid.plans import growing, pipelines
+from thylakoid.sources import alignments
 from thylakoid.sources.files import read_fasta, write_fasta
 
 
@@ -380,6 +381,41 @@ def test_reads_with_gaps_map(spark):
     assert mapping.map_gapped(df.limit(0), table, ["id"]).count() == 0
 
 
+def test_mates_map_together(spark):
+    rng = random.Random(54)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    repeat = part(400)
+    contig = part(3000) + repeat + part(3000) + repeat + part(3000)
+    reads = []
+
+    def pair(i, at, size, first=lambda s: s, second=lambda s: s):
+        reads.append((i, 1, first(contig[at : at + 100])))
+        reads.append((i, 2, second(comp(contig[at + size - 100 : at + size]))))
+
+    for i in range(120):
+        pair(i, 20 + i * 20, 300 + rng.randrange(-20, 21))
+    pair(500, 6650, 300)  # the second copy of the repeat holds one mate whole
+    pair(501, 3300, 290)
+    noisy = lambda s: "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if j % 9 == 8 else c for j, c in enumerate(s))
+    pair(502, 7200, 300, second=noisy)  # no seed of 15 is left: the mate is looked for
+    pair(503, 1000, 2500)  # too far apart to be a pair
+    reads += [(504, 1, contig[50:150]), (505, 1, part(100)), (505, 2, contig[60:160])]
+    df = spark.createDataFrame([(i, m, s, "I" * len(s)) for i, m, s in reads], "id int, mate int, seq string, qual string")
+    table = spark.createDataFrame([("c", contig)], "chrom string, seq string")
+    places = mapping.candidate_places(df, table, ["id", "mate"]).cache()
+    middle, spread = mapping.insert_sizes(places, ["id"])
+    assert abs(middle - 300) < 8 and 5 <= spread < 25
+    got = {(r.id, r.mate): r for r in mapping.pair_places(places, df, table, ["id"]).collect()}
+    assert all(got[i, m].proper and got[i, 1].pos == 21 + i * 20 for i in range(120) for m in (1, 2))
+    assert (got[500, 1].pos, got[500, 2].pos, got[500, 1].proper) == (6651, 6851, True)
+    assert (got[501, 1].pos, got[501, 2].pos, got[501, 2].strand) == (3301, 3491, "-")
+    assert (502, 2) not in {(r.id, r.mate) for r in places.collect()}
+    assert got[502, 2].proper and abs(got[502, 2].pos - 7401) < 20 and walked(got[502, 2].cigar, got[502, 2].pos, comp(next(s for i, m, s in reads if (i, m) == (502, 2))), contig) == got[502, 2].score
+    assert not got[503, 1].proper and got[503, 1].pos == 1001 and got[503, 2].pos == 3401
+    assert got[504, 1].pos == 51 and (505, 1) not in got and got[505, 2].pos == 61
+    assert mapping.pair_places(places.filter("id > 600"), df, table, ["id"]).count() == 0
+
+
 def test_runs_of_one_letter_stay_linear(spark):
     rng = random.Random(53)
     part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
@@ -546,6 +582,51 @@ def test_reads_for_assembly(spark):
     assert got == {("s", 0): (a, b[1:], 2, "paired"), ("s", 2): ("", c, 1, "unpaired_2"), ("t", 0): (c, "", 1, "unpaired_1")}
 
 
+def test_read_through_pairs_are_cut(spark):
+    rng = random.Random(61)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    behind = ("AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT")
+    rows, want = [], {}
+    for i in range(150):
+        n = 62 + i % 53  # pieces of 93 to 99 leave 1 to 7 bases of the adapters
+        piece = part(n)
+        mates = [(x + a + part(100))[:100] for x, a in ((piece, behind[0]), (comp(piece), behind[1]))]
+        quals = ["I" * 100, "I" * 100]
+        if i >= 60:  # errors of low quality
+            for m in (0, 1):
+                for j in rng.sample(range(100), 3):
+                    mates[m] = mates[m][:j] + rng.choice("ACGTN") + mates[m][j + 1 :]
+                    quals[m] = quals[m][:j] + "#" + quals[m][j + 1 :]
+        rows.append((i, mates[0], quals[0], mates[1], quals[1]))
+        want[i] = min(n, 100)
+    other = part(90)
+    rows += [(900, part(100), "I" * 100, part(100), "I" * 100), (901, None, None, part(50), "I" * 50), (902, "", "", "", ""), (903, other + part(10), "I" * 100, comp(other) + part(10), "I" * 100), (904, other, "I", comp(other), "I")]
+    got = {r.i: r for r in pairing.clip_palindromes(spark.createDataFrame(rows, "i int, seq1 string, qual1 string, seq2 string, qual2 string"), behind).collect()}
+    wrong = {i: (n, len(got[i].seq1), len(got[i].seq2)) for i, n in want.items() if not len(got[i].seq1) == len(got[i].seq2) == len(got[i].qual1) == len(got[i].qual2) == n}
+    assert not wrong
+    assert len(got[900].seq1) == 100 and got[901].seq1 is None and len(got[901].seq2) == 50 and got[902].seq1 == ""
+    assert len(got[903].seq1) == 100 and len(got[904].seq1) == 90  # no adapter behind; too few qualities
+
+
+def test_stored_alignments_are_looked_up_by_region(spark, tmp_path):
+    rng = random.Random(62)
+    rows = [(f"c{rng.randrange(3)}", p := rng.randrange(1, 60_000), p + rng.randrange(0, 300), i) for i in range(4000)] + [("c1", 10, 50_000, 9999), ("c9", 5, 5, 1)]
+    path = str(tmp_path / "store")
+    alignments.write_alignments(spark.createDataFrame(rows, "chrom string, pos long, end long, i int"), path, files=12, bin_size=1024)
+    every = set(spark.read.parquet(f"{path}/rows").inputFiles())
+    for chrom, start, end in (("c0", 20_000, 20_500), ("c1", 30_000, 30_010), ("c2", 1, 3), ("c9", 5, 5), ("c9", 6000, 7000), ("none", 1, 100)):
+        found = alignments.read_region(spark, path, chrom, start, end)
+        assert sorted(r.i for r in found.collect()) == sorted(i for c, a, b, i in rows if c == chrom and a <= end and b >= start)
+        assert len(set(found.inputFiles())) <= (4 if found.count() else len(every))
+    assert len(every) >= 8
+    held = spark.read.parquet(f"{path}/rows").withColumn("f", F.col("_metadata.file_name")).collect()
+    ranges = sorted((min((r.chrom, r.pos) for r in held if r.f == f), max((r.chrom, r.pos) for r in held if r.f == f)) for f in {r.f for r in held})
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    asked = [(f"c{k % 4}", 700 * k, 700 * k + 5000 * (k % 3), k) for k in range(60)]
+    both = alignments.read_regions(spark, path, spark.createDataFrame(asked, "chrom string, start long, stop long, k int"), bin_size=1024)
+    assert sorted((r.k, r.i) for r in both.collect()) == sorted((k, i) for c, s, e, k in asked for d, a, b, i in rows if c == d and a <= e and b >= s)
+
+
 def test_whole_run(spark, genome, tmp_path):
     long, repeat, short = (x[: len(x) // 3] for x in genome)
     ref = long + repeat + short + comp(repeat)

@@ -89,6 +89,56 @@ def clip_adapter(reads: DataFrame, seq: str, qual: str, adapter: str | list[str]
     return reads.withColumns({seq: F.substr(F.col(seq), F.lit(1), keep), qual: F.substr(F.col(qual), F.lit(1), keep)})
 
 
+#: Score of a base that is equal in both mates; one that differs loses a tenth of the lower of both qualities.
+EQUAL = 0.602
+
+
+def read_through(seq1: str, qual1: str, seq2: str, qual2: str, adapters: tuple[str, str], least_score: float = 30) -> int | None:
+    """The size of the piece that two mates have read through, from its mates' overlap; None if they haven't.
+
+    Mates of a piece of ``n`` bases, shorter than a read, are each other's reverse complement in their first ``n`` bases, and their adapters follow. Of all sizes the
+    best by score counts if it reaches ``least_score`` and what follows is more like the adapters than not.
+    """
+    x, y = (_codes(t) for t in (seq1, seq2))
+    if not len(x) or not len(y):
+        return None
+    p, q = (np.frombuffer(t.encode("latin-1", "replace"), np.uint8)[: len(c)].astype(np.float64) - 33 for t, c in ((qual1, x), (qual2, y)))
+    if len(p) < len(x) or len(q) < len(y):
+        return None
+    other = _PAIRED[y]
+    score = np.where((x[:, None] == other) & (other > 0), EQUAL, -np.minimum(p[:, None], q) / 10)
+    size = np.arange(len(x))[:, None] + np.arange(len(y)) + 1  # a base and its partner lie this far apart, ends included
+    sums = np.bincount(size.ravel(), weights=score.ravel())[: min(len(x), len(y)) + 1]
+    n = len(sums) - 1 - int(sums[::-1].argmax())
+    if sums[n] < least_score or n >= max(len(x), len(y)):
+        return None
+    behind = 0.0
+    for codes, quality, adapter in ((x, p, adapters[0]), (y, q, adapters[1])):
+        tail, wanted = codes[n:], _codes(adapter)
+        m = min(len(tail), len(wanted))
+        behind += float(np.where(tail[:m] == wanted[:m], EQUAL, -quality[n : n + m] / 10).sum())
+    return n if behind > 0 else None
+
+
+#: What each letter pairs with; 0 pairs with nothing.
+_PAIRED = np.zeros(256, np.uint8)
+_PAIRED[[ord(c) for c in "ACGT"]] = [ord(c) for c in "TGCA"]
+
+
+def clip_palindromes(pairs: DataFrame, adapters: tuple[str, str], seq: tuple[str, str] = ("seq1", "seq2"), qual: tuple[str, str] = ("qual1", "qual2"), least_score: float = 30) -> DataFrame:
+    """Pairs whose mates read through their piece into the adapters, cut at the piece's end, however little of an adapter is left (``read_through``).
+
+    Pairs with a mate that is null or empty, or with fewer qualities than bases, stay as they are.
+    """
+
+    @F.pandas_udf(T.IntegerType())
+    def size(a: pd.Series, p: pd.Series, b: pd.Series, q: pd.Series) -> pd.Series:
+        return pd.Series([read_through(*x, adapters, least_score) if all(t is not None for t in x) else None for x in zip(a, p, b, q)], dtype="Int32")
+
+    cut = pairs.withColumn("_size", size(seq[0], qual[0], seq[1], qual[1]))
+    return cut.withColumns({c: F.when(F.col("_size").isNull(), F.col(c)).otherwise(F.substr(F.col(c), F.lit(1), F.col("_size"))) for c in (*seq, *qual)}).drop("_size")
+
+
 def route_pairs(pairs: DataFrame, seq1: str, seq2: str) -> DataFrame:
     """Where a trimmed pair goes: ``paired``, ``unpaired_1``, ``unpaired_2`` or ``dropped``."""
     one, two = F.length(F.coalesce(seq1, F.lit(""))) > 0, F.length(F.coalesce(seq2, F.lit(""))) > 0

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from thylakoid.functions import sequence as fx
 from thylakoid.operators import alignment, gapmap, kmers, mapping, msa, pairing, pileup, selection
 from thylakoid.plans import growing, pipelines
-from thylakoid.session import read_table, scratch_folder
+from thylakoid.session import cut_lineage, read_table, scratch_folder
+from thylakoid.sources import alignments
 from thylakoid.sources import files as sources
 
 QUERIES: dict = {}
@@ -839,6 +840,79 @@ def indel_pileup(spark, sf_dir):
     return sums.join(differs, "chrom", "left").fillna(0, ["found"])
 
 
+#: The same contigs with their first 400 bases again and an end of their own; pairs of 100 bases of pieces of 300, the last of which lies
+#: with one mate in the second copy of these bases.
+_PIECES = f"""{_PLANTED}, tails AS (SELECT CAST(doc_id AS VARCHAR) AS chrom, translate(string_agg(md5(doc_id || ':end:' || i), '' ORDER BY i), '{_HEX}', '{_HEX_BASES}') AS tail FROM documents, unnest(range(0, 12)) AS t(i) GROUP BY doc_id),
+long AS (SELECT chrom, seq || substr(seq, 1, 400) || tail AS seq, length(seq) AS n FROM chroms JOIN tails USING (chrom)),
+pieces AS (SELECT chrom, i AS spot FROM long, unnest(range(400, n - 299, 400)) AS t(i) UNION ALL SELECT chrom, n + 300 FROM long)"""
+
+
+def _pieces(spark, sf_dir):
+    tail = F.translate(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(11)), lambda i: F.md5(F.concat_ws(":", "chrom", F.lit("end"), i))), ""), _HEX, _HEX_BASES)
+    chroms = _planted(spark, sf_dir)[1].withColumn("n", F.length("seq"))
+    chroms = chroms.select("chrom", "n", F.concat("seq", F.substr("seq", F.lit(1), F.lit(400)), tail).alias("seq"))
+    spots = F.concat(F.when(F.col("n") >= 700, F.sequence(F.lit(400), F.col("n") - 300, F.lit(400))).otherwise(F.array().cast("array<int>")), F.array(F.col("n") + 300))
+    return chroms.select("chrom", "seq", F.explode(spots).alias("spot")), chroms.select("chrom", "seq")
+
+
+@query(f"""
+WITH {_PIECES}, mates AS (SELECT chrom, spot, unnest([1, 2]) AS mate FROM pieces)
+SELECT chrom || ':' || spot AS pair, mate, chrom, CAST(spot + CASE mate WHEN 1 THEN 1 ELSE 201 END AS INT) AS pos, CASE mate WHEN 1 THEN '+' ELSE '-' END AS strand, '100=' AS cigar, true AS proper, 300 AS size FROM mates
+""")
+def paired_mapping(spark, sf_dir):
+    """Pairs come back to their pieces, also where one mate alone would go to the first copy of a repeat."""
+    pieces, chroms = _pieces(spark, sf_dir)
+    at = lambda start: F.substr("seq", F.col("spot") + start, F.lit(100))
+    mates = F.array(F.struct(F.lit(1).alias("mate"), at(1).alias("seq")), F.struct(F.lit(2).alias("mate"), fx.revcomp(at(201)).alias("seq")))
+    reads = pieces.select(F.concat_ws(":", "chrom", "spot").alias("pair"), F.explode(mates).alias("x")).select("pair", "x.*")
+    places = cut_lineage(mapping.candidate_places(reads, chroms, ["pair", "mate"]))
+    return mapping.pair_places(places, reads, chroms, ["pair"]).select("pair", "mate", "chrom", "pos", "strand", "cigar", "proper", "size")
+
+
+#: The adapters behind both mates' pieces.
+BEHIND = ("AGATCGGAAGAGCACACGTCTGAACTCCAGTCA", "AGATCGGAAGAGCGTCGTGTAGGGAAAGAGTGT")
+
+
+@query(f"""
+WITH {_PLANTED} SELECT read, CAST(least(100, 80 + (spot // 400 * 7 + length(chrom)) % 40) AS INT) AS kept1, CAST(least(100, 80 + (spot // 400 * 7 + length(chrom)) % 40) AS INT) AS kept2 FROM planted
+""")
+def clip_palindromes(spark, sf_dir):
+    """Pairs of 100 bases of pieces of 80 to 119, with the adapters behind: those that are read through are cut at the piece's end."""
+    chroms = _planted(spark, sf_dir)[1]
+    spots = chroms.select("chrom", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - 120, F.lit(400))).alias("spot"))
+    size = (80 + (F.floor(F.col("spot") / 400) * 7 + F.length("chrom")) % 40).cast("int")
+    pieces = spots.select(F.concat_ws(":", "chrom", "spot").alias("read"), F.substr("seq", F.col("spot") + 1, size).alias("piece"))
+    sides = [F.substr(F.concat(x, F.lit(a)), F.lit(1), F.lit(100)).alias(f"seq{m}") for m, x, a in ((1, F.col("piece"), BEHIND[0]), (2, fx.revcomp(F.col("piece")), BEHIND[1]))]
+    pairs = pieces.select("read", *sides).withColumns({f"qual{m}": F.repeat(F.lit("I"), F.lit(100)) for m in (1, 2)})
+    return pairing.clip_palindromes(pairs, BEHIND).select("read", F.length("seq1").alias("kept1"), F.length("seq2").alias("kept2"))
+
+
+# --- stored alignments -----------------------------------------------------------------------
+
+_LAID = "SELECT 's' || l_suppkey % 10 AS chrom, l_orderkey AS pos, l_orderkey + CAST(l_quantity AS BIGINT) AS \"end\", l_linenumber FROM lineitem"
+
+
+def _stored(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "lineitem").select(F.concat(F.lit("s"), F.col("l_suppkey") % 10).alias("chrom"), F.col("l_orderkey").alias("pos"), (F.col("l_orderkey") + F.col("l_quantity").cast("long")).alias("end"), "l_linenumber")
+    path = scratch_folder(spark)
+    alignments.write_alignments(rows, path, files=16, bin_size=256)
+    return path
+
+
+@query(f"WITH a AS ({_LAID}) SELECT * FROM a WHERE chrom = 's3' AND pos <= 700 AND \"end\" >= 500")
+def stored_region(spark, sf_dir):
+    """Line items as stretches of contigs, stored in order with an index, and those that touch a region."""
+    return alignments.read_region(spark, _stored(spark, sf_dir), "s3", 500, 700)
+
+
+@query(f"WITH a AS ({_LAID}), r AS (SELECT c_custkey, 's' || c_nationkey % 10 AS chrom, c_custkey * 3 AS start, c_custkey * 3 + 600 AS stop FROM customer) SELECT c_custkey, count(*) AS n, min(pos) AS first, max(\"end\") AS last FROM r JOIN a ON a.chrom = r.chrom AND pos <= stop AND \"end\" >= start GROUP BY c_custkey")
+def stored_regions(spark, sf_dir):
+    """How many stored stretches touch each customer's region."""
+    regions = read_table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("s"), F.col("c_nationkey") % 10).alias("chrom"), (F.col("c_custkey") * 3).alias("start"), (F.col("c_custkey") * 3 + 600).alias("stop"))
+    found = alignments.read_regions(spark, _stored(spark, sf_dir), regions, bin_size=256)
+    return found.groupBy("c_custkey").agg(F.count("*").alias("n"), F.min("pos").alias("first"), F.max("end").alias("last"))
+
+
 # --- growing alignments ----------------------------------------------------------------------
 
 #: A pair for each document: its source's common sequence (of the first document of 500 to 1000 bases), in which the document puts up

@@ -13,7 +13,7 @@ from thylakoid.operators.alignment import smith_waterman
 from thylakoid.operators.breakpoints import inversion_ends
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
 from thylakoid.operators.mapping import map_gapped, observations, with_reference_base
-from thylakoid.operators.pairing import clip_adapter, collapse_reads, pair_reads, route_pairs, trim_ends
+from thylakoid.operators.pairing import clip_adapter, clip_palindromes, collapse_reads, pair_reads, route_pairs, trim_ends
 from thylakoid.operators.pileup import BUCKETS, apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
 
@@ -47,13 +47,15 @@ class Settings:
     mapper: str = "gapped"
 
 
-def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int = 3) -> DataFrame:
+def reads_for_assembly(mates: DataFrame, adapters: str | list[str], least: int = 3, behind: tuple[str, str] | None = None) -> DataFrame:
     """What an assembler takes of all samples' reads (``sample, mate, read_idx, seq, qual``): pairs of equal
-    sequences once, cut at adapters and at low-quality ends, with the ``route`` that each pair takes."""
+    sequences once, cut at adapters and at low-quality ends, with the ``route`` that each pair takes. With ``behind``, the
+    adapters behind both mates' pieces, pairs are first cut where their mates' overlap ends."""
     side = [mates.filter(F.col("mate") == m).select("sample", "read_idx", "seq", "qual") for m in (1, 2)]
     pairs = pair_reads(*side, ["sample", "read_idx"])
     pairs = pairs.select("sample", "seq1", "seq2", F.struct("read_idx", "qual1", "qual2").alias("first"))
     once = collapse_reads(pairs, ["sample", "seq1", "seq2"], "first").select("sample", "seq1", "seq2", "first.*", "copies")
+    once = clip_palindromes(once, behind) if behind else once
     for m in "12":
         once = trim_ends(clip_adapter(once, f"seq{m}", f"qual{m}", adapters), f"seq{m}", f"qual{m}", least)
     return route_pairs(once, "seq1", "seq2")
