@@ -221,7 +221,11 @@ def one_symbol(models, gram):
     inner = [c for c in gram if c not in "^$"]
     grams = _Grams(["".join(inner)])
     at = 1 + len(inner) if gram[-1] == "$" else len(inner)
-    n, out = len(gram), 0
+    return np.array([of_one(m, grams, at, len(gram)) for m in models.models])
+
+
+def of_one(models, grams, at, n):
+    out = 0
     while n:
         ids, logp = models.tables[n]
         key = grams.keys[n][at]
@@ -238,13 +242,15 @@ def one_symbol(models, gram):
         n -= 1
 
 
-def test_small_models_still_add_up_to_one(spark):
+def test_models_keep_all_n_grams_and_add_up_to_one(spark):
     rng = random.Random(32)
-    words = {(x, "".join(rng.choices("abcdef", k=rng.randint(2, 9)))) for x in ("x", "y") for _ in range(200)}
-    words = spark.createDataFrame([(x, w, 1) for x, w in words], "lang string, word string, n long")
-    whole, small = char_models(words), char_models(words, model_bytes=144 * 150)
-    assert sum(len(t[0]) for t in small.tables.values()) <= 150 < sum(len(t[0]) for t in whole.tables.values())
-    for models in (whole, small):
+    words = {(f"l{i:02}", "".join(rng.choices("abcdef", k=rng.randint(2, 9)))) for i in range(30) for _ in range(40)}
+    table = spark.createDataFrame([(x, w, 1) for x, w in words], "lang string, word string, n long")
+    for models in (char_models(table), char_models(table, fetch_rows=500)):
+        for i, lang in enumerate(models.langs):
+            for n in range(2, 6):
+                own = {("^" + w + "$")[j : j + n] for x, w in words if x == lang for j in range(len(w) + 3 - n)}
+                assert len(models.models[i].tables[n][0]) == len(own)
         for before in ("^", "^a", "^ab", "^fffa", "^abcdef"):
             total = sum(next_probabilities(models, before, "abcdef$?").values())
             assert np.allclose(total, 1, atol=1e-4), before

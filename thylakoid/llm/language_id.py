@@ -18,8 +18,8 @@ ORDER = 5
 #: The models learn from about so many documents of a language, of at most so many bytes each; one in
 #: CALIBRATE of these is kept for calibration. Languages are bounded too: each adds a column to the tables.
 SAMPLE_DOCS, SAMPLE_BYTES, CALIBRATE, MOST_LANGS = 1500, 200_000, 5, 500
-#: Bytes that the models and what they are made of take on the driver.
-MODEL_BYTES = 64 << 20
+#: Documents that all languages together are learned from at most, and n-grams of whole languages that come to the driver at a time.
+SAMPLE_TOTAL, FETCH_ROWS = 60_000, 1 << 21
 #: Longer runs of letters count as several words, so what a word takes is bounded.
 MOST_LETTERS = 64
 #: Words whose scores a worker remembers.
@@ -65,25 +65,20 @@ class _Grams:
             self.keys[n][1:] += self.keys[n - 1][:-1] * _STEP  # of the n symbols that end here
 
 
-class CharModels:
-    """The models of all languages over one set of n-grams, in sorted hash arrays.
-
-    For each order: sorted hashes of the n-grams seen in any language with their log-probability in
-    every language, and sorted hashes of the contexts with the log of what each language leaves to the
-    next lower order. So one lookup serves all languages.
-    """
+class CharModel:
+    """One language's model: for each order sorted hashes of its n-grams with their log-probability, and sorted
+    hashes of its contexts with the log of what they leave to the next lower order."""
 
-    def __init__(self, langs: list[str], grams: dict[int, tuple[np.ndarray, ...]]):
-        """``grams``: for each order its n-grams' sorted hashes, their contexts' and their lower orders' hashes, and
-        their discounted shares of the context, a column for each language. An n-gram's lower order is there too."""
-        self.langs = langs
+    def __init__(self, grams: dict[int, tuple[np.ndarray, ...]], symbols: int):
+        """``grams``: for each order the language's n-grams' sorted hashes, their contexts' and their lower orders' hashes, and their
+        discounted shares of the context; an n-gram's lower order is there too. ``symbols``: how many all languages have."""
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.leaves: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        lower = uniform = 1.0 / (len(grams[1][0]) + 1)
+        lower = uniform = 1.0 / (symbols + 1)
         for n in range(1, ORDER + 1):
             ids, context, low, share = grams[n]
             ctx, which = np.unique(context, return_inverse=True)
-            left = np.ones((len(ctx), len(langs)))
+            left = np.ones(len(ctx))
             np.subtract.at(left, which, share)
             left = np.clip(left, 1e-9, 1)
             if n > 1:
@@ -93,39 +88,54 @@ class CharModels:
             self.tables[n] = (ids, np.log(p).astype(np.float32))
             self.leaves[n] = (ctx, np.log(left).astype(np.float32))
         self.unknown = np.float32(np.log(uniform)) + (self.leaves[1][1][0] if len(self.leaves[1][1]) else 0)
-        self.temperature, self.limits = 1.0, np.full((len(langs), BANDS), np.inf)
 
-    def score(self, words: list[str]) -> np.ndarray:
-        """For each word the log-probability in every language, and the number of symbols, as columns."""
-        grams = _Grams([_letters(w) for w in words])
-        at = np.flatnonzero(grams.place > 0)
-        top = np.minimum(grams.place[at] + 1, ORDER)
-        out = np.zeros((len(at), len(self.langs)), np.float32)
-        open_ = np.ones(len(at), bool)
+    def score(self, grams: _Grams, at: np.ndarray, top: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the symbols at some places, each after ``top - 1`` symbols at most."""
+        out, open_ = np.zeros(len(at), np.float32), np.arange(len(at))
         for n in range(ORDER, 0, -1):
-            mine = np.flatnonzero(open_ & (top >= n))
+            mine = open_[top[open_] >= n]
             if not len(mine):
                 continue
             ids, logp = self.tables[n]
-            key = grams.keys[n][at[mine]]
-            row = np.minimum(np.searchsorted(ids, key), len(ids) - 1)
-            hit = ids[row] == key
+            row, hit = _found(ids, grams.keys[n][at[mine]])
             out[mine[hit]] += logp[row[hit]]
-            open_[mine[hit]] = False
             rest = mine[~hit]
+            open_ = np.concatenate([open_[top[open_] < n], rest])
             if n == 1:
                 out[rest] += self.unknown
             elif len(rest):
                 ids, left = self.leaves[n]
-                key = grams.keys[n - 1][at[rest] - 1]
-                row = np.minimum(np.searchsorted(ids, key), len(ids) - 1)
-                hit = ids[row] == key
+                row, hit = _found(ids, grams.keys[n - 1][at[rest] - 1])
                 out[rest[hit]] += left[row[hit]]
+        return out
+
+
+def _found(ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where keys would lie in sorted ids, and whether they are there."""
+    if not len(ids):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    row = np.minimum(np.searchsorted(ids, keys), len(ids) - 1)
+    return row, ids[row] == keys
+
+
+class CharModels:
+    """The models of all languages, and how their scores are calibrated."""
+
+    def __init__(self, langs: list[str], models: list[CharModel]):
+        self.langs, self.models = langs, models
+        self.temperature, self.limits = 1.0, np.full((len(langs), BANDS), np.inf)
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """For each word the log-probability in every language, and the number of symbols, as columns."""
+        grams = _Grams([_letters(w) for w in words])
+        at = np.flatnonzero(grams.place > 0)
+        top = np.minimum(grams.place[at] + 1, ORDER)
         word = grams.word[at]
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         size = np.diff(np.r_[first, len(word)]).astype(np.float32)
         size[size == 1] = 0  # no letter in it
-        return np.c_[np.add.reduceat(out, first, axis=0), size] * (size > 0)[:, None]
+        sums = [np.add.reduceat(model.score(grams, at, top), first) for model in self.models]
+        return np.stack([*sums, size], axis=1) * (size > 0)[:, None]
 
 
 def posterior(entropy: np.ndarray, temperature: float) -> np.ndarray:
@@ -228,15 +238,14 @@ def _count_grams(batches):
             yield pa.RecordBatch.from_pydict(columns)
 
 
-def char_models(words: DataFrame, model_bytes: int = MODEL_BYTES, folder: str | None = None) -> CharModels | None:
+def char_models(words: DataFrame, folder: str | None = None, fetch_rows: int = FETCH_ROWS) -> CharModels | None:
     """Models of the languages of ``words`` (``lang, word, n``); None if there are no words.
 
     Spark counts the n-grams of each language: as often as they occur if they are of the highest order or
     begin a word, else in how many different (n+1)-grams they end. It takes the discount of each language
     and order from the n-grams that count once and twice, and divides by the context's total. Only the
-    finished shares come to the driver, in about ``model_bytes`` at most: where more n-grams are known, those
-    rarest over all languages are left out, and their shares fall to their contexts' lower orders, so
-    probabilities still add up to one.
+    finished shares come to the driver, about ``fetch_rows`` at a time, of whole languages; each language keeps all
+    of its n-grams, in arrays of its own.
     """
     spark = words.sparkSession
     folder = folder or scratch_folder(spark)
@@ -253,26 +262,27 @@ def char_models(words: DataFrame, model_bytes: int = MODEL_BYTES, folder: str |
     counts = materialize(counts, folder)
     once, twice = F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)
     discounts = counts.groupBy("lang", "n").agg(F.when(once > 0, F.greatest(F.least(once / (once + 2 * twice), F.lit(0.95)), F.lit(0.1))).otherwise(0.5).alias("discount"))
-    total, every = F.sum("count").over(Window.partitionBy("lang", "n", "context")), Window.partitionBy("n", "gram")
+    total = F.sum("count").over(Window.partitionBy("lang", "n", "context"))
     share = F.greatest(F.col("count") - F.col("discount"), F.lit(0.0)) / F.col("total")
     shares = counts.withColumn("total", total).join(F.broadcast(discounts), ["lang", "n"])  # a row for each language and order
-    shares = shares.select("lang", "n", "gram", "context", "low", share.alias("share"), F.floor(8 * F.log2(F.sum("seen").over(every))).alias("level"), (F.min("lang").over(every) == F.col("lang")).alias("first"))
-    shares = materialize(shares, folder)
-    most, least, held = model_bytes // (24 + 60 * len(langs)), 0, 0
-    for level, n in sorted(((r.level, r.n) for r in shares.groupBy("level").agg(F.count_if("first").alias("n")).toLocalIterator()), reverse=True):
-        held += n
-        if held > most:
-            least = level + 1
-            break
-    rows, grams = shares.filter(F.col("level") >= least).drop("level", "first").toArrow(), {}
-    for n in range(1, ORDER + 1):
-        table = rows.filter(pc.equal(rows["n"], n))
-        gram, context, low = (table[c].to_numpy().view(np.uint64) for c in ("gram", "context", "low"))
-        ids, at, row = np.unique(gram, return_index=True, return_inverse=True)
-        share = np.zeros((len(ids), len(langs)))
-        share[row, table["lang"].to_numpy()] = table["share"].to_numpy()
-        grams[n] = (ids, context[at], low[at], share)
-    return CharModels(langs, grams)
+    shares = materialize(shares.select("lang", "n", "gram", "context", "low", share.alias("share")), folder)
+    symbols = shares.filter("n = 1").select("gram").distinct().count()
+    sizes = {r.lang: r["count"] for r in shares.groupBy("lang").count().toLocalIterator()}
+    models: dict[int, CharModel] = {}
+    while len(models) < len(langs):
+        some = [len(models)]
+        while some[-1] + 1 < len(langs) and sum(sizes[i] for i in [*some, some[-1] + 1]) <= fetch_rows:
+            some.append(some[-1] + 1)
+        rows = shares.filter(F.col("lang").isin(some)).toArrow()
+        for i in some:
+            own, grams = rows.filter(pc.equal(rows["lang"], i)), {}
+            for n in range(1, ORDER + 1):
+                table = own.filter(pc.equal(own["n"], n))
+                gram, context, low = (table[c].to_numpy().view(np.uint64) for c in ("gram", "context", "low"))
+                order = np.argsort(gram)
+                grams[n] = (gram[order], context[order], low[order], table["share"].to_numpy()[order])
+            models[i] = CharModel(grams, symbols)
+    return CharModels(langs, list(models.values()))
 
 
 def _word_counts(batch: pa.RecordBatch) -> dict:
@@ -282,8 +292,8 @@ def _word_counts(batch: pa.RecordBatch) -> dict:
     return {"lang": pa.array([k[0] for k in counts], pa.string()), "word": pa.array([k[1] for k in counts], pa.string()), "n": pa.array(list(counts.values()), pa.int64())}
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, model_bytes: int = MODEL_BYTES) -> CharModels | None:
-    """Models from a bounded sample of labelled rows: about ``sample_docs`` documents a language, chosen
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS, sample_bytes: int = SAMPLE_BYTES, sample_total: int = SAMPLE_TOTAL) -> CharModels | None:
+    """Models from a bounded sample of labelled rows: about ``sample_docs`` documents a language and ``sample_total`` of all, chosen
     by a hash of the id among those of at most ``sample_bytes``; of more than ``MOST_LANGS`` languages, the
     most frequent ones. One in ``CALIBRATE`` documents isn't learned from, unless its language has no
     others: it sets the scores' temperature and, with its texts' first words as short texts, the
@@ -296,13 +306,13 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).toLocalIterator()}
     if not sizes:
         return None
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample_docs / n))])
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, min(sample_docs, sample_total / len(sizes)) / n))])
     draw = (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)) < share[F.col("lang")]
     sample = materialize(rows.filter(draw).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(CALIBRATE))), folder)
     known = [r.lang for r in sample.filter("part > 0").select("lang").distinct().toLocalIterator()]
     learned = sample.filter((F.col("part") > 0) | ~F.col("lang").isin(known)) if known else sample
     words = map_texts(learned.select("id", "text", "lang"), _word_counts, {"lang": "string", "word": "string", "n": "long"})
-    models = char_models(materialize(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), folder), model_bytes, folder)
+    models = char_models(materialize(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), folder), folder)
     if models is None:
         return None
     key, shared, heats = uuid.uuid4().hex, spark.sparkContext.broadcast(models), np.geomspace(0.005, 2, 25)
