@@ -45,6 +45,12 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder whose tables nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions_for(total: float, per_partition: float, least: int = 1) -> int:
     """Partitions so that each takes ``per_partition`` of ``total``."""
     return max(least, math.ceil(total / per_partition))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import carried, map_texts, materialize, scratch_folder
+from thylakoid.llm.common import carried, map_texts, materialize, remove_folder, scratch_folder
 from thylakoid.llm.components import connected_components
 
 SHINGLE, MOST_BITS, SEED = 4, 4, 42
@@ -156,16 +156,15 @@ def _links(fp: np.ndarray, rep: np.ndarray, most_bits: int) -> tuple[list, list]
 
 
 def _bucket_links(most_bits: int, words: int):
-    """Over rows (key, left, right, rep, fingerprint's words) that come sorted by the first three; a
-    bucket's rows may span batches."""
+    """Over rows (key, rep, fingerprint's words) that come sorted by the first; a bucket's rows may span batches."""
 
     def run(batches):
         held = None
         for batch in batches:
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4 + words)]
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(2 + words)]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows)]
-            edge = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in rows[:3]])) + 1
+            edge = np.flatnonzero(rows[0][1:] != rows[0][:-1]) + 1
             last = int(edge[-1]) if len(edge) else 0
             held = [x[last:] for x in rows]
             if last:
@@ -174,7 +173,7 @@ def _bucket_links(most_bits: int, words: int):
             yield from emit(held, np.array([0]))
 
     def emit(rows, first):
-        rep, fp = rows[3], np.stack(rows[4:], axis=1).view(np.uint64)
+        rep, fp = rows[1], np.stack(rows[2:], axis=1).view(np.uint64)
         size = np.diff(np.r_[first, len(fp)])
         two = first[size == 2]
         near = two[np.bitwise_count(fp[two] ^ fp[two + 1]).sum(axis=1) <= most_bits]
@@ -199,9 +198,10 @@ def bucket_links(keyed: DataFrame, most_bits: int, fp: list[str], block_rows: in
     blocks = F.coalesce("blocks", F.lit(1))
     dealt = keyed.join(large, "key", "left").select("key", "rep", *fp, blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "rep", *fp)
-    group = ["key", "left", "right"]
-    return dealt.repartition(*group).sortWithinPartitions(*group, *fp).mapInArrow(_bucket_links(most_bits, len(fp)), "a long, b long")
+    # a bucket's pair of blocks is a group; groups that share a hash are compared as one
+    group = F.when(F.col("blocks") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
+    lean = dealt.select(group.alias("key"), "rep", *fp)
+    return lean.repartition("key").sortWithinPartitions("key", *fp).mapInArrow(_bucket_links(most_bits, len(fp)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, most_bits: int = MOST_BITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -359,7 +359,7 @@ def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = S
     blank texts) are near copies of nothing and all stay. Ids must be whole numbers.
     """
     spark = docs.sparkSession
-    folder = scratch_folder(spark)
+    folder, work = scratch_folder(spark), scratch_folder(spark)
     prints = ["f1", "f2", "s1", "s2"]
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -384,17 +384,18 @@ def drop_alike(docs: DataFrame, size: int = ALIKE_SHINGLE, similarity: float = S
     distinct = materialize(rows.filter(~blank).groupBy(*prints).agg(first).withColumn("rep", F.monotonically_increasing_id()), folder)
     masks = sampled_masks(distinct.count(), similarity, miss)
     keyed = distinct.select("rep", "f1", "f2").mapInArrow(_under_masks(masks), "key long, rep long, f1 long, f2 long")
-    roots = materialize(connected_components(bucket_links(keyed, most_bits, ["f1", "f2"]), folder), folder)
+    roots = materialize(connected_components(bucket_links(keyed, most_bits, ["f1", "f2"]), work), work)
 
     member = roots.select(F.col("v").alias("rep"), F.col("root").alias("comp")).unionByName(roots.select(F.col("root").alias("rep"), F.col("root").alias("comp")).distinct())
-    candidates = materialize(distinct.join(member, "rep"), folder)
+    candidates = materialize(distinct.join(member, "rep"), work)
     groups = candidates.groupBy("comp").agg(F.count("*").alias("size"), F.min(F.struct("first", "f1", "f2", "rep")).alias("x")).select("comp", "size", F.col("x.rep").alias("centre_rep"))
     kept_columns = ["rep", "comp", "size", "centre_rep", "f1", "f2"]
     texts = rows.select("doc", *prints, F.col("row")[text_col].alias("text")).join(candidates, prints).filter(F.col("doc").eqNullSafe(F.col("first.doc")))
     texts = texts.dropDuplicates(["rep"]).join(groups, "comp").select("text", *kept_columns)
     kinds = dict(texts.dtypes)
-    texts = materialize(map_texts(texts, sets, {n: kinds[n] for n in kept_columns} | {"shingles": "binary"}, text=0), folder)
-    final = connected_components(verified_links(texts, similarity, most_bits, folder), folder)
+    texts = materialize(map_texts(texts, sets, {n: kinds[n] for n in kept_columns} | {"shingles": "binary"}, text=0), work)
+    final = materialize(connected_components(verified_links(texts, similarity, most_bits, work), work), folder)
+    remove_folder(spark, work)
 
     grouped = distinct.join(final, F.col("rep") == F.col("v"), "left").withColumn("root", F.coalesce("root", "rep"))
     kept = grouped.groupBy("root").agg(F.min(F.struct("first", *prints)).alias("x")).select("x.first", *[f"x.{p}" for p in prints])
