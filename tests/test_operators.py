@@ -134,7 +134,7 @@ def test_consensus_identity_and_positions(spark):
     rows = spark.createDataFrame([(0, "AC-GN"), (1, "AT-GN"), (2, "TTcRN")], "row int, seq_aln string").withColumn("k", F.lit(1))
     agreed = msa.consensus(rows, ["k"])
     assert "".join(r.base for r in agreed.orderBy("col").collect()) == "ATCGN"
-    scores = {r.row: (r.compared, r.equal) for r in msa.identity(msa.with_consensus(rows, agreed, ["k"]), ["row"]).collect()}
+    scores = {r.row: (r.compared, r.equal) for r in msa.identity(msa.with_consensus(rows, msa.consensus_texts(rows, ["k"]), ["k"]), ["row"]).collect()}
     assert scores == {0: (3, 2), 1: (3, 3), 2: (4, 2)}
     assert rows.filter("row = 0").select(msa.positions("seq_aln").alias("x")).first().x == [1, 2, -1, 3, 4]
 
@@ -212,6 +212,21 @@ def test_indels_that_cancel_are_aligned(monkeypatch, cells):
     assert score(x, y) == row[-1]
 
 
+def test_pairs_aligned_side_by_side():
+    rng = random.Random(17)
+    part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    pairs = [(part(rng.randrange(0, 90)), part(rng.randrange(0, 90))) for _ in range(60)] + [("", ""), ("A", ""), ("", "C")]
+    for (a, b), (x, y) in zip(pairs, alignment.banded_pairs(pairs, band=8)):
+        assert x.replace("-", "") == a and y.replace("-", "") == b and len(x) == len(y)
+        row = [-2 * j for j in range(len(b) + 1)]
+        for i, p in enumerate(a):
+            new = [-2 * (i + 1)]
+            for j, q in enumerate(b):
+                new.append(max(row[j] + (1 if p == q else -1), row[j + 1] - 2, new[-1] - 2))
+            row = new
+        assert sum(-2 if "-" in p else 1 if p[0] == p[1] else -1 for p in zip(x, y)) == row[-1]
+
+
 def test_adapters_with_errors_are_clipped(spark):
     adapter, other = "AGATCGGAAGAGCACACGTC", "CTGTCTCTTATACACATCTC"
     wrong = "AGATCTGAAGAGCACAGGTC"

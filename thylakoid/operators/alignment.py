@@ -131,6 +131,8 @@ def rotate_to_anchor(rows: DataFrame, keys: list[str], ref: str, query: str, anc
 
 #: Cells of one alignment's way back that are held at a time, and the size of its anchors.
 MOST_CELLS, ANCHOR = 1 << 27, 25
+#: Cells of alignments that are filled side by side.
+SIDE_CELLS = 1 << 24
 
 
 def anchor_chain(a: str, b: str, k: int = ANCHOR) -> list[tuple[int, int]]:
@@ -156,22 +158,49 @@ def anchor_chain(a: str, b: str, k: int = ANCHOR) -> list[tuple[int, int]]:
 
 
 def banded_pair(a: str, b: str, band: int = 64, match: int = 1, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
-    """Global alignment of two similar sequences.
+    """Global alignment of two similar sequences; see ``banded_pairs``."""
+    return banded_pairs([(a, b)], band, match, mismatch, gap)[0]
+
+
+def banded_pairs(pairs: list[tuple[str, str]], band: int = 64, match: int = 1, mismatch: int = -1, gap: int = -2) -> list[tuple[str, str]]:
+    """Global alignments of pairs of similar sequences, many side by side.
 
     The band around the diagonal is widened until no path outside it can score more: such a path has so
     many gaps that its best possible score is known. Where that takes too many cells, the alignment goes
     through a chain of exact matches and only what lies between them is aligned so; without a chain,
     the sequences are cut where the best path crosses the middle of the first.
     """
-    n, m = len(a), len(b)
-    half, widest = max(band, abs(n - m) + band // 2), max(n, m)
-    while n <= 1 or (n + 1) * (2 * min(half, widest) + 1) <= MOST_CELLS:
-        half = min(half, widest)
-        x, y, score = _in_band(a, b, half, match, mismatch, gap)
-        gaps = 2 * (half + 1) - abs(n - m)
-        if half == widest or score >= match * (n + m - gaps) // 2 + gap * gaps:
-            return x, y
-        half *= 2
+    out: list = [None] * len(pairs)
+    todo: dict[int, list[int]] = {}
+
+    def queue(i: int, half: int) -> None:
+        n, m = map(len, pairs[i])
+        half = 1 << max(half - 1, 0).bit_length()
+        if n <= 1 or (n + 1) * (2 * min(half, max(n, m)) + 1) <= MOST_CELLS:
+            todo.setdefault(half, []).append(i)
+        else:
+            out[i] = _through_chain(*pairs[i], band, match, mismatch, gap)
+
+    for i, (a, b) in enumerate(pairs):
+        queue(i, min(max(band, abs(len(a) - len(b)) + band // 2), max(len(a), len(b))))
+    while todo:
+        half = min(todo)
+        some = sorted(todo.pop(half), key=lambda i: len(pairs[i][0]))
+        while some:
+            count = max(1, SIDE_CELLS // ((len(pairs[some[-1]][0]) + 1) * (2 * half + 1)))
+            now, some = some[-count:], some[:-count]
+            for i, (x, y, score) in zip(now, _in_bands([pairs[i] for i in now], half, match, mismatch, gap)):
+                n, m = map(len, pairs[i])
+                gaps = 2 * (half + 1) - abs(n - m)
+                if half >= max(n, m) or score >= match * (n + m - gaps) // 2 + gap * gaps:
+                    out[i] = x, y
+                else:
+                    queue(i, 2 * half)
+    return out
+
+
+def _through_chain(a: str, b: str, band: int, match: int, mismatch: int, gap: int) -> tuple[str, str]:
+    n = len(a)
     chain, parts, i, j = anchor_chain(a, b), [], 0, 0
     for at, to in chain:
         if at < i or to < j:
@@ -204,36 +233,40 @@ def _last_row(a: str, b: str, match: int, mismatch: int, gap: int) -> np.ndarray
     return row
 
 
-def _in_band(a: str, b: str, half: int, match: int, mismatch: int, gap: int) -> tuple[str, str, int]:
-    """The best alignment within ``half`` of the diagonal, one row at a time, and its score."""
-    n, m = len(a), len(b)
-    low = -(1 << 28)
-    x, y = np.frombuffer(a.encode("latin-1", "replace"), np.uint8), np.frombuffer(b.encode("latin-1", "replace"), np.uint8)
-    width = 2 * half + 1
-    back = np.zeros((n + 1, width), np.uint8)
-    row = np.full(width, low, np.int64)
+def _in_bands(pairs: list[tuple[str, str]], half: int, match: int, mismatch: int, gap: int) -> list[tuple[str, str, int]]:
+    """The best alignments within ``half`` of the diagonal and their scores, one row of all pairs at a time."""
+    count, longest, width, low = len(pairs), max(len(a) for a, _ in pairs), 2 * half + 1, -(1 << 28)
+    sizes = np.array([(len(a), len(b)) for a, b in pairs])
+    n, m = sizes[:, :1], sizes[:, 1:]
+    x, y = np.zeros((count, longest), np.uint8), np.full((count, longest + width + 1), 1, np.uint8)
+    for r, (a, b) in enumerate(pairs):
+        x[r, : len(a)] = np.frombuffer(a.encode("latin-1", "replace"), np.uint8)
+        letters = np.frombuffer(b.encode("latin-1", "replace"), np.uint8)[: max(0, longest + half)]
+        y[r, half + 1 : half + 1 + len(letters)] = letters  # the letter before place j lies at half + j
+    back = np.zeros((longest + 1, count, width), np.uint8)
     js = np.arange(-half, half + 1)
-    ok = (js >= 0) & (js <= m)
-    row[ok] = js[ok] * gap
+    row = np.where((js >= 0) & (js <= m), js * gap, low).astype(np.int32)
     back[0] = 2
-    for i in range(1, n + 1):
+    slope = (np.arange(width) * gap).astype(np.int32)
+    up = np.full((count, width), low, np.int32)
+    for i in range(1, longest + 1):
         j = js + i
         inside = (j >= 0) & (j <= m)
-        pair = np.full(width, low, np.int64)
-        real = inside & (j >= 1)
-        pair[real] = np.where(x[i - 1] == y[j[real] - 1], match, mismatch)
-        diagonal = row + pair
-        up = np.r_[row[1:], low] + gap
-        best = np.maximum(diagonal, up)
-        best[~inside] = low
+        diagonal = row + np.where(y[:, i : i + width] == x[:, i - 1 : i], match, mismatch).astype(np.int32)
+        diagonal[:, j < 1] = low
+        up[:, :-1] = row[:, 1:] + gap
+        best = np.where(inside, np.maximum(diagonal, up), low)
         # a run of gaps to the left is a running maximum of scores freed of their slope
-        slope = np.arange(width) * gap
-        left = np.maximum.accumulate(best - slope) + slope
+        left = np.maximum.accumulate(best - slope, axis=1) + slope
         back[i] = np.where(left > best, 2, np.where(diagonal >= up, 0, 1))
-        row = np.where(inside, left, low)
-    i, j, out_a, out_b = n, m, [], []
+        row = np.where(i > n, row, np.where(inside, left, low))
+    return [(*_way_back(a, b, back[: len(a) + 1, r].tobytes(), half), int(row[r, len(b) - len(a) + half])) for r, (a, b) in enumerate(pairs)]
+
+
+def _way_back(a: str, b: str, back: bytes, half: int) -> tuple[str, str]:
+    i, j, out_a, out_b = len(a), len(b), [], []
     while i or j:
-        step = back[i, j - i + half] if i else 2
+        step = back[i * (2 * half + 1) + j - i + half] if i else 2
         if step == 0 and i and j:
             i, j = i - 1, j - 1
             out_a.append(a[i])
@@ -246,10 +279,14 @@ def _in_band(a: str, b: str, half: int, match: int, mismatch: int, gap: int) ->
             j -= 1
             out_a.append("-")
             out_b.append(b[j])
-    return "".join(reversed(out_a)), "".join(reversed(out_b)), int(row[m - n + half])
+    return "".join(reversed(out_a)), "".join(reversed(out_b))
 
 
 @F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in "ab"]))
 def align_pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
     """Two similar sequences with gaps, of equal length."""
-    return pd.DataFrame([banded_pair(x, y) if x is not None and y is not None else (None, None) for x, y in zip(a, b)], columns=["a", "b"])
+    whole = [i for i, (x, y) in enumerate(zip(a, b)) if x is not None and y is not None]
+    out: list = [(None, None)] * len(a)
+    for i, pair in zip(whole, banded_pairs([(a.iloc[i], b.iloc[i]) for i in whole])):
+        out[i] = pair
+    return pd.DataFrame(out, columns=["a", "b"])

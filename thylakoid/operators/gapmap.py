@@ -167,7 +167,7 @@ def profile_consensus(a: pd.Series, c: pd.Series, g: pd.Series, t: pd.Series) ->
     """The most frequent base of each column (A, C, G, T on ties), N where there is none."""
     out = []
     for counts in zip(a, c, g, t):
-        m = np.stack([np.asarray(x, np.int32) for x in counts])
+        m = np.stack([np.asarray(x, np.int64) for x in counts])
         best = np.frombuffer(b"ACGT", np.uint8)[m.argmax(axis=0)]
         out.append(np.where(m.max(axis=0, initial=0) > 0, best, ord("N")).astype(np.uint8).tobytes().decode())
     return pd.Series(out)

@@ -16,10 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thylakoid.functions.sequence import BASES, majority_base
+from thylakoid.operators.gapmap import join_by_parts, profile_consensus
 from thylakoid.session import cut_lineage
 
 #: Counts that a task holds before it passes them on.
 MOST_COUNTS = 1 << 21
+#: Columns whose counts are one row.
+TILE = 1024
 _GAPS = [ord(c) for c in "-."]
 _N = ord("N")
 
@@ -38,22 +41,25 @@ def _is_base(x: np.ndarray) -> np.ndarray:
     return (x == 65) | (x == 67) | (x == 71) | (x == 84)
 
 
-def consensus(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
-    """Each column's (``col``, from 0) counts of bases and most frequent one (``base``; A, C, G, T on ties, N where no row has one).
+def column_counts(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Counts of bases by column, as arrays (``a, c, g, t``) of tiles of ``TILE`` columns (``tile``, from 0).
 
-    Tasks count their rows in arrays, so what is shuffled is one row a column, group and task.
+    Tasks add up their rows before a shuffle, so what is shuffled is one row a tile, group and task.
     """
+    names = [*keys, "tile", *"acgt"]
 
-    def emit(held: dict) -> Iterator[pa.RecordBatch]:
+    def emitted(held: dict, kinds: list) -> Iterator[pa.RecordBatch]:
         for key, counts in held.items():
-            n = len(counts)
-            fixed = [pa.array([v] * n, kind) for v, kind in zip(key, kinds)]
-            yield pa.RecordBatch.from_arrays([*fixed, pa.array(np.arange(n, dtype=np.int32)), *(pa.array(np.ascontiguousarray(counts[:, i])) for i in range(4))], names=names)
+            tiles = [counts[i : i + TILE] for i in range(0, len(counts), TILE)]
+            fixed = [pa.array([v] * len(tiles), kind) for v, kind in zip(key, kinds)]
+            sums = [pa.array([np.ascontiguousarray(t[:, i]) for t in tiles], pa.list_(pa.int64())) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([*fixed, pa.array(range(len(tiles)), pa.int32()), *sums], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
+        kinds: list = []
         for batch in batches:
-            kinds[:] = [batch.schema.field(i).type for i in range(len(keys))]
+            kinds = [batch.schema.field(i).type for i in range(len(keys))]
             for *key, text in zip(*(c.to_pylist() for c in batch.columns)):
                 x, counts = letters(text), held.get(tuple(key), np.zeros((0, 4), np.int64))
                 if len(x) > len(counts):
@@ -62,23 +68,57 @@ def consensus(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFra
                 for i, base in enumerate(BASES):
                     counts[: len(x), i] += x == ord(base)
             if sum(map(len, held.values())) > MOST_COUNTS:
-                yield from emit(held)
+                yield from emitted(held, kinds)
                 held = {}
-        yield from emit(held)
+        yield from emitted(held, kinds)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows that come sorted by group and tile, added up."""
+        at, sums, kinds = None, None, []
+
+        def one() -> pa.RecordBatch:
+            fixed = [pa.array([v], kind) for v, kind in zip(at, kinds)]
+            return pa.RecordBatch.from_arrays([*fixed, *(pa.array([x], pa.list_(pa.int64())) for x in sums)], names=names)
+
+        for batch in batches:
+            kinds = [batch.schema.field(i).type for i in range(len(keys) + 1)]
+            lists = [batch.column(n) for n in "acgt"]
+            for r, key in enumerate(zip(*(batch.column(i).to_pylist() for i in range(len(keys) + 1)))):
+                mine = np.stack([x[r].values.to_numpy(zero_copy_only=False) for x in lists])
+                if key != at:
+                    if at is not None:
+                        yield one()
+                    at, sums = key, mine.copy()
+                else:
+                    if mine.shape[1] > sums.shape[1]:
+                        sums, mine = mine.copy(), sums
+                    sums[:, : mine.shape[1]] += mine
+        if at is not None:
+            yield one()
 
-    kinds: list = []
-    names = [*keys, "col", *(b.lower() for b in BASES)]
     cut = rows.select(*keys, seq)
     types = dict(cut.dtypes)
-    parts = cut.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keys), "col int", *(f"{b.lower()} long" for b in BASES)]))
-    counts = parts.groupBy(*keys, "col").agg(*[F.sum(b.lower()).alias(b.lower()) for b in BASES])
+    schema = ", ".join([*(f"`{c}` {types[c]}" for c in keys), "tile int", *(f"{b} array<long>" for b in "acgt")])
+    group = [*keys, "tile"]
+    return cut.mapInArrow(count, schema).repartition(*group).sortWithinPartitions(*group).mapInArrow(add, schema)
+
+
+def consensus(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Each column's (``col``, from 0) counts of bases and most frequent one (``base``; A, C, G, T on ties, N where no row has one)."""
+    cells = column_counts(rows, keys, seq).select(*keys, "tile", F.posexplode(F.arrays_zip(*"acgt")).alias("_i", "_n"))
+    counts = cells.select(*keys, (F.col("tile") * TILE + F.col("_i")).alias("col"), "_n.*")
     return counts.select(*keys, "col", "a", "c", "g", "t", F.coalesce(majority_base(*map(F.col, "acgt")), F.lit("N")).alias("base"))
 
 
-def with_consensus(rows: DataFrame, agreed: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with their group's consensus as the string ``cons``; rows of groups without one go."""
-    whole = reassemble(agreed.select(*keys, "col", "base"), keys, "col", "base").withColumnRenamed("seq", "cons")
-    return rows.join(whole, keys)
+def consensus_texts(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Each group's consensus as the string ``cons``, from its tiles; groups without a column have none."""
+    tiles = column_counts(rows, keys, seq).select(*keys, "tile", profile_consensus(*"acgt").alias("text"))
+    return reassemble(tiles, keys, "tile", "text").withColumnRenamed("seq", "cons")
+
+
+def with_consensus(rows: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their group's consensus (``cons``, of ``consensus_texts``); rows of groups without one go. Large groups are joined in parts."""
+    return join_by_parts(rows, texts, keys)
 
 
 @F.pandas_udf(_struct(T.LongType(), "compared", "equal"))

@@ -497,7 +497,7 @@ merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k)"""
 
 def _rows_and_consensus(spark, sf_dir):
     docs = _sequences(spark, sf_dir)
-    return msa.with_consensus(docs, msa.consensus(docs, ["source"], "seq"), ["source"])
+    return msa.with_consensus(docs, msa.consensus_texts(docs, ["source"], "seq"), ["source"])
 
 
 @query(f"WITH {_CONSENSUS} SELECT source, CAST(col AS INT) AS col, a, c, g, t, base FROM cons")
@@ -779,7 +779,14 @@ def genome_inversion(spark, sf_dir):
     return pipelines.repair_inversions(planted, "doc_id", pipelines.Settings(window=100, least_block=300, least_excess=300))
 
 
-@query()
+@query("""
+WITH t AS (SELECT CAST(conv_id AS VARCHAR) AS sample, turn, coalesce(text, '') AS x FROM conversations),
+h AS (SELECT sample, turn, substr(x, 1, length(x) // 2) AS a, substr(x, length(x) // 2 + 1) AS b FROM t),
+once AS (SELECT sample, a, b, min(turn) AS read_idx, count(*) AS copies FROM h GROUP BY sample, a, b),
+cut AS (SELECT *, trim(CASE WHEN contains(a, 'please') THEN substr(a, 1, instr(a, 'please') - 1) ELSE a END, ' ') AS seq1, trim(CASE WHEN contains(b, 'please') THEN substr(b, 1, instr(b, 'please') - 1) ELSE b END, ' ') AS seq2 FROM once)
+SELECT sample, seq1, seq2, read_idx, regexp_replace(regexp_replace(seq1, '[^ ]', 'I', 'g'), ' ', '#', 'g') AS qual1, regexp_replace(regexp_replace(seq2, '[^ ]', 'I', 'g'), ' ', '#', 'g') AS qual2, copies,
+  CASE WHEN seq1 <> '' AND seq2 <> '' THEN 'paired' WHEN seq1 <> '' THEN 'unpaired_1' WHEN seq2 <> '' THEN 'unpaired_2' ELSE 'dropped' END AS route FROM cut
+""")
 def assembly_reads(spark, sf_dir):
     """Turns of a conversation as mates: first and second halves of turns are a pair, both cut at an adapter and at low qualities."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
@@ -963,3 +970,33 @@ def growing_alignment(spark, sf_dir):
         growing.add_samples(spark, store, docs.select("family", F.lit(header).alias("header"), seq.alias("seq")), pipelines.Settings(circular=False))
     rows = growing.rows_at(spark, store)
     return rows.select(F.col("family").alias("doc_id"), "row_ord", "header", F.md5(F.replace("seq_aln", F.lit("-"), F.lit(""))).alias("letters"), F.length("seq_aln").alias("width"))
+
+
+#: For each document a family whose reference has 512 bases, and a sample with reads of it whose contig has one base wrong; a tenth of the families
+#: have another sample with other bases, and each one that fails: an empty contig, none, no reads, a letter that is none, or no family.
+_FAILS = "['empty', 'lost', 'mute', 'bad', 'stray']"
+_RUN = f"""fam AS (SELECT doc_id, translate(string_agg(md5(doc_id || ':run:' || i), '' ORDER BY i), '{_HEX}', '{_HEX_BASES}') AS seq FROM documents, unnest(range(0, 16)) AS t(i) GROUP BY doc_id),
+said AS (
+  SELECT 's' || doc_id || ':good' AS sample, s.* FROM fam, (VALUES ('input', 'ok', 17.0), ('mapping', 'ok', 17.0), ('correction', 'ok', 1.0), ('alignment', 'accepted', 1.0)) AS s(stage, status, amount)
+  UNION ALL SELECT 's' || doc_id || ':other', s.* FROM fam, (VALUES ('input', 'ok', 17.0), ('mapping', 'ok', 17.0), ('correction', 'ok', 0.0), ('alignment', 'rejected', 0.0)) AS s(stage, status, amount) WHERE doc_id % 10 = 0
+  UNION ALL SELECT 's' || doc_id || ':' || {_FAILS}[CAST(doc_id % 5 AS INT) + 1], 'input', ['empty contig', 'no contig', 'no reads', 'bad letters', 'no family'][CAST(doc_id % 5 AS INT) + 1], CASE WHEN doc_id % 5 = 2 THEN 0.0 ELSE 17.0 END FROM fam)"""
+
+
+@query(f"WITH {_RUN} SELECT sample, stage, status, CAST(amount AS DOUBLE) AS amount FROM said")
+def whole_run(spark, sf_dir):
+    """The whole run over a family for each document: samples that fail are told by stage, the others go on."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    made = lambda mark: F.translate(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.md5(F.concat_ws(":", "doc_id", F.lit(mark), i))), ""), _HEX, _HEX_BASES)
+    fam = docs.select("doc_id", F.concat(F.lit("f"), "doc_id").alias("family"), made("run").alias("seq"), made("other").alias("other"))
+    kind = F.element_at(F.array(*map(F.lit, ("empty", "lost", "mute", "bad", "stray"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    wrong = F.concat(F.substr("seq", F.lit(1), F.lit(200)), F.translate(F.substr("seq", F.lit(201), F.lit(1)), "ACGT", "CGTA"), F.substr("seq", F.lit(202)))
+    sample = lambda name: F.concat(F.lit("s"), "doc_id", F.lit(":"), name).alias("sample")
+    good = fam.select(sample(F.lit("good")), "family", wrong.alias("seq"), F.col("seq").alias("true"))
+    other = fam.filter("doc_id % 10 = 0").select(sample(F.lit("other")), "family", F.col("other").alias("seq"), F.col("other").alias("true"))
+    fails = fam.select(sample(kind), F.when(kind == "stray", "nowhere").otherwise(F.col("family")).alias("family"), F.when(kind == "empty", "").when(kind == "bad", "ACGT!").otherwise(F.col("seq")).alias("seq"), F.col("seq").alias("true"))
+    every = good.unionByName(other).unionByName(fails)
+    reads = every.filter(~F.endswith("sample", F.lit(":mute"))).select("sample", F.lit(1).alias("mate"), F.explode(F.sequence(F.lit(0), F.lit(400), F.lit(25))).alias("read_idx"), "true")
+    reads = reads.select("sample", "mate", "read_idx", F.substr("true", F.col("read_idx") + 1, F.lit(100)).alias("seq"), F.repeat(F.lit("I"), F.lit(100)).alias("qual"))
+    contigs = every.filter(~F.endswith("sample", F.lit(":lost"))).select("sample", "family", "seq")
+    said = growing.run_samples(spark, reads, contigs, fam.select("family", F.lit(">reference").alias("header"), "seq"), scratch_folder(spark), pipelines.Settings(circular=False))
+    return said.select("sample", "stage", "status", F.when(F.col("stage") == "alignment", (F.col("amount") >= 0.95).cast("double")).otherwise(F.col("amount")).alias("amount"))
