@@ -539,6 +539,19 @@ def test_suffixes(spark, monkeypatch, part_bytes):
     assert cut_repeated_strings(docs.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_numbered(spark):
+    rows = [(i % 40, f"{i % 70:05}") for i in range(400)] + [(None, "a"), (None, None), (1, None), (99, "x")]
+    keyed = lambda rows: frame(spark, rows).withColumnRenamed("doc_id", "doc")
+    tagged = suffix_dedup._tagged(keyed(rows)).collect()
+    tags = {}
+    for r in tagged:
+        if r.doc is not None:
+            tags.setdefault((r.doc, r.text or ""), set()).add(r.tag)
+    assert len(tagged) == len(rows) and all(len(t) == 1 for t in tags.values())
+    assert len({(d, *t) for (d, _), t in tags.items()}) == len(tags) and tags[99, "x"] == {0}
+    assert {r.tag for r in suffix_dedup._tagged(keyed([(1, "a"), (2, "a"), (None, "a"), (None, "b")])).collect()} == {0}
+
+
 def test_tasks_that_hold_no_long_text(spark):
     rows = [(1, "short"), (2, None), (3, ""), (None, None), (4, "x" * 49), (4, "x" * 49)]
     for parts in (1, 6):

@@ -114,7 +114,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     never divided. Other columns aren't read.
 
     Slots count rows within (shard, slice) and add the slices' running totals; slices come from the
-    id's and the text's hash, so a hot group of texts is spread over them.
+    id's hash, so a hot group of texts is spread over them; rows of one id, or of null ids, share a slice.
     """
     text = F.col(text_col)
     rows = docs.select(

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bytes_of, chunks, partitions_for
+from thylakoid.llm.common import bytes_of, chunks, materialize, partitions_for
 
 LENGTH = 50
 #: Bytes whose hash makes an anchor.
@@ -37,9 +37,6 @@ GRAM = 16
 #: Bytes of text for one part of an exchange, for the anchors sorted at a time, and hashed at a time.
 PART_BYTES, CHUNK_BYTES, PIECE_BYTES = 12 << 20, 8 << 20, 1 << 20
 
-#: Values of the tag that tells rows of one id apart by their text: it travels with every entry.
-TAGS = 1 << 24
-
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 _ROW = "kind int, part int, data binary"
 
@@ -524,6 +521,18 @@ def _documents_out(out: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({n: pa.array(v, kinds.get(n, pa.int64())) for n, v in out.items()})
 
 
+def _tagged(rows: DataFrame) -> DataFrame:
+    """Rows (``doc, text``) with a ``tag`` that tells rows of one id apart by their text; it travels with every entry.
+
+    Where ids are unique it is zero; else the different texts of ids that repeat are numbered, by their SHA-256."""
+    repeated = rows.filter("doc is not null").groupBy("doc").count().filter("count > 1").select("doc")
+    if repeated.isEmpty():
+        return rows.withColumn("tag", F.lit(0).cast("long"))
+    hashed = rows.withColumn("_hash", F.sha2(F.coalesce("text", F.lit(b"")), 256))
+    numbers = materialize(hashed.select("doc", "_hash").join(repeated, "doc", "left_semi").distinct().withColumn("_n", F.monotonically_increasing_id() + 1))
+    return hashed.join(numbers, ["doc", "_hash"], "left").select("doc", "text", F.coalesce("_n", F.lit(0)).alias("tag"))
+
+
 def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = PART_BYTES, bodies: bool = True) -> DataFrame:
     """Remove each byte that lies in a ``length``-byte string which also starts in a document with a smaller id.
 
@@ -533,9 +542,8 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "d
     Returns one row per document row: the id column, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal
     removed runs), ``kept_sha256``, ``spans`` (their start and end, exclusive) and ``kept`` (the remaining
     bytes; both null unless ``bodies``). Null texts count as empty. Ids must be whole numbers; rows that
-    repeat an id are not smaller than each other, and each is judged by its own text (told apart by a
-    24-bit hash of it). Rows with a null id
-    are neither cut nor a reason to cut. Other columns aren't read.
+    repeat an id are not smaller than each other, and each is judged by its own text (their different texts
+    are numbered). Rows with a null id are neither cut nor a reason to cut. Other columns aren't read.
 
     No task holds more than a part: about ``part_bytes`` of text, the anchors of one slice of hashes, or
     the suffixes of one slice of anchors. From a run, a suffix that many of its documents share goes on
@@ -548,7 +556,7 @@ def cut_repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "d
     total = bytes_of(docs, text_col)
     parts = partitions_for(total, part_bytes)
     bits = min(64, math.ceil(math.log2(max(total, 2))) + 12)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.pmod(F.xxhash64(text), F.lit(TAGS)).cast("int").alias("tag"), text.alias("text"))
+    rows = _tagged(docs.select(F.col(id_col).cast("long").alias("doc"), text.alias("text")))
     rows = rows.select("doc", "tag", F.pmod(F.xxhash64("doc", "tag"), F.lit(parts)).cast("int").alias("home"), "text")
     packed = rows.mapInArrow(_pack_documents, _ROW)
 
