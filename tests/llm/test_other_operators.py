@@ -157,7 +157,7 @@ def test_components(spark, seed):
 
 def test_every_operator_has_its_query():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names) == sorted(f"op{n}" for n in range(1, 11))
+    assert sorted(names) == sorted(f"op{n}" for n in range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language ID", "line dedup", "SimHash near-dedup", "benchmark decontamination", "SentencePiece"]
 
 
