@@ -51,6 +51,17 @@ def test_first_records(spark, tmp_path):
         files.read_first_record(spark, str(tmp_path)).collect()
 
 
+def test_first_records_of_rows_in_any_order(spark, tmp_path):
+    """Files hold their source's rows by id whatever the order in which rows come, also of sources whose names no path can have."""
+    from thylakoid.plans import catalog
+
+    names = ["", "a+b", "x/y", "p%20q", "é ü", None]
+    rows = [(i, "ACGT" * (i % 5 + 1), names[i % 6]) for i in range(3000)]
+    spark.createDataFrame(rows[::-1], "doc_id long, text string, source string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted((r.source, r.header, r.seq) for r in catalog.first_records(spark, str(tmp_path)).collect())
+    assert got == sorted((names[i], f">d{i}", "ACGT" * (i + 1)) for i in range(5))
+
+
 def test_listings(spark, tmp_path):
     (tmp_path / "x").mkdir()
     (tmp_path / "x" / "s1_1.fastq.gz").write_text("x")

@@ -236,11 +236,13 @@ WITH {_DOCS} SELECT source, '>d' || doc_id AS header, seq FROM docs WHERE source
 """)
 def first_records(spark, sf_dir):
     folder = scratch_folder(spark)
-    rows = _sequences(spark, sf_dir).filter("source is not null").withColumn("place", F.col("source"))
-    lines = rows.repartition("source").sortWithinPartitions("source", "doc_id")
+    # a folder's name that any source can have; it can't be null, so the writer keeps the order of these rows and adds no sort of its own
+    place = F.coalesce(F.concat(F.lit("s"), F.hex("source")), F.lit(""))
+    rows = _sequences(spark, sf_dir).filter("source is not null").withColumn("place", place)
+    lines = rows.repartition("place").sortWithinPartitions("place", "doc_id")
     lines.select("place", fx.one_line_record(F.concat(F.lit("d"), "doc_id"), F.col("seq")).alias("value")).write.partitionBy("place").text(folder)
     found = sources.read_first_record(spark, f"{folder}/*/*.txt")
-    return found.select(F.url_decode(F.regexp_extract("file", "place=([^/]*)/", 1)).alias("source"), "header", "seq")
+    return found.select(F.decode(F.unhex(F.regexp_extract("file", "place=s([^/]*)/", 1)), "UTF-8").alias("source"), "header", "seq")
 
 
 @query("SELECT 'r' || conv_id || '.' || turn AS name, regexp_replace(text, '\\s', '', 'g') AS seq, repeat('I', length(regexp_replace(text, '\\s', '', 'g'))) AS qual FROM conversations")
