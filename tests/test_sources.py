@@ -128,6 +128,9 @@ def test_annotations(spark, tmp_path):
     assert got[1] == ("gene", -1, [(3, 5, -1), (8, 9, -1)], {"gene": ["g"], "note": ["a=b"]})
     assert got[2] == ("CDS", 0, [(1, 2, -1), (18, 20, 1)], {})
     assert [(r.seq, r.len) for r in seqs.collect()] == [("ACGTACGTACGTACGTACGT", 20)]
+    # sequences are cut out by Spark alone, and only tables of features go to Python
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapIn" not in plan(seqs) and "origin" not in plan(features)
 
 
 def test_versions(spark):

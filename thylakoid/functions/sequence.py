@@ -19,7 +19,7 @@ AMBIGUITY = {
 
 def pseudo_sequence(text: Column) -> Column:
     """The nucleotide letters of a text, upper-cased; a stand-in for sequences in text tables."""
-    return F.regexp_replace(F.upper(text), "[^ACGTN]", "")
+    return F.regexp_replace(F.upper(text), "[^ACGTN]+", "")
 
 
 def revcomp(seq: Column) -> Column:

@@ -699,7 +699,7 @@ found AS (SELECT * FROM n WHERE a + c + g + t > 0 AND (ref = 'N' OR greatest(a,
 
 
 def _as_bases():
-    return F.regexp_replace(F.translate("text", _ALPHABET, _AS_BASES), "[^ACGT]", "")
+    return F.regexp_replace(F.translate("text", _ALPHABET, _AS_BASES), "[^ACGT]+", "")
 
 
 def _reads(spark, sf_dir):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -190,15 +191,12 @@ def _location(text: str) -> tuple[int, list[tuple[int, int, int]]]:
     return (strands.pop() if len(strands) == 1 else 0), parts
 
 
-def _features(files):
-    """One annotated record a row -> its features and sequence."""
-    for batch in files:
-        for path, body in zip(batch["file"], batch["value"]):
-            if "\nFEATURES" not in body:
-                continue
-            record = (body.partition("LOCUS")[2].split() or [""])[0]
-            table, _, origin = body.partition("\nORIGIN")
-            rows, key, where, quals = [], None, "", []
+def _features(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Annotated records' tables, one a row -> their features."""
+    for batch in tables:
+        rows = []
+        for path, record, table in zip(*(c.to_pylist() for c in batch.columns)):
+            n, key, where, quals = 0, None, "", []
             for line in table.partition("\nFEATURES")[2].split("\n")[1:] + ["     end             0"]:
                 if head := _FEATURE.match(line):
                     if key:
@@ -207,7 +205,8 @@ def _features(files):
                         for q in quals:
                             name, _, value = q.partition("=")
                             held.setdefault(name, []).append(value.strip('"'))
-                        rows.append((path, record, len(rows), key, strand, [{"s": a, "e": b, "strand": d} for a, b, d in parts], held))
+                        rows.append((path, record, n, key, strand, [{"s": a, "e": b, "strand": d} for a, b, d in parts], list(held.items())))
+                        n += 1
                     key, where, quals = head[1], head[2].strip(), []
                 elif line[:21].strip() == "" and key:
                     text = line.strip()
@@ -217,15 +216,21 @@ def _features(files):
                         quals[-1] += ("" if quals[-1].startswith("translation") else " ") + text
                     else:
                         where += text
-            rows.append((path, record, -1, "sequence", 0, [], {"seq": [re.sub(r"[^a-zA-Z]", "", origin)]}))
-            yield pd.DataFrame(rows, columns=["file", "record", "feature_id", "key", "strand", "parts", "quals"])
+        columns = zip(*rows) if rows else [[]] * len(_FEATURES)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, _FEATURES)], schema=_FEATURES)
+
+
+_PARTS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("strand", pa.int32())]))
+_FEATURES = pa.schema([("file", pa.string()), ("record", pa.string()), ("feature_id", pa.int32()), ("key", pa.string()), ("strand", pa.int32()), ("parts", _PARTS), ("quals", pa.map_(pa.string(), pa.list_(pa.string())))])
 
 
 def read_genbank(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Features (``file, record, feature_id, key, strand`` (0: mixed), ``parts, quals``) and sequences
     (``file, record, seq, len``) of annotated records, of which a file may hold many: files are split at
-    records' ends."""
-    whole = _text_rows(spark, path, "\n//").select("file", "value")
-    rows = whole.mapInPandas(_features, "file string, record string, feature_id int, key string, strand int, parts array<struct<s: int, e: int, strand: int>>, quals map<string, array<string>>")
-    seq = F.upper(rows["quals"]["seq"][0])
-    return rows.filter("feature_id >= 0"), rows.filter("feature_id < 0").select("file", "record", seq.alias("seq"), F.length(seq).alias("len"))
+    records' ends. Sequences are cut out by Spark's own functions; only the tables of features are walked line by line."""
+    whole = _text_rows(spark, path, "\n//").filter(F.contains("value", F.lit("\nFEATURES")))
+    table = F.substring_index("value", "\nORIGIN", 1)
+    cut = whole.select("file", F.regexp_extract("value", r"LOCUS[\s\x1c-\x1f]*([^\s\x1c-\x1f]+)", 1).alias("record"), table.alias("table"), F.substr("value", F.length(table) + len("\nORIGIN") + 1).alias("origin"))
+    features = cut.select("file", "record", "table").mapInArrow(_features, "file string, record string, feature_id int, key string, strand int, parts array<struct<s: int, e: int, strand: int>>, quals map<string, array<string>>")
+    seq = F.upper(F.regexp_replace("origin", "[^a-zA-Z]+", ""))
+    return features, cut.select("file", "record", seq.alias("seq"), F.length(seq).alias("len"))
