@@ -130,6 +130,14 @@ def test_windows_and_merging(spark):
     assert sorted((r.k, r.s, r.e) for r in msa.merge_intervals(gaps, ["k"], 11).collect()) == [(1, 0, 50), (1, 130, 140), (2, 0, 1)]
 
 
+def test_positions_in_slices(spark, monkeypatch):
+    """Places come for some letters at a time, and no batch that leaves Python holds many more."""
+    monkeypatch.setattr(msa, "MOST_LETTERS", 50)
+    rows = spark.createDataFrame([(i, "AC-GN" * (i % 7) if i % 11 else None) for i in range(300)] + [(300, "A" * 500)], "row int, seq_aln string").coalesce(1)
+    want = {r.row: list(r.x) for r in rows.select("row", msa.positions("seq_aln").alias("x")).collect()}
+    assert {r.row: list(r.pos) for r in msa.with_positions(rows, ["row"]).collect()} == want
+
+
 def test_consensus_identity_and_positions(spark):
     rows = spark.createDataFrame([(0, "AC-GN"), (1, "AT-GN"), (2, "TTcRN")], "row int, seq_aln string").withColumn("k", F.lit(1))
     agreed = msa.consensus(rows, ["k"])

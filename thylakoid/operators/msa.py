@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ from thylakoid.session import cut_lineage
 MOST_COUNTS = 1 << 21
 #: Columns whose counts are one row.
 TILE = 1024
+#: Letters (bytes) whose places a task makes at a time.
+MOST_LETTERS = 1 << 20
 _GAPS = [ord(c) for c in "-."]
 _N = ord("N")
 
@@ -144,15 +147,33 @@ def route_by_identity(scores: DataFrame, least: float = 0.95) -> DataFrame:
     return scores.withColumn("status", F.when(F.col("identity") >= least, "accepted").otherwise("rejected"))
 
 
+def _places(text: str | None) -> np.ndarray:
+    x = letters(text)
+    letter = _is_base(x) | (x == _N)
+    return np.where(letter, np.cumsum(letter), -1).astype(np.int32)
+
+
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def positions(seq: pd.Series) -> pd.Series:
     """For each column of a row the place (from 1) in the ungapped sequence, -1 where it has none."""
-    out = []
-    for text in seq:
-        x = letters(text)
-        letter = _is_base(x) | (x == _N)
-        out.append(np.where(letter, np.cumsum(letter), -1).astype(np.int32))
-    return pd.Series(out)
+    return pd.Series([_places(text) for text in seq])
+
+
+def with_positions(rows: DataFrame, row: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Rows' ``positions`` as the arrays ``pos``, made for about ``MOST_LETTERS`` at a time: they take far more room than the letters."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch.column(len(row))), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(sizes, dtype=np.int64) // MOST_LETTERS
+            borders = np.flatnonzero(np.diff(part, prepend=-1, append=-1)).tolist()
+            for a, b in zip(borders, borders[1:]):
+                cut = batch.slice(a, b - a)
+                yield pa.RecordBatch.from_arrays([*cut.columns[: len(row)], pa.array([_places(x) for x in cut.column(len(row)).to_pylist()], pa.list_(pa.int32()))], names=[*row, "pos"])
+
+    cut = rows.select(*row, seq)
+    kinds = dict(cut.dtypes)
+    return cut.mapInArrow(place, ", ".join([*(f"`{c}` {kinds[c]}" for c in row), "pos array<int>"]))
 
 
 def _compared(a: str, b: str) -> tuple[np.ndarray, np.ndarray]:

@@ -524,7 +524,7 @@ SELECT doc_id, CAST(max(k) AS INT) AS letters, CAST(sum(CASE WHEN nt THEN k * co
 """)
 def col_to_pos(spark, sf_dir):
     rows = read_table(spark, sf_dir, "documents").filter(F.length("text") > 0).select("doc_id", F.translate("text", " ", "-").alias("seq"))
-    placed = rows.select("doc_id", F.posexplode(msa.positions("seq")).alias("col", "pos"))
+    placed = msa.with_positions(rows, ["doc_id"], "seq").select("doc_id", F.posexplode("pos").alias("col", "pos"))
     real = F.col("pos") > 0
     return placed.groupBy("doc_id").agg(
         F.greatest(F.max("pos"), F.lit(0)).alias("letters"), F.sum(F.when(real, F.col("pos").cast("long") * F.col("col")).otherwise(0)).alias("weight"), F.min(F.when(real, F.col("col").cast("long"))).alias("first_col")
