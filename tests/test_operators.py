@@ -130,6 +130,13 @@ def test_windows_and_merging(spark):
     assert sorted((r.k, r.s, r.e) for r in msa.merge_intervals(gaps, ["k"], 11).collect()) == [(1, 0, 50), (1, 130, 140), (2, 0, 1)]
 
 
+def test_consensus_goes_as_far_as_its_row(spark):
+    """Short rows of a group with one long row don't hold the long consensus."""
+    rows = spark.createDataFrame([("g", i, "ACGT" * (5000 if i == 0 else i)) for i in range(4)] + [("g", 4, ""), ("g", 5, None)], "k string, row int, seq_aln string")
+    got = msa.with_consensus(rows, msa.consensus_texts(rows, ["k"]), ["k"])
+    assert {r.row: (r.cons, r.seq_aln) for r in got.collect()} == {r.row: (r.seq_aln or "", r.seq_aln) for r in rows.collect()}
+
+
 def test_positions_in_slices(spark, monkeypatch):
     """Places come for some letters at a time, and no batch that leaves Python holds many more."""
     monkeypatch.setattr(msa, "MOST_LETTERS", 50)

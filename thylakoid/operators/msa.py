@@ -119,9 +119,12 @@ def consensus_texts(rows: DataFrame, keys: list[str], seq: str = "seq_aln") -> D
     return reassemble(tiles, keys, "tile", "text").withColumnRenamed("seq", "cons")
 
 
-def with_consensus(rows: DataFrame, texts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows with their group's consensus (``cons``, of ``consensus_texts``); rows of groups without one go. Large groups are joined in parts."""
-    return join_by_parts(rows, texts, keys)
+def with_consensus(rows: DataFrame, texts: DataFrame, keys: list[str], seq: str = "seq_aln") -> DataFrame:
+    """Rows with their group's consensus (``cons``, of ``consensus_texts``) as far as the row goes; rows of groups without one go.
+
+    Large groups are joined in parts. A group is as long as its longest row, so with whole consensus texts short rows would hold far more than their own letters.
+    """
+    return join_by_parts(rows, texts, keys).withColumn("cons", F.substr("cons", F.lit(1), F.coalesce(F.length(seq), F.lit(0))))
 
 
 @F.pandas_udf(_struct(T.LongType(), "compared", "equal"))

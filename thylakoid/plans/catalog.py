@@ -499,7 +499,7 @@ merged AS (SELECT doc_id, min(s) AS s, max(e) AS e FROM i GROUP BY doc_id, k)"""
 
 def _rows_and_consensus(spark, sf_dir):
     docs = _sequences(spark, sf_dir)
-    return msa.with_consensus(docs, msa.consensus_texts(docs, ["source"], "seq"), ["source"])
+    return msa.with_consensus(docs, msa.consensus_texts(docs, ["source"], "seq"), ["source"], "seq")
 
 
 @query(f"WITH {_CONSENSUS} SELECT source, CAST(col AS INT) AS col, a, c, g, t, base FROM cons")
