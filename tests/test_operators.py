@@ -137,6 +137,20 @@ def test_consensus_goes_as_far_as_its_row(spark):
     assert {r.row: (r.cons, r.seq_aln) for r in got.collect()} == {r.row: (r.seq_aln or "", r.seq_aln) for r in rows.collect()}
 
 
+def test_merged_pairs_leave_python_in_slices(spark, monkeypatch):
+    """A group's map isn't repeated for its rows on the way to Python, and rows are passed on before a batch of them is full."""
+    monkeypatch.setattr(gapmap, "MOST_LETTERS", 100)
+    letters = "ACGT" * 10
+    pairs = spark.createDataFrame([("g", i, letters[:i] + "-" * (i % 4) + letters[i:], letters[:i] + "T" * (i % 4) + letters[i:]) for i in range(40)] + [(None, 99, "A", "A")], "g string, i int, a string, b string")
+    merged = gapmap.merge_pairs(pairs, ["g"])
+    got = {r.i: r for r in merged.collect()}
+    width = 40 + sum(i % 4 for i in range(40))
+    assert len(got) == 40 and {len(r.merged) for r in got.values()} == {len(r.common) for r in got.values()} == {width}
+    assert all(r.merged.replace("-", "") == r.b and r.common.replace("-", "") == letters for r in got.values())
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "_laid" not in plan
+
+
 def test_positions_in_slices(spark, monkeypatch):
     """Places come for some letters at a time, and no batch that leaves Python holds many more."""
     monkeypatch.setattr(msa, "MOST_LETTERS", 50)

@@ -6,8 +6,11 @@ maps of successive versions compose, and a row is written once and read at any l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +18,8 @@ from pyspark.sql import types as T
 GAPS = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("size", T.IntegerType())]))
 #: Parts in which the rows of one alignment meet its gaps, so that a large alignment is many tasks' work.
 PARTS = 32
+#: Columns of merged rows that a task makes before it passes them on.
+MOST_LETTERS = 1 << 21
 
 
 def _arrays(gaps) -> tuple[np.ndarray, np.ndarray]:
@@ -71,22 +76,30 @@ def open_columns(text: pd.Series, gaps: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf(T.StringType())
-def _laid(first: pd.Series, second: pd.Series, gaps: pd.Series) -> pd.Series:
-    """The second of two aligned texts in the columns of a wider gap map: what it has between two letters of the first
-    comes first in the columns there, then its gaps."""
-    out = []
-    for a, b, g in zip(first, second, gaps):
-        letter = np.frombuffer(a.encode("latin-1", "replace"), np.uint8) != ord("-")
-        own = np.r_[np.flatnonzero(letter), len(letter)]  # the letters' columns, and the end
-        parts, last = [], 0
-        for gap in [] if g is None else g:
-            start = int(own[gap["at"] - 1]) + 1 if gap["at"] else 0
-            held = b[start : own[gap["at"]]]
-            parts += [b[last:start], held, "-" * (gap["size"] - len(held))]
-            last = start + len(held)
-        out.append("".join([*parts, b[last:]]))
-    return pd.Series(out)
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _text(codes: np.ndarray) -> str:
+    return codes.tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def lay(first: str, second: str, at: np.ndarray, size: np.ndarray) -> tuple[str, str]:
+    """The second of two aligned texts and the letters of the first in the columns of a wider gap map: what the second has between two
+    letters of the first comes first in the columns there, then its gaps."""
+    a, b = _codes(first), _codes(second)
+    letter = a != ord("-")
+    own = np.flatnonzero(letter)
+    opened = np.zeros(len(own) + 1, np.int64)
+    opened[at] = size
+    place = np.arange(len(opened)) + np.cumsum(opened)  # of each letter, and the end
+    before = np.cumsum(letter)[~letter]  # letters before each column that the first lacks
+    put = np.flatnonzero(~letter)
+    within = put - np.r_[0, own + 1][before]
+    merged, common = (np.full(place[-1], ord("-"), np.uint32) for _ in range(2))
+    merged[place[:-1]], common[place[:-1]] = b[own], a[own]
+    merged[(place - opened)[before] + within] = b[put]
+    return _text(merged), _text(common)
 
 
 def join_by_parts(rows: DataFrame, groups: DataFrame, keys: list[str], parts: int = PARTS) -> DataFrame:
@@ -102,13 +115,41 @@ def merge_pairs(pairs: DataFrame, keys: list[str], first: str = "a", second: str
     Between two of the common sequence's letters there are as many columns as any pair opens; no letter of a row is lost, and
     rows are as wide as their group. Returns ``pairs`` with ``merged`` and, of the common sequence, ``common``.
     Groups' maps are maxima that tasks combine before a shuffle; a map has one entry a letter at most.
+    A group's map comes once to each of its parts, before the part's rows, and isn't repeated for them.
     """
+    pairs = pairs.dropna(subset=keys)
+    names = pairs.columns
     runs = pairs.select(*keys, F.explode(gaps_of(first)).alias("_gap")).groupBy(*keys, F.col("_gap.at").alias("at")).agg(F.max("_gap.size").alias("size"))
     widest = runs.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "size"))).alias("_gaps"))
     groups = pairs.select(*keys).distinct().join(widest, keys, "left").withColumn("_gaps", F.coalesce("_gaps", F.array().cast(GAPS)))
-    both = join_by_parts(pairs, groups, keys)
-    common = open_columns(F.replace(F.col(first), F.lit("-"), F.lit("")), F.col("_gaps"))
-    return both.withColumns({"merged": _laid(first, second, "_gaps"), "common": common}).drop("_gaps")
+    maps = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    dealt = pairs.withColumn("_part", F.pmod(F.xxhash64(*pairs.columns), F.lit(PARTS)).cast("int"))
+    both = dealt.unionByName(maps, allowMissingColumns=True).repartition(*keys, "_part").sortWithinPartitions(*keys, "_part", F.col("_gaps").isNull())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = size = None
+
+        def made(batch: pa.RecordBatch, rows: list, texts: list) -> pa.RecordBatch:
+            cut = batch.select(names).take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays([*cut.columns, *(pa.array([x[i] for x in texts], pa.string()) for i in range(2))], names=[*names, "merged", "common"])
+
+        for batch in batches:
+            gaps, a, b = (batch.column(n) for n in ("_gaps", first, second))
+            rows, texts, held = [], [], 0
+            for r, opens in enumerate(gaps.is_valid().to_pylist()):
+                if opens:
+                    at, size = (gaps[r].values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+                    continue
+                rows.append(r)
+                texts.append(lay(a[r].as_py(), b[r].as_py(), at, size))
+                held += len(texts[-1][0])
+                if held > MOST_LETTERS:
+                    yield made(batch, rows, texts)
+                    rows, texts, held = [], [], 0
+            yield made(batch, rows, texts)
+
+    kinds = dict(pairs.dtypes)
+    return both.mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in pairs.columns), "merged string", "common string"]))
 
 
 def later_gaps(maps: DataFrame, keys: list[str], version: str = "version", width: str = "width", gaps: str = "gaps") -> DataFrame:
