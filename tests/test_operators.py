@@ -137,6 +137,16 @@ def test_consensus_goes_as_far_as_its_row(spark):
     assert {r.row: (r.cons, r.seq_aln) for r in got.collect()} == {r.row: (r.seq_aln or "", r.seq_aln) for r in rows.collect()}
 
 
+def test_seeds_hold_their_reads_length(spark, monkeypatch):
+    """Reads' lengths come with their seeds, so seeds aren't shuffled to find them."""
+    plans, keep = [], mapping.cut_lineage
+    monkeypatch.setattr(mapping, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df))
+    text = "".join("ACGT"[i * i * 7919 % 101 % 4] for i in range(600))
+    reads = spark.createDataFrame([(1, text[100:220])], "read int, seq string")
+    got = mapping.map_gapped(reads, spark.createDataFrame([("c", text)], "chrom string, seq string"), ["read"]).collect()
+    assert [(r.chrom, r.cigar) for r in got] == [("c", "120=")] and "Join" not in plans[0]
+
+
 def test_merged_pairs_leave_python_in_slices(spark, monkeypatch):
     """A group's map isn't repeated for its rows on the way to Python, and rows are passed on before a batch of them is full."""
     monkeypatch.setattr(gapmap, "MOST_LETTERS", 100)
