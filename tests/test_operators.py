@@ -251,6 +251,29 @@ def test_indels_that_cancel_are_aligned(monkeypatch, cells):
     assert score(x, y) == row[-1]
 
 
+def test_shortcuts_of_alignments_are_the_whole_matrix():
+    rng = random.Random(18)
+    pairs = []
+    for n in range(400):
+        letters = "AC" if n % 2 else "ACGT"
+        a = "".join(rng.choice(letters) for _ in range(rng.randrange(0, 60)))
+        b = "".join(c for c in a if rng.random() > 0.15) if n % 4 < 2 else "".join(c + rng.choice(letters) * (rng.random() < 0.1) if rng.random() > 0.1 else "" for c in a)
+        pairs.append((a, b) if n % 3 else (b, a))
+    for (a, b), got in zip(pairs, alignment.banded_pairs(pairs)):
+        assert got == alignment._in_bands([(a, b)], max(len(a), len(b), 1), 1, -1, -2)[0][:2]
+    assert sum(alignment.align_in_order(a, b) is not None for a, b in pairs) >= 200
+
+
+def test_similar_texts_need_no_wide_band(monkeypatch):
+    rng = random.Random(19)
+    a = "".join(rng.choice("ACGT") for _ in range(4000))
+    changed = a[:1000] + ("C" if a[1000] != "C" else "A") + a[1001:]
+    cells, fill = [], alignment._in_bands
+    monkeypatch.setattr(alignment, "_in_bands", lambda pairs, half, *costs: cells.append(half) or fill(pairs, half, *costs))
+    assert alignment.banded_pairs([(a, a[:2000] + "GATTACA" + a[2000:]), (a[:900] + a[905:], a), (a, a)])[2] == (a, a) and not cells
+    assert alignment.banded_pair(a, changed) == (a, changed) and cells == [8]
+
+
 def test_pairs_aligned_side_by_side():
     rng = random.Random(17)
     part = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
@@ -494,6 +517,21 @@ def opened_by_hand(text, gaps):
     return "".join(cells)
 
 
+def test_later_gaps_are_dealt_over_tasks(spark):
+    rows = [(f, v, 100 + 3 * v, [(50 + 3 * (v - 1), 3)] if v else []) for f in range(400) for v in range(3)]
+    later = gapmap.later_gaps(spark.createDataFrame(rows, "f int, version int, width int, gaps array<struct<at int, size int>>"), ["f"])
+    got = later.withColumn("task", F.spark_partition_id()).collect()
+    assert {r.version: [tuple(x) for x in r.later] for r in got if r.f == 7} == {0: [(50, 6)], 1: [(53, 3)], 2: []}
+    assert len(got) == 1200 and len({r.task for r in got}) > 1
+
+
+def test_counts_take_few_bytes():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 70_000):
+        counts = np.array([[0, most], [1, 0], [most, 2], [0, 0]])
+        packed = gapmap.pack_counts(counts)
+        assert (gapmap.unpack_counts(packed) == counts).all() and len(packed) == 1 + 8 * (1 if most < 256 else 2 if most < 65_536 else 4)
+
+
 def test_gap_maps_compose(spark):
     rng = random.Random(31)
     for _ in range(200):

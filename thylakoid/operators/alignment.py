@@ -157,6 +157,43 @@ def anchor_chain(a: str, b: str, k: int = ANCHOR) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def _same_end(a: bytes, b: bytes, i: int, j: int) -> int:
+    """How many letters ``a`` up to ``i`` and ``b`` up to ``j`` end with in common."""
+    n, size, most = 0, 64, min(i, j)
+    while n < most:
+        size = min(size, most - n)
+        if a[i - n - size : i - n] == b[j - n - size : j - n]:
+            n, size = n + size, 2 * size
+        elif size == 1:
+            break
+        else:
+            size //= 2
+    return n
+
+
+def align_in_order(a: str, b: str) -> tuple[str, str] | None:
+    """The best global alignment where one text has all letters of the other in their order (or equals it); else None.
+
+    Then no alignment scores more than one that matches all letters of the shorter one, and every such has as many gaps. From the end equal letters
+    are matched wherever they meet, as the way back of the whole matrix does: a match's diagonal is never the worse step.
+    """
+    if len(a) > len(b):
+        turned = align_in_order(b, a)
+        return turned and turned[::-1]
+    x, y = a.encode("latin-1", "replace"), b.encode("latin-1", "replace")
+    i, j, parts, end = len(a), len(b), [], len(b)
+    while 0 < i <= j:
+        n = _same_end(x, y, i, j)
+        if n:
+            parts += ["-" * (end - j), a[i - n : i]]
+            i, j = i - n, j - n
+            end = j
+        j -= i > 0
+    if i:
+        return None
+    return "".join(reversed([*parts, "-" * end])), b
+
+
 def banded_pair(a: str, b: str, band: int = 64, match: int = 1, mismatch: int = -1, gap: int = -2) -> tuple[str, str]:
     """Global alignment of two similar sequences; see ``banded_pairs``."""
     return banded_pairs([(a, b)], band, match, mismatch, gap)[0]
@@ -165,13 +202,15 @@ def banded_pair(a: str, b: str, band: int = 64, match: int = 1, mismatch: int =
 def banded_pairs(pairs: list[tuple[str, str]], band: int = 64, match: int = 1, mismatch: int = -1, gap: int = -2) -> list[tuple[str, str]]:
     """Global alignments of pairs of similar sequences, many side by side.
 
-    The band around the diagonal is widened until no path outside it can score more: such a path has so
+    Pairs of which one has the other's letters in their order need no matrix (``align_in_order``). Other pairs begin in a band an eighth as wide,
+    whose result stands only if every path outside it scores less, so it is the whole matrix's. The band around the diagonal is widened until no path outside it can score more: such a path has so
     many gaps that its best possible score is known. Where that takes too many cells, the alignment goes
     through a chain of exact matches and only what lies between them is aligned so; without a chain,
     the sequences are cut where the best path crosses the middle of the first.
     """
     out: list = [None] * len(pairs)
     todo: dict[int, list[int]] = {}
+    usual = [min(max(band, abs(len(a) - len(b)) + band // 2), max(len(a), len(b))) for a, b in pairs]
 
     def queue(i: int, half: int) -> None:
         n, m = map(len, pairs[i])
@@ -182,7 +221,9 @@ def banded_pairs(pairs: list[tuple[str, str]], band: int = 64, match: int = 1, m
             out[i] = _through_chain(*pairs[i], band, match, mismatch, gap)
 
     for i, (a, b) in enumerate(pairs):
-        queue(i, min(max(band, abs(len(a) - len(b)) + band // 2), max(len(a), len(b))))
+        out[i] = align_in_order(a, b) if match > max(mismatch, 2 * gap) else None
+        if out[i] is None:
+            queue(i, min(usual[i], abs(len(a) - len(b)) + band // 8))
     while todo:
         half = min(todo)
         some = sorted(todo.pop(half), key=lambda i: len(pairs[i][0]))
@@ -192,10 +233,10 @@ def banded_pairs(pairs: list[tuple[str, str]], band: int = 64, match: int = 1, m
             for i, (x, y, score) in zip(now, _in_bands([pairs[i] for i in now], half, match, mismatch, gap)):
                 n, m = map(len, pairs[i])
                 gaps = 2 * (half + 1) - abs(n - m)
-                if half >= max(n, m) or score >= match * (n + m - gaps) // 2 + gap * gaps:
+                if half >= max(n, m) or score + (half >= usual[i]) > match * (n + m - gaps) // 2 + gap * gaps:
                     out[i] = x, y
                 else:
-                    queue(i, 2 * half)
+                    queue(i, max(2 * half, usual[i]))
     return out
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,10 +41,22 @@ def _as_gaps(places: np.ndarray) -> list[dict]:
     return [{"at": a, "size": n} for a, n in zip(at.tolist(), size[at].tolist())]
 
 
+def _composed(first: tuple, then: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Two maps (``at`` and ``size`` as arrays), one after the other, as one: the work grows with their gaps, not with the columns between."""
+    if not len(first[0]) or not len(then[0]):
+        return first if len(first[0]) else then
+    past = np.concatenate([[0], np.cumsum(first[1])])  # columns opened by the first map before and with each of its gaps
+    before = np.searchsorted(first[0] + past[:-1], then[0], "left")  # its gaps that begin before the place
+    column = np.maximum(then[0] - past[before], np.where(before > 0, first[0][before - 1], 0))
+    at, where = np.unique(np.concatenate([first[0], column]), return_inverse=True)
+    size = np.zeros(len(at), np.int64)
+    np.add.at(size, where, np.concatenate([first[1], then[1]]))
+    return at, size
+
+
 def compose(first, then, width: int) -> list[dict]:
     """The map of ``first`` (of ``width`` columns) followed by ``then`` (of the columns that it leaves)."""
-    one = new_places(first, width)
-    return _as_gaps(new_places(then, int(one[-1]))[one])
+    return [{"at": a, "size": n} for a, n in zip(*(x.tolist() for x in _composed(_arrays(first), _arrays(then))))]
 
 
 @F.pandas_udf(GAPS)
@@ -156,63 +168,86 @@ def later_gaps(maps: DataFrame, keys: list[str], version: str = "version", width
     """For each version of a group the map from its columns to those of the last version (``later``).
 
     ``maps`` has a group's versions with the columns that each opened and its width after. All maps of a group open no more columns
-    than its last version has, so a group of maps is as bounded as a row; rows of the alignment aren't gathered.
+    than its last version has, so a group of maps is as bounded as a row; rows of the alignment aren't gathered. Groups are dealt over all
+    shuffle partitions: their maps are few bytes, by which all of them would be joined to one task's work.
     """
 
-    def back(group: pd.DataFrame) -> pd.DataFrame:
-        group, later, out = group.sort_values(version, ascending=False), [], []
-        for opened, wide in zip(group[gaps], group[width]):
-            out.append(later)
-            size = np.array([g["size"] for g in opened], np.int64).sum() if opened is not None else 0
-            later = compose(opened, later, int(wide - size))
-        group["later"] = out
-        return group[[*keys, version, "later"]]
+    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, versions, counts, ats, sizes = [], [], [], [], []
+            for r, group in enumerate(batch.column(len(keys)).to_pylist()):
+                later = _arrays(None)
+                for one in reversed(group):
+                    row.append(r)
+                    versions.append(one["version"])
+                    counts.append(len(later[0]))
+                    ats.append(later[0])
+                    sizes.append(later[1])
+                    if one["gaps"]:
+                        later = _composed(_arrays(one["gaps"]), later)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate([[], *x]).astype(np.int32)) for x in (ats, sizes)], names=["at", "size"])
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), flat)
+            kind = batch.schema.field(len(keys)).type.value_type.field("version").type
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(row, pa.int64())) for i in range(len(keys))), pa.array(versions, kind), lists], names=[*keys, version, "later"])
 
     kinds = dict(maps.dtypes)
-    cut = maps.select(*keys, version, width, gaps)
-    return cut.groupBy(*keys).applyInPandas(back, ", ".join([*(f"`{k}` {kinds[k]}" for k in [*keys, version]), f"later {GAPS.simpleString()}"]))
+    held = F.array_sort(F.collect_list(F.struct(F.col(version).alias("version"), F.col(width).alias("width"), F.col(gaps).alias("gaps"))))
+    groups = maps.groupBy(*keys).agg(held.alias("_maps"))
+    dealt = groups.repartition(int(maps.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*keys))
+    return dealt.mapInArrow(back, ", ".join([*(f"`{k}` {kinds[k]}" for k in [*keys, version]), f"later {GAPS.simpleString()}"]))
 
 
 # --- base counts of columns -------------------------------------------------------------------
 
-_PROFILE = T.StructType([T.StructField(b, T.ArrayType(T.IntegerType())) for b in "acgt"])
+#: Types of numbers by the bytes that each takes.
+_SIZES = {1: np.uint8, 2: np.uint16, 4: np.uint32}
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts (a row for each base, a column for each of the alignment's) as one byte that tells how many bytes a number takes,
+    and the numbers, of as few bytes as the largest needs."""
+    size = next((n for n in _SIZES if counts.max(initial=0) < 1 << (8 * n)), 4)
+    return bytes([size]) + counts.astype(_SIZES[size]).tobytes()
 
 
-@F.pandas_udf(_PROFILE)
-def profile_of(text: pd.Series) -> pd.DataFrame:
+def unpack_counts(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, _SIZES[packed[0]], offset=1).reshape(4, -1).astype(np.int64)
+
+
+def _bases(text: str) -> np.ndarray:
+    x = np.frombuffer(text.encode("latin-1", "replace"), np.uint8)
+    return (x == np.frombuffer(b"ACGT", np.uint8)[:, None]).astype(np.int64)
+
+
+@F.pandas_udf(T.BinaryType())
+def profile_of(text: pd.Series) -> pd.Series:
     """For each column 1 where the row has that base."""
-    out = []
-    for t in text:
-        x = np.frombuffer(t.encode("latin-1", "replace"), np.uint8)
-        out.append([(x == ord(b)).astype(np.int32) for b in "ACGT"])
-    return pd.DataFrame(out, columns=list("acgt"))
+    return pd.Series([pack_counts(_bases(t)) for t in text], dtype=object)
 
 
-@F.pandas_udf(_PROFILE)
-def grown_profile(a: pd.Series, c: pd.Series, g: pd.Series, t: pd.Series, gaps: pd.Series, text: pd.Series) -> pd.DataFrame:
+@F.pandas_udf(T.BinaryType())
+def grown_profile(counts: pd.Series, gaps: pd.Series, text: pd.Series) -> pd.Series:
     """Counts of columns after a map opened new ones and a row was added."""
     out = []
-    for *counts, opened, row in zip(a, c, g, t, gaps, text):
-        x = np.frombuffer(row.encode("latin-1", "replace"), np.uint8)
-        places, new = new_places(opened, len(counts[0]))[:-1], []
-        for base, held in zip("ACGT", counts):
-            sums = (x == ord(base)).astype(np.int32)
-            sums[places] += np.asarray(held, np.int32)
-            new.append(sums)
-        out.append(new)
-    return pd.DataFrame(out, columns=list("acgt"))
+    for packed, opened, row in zip(counts, gaps, text):
+        held, sums = unpack_counts(packed), _bases(row)
+        sums[:, new_places(opened, held.shape[1])[:-1]] += held
+        out.append(pack_counts(sums))
+    return pd.Series(out, dtype=object)
+
+
+def _most_frequent(counts: np.ndarray) -> str:
+    best = np.frombuffer(b"ACGT", np.uint8)[counts.argmax(axis=0)]
+    return np.where(counts.max(axis=0, initial=0) > 0, best, ord("N")).astype(np.uint8).tobytes().decode()
 
 
 @F.pandas_udf(T.StringType())
-def profile_consensus(a: pd.Series, c: pd.Series, g: pd.Series, t: pd.Series) -> pd.Series:
-    """The most frequent base of each column (A, C, G, T on ties), N where there is none."""
-    out = []
-    for counts in zip(a, c, g, t):
-        m = np.stack([np.asarray(x, np.int64) for x in counts])
-        best = np.frombuffer(b"ACGT", np.uint8)[m.argmax(axis=0)]
-        out.append(np.where(m.max(axis=0, initial=0) > 0, best, ord("N")).astype(np.uint8).tobytes().decode())
-    return pd.Series(out)
+def packed_consensus(counts: pd.Series) -> pd.Series:
+    """As ``profile_consensus``, of packed counts."""
+    return pd.Series([_most_frequent(unpack_counts(x)) for x in counts], dtype=object)
 
 
-def profile(row: Column) -> list[Column]:
-    return [row[x].alias(x) for x in "acgt"]
+@F.pandas_udf(T.StringType())
+def profile_consensus(a: pd.Series, c: pd.Series, g: pd.Series, t: pd.Series) -> pd.Series:
+    """The most frequent base of each column (A, C, G, T on ties), N where there is none."""
+    return pd.Series([_most_frequent(np.stack([np.asarray(x, np.int64) for x in counts])) for counts in zip(a, c, g, t)], dtype=object)

@@ -961,7 +961,7 @@ WITH {_SAMPLES} SELECT doc_id, CAST(row_ord AS BIGINT) AS row_ord, ['>reference'
 """)
 def growing_alignment(spark, sf_dir):
     """Each document's bases as a family, to whose alignment two samples are added: every letter comes back."""
-    docs = _sequences(spark, sf_dir).filter(F.length("seq") >= 400).select(F.col("doc_id").alias("family"), "seq")
+    docs = cut_lineage(_sequences(spark, sf_dir).filter(F.length("seq") >= 400).select(F.col("doc_id").alias("family"), "seq"))
     n = F.length("seq")
     half, quarter = (F.floor(n / x).cast("int") for x in (2, 4))
     more = F.concat(F.substr("seq", F.lit(1), half), F.lit("GATTACA"), F.substr("seq", half + 1))

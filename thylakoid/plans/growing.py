@@ -20,14 +20,14 @@ from thylakoid.session import cut_lineage
 #: Letters that a sequence may have.
 LETTERS = [*BASES, *AMBIGUITY, "N"]
 
-_COLUMNS = ["family", "row_ord", "header", "seq_aln", "gaps", "width", "a", "c", "g", "t"]
+_COLUMNS = ["family", "row_ord", "header", "seq_aln", "gaps", "width", "counts"]
 
 
 def start_alignments(store: str, references: DataFrame) -> None:
     """A new store with one reference (``family, header, seq``) for each family, as version 0."""
     rows = references.select("family", F.lit(0).cast("long").alias("row_ord"), "header", F.upper("seq").alias("seq_aln"))
-    rows = rows.withColumns({"gaps": F.array().cast(gapmap.GAPS), "width": F.length("seq_aln"), "p": gapmap.profile_of("seq_aln")})
-    _append(rows.select("*", *gapmap.profile(F.col("p"))), store, 0)
+    rows = rows.withColumns({"gaps": F.array().cast(gapmap.GAPS), "width": F.length("seq_aln"), "counts": gapmap.profile_of("seq_aln")})
+    _append(rows, store, 0)
 
 
 def _append(rows: DataFrame, store: str, version: int) -> None:
@@ -58,8 +58,8 @@ def add_samples(spark: SparkSession, store: str, samples: DataFrame, s: Settings
     """
     stored = spark.read.parquet(store)
     last = stored.groupBy("family").agg(F.max("version").alias("version"), F.count("*").alias("rows"))
-    newest = stored.select("family", "version", "width", *"acgt").join(last, ["family", "version"])
-    known = cut_lineage(newest.select("family", "rows", *"acgt", gapmap.profile_consensus(*"acgt").alias("cons")))
+    newest = stored.select("family", "version", "counts").join(last, ["family", "version"])
+    known = cut_lineage(newest.select("family", "rows", "counts", gapmap.packed_consensus("counts").alias("cons")))
     first = stored.filter("row_ord = 0").select("family", ungap(F.col("seq_aln")).alias("ref"))
     new = cut_lineage(samples.select("family", "header", F.upper(F.coalesce("seq", F.lit(""))).alias("seq")))
     sound = new.filter("seq <> ''").join(first, "family")
@@ -78,8 +78,8 @@ def add_samples(spark: SparkSession, store: str, samples: DataFrame, s: Settings
     scored = msa.route_by_identity(msa.identity(pairs.withColumn("cons", F.translate("cons", "-", "N")), ["family"], "new"), s.least_identity)
     grown = pairs.join(known.drop("cons"), "family").join(new.select("family", "header"), "family")
     grown = grown.withColumns({"gaps": gapmap.gaps_of("cons"), "seq_aln": F.col("new"), "width": F.length("new"), "row_ord": F.col("rows")})
-    grown = grown.withColumn("p", gapmap.grown_profile(*"acgt", "gaps", "new")).drop(*"acgt")
-    grown = cut_lineage(grown.select("*", *gapmap.profile(F.col("p"))).join(scored, "family").withColumn("version", F.lit(version)).drop("p", "rows", "cons", "new"))
+    grown = grown.withColumn("counts", gapmap.grown_profile("counts", "gaps", "new"))
+    grown = cut_lineage(grown.join(scored, "family").withColumn("version", F.lit(version)).drop("rows", "cons", "new"))
     _append(grown.filter("status = 'accepted'"), store, version)
     if rejected:
         grown.filter("status = 'rejected'").select(*_COLUMNS, "version").write.mode("append").parquet(rejected)
