@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -504,6 +505,25 @@ def test_runs_of_one_letter_stay_linear(spark):
     assert got[0].score == 4000 and (got[1].pos, got[1].cigar) == (481, "220=") and (got[2].pos, got[2].cigar) == (100_441, "120=")
 
 
+def test_seeds_and_places_come_in_few_batches(spark, monkeypatch):
+    rng = random.Random(54)
+    contig = "".join(rng.choice("ACGT") for _ in range(512))
+    reads = [contig[i : i + 100] for i in range(0, 400, 4)]
+    sent = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, fn, schema: sent.append(fn) or df)
+    mapping._stretches(spark.createDataFrame([("", "")], "read string, seq string"), ["read"], "seq", 15, 5, 1024)
+    rows = pa.RecordBatch.from_pydict({"read": [str(i) for i in range(100)], "_seq": reads})
+    made = list(sent[0](iter([rows])))
+    assert len(made) == 1 and set(made[0].column("read").to_pylist()) == {str(i) for i in range(100)}
+    # both bins of a short contig are one alignment, and exact reads none
+    filled, fill = [], mapping.align_in_bands
+    monkeypatch.setattr(mapping, "align_in_bands", lambda some, *rest: filled.extend(some) or fill(some, *rest))
+    changed = contig[50:100] + ("C" if contig[100] != "C" else "A") + contig[101:150]
+    both = pa.RecordBatch.from_pydict({"read": ["x", "x", "y", "y"], "s": [changed, changed, reads[3], reads[3]], "region": [contig] * 4, "start": [0] * 4})
+    got = pa.Table.from_batches(mapping._extend(15, 5)(iter([both]))).to_pylist()
+    assert [(r["read"], r["pos"], r["cigar"]) for r in got] == [("x", 50, "50=1X49=")] * 2 + [("y", 12, "100=")] * 2 and len(filled) == 1
+
+
 def test_pileup_of_a_cigar():
     seen = list(mapping.observe(11, "+", "2S3=1I2=2D1X1=1S", "NNACGTACGTN", list(range(11))))
     assert seen == [(13, "+", 4), (15, "-", 7), (11, "^", 2), (19, "$", 9), (11, ".", 2), (12, ".", 3), (13, ".", 4), (14, ".", 6), (15, ".", 7), (18, "G", 8), (19, ".", 9)]
