@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -505,6 +506,24 @@ def test_runs_of_one_letter_stay_linear(spark):
     assert got[0].score == 4000 and (got[1].pos, got[1].cigar) == (481, "220=") and (got[2].pos, got[2].cigar) == (100_441, "120=")
 
 
+def test_kmers_of_both(spark, monkeypatch):
+    rng = random.Random(55)
+    part = lambda n: "".join(rng.choice("ACGTN" if n % 2 else "AC") for _ in range(n))
+    words = lambda x, k: {x[i : i + k] for i in range(len(x) - k + 1) if "N" not in x[i : i + k]}
+    for k in (1, 2, 7, 21, 31):
+        texts = [[part(rng.randrange(0, 90)) for _ in range(3)] for _ in range(30)] + [["ACGT" * 20] * 3]
+        made, codes = [], kmers.kmer_codes
+        monkeypatch.setattr(kmers, "kmer_codes", lambda *x: made.append(x) or codes(*x))  # noqa: B023
+        got = kmers.shared_kmers_of_both(k).func(*map(pd.Series, zip(*texts)))
+        monkeypatch.setattr(kmers, "kmer_codes", codes)
+        sizes = lambda x, y: (len(words(x, k) & words(y, k)), len(words(x, k) | words(y, k)))  # noqa: B023, E731
+        assert [tuple(r) for r in got.to_numpy()] == [(*sizes(x, y), *sizes(x, z)) for x, y, z in texts]
+        assert len(made) <= 3 * 30 + 1
+        for x, _, _ in texts:
+            at, code = codes(x, k)
+            assert code.tolist() == [int("".join(str("ACGT".index(c)) for c in x[i : i + k]), 4) for i in at] and len(at) == sum("N" not in x[i : i + k] for i in range(len(x) - k + 1))
+
+
 def test_seeds_and_places_come_in_few_batches(spark, monkeypatch):
     rng = random.Random(54)
     contig = "".join(rng.choice("ACGT") for _ in range(512))

@@ -37,9 +37,13 @@ def kmer_codes(seq: str | None, k: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(base) - k + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code = np.zeros(n, np.int64)
-    for j in range(k):
-        code = (code << 2) | (base[j : j + n] & 3)
+    code, done, size, part = np.zeros(n, np.int64), 0, 1, (base & 3).astype(np.int64)
+    while size <= k:  # codes of 1, 2, 4 .. letters, put together for the sizes that k holds
+        if k & size:
+            code = (code << (2 * size)) | part[done : done + n]
+            done += size
+        part = (part[:-size] << (2 * size)) | part[size:]
+        size *= 2
     odd = np.concatenate([[0], np.cumsum(base > 3)])
     at = np.flatnonzero(odd[k:] == odd[:n])
     return at, code[at]
@@ -71,14 +75,33 @@ def shared_kmers(k: int):
         for x, y in zip(a, b):
             if mine is None or x != last:
                 last, mine = x, np.unique(kmer_codes(x, k)[1])
-            other = np.unique(kmer_codes(y, k)[1])
-            shared = len(np.intersect1d(mine, other, assume_unique=True))
-            out.append((shared, len(mine) + len(other) - shared))
+            out.append(_shared(mine, mine if x == y else np.unique(kmer_codes(y, k)[1])))
         return pd.DataFrame(out, columns=["shared", "total"])
 
     return count
 
 
+def _shared(one: np.ndarray, other: np.ndarray) -> tuple[int, int]:
+    """How many of two sorted sets' values both have, and how many either has: two sorted runs are merged, not sorted."""
+    both = np.sort(np.concatenate([one, other]), kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared, len(both) - shared
+
+
+def shared_kmers_of_both(k: int):
+    """As ``shared_kmers`` of a sequence with each of two others: its own k-mers are made once."""
+
+    @F.pandas_udf("shared_a long, total_a long, shared_b long, total_b long")
+    def count(ref: pd.Series, a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, *others in zip(ref, a, b):
+            mine = np.unique(kmer_codes(x, k)[1])
+            out.append([n for y in others for n in _shared(mine, mine if x == y else np.unique(kmer_codes(y, k)[1]))])
+        return pd.DataFrame(out, columns=["shared_a", "total_a", "shared_b", "total_b"])
+
+    return count
+
+
 def kmer_jaccard(rows: DataFrame, pairs: DataFrame, key: str, seq: str, k: int = 21) -> DataFrame:
     """Jaccard similarity of the k-mer sets of given pairs (columns ``a``, ``b``); 0 if a set is empty or
     a sequence missing. Sequences join their pairs; sets are made and met pair by pair, and nothing is exploded."""

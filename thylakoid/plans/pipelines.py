@@ -11,7 +11,7 @@ from thylakoid.functions.sequence import flip_segment, record_header, ungap
 from thylakoid.operators import msa
 from thylakoid.operators.alignment import smith_waterman
 from thylakoid.operators.breakpoints import inversion_ends
-from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers
+from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers_of_both
 from thylakoid.operators.mapping import map_gapped, observations, with_reference_base
 from thylakoid.operators.pairing import clip_adapter, clip_palindromes, collapse_reads, pair_reads, route_pairs, trim_ends
 from thylakoid.operators.pileup import BUCKETS, apply_mutations, count_observations, mutations, variants
@@ -172,8 +172,7 @@ def repair_inversions(aligned: DataFrame, key: str, s: Settings = Settings()) ->
         by = F.when(F.col("gain").isNull(), "block").otherwise("breakpoints").alias("by")
         cuts = cut_lineage(ends.select(key, F.coalesce("first_place", "q_st").alias("first"), F.coalesce("last_place", "q_en").alias("last"), by))
     flip = spread(bare.join(cuts, key), key).withColumn("turned", flip_segment(F.col("new"), F.col("first"), F.col("last")))
-    alike = {n: shared_kmers(s.k)("cons", c) for n, c in (("before", "new"), ("after", "turned"))}
-    score = {n: F.when(F.col(f"_{n}.total") > 0, F.col(f"_{n}.shared") / F.col(f"_{n}.total")).otherwise(0.0).alias(n) for n in alike}
-    judged = flip.select(key, "turned", "first", "last", "by", *[x.alias(f"_{n}") for n, x in alike.items()]).select(key, "turned", "first", "last", "by", *score.values())
+    score = [F.when(F.col(f"_n.total_{x}") > 0, F.col(f"_n.shared_{x}") / F.col(f"_n.total_{x}")).otherwise(0.0).alias(n) for x, n in (("a", "before"), ("b", "after"))]
+    judged = flip.select(key, "turned", "first", "last", "by", shared_kmers_of_both(s.k)("cons", "new", "turned").alias("_n")).select(key, "turned", "first", "last", "by", *score)
     better = F.col("after") >= F.col("before")
     return bare.join(judged, key, "left").select(key, F.when(better, F.col("turned")).otherwise(F.col("new")).alias("seq"), "first", "last", "by", F.coalesce(better, F.lit(False)).alias("flipped"), "before", "after")
