@@ -12,9 +12,9 @@ from thylakoid.operators import msa
 from thylakoid.operators.alignment import smith_waterman
 from thylakoid.operators.breakpoints import inversion_ends
 from thylakoid.operators.kmers import bases_on_reference, best_border_match, exact_matches, map_reads, nearest_anchors, shared_kmers_of_both
-from thylakoid.operators.mapping import map_gapped, observations, with_reference_base
+from thylakoid.operators.mapping import map_gapped, pileups
 from thylakoid.operators.pairing import clip_adapter, clip_palindromes, collapse_reads, pair_reads, route_pairs, trim_ends
-from thylakoid.operators.pileup import BUCKETS, apply_mutations, count_observations, mutations, variants
+from thylakoid.operators.pileup import apply_mutations, count_observations, mutations, variants
 from thylakoid.session import cut_lineage
 
 
@@ -71,8 +71,7 @@ def pileup_of(placed: DataFrame, reads: DataFrame, contigs: DataFrame, read_key:
     if "cigar" not in placed.columns:
         seen = bases_on_reference(placed, reads, contigs, read_key)
         return count_observations(seen, ["chrom", "pos", "ref"], "bucket", "quality", s.least_quality)
-    counts = count_observations(observations(placed, reads, read_key), ["chrom", "pos"], "bucket", "quality", s.least_quality)
-    return with_reference_base(counts, contigs).select("chrom", "pos", "ref", *BUCKETS)
+    return pileups(placed, reads, contigs, read_key, s.least_quality)
 
 
 def variants_of(placed: DataFrame, reads: DataFrame, contigs: DataFrame, read_key: list[str], s: Settings = Settings()) -> DataFrame:
