@@ -15,7 +15,7 @@ from thylakoid.operators import gapmap, msa
 from thylakoid.operators.alignment import align_pair, rotate_to_anchor
 from thylakoid.operators.pileup import mutations
 from thylakoid.plans.pipelines import Settings, correct_sequences, place_reads, repair_inversions, spread, variants_of
-from thylakoid.session import cut_lineage
+from thylakoid.session import cut_lineage, drop_scratch, free_shuffles
 
 #: Letters that a sequence may have.
 LETTERS = [*BASES, *AMBIGUITY, "N"]
@@ -112,10 +112,13 @@ def run_samples(spark: SparkSession, mates: DataFrame, contigs: DataFrame, refer
     good = every.filter("status = 'ok'")
     own = good.select("sample", F.col("sample").alias("chrom"), "seq")
     placed = cut_lineage(place_reads(reads.join(good.select("sample"), "sample", "left_semi"), own, ["sample", "mate", "read_idx"], s, within=("sample",)))
+    mapped = cut_lineage(placed.groupBy("sample").agg(F.count("*").alias("n")))
+    free_shuffles(spark)
     found = cut_lineage(variants_of(placed, reads, own, ["sample", "mate", "read_idx"], s))
+    drop_scratch(placed)
+    free_shuffles(spark)
     fixed = cut_lineage(correct_sequences(own.drop("sample"), found, s=s).join(good.select(F.col("sample").alias("chrom"), "family"), "chrom"))
     changed = mutations(found, s.most_ref_share).groupBy(F.col("chrom").alias("sample")).agg(F.count_distinct("pos").alias("n"))
-    mapped = placed.groupBy("sample").agg(F.count("*").alias("n"))
     stage = lambda rows, name, status, amount: rows.select("sample", F.lit(name).alias("stage"), status.alias("status"), amount.cast("double").alias("amount"))
     counted = lambda n: good.select("sample").join(n, "sample", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     out = stage(every, "input", F.col("status"), F.coalesce("reads", F.lit(0)))
@@ -129,6 +132,7 @@ def run_samples(spark: SparkSession, mates: DataFrame, contigs: DataFrame, refer
     for i in range(1, (queued.agg(F.max("turn")).first()[0] or 0) + 1):
         now = queued.filter(F.col("turn") == i)
         made.append(add_samples(spark, store, now, s, rejected).join(now.select("family", F.col("chrom").alias("sample")), "family"))
+        free_shuffles(spark)
     for decisions in made:
         out = out.unionByName(stage(decisions, "alignment", F.col("status"), F.col("identity")))
     return cut_lineage(out)
